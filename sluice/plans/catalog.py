@@ -1,7 +1,9 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator.
 
-Audit timestamps (``ingested_at``, ``*_processed_at``, ``*_created_at``) are
-left out of the returned frames so results can be compared across engines.
+Every query reads the provided tables (or what Spark derives from them) in
+full. Audit timestamps (``ingested_at``, ``*_processed_at``, ``*_created_at``,
+``run_at``) are left out of the returned frames so results compare across
+engines; the library functions themselves keep them.
 """
 
 from __future__ import annotations
@@ -9,25 +11,55 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sluice.config import fresh_lake, shared_dir
+from sluice.functions import growth_factor, seasonal_factor
 from sluice.operators import aggregates as agg
+from sluice.operators import forecast as fc
+from sluice.operators import quality as qa
+from sluice.operators.cleaning import enforce_types
+from sluice.operators.dedup import source_overlap
+from sluice.operators.tables import merge_upsert, violations
+from sluice.plans.gold import gold_tables
+from sluice.plans.layers import run_layers
 from sluice.plans.silver import silver_orders
+from sluice.schema import ORDER_COLUMNS, SILVER_SCHEMA, WIDE_SALES_ORDERS_SCHEMA
+from sluice.sources import testdata
+from sluice.sources.files import read_orders_csv, write_orders_csv
+from sluice.sources.synth import synth_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SILVER_OUT = (
-    "order_id", "customer_id", "customer_name", "product_sku", "product_name", "quantity",
-    "unit_price", "order_date", "region", "status", "source",
-)
+SILVER_OUT = ORDER_COLUMNS + ("source",)
+# Columns of the reference's silver NULL check.
+NULL_CHECK_COLUMNS = ("order_id", "customer_name", "product_name", "region", "status", "unit_price")
+# Row rules checked on silver (the two gold rules are enforced in run_layers).
+SILVER_RULES = {
+    "customer_name_present": "customer_name IS NOT NULL",
+    "status_present": "status IS NOT NULL",
+    "quantity_positive": "quantity > 0",
+    "price_positive": "unit_price > 0",
+}
+HOLDOUT = 2
+HORIZON = 6
+REGION_SCALE = 1e5  # per-region series in Lakh
 
 
-def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _silver(spark, sf_dir):
     return silver_orders(spark, sf_dir)
 
 
 def _no_stamp(df: DataFrame) -> DataFrame:
-    return df.drop("gold_created_at")
+    return df.drop("gold_created_at", "created_at", "run_at")
+
+
+def _region_split(spark, sf_dir):
+    monthly = agg.monthly_sales_trend(_silver(spark, sf_dir), keys=["region"])
+    return fc.holdout_split(fc.forecast_series(monthly, ["region"], REGION_SCALE), ["region"], HOLDOUT)
+
 
+# --- silver and gold ------------------------------------------------------------
 
 def q_silver_orders(spark, sf_dir):
     return _silver(spark, sf_dir).select(*SILVER_OUT)
@@ -57,6 +89,144 @@ def q_best_worst_month(spark, sf_dir):
     return agg.best_worst_month(agg.monthly_sales_trend(_silver(spark, sf_dir)))
 
 
+def q_typed_orders(spark, sf_dir):
+    return enforce_types(_silver(spark, sf_dir), SILVER_SCHEMA).select(*SILVER_OUT)
+
+
+# --- sources, set operations, audits --------------------------------------------
+
+def q_source_overlap(spark, sf_dir):
+    csv = testdata.bronze_source(spark, sf_dir, "csv")
+    pg = testdata.bronze_source(spark, sf_dir, "postgres")
+    return source_overlap(csv, pg, "order_id")
+
+
+def q_dedup_audit(spark, sf_dir):
+    csv = testdata.bronze_source(spark, sf_dir, "csv")
+    pg = testdata.bronze_source(spark, sf_dir, "postgres")
+    return qa.dedup_audit(testdata.bronze_orders(spark, sf_dir), _silver(spark, sf_dir), source_overlap(csv, pg))
+
+
+def q_bronze_audit(spark, sf_dir):
+    return qa.bronze_audit(testdata.bronze_orders(spark, sf_dir))
+
+
+def q_null_profile(spark, sf_dir):
+    return qa.null_profile(_silver(spark, sf_dir), NULL_CHECK_COLUMNS)
+
+
+def q_distinct_status(spark, sf_dir):
+    return qa.distinct_values(_silver(spark, sf_dir), "status")
+
+
+def q_distinct_region(spark, sf_dir):
+    return qa.distinct_values(_silver(spark, sf_dir), "region")
+
+
+def q_layer_audit(spark, sf_dir):
+    silver = _silver(spark, sf_dir)
+    tables = {
+        ("BRONZE", "sales_orders_csv"): testdata.bronze_source(spark, sf_dir, "csv"),
+        ("BRONZE", "sales_orders_postgres"): testdata.bronze_source(spark, sf_dir, "postgres"),
+        ("SILVER", "sales_orders"): silver,
+    }
+    tables.update({("GOLD", name): df for name, df in gold_tables(silver).items()})
+    return qa.layer_audit(tables)
+
+
+def q_csv_round_trip(spark, sf_dir):
+    path = f"{fresh_lake(spark, 'csv').root}/sales_orders_csv"
+    write_orders_csv(testdata.bronze_source(spark, sf_dir, "csv").select(*ORDER_COLUMNS), path)
+    return read_orders_csv(spark, path, WIDE_SALES_ORDERS_SCHEMA, source="csv").drop("ingested_at")
+
+
+# --- table operations --------------------------------------------------------------
+
+def q_merge_upsert(spark, sf_dir):
+    target = silver_orders(spark, sf_dir, sources=["csv"])
+    updates = silver_orders(spark, sf_dir, sources=["postgres"])
+    return merge_upsert(target, updates, ["order_id"]).select(*SILVER_OUT)
+
+
+def q_constraint_violations(spark, sf_dir):
+    bad = violations(_silver(spark, sf_dir), SILVER_RULES)
+    return bad.select("order_id", F.explode("broken_rules").alias("rule"))
+
+
+def q_table_history(spark, sf_dir):
+    shared_dir(spark)
+    run = run_layers(spark, sf_dir, horizon=HORIZON, holdout=HOLDOUT)
+    return run.history.select("layer", "table_name", "version", "operation", "row_count")
+
+
+# --- forecasting -----------------------------------------------------------------
+
+def q_forecast_series(spark, sf_dir):
+    return fc.forecast_series(agg.monthly_sales_trend(_silver(spark, sf_dir)))
+
+
+def q_holdout_split(spark, sf_dir):
+    return fc.holdout_split(q_forecast_series(spark, sf_dir), (), HOLDOUT)
+
+
+def q_trend_fit(spark, sf_dir):
+    fit = fc.trend_fit(_region_split(spark, sf_dir), ["region"])
+    return fit.select(
+        "region",
+        F.round("slope", 9).alias("slope"),
+        F.round("intercept", 6).alias("intercept"),
+        "train_months", "first_month", "last_month",
+    )
+
+
+def q_trend_forecast(spark, sf_dir):
+    pred = fc.predict_trend(_region_split(spark, sf_dir), ["region"], HORIZON)
+    return _no_stamp(fc.forecast_table(pred, ["region"]))
+
+
+def q_forecast_accuracy(spark, sf_dir):
+    pred = fc.predict_trend(_region_split(spark, sf_dir), ["region"], HORIZON)
+    return fc.forecast_accuracy(pred, ["region"])
+
+
+def q_seasonal_forecast_by_region(spark, sf_dir):
+    pred = fc.predict_seasonal(_region_split(spark, sf_dir), ["region"], HORIZON)
+    return _no_stamp(fc.forecast_table(pred, ["region"]))
+
+
+def q_forecast_runs(spark, sf_dir):
+    pred = fc.predict_seasonal(_region_split(spark, sf_dir), ["region"], HORIZON)
+    return _no_stamp(fc.forecast_runs(fc.forecast_accuracy(pred, ["region"]), "seasonal", HORIZON, HOLDOUT))
+
+
+# --- generator curves and synthetic orders -------------------------------------------
+
+def _dated(spark, sf_dir):
+    silver = _silver(spark, sf_dir).select("order_id", "order_date")
+    start = silver.agg(F.min("order_date")).scalar()
+    end = silver.agg(F.max("order_date")).scalar()
+    return silver, start, end
+
+
+def q_growth_factor(spark, sf_dir):
+    silver, start, end = _dated(spark, sf_dir)
+    return silver.select("order_id", "order_date", growth_factor("order_date", start, end).alias("growth_factor"))
+
+
+def q_seasonal_factor(spark, sf_dir):
+    silver = _silver(spark, sf_dir).select("order_id", "order_date")
+    return silver.select("order_id", "order_date", seasonal_factor("order_date").alias("seasonal_factor"))
+
+
+def q_synthetic_orders(spark, sf_dir):
+    orders = testdata.table(spark, sf_dir, "orders")
+    ids = orders.select(F.col("o_orderkey").alias("order_id"))
+    end = orders.agg(F.max(F.col("o_orderdate").cast("date"))).scalar()
+    csv = synth_orders(ids, end, "csv", seed=1).withColumn("source", F.lit("csv"))
+    pg = synth_orders(ids, end, "postgres", seed=2).withColumn("source", F.lit("postgres"))
+    return csv.unionByName(pg)
+
+
 QUERIES: dict[str, Query] = {
     "silver_orders": q_silver_orders,
     "revenue_by_region": q_revenue_by_region,
@@ -65,4 +235,26 @@ QUERIES: dict[str, Query] = {
     "monthly_sales_trend": q_monthly_sales_trend,
     "revenue_at_risk": q_revenue_at_risk,
     "best_worst_month": q_best_worst_month,
+    "typed_orders": q_typed_orders,
+    "source_overlap": q_source_overlap,
+    "dedup_audit": q_dedup_audit,
+    "bronze_audit": q_bronze_audit,
+    "null_profile": q_null_profile,
+    "distinct_status": q_distinct_status,
+    "distinct_region": q_distinct_region,
+    "layer_audit": q_layer_audit,
+    "csv_round_trip": q_csv_round_trip,
+    "merge_upsert": q_merge_upsert,
+    "constraint_violations": q_constraint_violations,
+    "table_history": q_table_history,
+    "forecast_series": q_forecast_series,
+    "holdout_split": q_holdout_split,
+    "trend_fit": q_trend_fit,
+    "trend_forecast": q_trend_forecast,
+    "forecast_accuracy": q_forecast_accuracy,
+    "seasonal_forecast_by_region": q_seasonal_forecast_by_region,
+    "forecast_runs": q_forecast_runs,
+    "growth_factor": q_growth_factor,
+    "seasonal_factor": q_seasonal_factor,
+    "synthetic_orders": q_synthetic_orders,
 }

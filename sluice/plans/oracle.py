@@ -112,3 +112,222 @@ SELECT b.year_month AS best_month, b.monthly_revenue AS best_revenue, b.total_or
 FROM (SELECT * FROM monthly ORDER BY monthly_revenue DESC NULLS LAST, year_month LIMIT 1) b,
      (SELECT * FROM monthly ORDER BY monthly_revenue ASC NULLS FIRST, year_month LIMIT 1) w"""
 )
+
+SQL["typed_orders"] = (
+    SILVER_CTE
+    + """
+SELECT try_cast(order_id AS INTEGER) AS order_id, try_cast(customer_id AS INTEGER) AS customer_id,
+  customer_name, product_sku, product_name, try_cast(quantity AS INTEGER) AS quantity,
+  try_cast(unit_price AS DOUBLE) AS unit_price, try_cast(order_date AS DATE) AS order_date,
+  region, status, source
+FROM silver"""
+)
+
+# --- sources, set operations, audits ---------------------------------------------
+
+SQL["source_overlap"] = (
+    "WITH" + BRONZE + """
+SELECT order_id FROM bronze WHERE source = 'csv'
+INTERSECT
+SELECT order_id FROM bronze WHERE source = 'postgres'"""
+)
+
+SQL["dedup_audit"] = (
+    SILVER_CTE
+    + """
+SELECT b.n AS rows_before, s.n AS rows_after, b.n - s.n AS rows_removed, o.n AS overlapping_keys
+FROM (SELECT count(*) AS n FROM bronze) b, (SELECT count(*) AS n FROM silver) s,
+     (SELECT count(*) AS n FROM (SELECT order_id FROM bronze WHERE source = 'csv'
+                                  INTERSECT SELECT order_id FROM bronze WHERE source = 'postgres')) o"""
+)
+
+SQL["bronze_audit"] = (
+    "WITH" + BRONZE + """
+SELECT source, count(*) AS row_count, min(order_date) AS earliest_order, max(order_date) AS latest_order,
+  count(*) FILTER (WHERE order_id IS NULL) AS null_order_ids, count(DISTINCT region) AS unique_regions
+FROM bronze GROUP BY source"""
+)
+
+SQL["null_profile"] = SILVER_CTE + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM silver"
+    for c in ("order_id", "customer_name", "product_name", "region", "status", "unit_price")
+)
+
+SQL["distinct_status"] = SILVER_CTE + "\nSELECT DISTINCT status FROM silver"
+SQL["distinct_region"] = SILVER_CTE + "\nSELECT DISTINCT region FROM silver"
+
+_GOLD_COUNTS = {
+    "revenue_by_region": "SELECT count(DISTINCT coalesce(region, '<null>')) FROM silver",
+    "revenue_by_product": "SELECT count(DISTINCT coalesce(product_name, '<null>')) FROM silver",
+    "order_status_breakdown": "SELECT count(DISTINCT coalesce(status, '<null>')) FROM silver",
+    "monthly_sales_trend": "SELECT count(DISTINCT coalesce(strftime(order_date, '%Y-%m'), '<null>')) FROM silver",
+}
+
+SQL["layer_audit"] = (
+    SILVER_CTE
+    + """
+SELECT 'BRONZE' AS layer, 'sales_orders_csv' AS table_name, count(*) AS row_count FROM bronze WHERE source = 'csv'
+UNION ALL SELECT 'BRONZE', 'sales_orders_postgres', count(*) FROM bronze WHERE source = 'postgres'
+UNION ALL SELECT 'SILVER', 'sales_orders', count(*) FROM silver
+"""
+    + "\n".join(f"UNION ALL SELECT 'GOLD', '{t}', ({q})" for t, q in _GOLD_COUNTS.items())
+)
+
+SQL["csv_round_trip"] = (
+    "WITH" + BRONZE + """
+SELECT order_id, customer_id, customer_name, product_sku, product_name, quantity, unit_price, order_date,
+  region, status, source
+FROM bronze WHERE source = 'csv'"""
+)
+
+# --- table operations --------------------------------------------------------------
+
+SQL["merge_upsert"] = (
+    "WITH" + BRONZE + ","
+    + " tgt_src AS (SELECT * FROM bronze WHERE source = 'csv'),"
+    + " upd_src AS (SELECT * FROM bronze WHERE source = 'postgres'),"
+    + dedup("tgt_src", "tgt") + "," + dedup("upd_src", "upd")
+    + f"""
+SELECT {SILVER_COLS} FROM upd
+UNION ALL
+SELECT {SILVER_COLS} FROM tgt
+WHERE NOT EXISTS (SELECT 1 FROM upd WHERE upd.order_id IS NOT DISTINCT FROM tgt.order_id)"""
+)
+
+SQL["constraint_violations"] = (
+    SILVER_CTE
+    + """
+SELECT order_id, rule FROM (
+  SELECT order_id, 'customer_name_present' AS rule, customer_name IS NOT NULL AS ok FROM silver
+  UNION ALL SELECT order_id, 'status_present', status IS NOT NULL FROM silver
+  UNION ALL SELECT order_id, 'quantity_positive', quantity > 0 FROM silver
+  UNION ALL SELECT order_id, 'price_positive', unit_price > 0 FROM silver)
+WHERE ok IS NOT TRUE"""
+)
+
+# history of one layer run: every table written once at version 0; the forecast
+# table holds the training months (all months but the partial last one and the
+# 2 holdout months) plus the 6-month horizon.
+SQL["table_history"] = (
+    SILVER_CTE
+    + """
+SELECT 'bronze' AS layer, 'sales_orders_csv' AS table_name, 0::BIGINT AS version, 'OVERWRITE' AS operation,
+  count(*) AS row_count FROM bronze WHERE source = 'csv'
+UNION ALL SELECT 'bronze', 'sales_orders_postgres', 0, 'OVERWRITE', count(*) FROM bronze WHERE source = 'postgres'
+UNION ALL SELECT 'silver', 'sales_orders', 0, 'CREATE', count(*) FROM silver
+"""
+    + "\n".join(f"UNION ALL SELECT 'gold', '{t}', 0, 'OVERWRITE', ({q})" for t, q in _GOLD_COUNTS.items())
+    + """
+UNION ALL SELECT 'gold', 'revenue_forecast', 0, 'OVERWRITE',
+  (SELECT count(DISTINCT strftime(order_date, '%Y-%m')) - 1 - 2 + 6 FROM silver)
+UNION ALL SELECT 'gold', 'forecast_runs', 0, 'APPEND', 1"""
+)
+
+# --- forecasting --------------------------------------------------------------------
+
+_MONTHLY_REGION = f"""
+monthly_r AS (
+  SELECT region, year_month, {money('c')} AS monthly_revenue
+  FROM (SELECT region, strftime(order_date, '%Y-%m') AS year_month, {cents()} AS c FROM silver GROUP BY 1, 2)),
+series_r AS (
+  SELECT region, month, y FROM (
+    SELECT region, cast(year_month || '-01' AS DATE) AS month, monthly_revenue / cast(100000 AS DOUBLE) AS y
+    FROM monthly_r WHERE year_month IS NOT NULL)
+  QUALIFY month < max(month) OVER (PARTITION BY region)),
+split_r AS (
+  SELECT *, CASE WHEN row_number() OVER (PARTITION BY region ORDER BY month DESC) <= 2
+                 THEN 'test' ELSE 'train' END AS split
+  FROM series_r)"""
+
+REGION_CTE = SILVER_CTE + "," + _MONTHLY_REGION
+
+_SERIES_G = f"""
+series_g AS (
+  SELECT month, y FROM (
+    SELECT cast(year_month || '-01' AS DATE) AS month, monthly_revenue / cast(10000000 AS DOUBLE) AS y
+    FROM monthly WHERE year_month IS NOT NULL)
+  WHERE month < (SELECT max(cast(year_month || '-01' AS DATE)) FROM monthly WHERE year_month IS NOT NULL))"""
+
+SQL["forecast_series"] = MONTHLY_CTE + "," + _SERIES_G + "\nSELECT month, y FROM series_g"
+
+SQL["holdout_split"] = (
+    MONTHLY_CTE + "," + _SERIES_G
+    + """
+SELECT month, y, CASE WHEN row_number() OVER (ORDER BY month DESC) <= 2 THEN 'test' ELSE 'train' END AS split
+FROM series_g"""
+)
+
+SQL["trend_fit"] = (
+    REGION_CTE
+    + """
+SELECT region, round(regr_slope(y, x), 9) AS slope, round(regr_intercept(y, x), 6) AS intercept,
+  count(*) AS train_months, min(month) AS first_month, max(month) AS last_month
+FROM (SELECT *, year(month) * 12 + month(month) AS x FROM split_r WHERE split = 'train')
+GROUP BY region"""
+)
+
+_PRED_R = """,
+coef AS (
+  SELECT region, month, y, split,
+    regr_slope(ty, tx) OVER w AS slope, regr_intercept(ty, tx) OVER w AS intercept,
+    regr_sxx(ty, tx) OVER w AS sxx, regr_sxy(ty, tx) OVER w AS sxy, regr_syy(ty, tx) OVER w AS syy,
+    regr_count(ty, tx) OVER w AS n,
+    max(CASE WHEN split = 'train' THEN month END) OVER w AS last_train, max(month) OVER w AS last_month
+  FROM (SELECT *, CASE WHEN split = 'train' THEN year(month) * 12 + month(month) END AS tx,
+               CASE WHEN split = 'train' THEN y END AS ty FROM split_r)
+  WINDOW w AS (PARTITION BY region)),
+coef2 AS (
+  SELECT *, CASE WHEN n > 2 THEN sqrt(greatest(cast(0 AS DOUBLE), syy - sxy * sxy / sxx) / (n - 2)) END AS sigma
+  FROM coef),
+frame AS (
+  SELECT region, month, y AS actual, split, slope, intercept, sigma, last_train FROM coef2
+  UNION ALL
+  SELECT region, m AS month, NULL::DOUBLE AS actual, 'future' AS split, slope, intercept, sigma, last_train
+  FROM (SELECT *, cast(last_train + to_months(i) AS DATE) AS m
+        FROM coef2, range(1, 7) t(i) WHERE month = last_train)
+  WHERE m > last_month),
+pred AS (
+  SELECT region, month, actual, split, last_train,
+    intercept + slope * (year(month) * 12 + month(month)) AS yhat, sigma
+  FROM frame),
+pred2 AS (
+  SELECT region, month, actual, split, yhat,
+    yhat - 1.2815515655446004 * sigma AS lower, yhat + 1.2815515655446004 * sigma AS upper,
+    split = 'train' OR month <= cast(last_train + to_months(6) AS DATE) AS in_frame
+  FROM pred)"""
+
+SQL["trend_forecast"] = (
+    REGION_CTE + _PRED_R
+    + """
+SELECT region, strftime(month, '%Y-%m') AS month, round(yhat, 2) AS forecast_revenue,
+  round(lower, 2) AS forecast_lower, round(upper, 2) AS forecast_upper, actual AS actual_revenue,
+  actual IS NULL AS is_forecast
+FROM pred2 WHERE in_frame"""
+)
+
+SQL["forecast_accuracy"] = (
+    REGION_CTE + _PRED_R
+    + """
+SELECT region,
+  round(avg(CASE WHEN split = 'test' THEN abs(actual - yhat) END), 2) AS mae,
+  round(avg(CASE WHEN split = 'test' THEN abs((actual - yhat) / (actual + 1e-9)) END) * 100, 2) AS mape_pct,
+  count(*) FILTER (WHERE split = 'test') AS test_months,
+  count(*) FILTER (WHERE split = 'train') AS train_months
+FROM pred2 GROUP BY region"""
+)
+
+_DATED = """
+SELECT order_id, order_date,
+  cast(1.0 AS DOUBLE) + cast(0.6 AS DOUBLE) * (datediff('day', s, order_date)
+    / CASE WHEN datediff('day', s, e) = 0 THEN 1 ELSE datediff('day', s, e) END) AS growth_factor
+FROM silver, (SELECT min(order_date) AS s, max(order_date) AS e FROM silver)"""
+
+SQL["growth_factor"] = SILVER_CTE + _DATED
+
+SQL["seasonal_factor"] = (
+    SILVER_CTE
+    + """
+SELECT order_id, order_date,
+  cast([1.1, 0.9, 1.0, 0.85, 0.8, 0.9, 1.0, 1.05, 1.1, 1.2, 1.3, 1.25] AS DOUBLE[])[month(order_date)] AS seasonal_factor
+FROM silver"""
+)

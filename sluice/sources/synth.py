@@ -1,0 +1,90 @@
+"""Synthetic sales orders with trend and season.
+
+Every random draw is a hash of (order id, field salt, seed), so a row's values
+depend only on its id: the output is the same for any number of partitions or
+executors, and a lost task recomputes identical rows. Ids come from a
+DataFrame, so the generator scales with whatever key set it is given.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from sluice.functions import growth_factor, seasonal_factor
+
+# Fixed values (must equal the reference's generator and seed script).
+CUSTOMERS = (
+    "Arjun Mehta", "Priya Nair", "Vikram Singh", "Divya Rao",
+    "Kiran Iyer", "Sanjay Rajan", "Meena Pillai", "Rohit Verma",
+    "Ananya Krishnan", "Suresh Babu", "Lakshmi Venkat", "Rahul Gupta",
+)
+PRODUCTS = (
+    "Conveyor Belt", "Bucket Elevator", "Screw Conveyor",
+    "Belt Feeder", "Vibrating Screen", "Rotary Valve",
+    "Drag Chain Conveyor",
+)
+BASE_PRICES = (25000, 35000, 28000, 22000, 30000, 18000, 40000)  # in PRODUCTS order
+REGIONS = ("Tamil Nadu", "Karnataka", "Maharashtra", "Gujarat", "Telangana", "Rajasthan")
+STATUSES = ("pending", "confirmed", "shipped", "delivered", "cancelled")
+SEED_CUSTOMERS = 8  # the seed script draws from the first 8 names
+DATE_BIAS = 0.7
+WINDOW_DAYS = 365
+
+_TWO31 = 2**31
+
+
+def uniform(id_col: Column, salt: int, seed: int) -> Column:
+    """A deterministic draw in [0, 1) from the id."""
+    return F.pmod(F.xxhash64(id_col, F.lit(salt), F.lit(seed)), F.lit(_TWO31)) / F.lit(float(_TWO31))
+
+
+def _pick(values, u: Column) -> Column:
+    arr = F.array(*[F.lit(v) for v in values])
+    return F.element_at(arr, (F.floor(u * len(values)) + 1).cast("int"))
+
+
+def synth_orders(ids: DataFrame, end: Column, profile: str = "csv", seed: int = 0, id_col: str = "order_id") -> DataFrame:
+    """Orders for every id in ``ids``; ``end`` is the last day of the window.
+
+    ``csv`` follows the file generator (dates biased to recent days, growth up
+    to +60% and a monthly season on quantity and price); ``postgres`` follows
+    the relational seed (uniform draws, no trend).
+    """
+    oid = F.col(id_col)
+    u = {i: uniform(oid, i, seed) for i in range(1, 11)}
+    start = F.date_sub(end, WINDOW_DAYS)
+    if profile == "csv":
+        order_date = F.date_add(start, F.floor(F.pow(u[2], DATE_BIAS) * WINDOW_DAYS).cast("int"))
+        pidx = (F.floor(u[1] * len(PRODUCTS)) + 1).cast("int")
+        product = F.element_at(F.array(*[F.lit(p) for p in PRODUCTS]), pidx)
+        base = F.element_at(F.array(*[F.lit(float(b)) for b in BASE_PRICES]), pidx)
+        out = ids.select(oid.alias("order_id")).withColumns({"order_date": order_date, "_p": product, "_base": base})
+        g = growth_factor("order_date", start, end)
+        qty_draw = F.floor(u[3] * 6) + 1
+        return out.select(
+            "order_id",
+            (F.floor(u[5] * 300) + 1).cast("int").alias("customer_id"),
+            _pick(CUSTOMERS, u[6]).alias("customer_name"),
+            F.concat(F.lit("SKU-"), F.lpad((F.floor(u[7] * 100) + 1).cast("string"), 4, "0")).alias("product_sku"),
+            F.col("_p").alias("product_name"),
+            F.greatest(F.lit(1), F.rint(qty_draw * seasonal_factor("order_date") * g).cast("int")).alias("quantity"),
+            F.round(F.col("_base") * g * (F.lit(0.85) + F.lit(0.3) * u[4]), 2).alias("unit_price"),
+            "order_date",
+            _pick(REGIONS, u[8]).alias("region"),
+            _pick(STATUSES, u[9]).alias("status"),
+        )
+    if profile == "postgres":
+        return ids.select(
+            oid.alias("order_id"),
+            F.rint(u[1] * 200 + 1).cast("int").alias("customer_id"),
+            _pick(CUSTOMERS[:SEED_CUSTOMERS], u[2]).alias("customer_name"),
+            F.concat(F.lit("SKU-"), F.lpad(F.rint(u[3] * 100).cast("int").cast("string"), 4, "0")).alias("product_sku"),
+            _pick(PRODUCTS, u[4]).alias("product_name"),
+            F.rint(u[5] * 10 + 1).cast("int").alias("quantity"),
+            (u[6] * 50000 + 5000).cast("decimal(10,2)").cast("double").alias("unit_price"),
+            F.date_sub(end, F.rint(u[7] * WINDOW_DAYS).cast("int")).alias("order_date"),
+            _pick(REGIONS, u[8]).alias("region"),
+            _pick(STATUSES, u[9]).alias("status"),
+        )
+    raise ValueError(f"unknown profile {profile!r}")
