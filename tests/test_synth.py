@@ -1,0 +1,61 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from sluice.functions import growth_factor, seasonal_factor
+from sluice.sources.synth import BASE_PRICES, PRODUCTS, synth_orders
+
+END_DAY = dt.date(2025, 12, 31)
+
+
+def _ids(spark, n=5000, parts=4):
+    return spark.range(1, n + 1, numPartitions=parts).withColumnRenamed("id", "order_id")
+
+
+def test_csv_profile_ranges(spark):
+    df = synth_orders(_ids(spark), F.lit(END_DAY), "csv")
+    r = df.agg(
+        F.min("customer_id"), F.max("customer_id"), F.min("quantity"), F.min("order_date"), F.max("order_date"),
+        F.count_distinct("product_name"), F.count_distinct("region"), F.count_distinct("status"),
+    ).first()
+    assert (r[0], r[1]) == (1, 300) and r[2] >= 1
+    assert r[3] >= dt.date(2024, 12, 31) and r[4] < dt.date(2025, 12, 31)
+    assert (r[5], r[6], r[7]) == (7, 6, 5)
+
+
+def test_csv_prices_follow_base_and_growth(spark):
+    df = synth_orders(_ids(spark), F.lit(END_DAY), "csv")
+    base = dict(zip(PRODUCTS, BASE_PRICES))
+    for r in df.select("product_name", "unit_price").collect()[:500]:
+        assert 0.85 * base[r.product_name] - 0.01 <= r.unit_price <= 1.15 * 1.6 * base[r.product_name] + 0.01
+
+
+def test_dates_biased_to_recent(spark):
+    df = synth_orders(_ids(spark, 20000), F.lit(END_DAY), "csv")
+    recent = df.filter(F.col("order_date") >= F.date_sub(F.lit(END_DAY), 182)).count()
+    assert recent > 20000 * 0.55  # u^0.7 puts ~62% in the later half
+
+
+def test_postgres_profile_ranges(spark):
+    r = synth_orders(_ids(spark), F.lit(END_DAY), "postgres").agg(
+        F.min("customer_id"), F.max("customer_id"), F.min("quantity"), F.max("quantity"),
+        F.min("unit_price"), F.max("unit_price"), F.count_distinct("customer_name"),
+    ).first()
+    assert r[0] >= 1 and r[1] <= 201 and r[2] >= 1 and r[3] <= 11
+    assert r[4] >= 5000 and r[5] <= 55000 and r[6] == 8
+
+
+def test_same_rows_for_any_partitioning(spark):
+    a = synth_orders(_ids(spark, 3000, 1), F.lit(END_DAY), "csv")
+    b = synth_orders(_ids(spark, 3000, 7), F.lit(END_DAY), "csv")
+    assert a.exceptAll(b).count() == 0
+
+
+def test_growth_and_season_formulas(spark):
+    df = spark.createDataFrame([(dt.date(2025, 1, 1),), (dt.date(2025, 7, 2),), (dt.date(2025, 12, 31),)], "d date")
+    s, e = F.lit(dt.date(2025, 1, 1)), F.lit(dt.date(2025, 12, 31))
+    out = df.select(growth_factor("d", s, e).alias("g"), seasonal_factor("d").alias("w")).collect()
+    assert out[0].g == 1.0 and abs(out[2].g - 1.6) < 1e-12
+    assert [r.w for r in out] == [1.1, 1.0, 1.25]
+    same = spark.createDataFrame([(dt.date(2025, 1, 1),)], "d date").select(growth_factor("d", s, s).alias("g"))
+    assert same.first().g == 1.0

@@ -1,0 +1,107 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluice.operators.tables import TableStore, enforce, merge_upsert, violations
+from sluice.plans.layers import REGION_RULES
+
+NOW = dt.datetime(2026, 1, 1)
+
+
+def _orders(spark, rows):
+    return spark.createDataFrame(rows, "order_id int, status string, amount double")
+
+
+def test_merge_updates_inserts_and_keeps(spark):
+    target = _orders(spark, [(1, "PENDING", 1.0), (2, "PENDING", 2.0), (3, "SHIPPED", 3.0)])
+    updates = _orders(spark, [(2, "DELIVERED", 2.5), (4, "PENDING", 4.0)])
+    out = {r.order_id: r for r in merge_upsert(target, updates, ["order_id"]).collect()}
+    assert sorted(out) == [1, 2, 3, 4]
+    assert out[2].status == "DELIVERED" and out[2].amount == 2.5
+    assert out[1].status == "PENDING" and out[4].amount == 4.0
+
+
+def test_merge_is_idempotent_with_null_keys(spark):
+    target = _orders(spark, [(None, "A", 1.0), (1, "A", 1.0)])
+    updates = _orders(spark, [(None, "B", 2.0)])
+    once = merge_upsert(target, updates, ["order_id"])
+    twice = merge_upsert(once, updates, ["order_id"])
+    assert once.count() == 2 and twice.count() == 2
+    assert twice.filter("order_id IS NULL").first().status == "B"
+
+
+def test_merge_rejects_duplicate_update_keys(spark):
+    target = _orders(spark, [(1, "A", 1.0)])
+    updates = _orders(spark, [(1, "B", 1.0), (1, "C", 1.0)])
+    with pytest.raises(ValueError, match="duplicate key"):
+        merge_upsert(target, updates, ["order_id"])
+
+
+def test_merge_aligns_columns_by_name(spark):
+    target = _orders(spark, [(1, "A", 1.0)])
+    updates = spark.createDataFrame([(2.0, "B", 1)], "amount double, status string, order_id int")
+    assert merge_upsert(target, updates, ["order_id"]).first().status == "B"
+
+
+def test_constraint_rejects_probe_row(spark, lake):
+    store = TableStore(spark, lake)
+    good = spark.createDataFrame([("KARNATAKA", 70000.0, 2, 35000.0, NOW)],
+                                 "region string, total_revenue double, total_orders long, avg_order_value double, gold_created_at timestamp")
+    store.write("gold", "revenue_by_region", good, rules=REGION_RULES)
+    probe = spark.createDataFrame([("TEST_REGION", -999.99, 0, 0.0, NOW)], good.schema)
+    with pytest.raises(Exception, match="revenue_positive"):
+        store.append("gold", "revenue_by_region", probe, rules=REGION_RULES)
+    assert store.read("gold", "revenue_by_region").count() == 1
+    assert store.history("gold", "revenue_by_region").count() == 1
+
+
+def test_null_breaks_a_check(spark):
+    df = spark.createDataFrame([(None, 1)], "total_revenue double, total_orders long")
+    bad = violations(df, REGION_RULES).first()
+    assert bad.broken_rules == ["revenue_positive"]
+    with pytest.raises(Exception):
+        enforce(df, REGION_RULES).collect()
+
+
+def test_enforce_passes_good_rows(spark):
+    df = spark.createDataFrame([(1.0, 1)], "total_revenue double, total_orders long")
+    assert enforce(df, REGION_RULES).count() == 1
+
+
+def test_versions_history_and_reads(spark, lake):
+    store = TableStore(spark, lake)
+    assert store.write("silver", "t", spark.range(5)) == 0
+    # overwrite from its own current version: never reads and overwrites one path
+    cur = store.read("silver", "t")
+    assert store.write("silver", "t", cur.filter("id < 3")) == 1
+    assert store.append("silver", "t", spark.range(10, 12)) == 2
+    assert store.read("silver", "t").count() == 5
+    assert store.read("silver", "t", version=0).count() == 5
+    assert store.read("silver", "t", version=1).count() == 3
+    h = store.history("silver", "t").orderBy("version").collect()
+    assert [(r.version, r.operation, r.row_count) for r in h] == [(0, "OVERWRITE", 5), (1, "OVERWRITE", 3), (2, "APPEND", 5)]
+
+
+def test_store_merge_creates_then_upserts(spark, lake):
+    store = TableStore(spark, lake)
+    store.merge("silver", "orders", _orders(spark, [(1, "A", 1.0), (2, "A", 2.0)]), ["order_id"])
+    store.merge("silver", "orders", _orders(spark, [(2, "B", 2.0), (3, "B", 3.0)]), ["order_id"])
+    out = {r.order_id: r.status for r in store.read("silver", "orders").collect()}
+    assert out == {1: "A", 2: "B", 3: "B"}
+    ops = [r.operation for r in store.history("silver", "orders").orderBy("version").collect()]
+    assert ops == ["CREATE", "MERGE"]
+
+
+def test_audit_lists_latest_counts(spark, lake):
+    store = TableStore(spark, lake)
+    store.write("bronze", "a", spark.range(3))
+    store.write("bronze", "a", spark.range(4))
+    store.write("gold", "b", spark.range(1))
+    rows = [tuple(r) for r in store.audit().collect()]
+    assert rows == [("bronze", "a", 4), ("gold", "b", 1)]
+
+
+def test_missing_table_raises(spark, lake):
+    with pytest.raises(FileNotFoundError):
+        TableStore(spark, lake).read("gold", "nope")
