@@ -103,40 +103,55 @@ def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], che
 # --- the store (K1, K3, K8) ---------------------------------------------------
 
 class TableStore:
-    """Versioned Parquet tables of one lake, with a commit history."""
+    """Versioned Parquet tables of one lake, with a commit history.
+
+    The store is the table's single writer, so it keeps the commit log it
+    loaded (once) plus its own commits in memory: looking up the current
+    version costs no Spark job. Other readers use ``history()``/``read()``
+    on a fresh store, which load the log from the shared folder.
+    """
 
     def __init__(self, spark: SparkSession, lake: LakeConfig):
         self.spark = spark
         self.lake = lake
         self.history_path = f"{lake.root.rstrip('/')}/_history"
+        self._log: list[dict] | None = None
+
+    def _read_history(self) -> DataFrame:
+        return self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
+
+    def _commits(self) -> list[dict]:
+        if self._log is None:
+            # appending nothing creates the history folder on a new lake and
+            # leaves an existing one unchanged
+            self.spark.createDataFrame([], HISTORY_SCHEMA).write.mode("append").parquet(self.history_path)
+            # one row per commit: a small, bounded collect
+            self._log = [r.asDict() for r in self._read_history().collect()]
+        return self._log
 
     # history
     def history(self, layer: str | None = None, name: str | None = None) -> DataFrame:
         """K8: every commit, newest first."""
-        try:
-            h = self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
-        except Exception:  # no commit yet
-            h = self.spark.createDataFrame([], HISTORY_SCHEMA)
+        self._commits()
+        h = self._read_history()
         if layer is not None:
             h = h.filter(F.col("layer") == layer)
         if name is not None:
             h = h.filter(F.col("table_name") == name)
         return h.orderBy(F.desc("committed_at"), F.desc("version"))
 
-    def _latest(self, layer: str, name: str):
-        rows = self.history(layer, name).orderBy(F.desc("version")).limit(1).collect()
-        return rows[0] if rows else None
+    def _latest(self, layer: str, name: str, version: int | None = None):
+        rows = [c for c in self._commits() if c["layer"] == layer and c["table_name"] == name]
+        if version is not None:
+            rows = [c for c in rows if c["version"] == version]
+        return max(rows, key=lambda c: c["version"]) if rows else None
 
     def exists(self, layer: str, name: str) -> bool:
         return self._latest(layer, name) is not None
 
     def read(self, layer: str, name: str, version: int | None = None) -> DataFrame:
         """The newest (or a given) version of a table."""
-        if version is None:
-            row = self._latest(layer, name)
-        else:
-            rows = self.history(layer, name).filter(F.col("version") == version).collect()
-            row = rows[0] if rows else None
+        row = self._latest(layer, name, version)
         if row is None:
             raise FileNotFoundError(f"table {layer}.{name} has no version {version if version is not None else ''}")
         return self.spark.read.parquet(*row["paths"])
@@ -146,6 +161,10 @@ class TableStore:
             [(layer, name, version, operation, rows, list(paths))], StructType(HISTORY_SCHEMA.fields[:6])
         ).withColumn("committed_at", F.current_timestamp())
         rec.coalesce(1).write.mode("append").parquet(self.history_path)
+        self._commits().append(
+            {"layer": layer, "table_name": name, "version": version, "operation": operation,
+             "row_count": rows, "paths": list(paths), "committed_at": None}
+        )
         if self.lake.catalog_mode:
             sources = " UNION ALL ".join(f"SELECT * FROM parquet.`{p}`" for p in paths)
             self.spark.sql(f"CREATE OR REPLACE VIEW {self.lake.location(layer, name)} AS {sources}")
@@ -183,19 +202,25 @@ class TableStore:
         self._commit(layer, name, "APPEND", latest["row_count"] + rows, list(latest["paths"]) + [path], version)
         return version
 
-    def merge(self, layer: str, name: str, updates: DataFrame, keys: Sequence[str]) -> int:
-        """K5: upsert ``updates`` into the table (created from them if absent)."""
+    def merge(self, layer: str, name: str, updates: DataFrame, keys: Sequence[str], check_unique: bool = True) -> int:
+        """K5: upsert ``updates`` into the table (created from them if absent).
+
+        ``check_unique=False`` skips the duplicate-key job when the caller
+        already guarantees one row per key (e.g. a deduplicated silver build).
+        """
         if not self.exists(layer, name):
-            assert_unique(updates, keys)
+            if check_unique:
+                assert_unique(updates, keys)
             return self.write(layer, name, updates, operation="CREATE")
-        merged = merge_upsert(self.read(layer, name), updates, keys)
+        merged = merge_upsert(self.read(layer, name), updates, keys, check_unique)
         return self.write(layer, name, merged, operation="MERGE")
 
     def audit(self) -> DataFrame:
         """Q6 from the history: row count of the newest version of every table."""
         from pyspark.sql import Window
 
-        h = self.history()
+        self._commits()
+        h = self._read_history()
         w = Window.partitionBy("layer", "table_name").orderBy(F.desc("version"))
         latest = h.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
         return latest.select("layer", "table_name", "row_count").orderBy("layer", "table_name")
