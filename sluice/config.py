@@ -51,7 +51,8 @@ def create_namespaces(spark: SparkSession, cfg: LakeConfig) -> None:
     if not cfg.catalog_mode:
         return
     for layer in LAYERS:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {cfg.database(layer)}")
+        location = f"{cfg.root.rstrip('/')}/{cfg.database(layer)}.db"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {cfg.database(layer)} LOCATION '{location}'")
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -215,6 +215,17 @@ class TableStore:
         merged = merge_upsert(self.read(layer, name), updates, keys, check_unique)
         return self.write(layer, name, merged, operation="MERGE")
 
+    def create_if_absent(self, layer: str, name: str, schema: StructType) -> bool:
+        """K4: create an empty table with a declared schema unless it exists.
+
+        Returns True when a table was created. A later ``merge`` then upserts
+        into it; an existing table is left untouched.
+        """
+        if self.exists(layer, name):
+            return False
+        self.write(layer, name, self.spark.createDataFrame([], schema), operation="CREATE")
+        return True
+
     def audit(self) -> DataFrame:
         """Q6 from the history: row count of the newest version of every table."""
         from pyspark.sql import Window

@@ -203,9 +203,9 @@ def q_forecast_runs(spark, sf_dir):
 
 def _dated(spark, sf_dir):
     silver = _silver(spark, sf_dir).select("order_id", "order_date")
-    start = silver.agg(F.min("order_date")).scalar()
-    end = silver.agg(F.max("order_date")).scalar()
-    return silver, start, end
+    # one scalar subquery for both ends of the window (no join, no global window)
+    bounds = silver.agg(F.struct(F.min("order_date").alias("s"), F.max("order_date").alias("e"))).scalar()
+    return silver, bounds.getField("s"), bounds.getField("e")
 
 
 def q_growth_factor(spark, sf_dir):

@@ -105,3 +105,27 @@ def test_audit_lists_latest_counts(spark, lake):
 def test_missing_table_raises(spark, lake):
     with pytest.raises(FileNotFoundError):
         TableStore(spark, lake).read("gold", "nope")
+
+
+def test_create_if_absent_then_merge(spark, lake):
+    from sluice.schema import SILVER_SCHEMA
+
+    store = TableStore(spark, lake)
+    assert store.create_if_absent("silver", "sales_orders", SILVER_SCHEMA) is True
+    assert store.create_if_absent("silver", "sales_orders", SILVER_SCHEMA) is False
+    t = store.read("silver", "sales_orders")
+    assert t.count() == 0 and t.schema.fieldNames() == SILVER_SCHEMA.fieldNames()
+    row = spark.createDataFrame([(1, 1, "A", "S", "P", 1, 1.0, dt.date(2025, 1, 1), "R", "X", NOW, "csv", NOW)], SILVER_SCHEMA)
+    store.merge("silver", "sales_orders", row, ["order_id"])
+    assert store.read("silver", "sales_orders").count() == 1
+
+
+def test_catalog_mode_registers_views(spark, lake):
+    from sluice.config import LakeConfig, create_namespaces
+
+    cat = LakeConfig(root=lake.root, database_prefix="t_" + lake.root.rsplit("-", 1)[-1][:8] + "_")
+    create_namespaces(spark, cat)
+    store = TableStore(spark, cat)
+    store.write("gold", "g", spark.range(3))
+    store.append("gold", "g", spark.range(3, 5))
+    assert spark.table(cat.location("gold", "g")).count() == 5
