@@ -1,0 +1,6 @@
+"""Streaming operators.
+
+Intentionally empty: the reference pipeline is batch only (no readStream,
+writeStream, watermark or CDC; streaming is declared out of scope there), so
+there is no streaming behaviour to reproduce.
+"""
