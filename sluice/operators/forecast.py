@@ -95,13 +95,25 @@ def _masked(c: str) -> Column:
     return F.when(F.col("split") == "train", F.col(c))
 
 
-def predict_trend(split: DataFrame, keys: Sequence[str] = (), horizon: int = 6, z: float = Z80) -> DataFrame:
+def _check_anchor(anchor: str) -> None:
+    if anchor not in ("train", "data"):
+        raise ValueError("anchor must be 'train' or 'data'")
+
+
+def predict_trend(
+    split: DataFrame, keys: Sequence[str] = (), horizon: int = 6, z: float = Z80, anchor: str = "train"
+) -> DataFrame:
     """F3 + F5: prediction frame of the straight-line model.
 
     Coefficients are window aggregates over each series' training rows, so
     history and future rows get them without a join. Band: yhat +- z * s with
     s the residual standard error (n - 2 degrees of freedom).
+
+    ``anchor='train'`` (the reference) counts the horizon from the last
+    training month, so holdout months fall inside it; ``anchor='data'``
+    counts it from the last month with data (a true "next N months").
     """
+    _check_anchor(anchor)
     w = _w(keys)
     s = split.withColumn("x", month_index(F.col("month")))
     tx, ty = F.when(F.col("split") == "train", F.col("x")), _masked("y")
@@ -120,16 +132,17 @@ def predict_trend(split: DataFrame, keys: Sequence[str] = (), horizon: int = 6,
     coef = coef.withColumn(
         "sigma", F.when(F.col("n") > 2, F.sqrt(sse / (F.col("n") - 2))).otherwise(F.lit(None).cast("double"))
     )
-    known = coef.select(*keys, "month", F.col("y").alias("actual"), "split", "slope", "intercept", "sigma", "last_train")
+    coef = coef.withColumn("anchor", F.col("last_train") if anchor == "train" else F.col("last_month"))
+    known = coef.select(*keys, "month", F.col("y").alias("actual"), "split", "slope", "intercept", "sigma", "anchor")
     # future months come from each series' last training row
     future = (
         coef.filter(F.col("month") == F.col("last_train"))
-        .select(*keys, "slope", "intercept", "sigma", "last_train", "last_month",
+        .select(*keys, "slope", "intercept", "sigma", "anchor", "last_month",
                 F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("_i"))
-        .withColumn("month", F.add_months("last_train", F.col("_i")))
+        .withColumn("month", F.add_months("anchor", F.col("_i")))
         .filter(F.col("month") > F.col("last_month"))
         .select(*keys, "month", F.lit(None).cast("double").alias("actual"), F.lit("future").alias("split"),
-                "slope", "intercept", "sigma", "last_train")
+                "slope", "intercept", "sigma", "anchor")
     )
     frame = known.unionByName(future)
     yhat = F.col("intercept") + F.col("slope") * month_index(F.col("month"))
@@ -139,20 +152,21 @@ def predict_trend(split: DataFrame, keys: Sequence[str] = (), horizon: int = 6,
         (yhat - F.lit(z) * F.col("sigma")).alias("lower"),
         (yhat + F.lit(z) * F.col("sigma")).alias("upper"),
         "split",
-        ((F.col("split") == "train") | (F.col("month") <= F.add_months("last_train", horizon))).alias("in_frame"),
+        ((F.col("split") == "train") | (F.col("month") <= F.add_months("anchor", horizon))).alias("in_frame"),
     )
 
 
 # --- F4: seasonal model (applyInPandas) ----------------------------------------
 
-def _seasonal_group(keys, horizon, period, order, prior_scale, z):
+def _seasonal_group(keys, horizon, period, order, prior_scale, z, anchor):
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.assign(month=pd.to_datetime(pdf["month"])).sort_values("month")
         key_vals = {k: pdf[k].iloc[0] for k in keys}
         train = pdf[pdf["split"] == "train"]
         last_train = train["month"].max() if len(train) else pdf["month"].max()
         last_month = pdf["month"].max()
-        fut = [last_train + pd.DateOffset(months=i) for i in range(1, horizon + 1)]
+        start = last_train if anchor == "train" else last_month
+        fut = [start + pd.DateOffset(months=i) for i in range(1, horizon + 1)]
         fut = [m for m in fut if m > last_month]
         months = list(pdf["month"]) + fut
         actual = list(pdf["y"]) + [np.nan] * len(fut)
@@ -179,7 +193,7 @@ def _seasonal_group(keys, horizon, period, order, prior_scale, z):
             resid = ytr - yhat[is_tr]
             dof = max(len(ytr) - 2, 1)
             band = z * float(np.sqrt(np.sum(resid**2) / dof))
-        limit = last_train + pd.DateOffset(months=horizon)
+        limit = start + pd.DateOffset(months=horizon)
         out = pd.DataFrame(
             {
                 "month": [m.date() for m in months],
@@ -217,6 +231,7 @@ def predict_seasonal(
     order: int = FOURIER_ORDER,
     prior_scale: float = SEASONALITY_PRIOR_SCALE,
     z: float = Z80,
+    anchor: str = "train",
 ) -> DataFrame:
     """additive linear trend + quarterly Fourier season, one fit per series.
 
@@ -230,7 +245,8 @@ def predict_seasonal(
     key_fields = sorted(key_fields, key=lambda f: list(keys).index(f.name))
     schema = StructType(key_fields + PRED_FIELDS)
     data = split.select(*keys, "month", "y", "split")
-    fn = _seasonal_group(list(keys), horizon, period, order, prior_scale, z)
+    _check_anchor(anchor)
+    fn = _seasonal_group(list(keys), horizon, period, order, prior_scale, z, anchor)
     if keys:
         return data.groupBy(*keys).applyInPandas(fn, schema)
     # one global series: group on a constant so it still runs as one grouped task
@@ -270,11 +286,19 @@ def forecast_accuracy(pred: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 # --- F8 / F9 -------------------------------------------------------------------
 
+MIN_TRAIN_MONTHS = 3
+
+
 def forecast_runs(accuracy: DataFrame, model: str, horizon: int, holdout: int, clock: Column | None = None) -> DataFrame:
-    """F8: one run record per series: parameters actually used + metrics."""
+    """F8: one run record per series: parameters actually used + metrics.
+
+    ``fit_status`` is 'too_short' for a series with fewer than 3 training
+    months (its forecasts are NULL), else 'ok'.
+    """
     seasonal = model == "seasonal"
     return accuracy.select(
         "*",
+        F.when(F.col("train_months") < MIN_TRAIN_MONTHS, F.lit("too_short")).otherwise(F.lit("ok")).alias("fit_status"),
         F.lit(model).alias("model"),
         F.lit(horizon).alias("horizon_months"),
         F.lit(holdout).alias("holdout_months"),
@@ -294,13 +318,14 @@ def forecast_revenue(
     model: str = "seasonal",
     scale: float = SCALE_CRORE,
     clock: Column | None = None,
+    anchor: str = "train",
 ) -> tuple[DataFrame, DataFrame]:
     """monthly trend -> (forecast table, run records)."""
     split = holdout_split(forecast_series(monthly, keys, scale), keys, holdout)
     if model == "seasonal":
-        pred = predict_seasonal(split, keys, horizon)
+        pred = predict_seasonal(split, keys, horizon, anchor=anchor)
     elif model == "trend":
-        pred = predict_trend(split, keys, horizon)
+        pred = predict_trend(split, keys, horizon, anchor=anchor)
     else:
         raise ValueError(f"unknown model {model!r}")
     return forecast_table(pred, keys, clock), forecast_runs(forecast_accuracy(pred, keys), model, horizon, holdout, clock)

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    BooleanType,
     LongType,
     StringType,
     StructField,
@@ -40,6 +41,18 @@ HISTORY_SCHEMA = StructType(
 )
 
 
+CONSTRAINT_SCHEMA = StructType(
+    [
+        StructField("layer", StringType(), False),
+        StructField("table_name", StringType(), False),
+        StructField("constraint_name", StringType(), False),
+        StructField("condition", StringType(), True),
+        StructField("active", BooleanType(), False),
+        StructField("seq", LongType(), False),
+    ]
+)
+
+
 class ConstraintViolation(Exception):
     pass
 
@@ -54,8 +67,7 @@ def _broken(cond: str) -> Column:
 def violations(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """Rows that break at least one rule, with the names of the broken rules."""
     names = F.array(*[F.when(_broken(cond), F.lit(name)) for name, cond in rules.items()])
-    broken = F.filter(names, lambda x: x.isNotNull())
-    return df.withColumn("broken_rules", broken).filter(F.size("broken_rules") > 0)
+    return df.withColumn("broken_rules", F.array_compact(names)).filter(F.size("broken_rules") > 0)
 
 
 def enforce(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
@@ -115,7 +127,9 @@ class TableStore:
         self.spark = spark
         self.lake = lake
         self.history_path = f"{lake.root.rstrip('/')}/_history"
+        self.constraints_path = f"{lake.root.rstrip('/')}/_constraints"
         self._log: list[dict] | None = None
+        self._rules: list[dict] | None = None
 
     def _read_history(self) -> DataFrame:
         return self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
@@ -187,14 +201,14 @@ class TableStore:
         """
         latest = self._latest(layer, name)
         version = 0 if latest is None else latest["version"] + 1
-        path, rows = self._write_files(layer, name, enforce(df, rules or {}))
+        path, rows = self._write_files(layer, name, enforce(df, self._all_rules(layer, name, rules)))
         self._commit(layer, name, operation, rows, [path], version)
         return version
 
     def append(self, layer: str, name: str, df: DataFrame, rules: Mapping[str, str] | None = None) -> int:
         """K7: add rows as a new file set; earlier files are kept by reference."""
         latest = self._latest(layer, name)
-        path, rows = self._write_files(layer, name, enforce(df, rules or {}))
+        path, rows = self._write_files(layer, name, enforce(df, self._all_rules(layer, name, rules)))
         if latest is None:
             self._commit(layer, name, "APPEND", rows, [path], 0)
             return 0
@@ -215,6 +229,54 @@ class TableStore:
         merged = merge_upsert(self.read(layer, name), updates, keys, check_unique)
         return self.write(layer, name, merged, operation="MERGE")
 
+    # table constraints (K6)
+    def _constraint_log(self) -> list[dict]:
+        if self._rules is None:
+            self.spark.createDataFrame([], CONSTRAINT_SCHEMA).write.mode("append").parquet(self.constraints_path)
+            rows = self.spark.read.schema(CONSTRAINT_SCHEMA).parquet(self.constraints_path).collect()
+            self._rules = sorted((r.asDict() for r in rows), key=lambda r: r["seq"])
+        return self._rules
+
+    def constraints(self, layer: str, name: str) -> dict[str, str]:
+        """The CHECK rules currently attached to a table."""
+        out: dict[str, str] = {}
+        for r in self._constraint_log():
+            if r["layer"] == layer and r["table_name"] == name:
+                if r["active"]:
+                    out[r["constraint_name"]] = r["condition"]
+                else:
+                    out.pop(r["constraint_name"], None)
+        return out
+
+    def _record_rule(self, layer, name, rule, cond, active) -> None:
+        log = self._constraint_log()
+        row = {"layer": layer, "table_name": name, "constraint_name": rule, "condition": cond,
+               "active": active, "seq": (log[-1]["seq"] + 1) if log else 0}
+        self.spark.createDataFrame([row], CONSTRAINT_SCHEMA).coalesce(1).write.mode("append").parquet(self.constraints_path)
+        log.append(row)
+
+    def add_constraint(self, layer: str, name: str, rule: str, condition: str) -> None:
+        """Attach a CHECK rule; rows already stored must satisfy it (one scan),
+        and every later write or append to the table is checked against it.
+        Re-adding a rule replaces it (drop-then-add)."""
+        if self.exists(layer, name):
+            bad = violations(self.read(layer, name), {rule: condition}).limit(1).collect()
+            if bad:
+                raise ConstraintViolation(f"existing rows break CHECK constraint {rule} ({condition}): {bad[0].asDict()}")
+        self._record_rule(layer, name, rule, condition, True)
+
+    def drop_constraint(self, layer: str, name: str, rule: str) -> bool:
+        """Detach a rule; returns False when the table had no such rule."""
+        if rule not in self.constraints(layer, name):
+            return False
+        self._record_rule(layer, name, rule, None, False)
+        return True
+
+    def _all_rules(self, layer: str, name: str, rules: Mapping[str, str] | None) -> dict[str, str]:
+        merged = self.constraints(layer, name)
+        merged.update(rules or {})
+        return merged
+
     def create_if_absent(self, layer: str, name: str, schema: StructType) -> bool:
         """K4: create an empty table with a declared schema unless it exists.
 

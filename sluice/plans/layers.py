@@ -59,7 +59,11 @@ def run_layers(
 
     silver = store.read("silver", SILVER_TABLE)
     for name, df in gold_tables(silver, clock).items():
-        store.write("gold", name, df, rules=REGION_RULES if name == "revenue_by_region" else None)
+        store.write("gold", name, df)
+    # as the reference: rules are attached after the first write, checked
+    # against the stored rows, and enforced on every later write
+    for rule, cond in REGION_RULES.items():
+        store.add_constraint("gold", "revenue_by_region", rule, cond)
 
     monthly = store.read("gold", "monthly_sales_trend")
     table, runs = fc.forecast_revenue(monthly, (), horizon, holdout, forecast_model, clock=clock)

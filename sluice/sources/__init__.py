@@ -2,7 +2,7 @@
 synthetic order generator."""
 
 from sluice.sources.files import read_catalog_table, read_orders_csv, with_provenance, write_orders_csv
-from sluice.sources.jdbc import jdbc_options, postgres_url, read_jdbc
+from sluice.sources.jdbc import jdbc_options, postgres_url, read_jdbc, read_postgres
 
 __all__ = [
     "jdbc_options",
@@ -10,6 +10,7 @@ __all__ = [
     "read_catalog_table",
     "read_jdbc",
     "read_orders_csv",
+    "read_postgres",
     "with_provenance",
     "write_orders_csv",
 ]

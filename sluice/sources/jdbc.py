@@ -57,3 +57,22 @@ def read_jdbc(
     applied later reach the database as ``PushedFilters`` / the SELECT list."""
     df = spark.read.format("jdbc").options(**jdbc_options(url, table, **options)).load()
     return with_provenance(df, source, clock)
+
+
+def read_postgres(
+    spark: SparkSession,
+    host: str,
+    port: int,
+    database: str,
+    user: str,
+    password: str,
+    table: str = "sales_orders",
+    clock: Column | None = None,
+    **options,
+) -> DataFrame:
+    """The relational order source: a Postgres table with ``source='postgres'``.
+    Pass ``partition_column`` / bounds / ``num_partitions`` to read in parallel."""
+    return read_jdbc(
+        spark, postgres_url(host, port, database), table, source="postgres", clock=clock,
+        user=user, password=password, driver="org.postgresql.Driver", **options,
+    )

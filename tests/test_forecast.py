@@ -101,3 +101,20 @@ def test_global_series_seasonal_and_runs(spark):
     assert table.count() == 21 + 6  # 24 months - partial last - 2 holdout, + horizon
     r = runs.first()
     assert r.model == "seasonal" and r.train_months == 21 and r.test_months == 2 and r.fourier_order == 3
+
+
+def test_anchor_data_forecasts_after_last_month(spark):
+    split = fc.holdout_split(fc.forecast_series(_lines(spark, 20), ["region"], 1.0), ["region"], 2)
+    for model in (fc.predict_trend, fc.predict_seasonal):
+        table = fc.forecast_table(model(split, ["region"], 6, anchor="data"), ["region"]).filter("region = 'A'")
+        # 17 training + 2 holdout months + 6 months after the last month with data
+        assert table.count() == 25 and table.filter("is_forecast").count() == 6
+    with pytest.raises(ValueError):
+        fc.predict_trend(split, ["region"], anchor="later")
+
+
+def test_short_series_reported_in_runs(spark):
+    split = fc.holdout_split(fc.forecast_series(_monthly(spark, [1, 2, 3, 4], region="A"), ["region"], 1.0), ["region"], 1)
+    acc = fc.forecast_accuracy(fc.predict_seasonal(split, ["region"]), ["region"])
+    r = fc.forecast_runs(acc, "seasonal", 6, 1).first()
+    assert r.fit_status == "too_short" and r.mae is None

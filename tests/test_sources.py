@@ -65,6 +65,31 @@ def test_jdbc_options_single_and_parallel():
         jdbc_options(url, "t", partition_column="order_id")
 
 
+def test_read_postgres_builds_a_partitioned_reader(spark, monkeypatch):
+    from sluice.sources import jdbc
+
+    seen = {}
+
+    class Reader:
+        def format(self, f):
+            seen["format"] = f
+            return self
+
+        def options(self, **o):
+            seen.update(o)
+            return self
+
+        def load(self):
+            return spark.range(1).withColumnRenamed("id", "order_id")
+
+    monkeypatch.setattr(type(spark), "read", property(lambda self: Reader()))
+    df = jdbc.read_postgres(spark, "db", 5432, "sales", "u", "p", partition_column="order_id",
+                            lower_bound=1, upper_bound=500, num_partitions=4)
+    assert seen["format"] == "jdbc" and seen["url"] == "jdbc:postgresql://db:5432/sales"
+    assert seen["numPartitions"] == "4" and seen["driver"] == "org.postgresql.Driver"
+    assert df.first().source == "postgres"
+
+
 def test_bronze_sources_split_by_line(spark):
     both = testdata.bronze_orders(spark, SF_SMALL)
     csv = testdata.bronze_source(spark, SF_SMALL, "csv")

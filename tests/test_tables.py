@@ -44,16 +44,42 @@ def test_merge_aligns_columns_by_name(spark):
     assert merge_upsert(target, updates, ["order_id"]).first().status == "B"
 
 
+REGION_DDL = "region string, total_revenue double, total_orders long, avg_order_value double, gold_created_at timestamp"
+
+
 def test_constraint_rejects_probe_row(spark, lake):
     store = TableStore(spark, lake)
-    good = spark.createDataFrame([("KARNATAKA", 70000.0, 2, 35000.0, NOW)],
-                                 "region string, total_revenue double, total_orders long, avg_order_value double, gold_created_at timestamp")
-    store.write("gold", "revenue_by_region", good, rules=REGION_RULES)
+    good = spark.createDataFrame([("KARNATAKA", 70000.0, 2, 35000.0, NOW)], REGION_DDL)
+    store.write("gold", "revenue_by_region", good)
+    for rule, cond in REGION_RULES.items():
+        store.add_constraint("gold", "revenue_by_region", rule, cond)
     probe = spark.createDataFrame([("TEST_REGION", -999.99, 0, 0.0, NOW)], good.schema)
     with pytest.raises(Exception, match="revenue_positive"):
-        store.append("gold", "revenue_by_region", probe, rules=REGION_RULES)
+        store.append("gold", "revenue_by_region", probe)
     assert store.read("gold", "revenue_by_region").count() == 1
     assert store.history("gold", "revenue_by_region").count() == 1
+    # a fresh store (another reader/writer) sees the attached rules too
+    assert TableStore(spark, lake).constraints("gold", "revenue_by_region") == REGION_RULES
+
+
+def test_adding_a_constraint_checks_stored_rows(spark, lake):
+    from sluice.operators.tables import ConstraintViolation
+
+    store = TableStore(spark, lake)
+    store.write("gold", "r", spark.createDataFrame([("X", -1.0, 1, -1.0, NOW)], REGION_DDL))
+    with pytest.raises(ConstraintViolation):
+        store.add_constraint("gold", "r", "revenue_positive", "total_revenue > 0")
+    assert store.constraints("gold", "r") == {}
+
+
+def test_drop_then_add_constraint(spark, lake):
+    store = TableStore(spark, lake)
+    store.write("gold", "r", spark.createDataFrame([("X", 1.0, 1, 1.0, NOW)], REGION_DDL))
+    store.add_constraint("gold", "r", "orders_positive", "total_orders > 0")
+    assert store.drop_constraint("gold", "r", "orders_positive") is True
+    assert store.drop_constraint("gold", "r", "orders_positive") is False
+    store.append("gold", "r", spark.createDataFrame([("Y", 1.0, 0, 1.0, NOW)], REGION_DDL))
+    assert store.read("gold", "r").count() == 2
 
 
 def test_null_breaks_a_check(spark):
