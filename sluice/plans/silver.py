@@ -39,6 +39,7 @@ def silver_orders(
     sf_dir: str,
     clock: Column | None = None,
     sources: Sequence[str] | None = None,
+    part_keys_complete: bool = False,
 ) -> DataFrame:
     """Silver from the provided tables with the dedup moved below the order joins.
 
@@ -49,11 +50,20 @@ def silver_orders(
     after a partial per-task group limit), and the order/customer joins see one
     row per order instead of one per line. ``sources`` keeps only the named
     sources (pushed into the lineitem scan).
+
+    The part join stays below the dedup by default because a line whose part
+    is missing must not win its order (the inner join drops it). When the
+    caller knows every line's part exists, ``part_keys_complete=True`` joins
+    part after the dedup: lineitem is then shuffled once (by order key)
+    instead of twice (by part key, then by order key) when part is too big to
+    broadcast, and the part join sees one row per order.
     """
-    lines = testdata.order_lines(spark, sf_dir)
+    lines = testdata.line_items(spark, sf_dir) if part_keys_complete else testdata.order_lines(spark, sf_dir)
     if sources is not None:
         lines = lines.filter(F.col("source").isin(list(sources)))
     best = dedup_sources(lines, ["order_id"], tiebreak=list(testdata.TIEBREAK))
+    if part_keys_complete:
+        best = testdata.with_part(best, spark, sf_dir)
     bronze = testdata.assemble(best, testdata.order_headers(spark, sf_dir), clock)
     cleaned = clean_orders(bronze).drop(*testdata.TIEBREAK)
     return cleaned.withColumn("silver_processed_at", clock if clock is not None else F.current_timestamp())

@@ -64,19 +64,15 @@ def source_of_line(line: Column) -> Column:
     return F.when(line <= CSV_MAX_LINE, F.lit("csv")).otherwise(F.lit("postgres"))
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line-level columns: lineitem joined to part (inner, on the part key)."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_linestatus",
-    )
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    return li.join(part, li.l_partkey == part.p_partkey, "inner").select(
+LINE_COLUMNS = ("order_id", "product_sku", "quantity", "status", "source") + TIEBREAK
+
+
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-level columns that need no other table."""
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
-        F.concat(F.lit(" sku-"), F.lpad(F.col("p_partkey").cast("string"), 6, "0")).alias("product_sku"),
-        F.col("p_name").alias("product_name"),
+        F.concat(F.lit(" sku-"), F.lpad(F.col("l_partkey").cast("string"), 6, "0")).alias("product_sku"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("p_retailprice").alias("unit_price"),
         _status().alias("status"),
         source_of_line(F.col("l_linenumber")).alias("source"),
         F.col("l_linenumber").alias("src_line"),
@@ -86,6 +82,22 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_part(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Add product name and price: inner join to part on the line's part key."""
+    part = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("src_part"), F.col("p_name").alias("product_name"),
+        F.col("p_retailprice").alias("unit_price"),
+    )
+    return lines.join(part, "src_part", "inner")
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-level columns: lineitem joined to part (inner, on the part key)."""
+    return with_part(line_items(spark, sf_dir), spark, sf_dir).select(
+        "order_id", "product_sku", "product_name", "quantity", "unit_price", "status", "source", *TIEBREAK
+    )
+
+
 def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order-level columns: orders joined to customer, nation and region."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")

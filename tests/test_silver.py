@@ -171,3 +171,10 @@ def test_dedup_limits_groups_before_the_shuffle(spark, capsys):
     silver_orders(spark, SF_SMALL).explain("formatted")
     plan = capsys.readouterr().out
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_dedup_before_part_join_when_part_keys_complete(spark):
+    clock = F.lit(dt.datetime(2026, 1, 1))
+    safe = silver_orders(spark, SF_SMALL, clock=clock)
+    fast = silver_orders(spark, SF_SMALL, clock=clock, part_keys_complete=True)
+    assert fast.exceptAll(safe).count() == 0 and safe.exceptAll(fast).count() == 0
