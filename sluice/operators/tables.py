@@ -187,6 +187,9 @@ class TableStore:
         return f"{self.lake.root.rstrip('/')}/{layer}/{name}"
 
     def _write_files(self, layer: str, name: str, df: DataFrame) -> tuple[str, int]:
+        # The observed count sits in the write's result stage, whose accumulator
+        # updates Spark applies once per partition: retried or speculative
+        # tasks do not count twice.
         obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
         path = f"{self._files_root(layer, name)}/part-{uuid.uuid4().hex[:12]}"
         df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
