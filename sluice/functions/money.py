@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
+# prices are averaged at 8 decimals so an unrounded input price keeps its value
+PRICE = "decimal(24,8)"
 
 
 def _col(c: str | Column) -> Column:
@@ -27,6 +29,11 @@ def as_money(c: str | Column) -> Column:
     return _col(c).cast(MONEY)
 
 
+def as_price(c: str | Column) -> Column:
+    """A DOUBLE price as an exact decimal with 8 places."""
+    return _col(c).cast(PRICE)
+
+
 def money_sum(c: str | Column) -> Column:
     """Exact sum of amounts (aggregate, DECIMAL(28,2)); NULL on empty input."""
     return F.sum(as_money(c))

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions import as_money, money_mean, order_value, to_double, year_month
+from sluice.functions import as_money, as_price, money_mean, order_value, to_double, year_month
 
 AT_RISK_STATUSES = ("PENDING", "CONFIRMED")
 
@@ -53,7 +53,7 @@ def revenue_by_product(df: DataFrame, clock: Column | None = None) -> DataFrame:
             F.sum("_ov").alias("_rev"),
             F.count("order_id").alias("total_orders"),
             F.sum("quantity").cast("bigint").alias("total_units_sold"),
-            F.sum(as_money("unit_price")).alias("_price_sum"),
+            F.sum(as_price("unit_price")).alias("_price_sum"),
             F.count("unit_price").alias("_price_n"),
         )
         .select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -20,6 +20,19 @@ def bronze_audit(df: DataFrame, by: str = "source") -> DataFrame:
     )
 
 
+def source_summary(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Q2: rows, date range and distinct regions of several tables, as one
+    SQL ``UNION ALL`` over the DataFrames (passed as SQL parameters, no global
+    temp views)."""
+    names = list(tables)
+    parts = [
+        f"SELECT '{name}' AS table_name, COUNT(*) AS row_count, MIN(order_date) AS earliest_order, "
+        f"MAX(order_date) AS latest_order, COUNT(DISTINCT region) AS unique_regions FROM {{t{i}}}"
+        for i, name in enumerate(names)
+    ]
+    return spark.sql(" UNION ALL ".join(parts), **{f"t{i}": tables[n] for i, n in enumerate(names)})
+
+
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Q3: NULL count of every listed column from one aggregate, one row per column."""
     wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])

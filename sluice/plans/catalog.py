@@ -111,6 +111,13 @@ def q_bronze_audit(spark, sf_dir):
     return qa.bronze_audit(testdata.bronze_orders(spark, sf_dir))
 
 
+def q_source_summary(spark, sf_dir):
+    return qa.source_summary(spark, {
+        "sales_orders_csv": testdata.bronze_source(spark, sf_dir, "csv"),
+        "sales_orders_postgres": testdata.bronze_source(spark, sf_dir, "postgres"),
+    })
+
+
 def q_null_profile(spark, sf_dir):
     return qa.null_profile(_silver(spark, sf_dir), NULL_CHECK_COLUMNS)
 
@@ -239,6 +246,7 @@ QUERIES: dict[str, Query] = {
     "source_overlap": q_source_overlap,
     "dedup_audit": q_dedup_audit,
     "bronze_audit": q_bronze_audit,
+    "source_summary": q_source_summary,
     "null_profile": q_null_profile,
     "distinct_status": q_distinct_status,
     "distinct_region": q_distinct_region,

@@ -148,6 +148,14 @@ SELECT source, count(*) AS row_count, min(order_date) AS earliest_order, max(ord
 FROM bronze GROUP BY source"""
 )
 
+SQL["source_summary"] = (
+    "WITH" + BRONZE + """
+SELECT 'sales_orders_' || CASE WHEN source = 'csv' THEN 'csv' ELSE 'postgres' END AS table_name,
+  count(*) AS row_count, min(order_date) AS earliest_order, max(order_date) AS latest_order,
+  count(DISTINCT region) AS unique_regions
+FROM bronze GROUP BY source"""
+)
+
 SQL["null_profile"] = SILVER_CTE + "\n" + "\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM silver"
     for c in ("order_id", "customer_name", "product_name", "region", "status", "unit_price")

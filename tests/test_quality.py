@@ -64,3 +64,12 @@ def test_nullify_blanks_only_listed_columns(spark):
 def test_order_value_rounds_to_cents(spark):
     df = spark.createDataFrame([(3, 0.335)], "quantity int, unit_price double")
     assert with_order_value(df).first().order_value == 1.01
+
+
+def test_source_summary_sql_union(spark):
+    D = dt.date
+    a = spark.createDataFrame([(D(2025, 1, 1), "A"), (D(2025, 2, 1), "B")], "order_date date, region string")
+    b = spark.createDataFrame([(D(2024, 5, 1), "A")], "order_date date, region string")
+    rows = {r.table_name: r for r in qa.source_summary(spark, {"csv": a, "pg": b}).collect()}
+    assert rows["csv"].row_count == 2 and rows["csv"].unique_regions == 2
+    assert rows["pg"].earliest_order == D(2024, 5, 1)
