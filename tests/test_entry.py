@@ -24,3 +24,18 @@ def test_layer_run_end_to_end(spark):
     assert audit[("silver", "sales_orders")] == run.store.read("silver", "sales_orders").count()
     assert audit[("gold", "forecast_runs")] == 1
     assert len(audit) == 9
+
+
+def test_layer_run_twice_is_idempotent(spark, lake):
+    from sluice.plans.layers import run_layers
+    from tests.conftest import SF_SMALL
+
+    first = run_layers(spark, SF_SMALL, lake=lake, forecast_model="trend")
+    n = first.store.read("silver", "sales_orders").count()
+    second = run_layers(spark, SF_SMALL, lake=lake, forecast_model="trend")
+    h = {(r.layer, r.table_name, r.version): (r.operation, r.row_count) for r in second.history.collect()}
+    assert h[("silver", "sales_orders", 0)] == ("CREATE", n)
+    assert h[("silver", "sales_orders", 1)] == ("MERGE", n)
+    assert h[("gold", "forecast_runs", 1)] == ("APPEND", 2)
+    assert second.store.constraints("gold", "revenue_by_region") == {
+        "revenue_positive": "total_revenue > 0", "orders_positive": "total_orders > 0"}
