@@ -6,8 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values (must equal the reference's generator): seasonal weight of each
-# calendar month, January first.
-SEASONAL_WEIGHTS = (1.1, 0.9, 1.0, 0.85, 0.8, 0.9, 1.0, 1.05, 1.1, 1.2, 1.3, 1.25)
+# calendar month (1 = January).
+SEASONAL_WEIGHTS = {
+    1: 1.1, 2: 0.9, 3: 1.0, 4: 0.85, 5: 0.8, 6: 0.9,
+    7: 1.0, 8: 1.05, 9: 1.1, 10: 1.2, 11: 1.3, 12: 1.25,
+}
 # Fixed value: prices and volumes grow by this fraction over the data window.
 GROWTH = 0.6
 
@@ -39,5 +42,5 @@ def growth_factor(day: str | Column, start: Column, end: Column) -> Column:
 
 def seasonal_factor(day: str | Column) -> Column:
     """Seasonal weight of the day's calendar month."""
-    weights = F.array(*[F.lit(w) for w in SEASONAL_WEIGHTS])
+    weights = F.array(*[F.lit(SEASONAL_WEIGHTS[m]) for m in range(1, 13)])
     return F.element_at(weights, F.month(_col(day)))

@@ -24,7 +24,15 @@ PRODUCTS = (
     "Belt Feeder", "Vibrating Screen", "Rotary Valve",
     "Drag Chain Conveyor",
 )
-BASE_PRICES = (25000, 35000, 28000, 22000, 30000, 18000, 40000)  # in PRODUCTS order
+BASE_PRICES = {
+    "Conveyor Belt": 25000,
+    "Bucket Elevator": 35000,
+    "Screw Conveyor": 28000,
+    "Belt Feeder": 22000,
+    "Vibrating Screen": 30000,
+    "Rotary Valve": 18000,
+    "Drag Chain Conveyor": 40000,
+}
 REGIONS = ("Tamil Nadu", "Karnataka", "Maharashtra", "Gujarat", "Telangana", "Rajasthan")
 STATUSES = ("pending", "confirmed", "shipped", "delivered", "cancelled")
 SEED_CUSTOMERS = 8  # the seed script draws from the first 8 names
@@ -58,7 +66,7 @@ def synth_orders(ids: DataFrame, end: Column, profile: str = "csv", seed: int =
         order_date = F.date_add(start, F.floor(F.pow(u[2], DATE_BIAS) * WINDOW_DAYS).cast("int"))
         pidx = (F.floor(u[1] * len(PRODUCTS)) + 1).cast("int")
         product = F.element_at(F.array(*[F.lit(p) for p in PRODUCTS]), pidx)
-        base = F.element_at(F.array(*[F.lit(float(b)) for b in BASE_PRICES]), pidx)
+        base = F.element_at(F.array(*[F.lit(float(BASE_PRICES[p])) for p in PRODUCTS]), pidx)
         out = ids.select(oid.alias("order_id")).withColumns({"order_date": order_date, "_p": product, "_base": base})
         g = growth_factor("order_date", start, end)
         qty_draw = F.floor(u[3] * 6) + 1

@@ -25,7 +25,7 @@ def test_csv_profile_ranges(spark):
 
 def test_csv_prices_follow_base_and_growth(spark):
     df = synth_orders(_ids(spark), F.lit(END_DAY), "csv")
-    base = dict(zip(PRODUCTS, BASE_PRICES))
+    base = BASE_PRICES
     for r in df.select("product_name", "unit_price").collect()[:500]:
         assert 0.85 * base[r.product_name] - 0.01 <= r.unit_price <= 1.15 * 1.6 * base[r.product_name] + 0.01
 
