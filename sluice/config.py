@@ -21,9 +21,9 @@ LAYERS = ("bronze", "silver", "gold")
 class LakeConfig:
     """Storage settings for one lake.
 
-    ``root``: base directory (path mode) or warehouse location used for the
-    table history (catalog mode). ``table_format``: ``parquet`` unless a Delta
-    jar is on the classpath. ``database_prefix``: set to use catalog tables.
+    ``root``: base directory of data files, versions and history (both
+    modes). ``table_format``: file format of table data (``parquet`` or
+    ``orc``). ``database_prefix``: set to also expose tables in the catalog.
     """
 
     root: str

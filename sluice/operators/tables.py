@@ -123,7 +123,11 @@ class TableStore:
     on a fresh store, which load the log from the shared folder.
     """
 
+    FORMATS = ("parquet", "orc")
+
     def __init__(self, spark: SparkSession, lake: LakeConfig):
+        if lake.table_format not in self.FORMATS:
+            raise ValueError(f"table_format must be one of {self.FORMATS} (no Delta jar in this build)")
         self.spark = spark
         self.lake = lake
         self.history_path = f"{lake.root.rstrip('/')}/_history"
@@ -168,7 +172,7 @@ class TableStore:
         row = self._latest(layer, name, version)
         if row is None:
             raise FileNotFoundError(f"table {layer}.{name} has no version {version if version is not None else ''}")
-        return self.spark.read.parquet(*row["paths"])
+        return self.spark.read.format(self.lake.table_format).load(list(row["paths"]))
 
     def _commit(self, layer, name, operation, rows, paths, version) -> None:
         rec = self.spark.createDataFrame(
@@ -192,7 +196,7 @@ class TableStore:
         # tasks do not count twice.
         obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
         path = f"{self._files_root(layer, name)}/part-{uuid.uuid4().hex[:12]}"
-        df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
+        df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").format(self.lake.table_format).save(path)
         return path, int(obs.get["n"])
 
     def write(self, layer: str, name: str, df: DataFrame, operation: str = "OVERWRITE",
