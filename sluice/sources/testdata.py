@@ -18,8 +18,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.sources.files import with_provenance
-
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -152,5 +150,5 @@ def bronze_source(spark: SparkSession, sf_dir: str, source: str, clock: Column |
 
 __all__ = [
     "BRONZE_COLUMNS", "TABLES", "TIEBREAK", "assemble", "bronze_orders", "bronze_source",
-    "order_headers", "order_lines", "table", "with_provenance",
+    "line_items", "order_headers", "order_lines", "table", "with_part",
 ]

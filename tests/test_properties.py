@@ -6,7 +6,6 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from sluice.operators import aggregates as agg
 from sluice.operators.dedup import dedup_sources

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from sluice.operators import quality as qa
 from sluice.operators.cleaning import enforce_types, nullify_blanks, schema_diff, with_order_value

@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from sluice.functions import growth_factor, seasonal_factor
-from sluice.sources.synth import BASE_PRICES, PRODUCTS, synth_orders
+from sluice.sources.synth import BASE_PRICES, synth_orders
 
 END_DAY = dt.date(2025, 12, 31)
 

@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from sluice.operators.tables import TableStore, enforce, merge_upsert, violations
 from sluice.plans.layers import REGION_RULES
