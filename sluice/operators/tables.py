@@ -102,14 +102,22 @@ def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], che
     equality, so a NULL key is matched like any other value and a rerun with
     the same updates changes nothing. Columns are aligned by name and must
     match. ``target`` is assumed unique on ``keys`` (as the silver table is).
+
+    The anti join is split: rows whose keys are all non-NULL use plain
+    equality, so a target already hash-partitioned by the keys (e.g. the
+    output of the silver build) is joined without another shuffle; rows with
+    a NULL key take a separate NULL-safe anti join.
     """
     if check_unique:
         assert_unique(updates, keys)
-    t = target.alias("_t")
-    u = updates.select(*keys).alias("_u")
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    u_keys = updates.select(*keys)
+    kept_complete = target.filter(complete).join(u_keys.filter(complete), list(keys), "left_anti")
+    t = target.filter(~complete).alias("_t")
+    u = u_keys.filter(~complete).alias("_u")
     cond = reduce(lambda a, b: a & b, [F.col(f"_t.{k}").eqNullSafe(F.col(f"_u.{k}")) for k in keys])
-    kept = t.join(u, cond, "left_anti")
-    return updates.unionByName(kept)
+    kept_partial = t.join(u, cond, "left_anti")
+    return updates.unionByName(kept_complete).unionByName(kept_partial)
 
 
 # --- the store (K1, K3, K8) ---------------------------------------------------
