@@ -118,3 +118,20 @@ def test_short_series_reported_in_runs(spark):
     acc = fc.forecast_accuracy(fc.predict_seasonal(split, ["region"]), ["region"])
     r = fc.forecast_runs(acc, "seasonal", 6, 1).first()
     assert r.fit_status == "too_short" and r.mae is None
+
+
+def test_no_training_months_gives_nulls_not_errors(spark):
+    split = fc.holdout_split(fc.forecast_series(_lines(spark, 4), ["region"], 1.0), ["region"], 5)
+    for model in (fc.predict_trend, fc.predict_seasonal):
+        pred = model(split, ["region"])
+        assert pred.filter("yhat IS NOT NULL").count() == 0
+        acc = fc.forecast_accuracy(pred, ["region"]).collect()
+        assert all(r.train_months == 0 and r.mae is None for r in acc)
+
+
+def test_null_series_key_is_its_own_series(spark):
+    m = _lines(spark, 10, regions=("A",)).unionByName(_monthly(spark, [5.0 + i for i in range(10)], region=None))
+    split = fc.holdout_split(fc.forecast_series(m, ["region"], 1.0), ["region"], 2)
+    for model in (fc.predict_trend, fc.predict_seasonal):
+        t = fc.forecast_table(model(split, ["region"], 3), ["region"])
+        assert t.filter("region IS NULL").count() == 7 + 3
