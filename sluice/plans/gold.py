@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from sluice.config import shared_dir
+from sluice.functions import as_money, as_price, money_mean, order_value, to_double, year_month
 from sluice.operators import aggregates as agg
 
 # Gold table names.
@@ -11,9 +14,62 @@ GOLD_TABLES = ("revenue_by_region", "revenue_by_product", "order_status_breakdow
 
 
 def gold_tables(silver: DataFrame, clock: Column | None = None) -> dict[str, DataFrame]:
+    """The four tables as four independent aggregates (each scans ``silver``)."""
     return {
         "revenue_by_region": agg.revenue_by_region(silver, clock),
         "revenue_by_product": agg.revenue_by_product(silver, clock),
         "order_status_breakdown": agg.order_status_breakdown(silver, clock),
         "monthly_sales_trend": agg.monthly_sales_trend(silver, clock),
     }
+
+
+def gold_tables_single_pass(silver: DataFrame, clock: Column | None = None) -> dict[str, DataFrame]:
+    """The same four tables from ONE scan of ``silver``.
+
+    A grouping-sets aggregate computes the region, product, status and month
+    rollups together: every task pre-aggregates all four before the (tiny)
+    shuffle, and the result, one row per group, is checkpointed into the
+    shared folder so the four tables are cut from it without re-reading
+    silver. Values are identical to ``gold_tables`` (same exact-decimal sums).
+    """
+    shared_dir(silver.sparkSession)  # checkpoint() writes to spark.checkpoint.dir
+    keys = ["region", "product_name", "status", "year_month"]
+    base = silver.select(
+        "region", "product_name", "status", year_month("order_date").alias("year_month"),
+        "order_id", "quantity", "unit_price", as_money(order_value()).alias("_ov"),
+    )
+    rolled = (
+        base.groupingSets([[k] for k in keys], *keys)
+        .agg(
+            *[F.grouping(k).alias(f"_g_{k}") for k in keys],
+            F.sum("_ov").alias("_rev"),
+            F.count("order_id").alias("n"),
+            F.sum("quantity").cast("bigint").alias("units"),
+            F.sum(as_price("unit_price")).alias("_price_sum"),
+            F.count("unit_price").alias("_price_n"),
+        )
+        .checkpoint()
+    )
+    stamp = clock if clock is not None else F.current_timestamp()
+
+    def of(k: str) -> DataFrame:
+        return rolled.filter(F.col(f"_g_{k}") == 0)
+
+    rev = to_double(F.col("_rev"))
+    mean = money_mean(F.col("_rev"), F.col("n"))
+    return {
+        "revenue_by_region": of("region").select(
+            "region", rev.alias("total_revenue"), F.col("n").alias("total_orders"), mean.alias("avg_order_value")
+        ).orderBy(F.desc("total_revenue"), F.asc("region")).withColumn("gold_created_at", stamp),
+        "revenue_by_product": of("product_name").select(
+            "product_name", rev.alias("total_revenue"), F.col("n").alias("total_orders"),
+            F.col("units").alias("total_units_sold"),
+            money_mean(F.col("_price_sum"), F.col("_price_n")).alias("avg_unit_price"),
+        ).orderBy(F.desc("total_revenue"), F.asc("product_name")).withColumn("gold_created_at", stamp),
+        "order_status_breakdown": of("status").select(
+            "status", F.col("n").alias("total_orders"), rev.alias("total_revenue"), mean.alias("avg_order_value")
+        ).orderBy(F.desc("total_orders"), F.asc("status")).withColumn("gold_created_at", stamp),
+        "monthly_sales_trend": of("year_month").select(
+            "year_month", rev.alias("monthly_revenue"), F.col("n").alias("total_orders"), mean.alias("avg_order_value")
+        ).orderBy(F.asc("year_month")).withColumn("gold_created_at", stamp),
+    }
