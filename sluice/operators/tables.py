@@ -220,6 +220,33 @@ class TableStore:
         self._commit(layer, name, operation, rows, [path], version)
         return version
 
+    def write_split(self, layer: str, df: DataFrame, by: str, tables: Mapping[str, str]) -> dict[str, int]:
+        """Overwrite several tables from ONE pass over ``df``.
+
+        ``tables`` maps a value of column ``by`` to a table name. The rows are
+        written once, partitioned by a copy of ``by`` (the column itself stays
+        in the files), and each partition directory is committed as the new
+        version of its table. Per-table row counts come from one Observation.
+        Rows whose ``by`` value is not listed are not written.
+        """
+        values = list(tables)
+        obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+        root = f"{self._files_root(layer, '_split')}/part-{uuid.uuid4().hex[:12]}"
+        rows = df.filter(F.col(by).isin(values)).withColumn("_split", F.col(by))
+        rows = rows.observe(obs, *[F.count_if(F.col(by) == F.lit(v)).alias(f"n{i}") for i, v in enumerate(values)])
+        rules = {name: self._all_rules(layer, name, None) for name in tables.values()}
+        if any(rules.values()):
+            raise ValueError("write_split does not support tables with CHECK constraints; use write()")
+        rows.write.mode("errorifexists").format(self.lake.table_format).partitionBy("_split").save(root)
+        counts = obs.get
+        out = {}
+        for i, (value, name) in enumerate(tables.items()):
+            latest = self._latest(layer, name)
+            version = 0 if latest is None else latest["version"] + 1
+            self._commit(layer, name, "OVERWRITE", int(counts[f"n{i}"]), [f"{root}/_split={value}"], version)
+            out[name] = version
+        return out
+
     def append(self, layer: str, name: str, df: DataFrame, rules: Mapping[str, str] | None = None) -> int:
         """K7: add rows as a new file set; earlier files are kept by reference."""
         latest = self._latest(layer, name)

@@ -44,8 +44,12 @@ def run_layers(
     create_namespaces(spark, lake)
     store = TableStore(spark, lake)
 
-    for name, src in zip(BRONZE_TABLES, ("csv", "postgres")):
-        store.write("bronze", name, testdata.bronze_source(spark, sf_dir, src, clock))
+    # both bronze tables come from one scan of the provided tables, written once
+    # and split by source
+    store.write_split(
+        "bronze", testdata.bronze_orders(spark, sf_dir, clock), "source",
+        {"csv": BRONZE_TABLES[0], "postgres": BRONZE_TABLES[1]},
+    )
 
     updates = build_silver(
         store.read("bronze", BRONZE_TABLES[0]),

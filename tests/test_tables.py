@@ -154,3 +154,17 @@ def test_catalog_mode_registers_views(spark, lake):
     store.write("gold", "g", spark.range(3))
     store.append("gold", "g", spark.range(3, 5))
     assert spark.table(cat.location("gold", "g")).count() == 5
+
+
+def test_write_split_one_pass_two_tables(spark, lake):
+    store = TableStore(spark, lake)
+    df = spark.createDataFrame([(1, "csv"), (2, "csv"), (3, "postgres"), (4, "other")], "order_id int, source string")
+    versions = store.write_split("bronze", df, "source", {"csv": "a", "postgres": "b"})
+    assert versions == {"a": 0, "b": 0}
+    a, b = store.read("bronze", "a"), store.read("bronze", "b")
+    assert a.columns == ["order_id", "source"] and sorted(r.order_id for r in a.collect()) == [1, 2]
+    assert [tuple(r) for r in b.collect()] == [(3, "postgres")]
+    h = {r.table_name: r.row_count for r in store.history("bronze").collect()}
+    assert h == {"a": 2, "b": 1}
+    # a later split write makes new versions
+    assert store.write_split("bronze", df, "source", {"csv": "a", "postgres": "b"}) == {"a": 1, "b": 1}
