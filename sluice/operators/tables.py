@@ -10,6 +10,7 @@ One writer per table at a time.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -230,6 +231,10 @@ class TableStore:
         Rows whose ``by`` value is not listed are not written.
         """
         values = list(tables)
+        bad = [v for v in values if not re.fullmatch(r"[A-Za-z0-9_.-]+", str(v))]
+        if bad:
+            # Spark escapes other characters in partition directory names
+            raise ValueError(f"split values must be plain names, got {bad}")
         obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
         root = f"{self._files_root(layer, '_split')}/part-{uuid.uuid4().hex[:12]}"
         rows = df.filter(F.col(by).isin(values)).withColumn("_split", F.col(by))

@@ -168,3 +168,5 @@ def test_write_split_one_pass_two_tables(spark, lake):
     assert h == {"a": 2, "b": 1}
     # a later split write makes new versions
     assert store.write_split("bronze", df, "source", {"csv": "a", "postgres": "b"}) == {"a": 1, "b": 1}
+    with pytest.raises(ValueError):
+        store.write_split("bronze", df, "source", {"a b": "c"})
