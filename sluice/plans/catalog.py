@@ -206,6 +206,11 @@ def q_forecast_runs(spark, sf_dir):
     return _no_stamp(fc.forecast_runs(fc.forecast_accuracy(pred, ["region"]), "seasonal", HORIZON, HOLDOUT))
 
 
+def q_trend_forecast_runs(spark, sf_dir):
+    pred = fc.predict_trend(_region_split(spark, sf_dir), ["region"], HORIZON)
+    return _no_stamp(fc.forecast_runs(fc.forecast_accuracy(pred, ["region"]), "trend", HORIZON, HOLDOUT))
+
+
 # --- generator curves and synthetic orders -------------------------------------------
 
 def _dated(spark, sf_dir):
@@ -262,6 +267,7 @@ QUERIES: dict[str, Query] = {
     "forecast_accuracy": q_forecast_accuracy,
     "seasonal_forecast_by_region": q_seasonal_forecast_by_region,
     "forecast_runs": q_forecast_runs,
+    "trend_forecast_runs": q_trend_forecast_runs,
     "growth_factor": q_growth_factor,
     "seasonal_factor": q_seasonal_factor,
     "synthetic_orders": q_synthetic_orders,

@@ -324,6 +324,21 @@ SELECT region,
 FROM pred2 GROUP BY region"""
 )
 
+SQL["trend_forecast_runs"] = (
+    REGION_CTE + _PRED_R
+    + """
+SELECT *, CASE WHEN train_months < 3 THEN 'too_short' ELSE 'ok' END AS fit_status, 'trend' AS model,
+  6 AS horizon_months, 2 AS holdout_months, 'additive' AS seasonality_mode,
+  NULL::DOUBLE AS season_period_days, NULL::INTEGER AS fourier_order, 0.8::DOUBLE AS interval_width
+FROM (
+  SELECT region,
+    round(avg(CASE WHEN split = 'test' THEN abs(actual - yhat) END), 2) AS mae,
+    round(avg(CASE WHEN split = 'test' THEN abs((actual - yhat) / (actual + 1e-9)) END) * 100, 2) AS mape_pct,
+    count(*) FILTER (WHERE split = 'test') AS test_months,
+    count(*) FILTER (WHERE split = 'train') AS train_months
+  FROM pred2 GROUP BY region)"""
+)
+
 _DATED = """
 SELECT order_id, order_date,
   cast(1.0 AS DOUBLE) + cast(0.6 AS DOUBLE) * (datediff('day', s, order_date)
