@@ -85,10 +85,14 @@ def order_status_breakdown(df: DataFrame, clock: Column | None = None) -> DataFr
     return _stamp(out, "gold_created_at", clock)
 
 
-def monthly_sales_trend(df: DataFrame, clock: Column | None = None, keys: Sequence[str] = ()) -> DataFrame:
+def monthly_sales_trend(
+    df: DataFrame, clock: Column | None = None, keys: Sequence[str] = (), sort: bool = True
+) -> DataFrame:
     """A4: revenue, orders and mean order value per 'yyyy-MM' month, oldest first.
 
     ``keys`` adds series columns (e.g. ``region``) for per-series forecasting.
+    ``sort=False`` skips the global sort (a range shuffle) when the result only
+    feeds another distributed step, such as the forecast windows.
     """
     out = (
         _money(df)
@@ -102,8 +106,9 @@ def monthly_sales_trend(df: DataFrame, clock: Column | None = None, keys: Sequen
             "total_orders",
             money_mean(F.col("_rev"), F.col("total_orders")).alias("avg_order_value"),
         )
-        .orderBy(*[F.asc(k) for k in keys], F.asc("year_month"))
     )
+    if sort:
+        out = out.orderBy(*[F.asc(k) for k in keys], F.asc("year_month"))
     return _stamp(out, "gold_created_at", clock)
 
 

@@ -55,7 +55,7 @@ def _no_stamp(df: DataFrame) -> DataFrame:
 
 
 def _region_split(spark, sf_dir):
-    monthly = agg.monthly_sales_trend(_silver(spark, sf_dir), keys=["region"])
+    monthly = agg.monthly_sales_trend(_silver(spark, sf_dir), keys=["region"], sort=False)
     return fc.holdout_split(fc.forecast_series(monthly, ["region"], REGION_SCALE), ["region"], HOLDOUT)
 
 
@@ -86,7 +86,7 @@ def q_revenue_at_risk(spark, sf_dir):
 
 
 def q_best_worst_month(spark, sf_dir):
-    return agg.best_worst_month(agg.monthly_sales_trend(_silver(spark, sf_dir)))
+    return agg.best_worst_month(agg.monthly_sales_trend(_silver(spark, sf_dir), sort=False))
 
 
 def q_typed_orders(spark, sf_dir):
@@ -169,7 +169,7 @@ def q_table_history(spark, sf_dir):
 # --- forecasting -----------------------------------------------------------------
 
 def q_forecast_series(spark, sf_dir):
-    return fc.forecast_series(agg.monthly_sales_trend(_silver(spark, sf_dir)))
+    return fc.forecast_series(agg.monthly_sales_trend(_silver(spark, sf_dir), sort=False))
 
 
 def q_holdout_split(spark, sf_dir):
