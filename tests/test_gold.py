@@ -138,3 +138,16 @@ def test_single_pass_gold_equals_four_aggregates(spark, silver):
         for name in a:
             assert a[name].columns == b[name].columns
             assert a[name].collect() == b[name].collect()  # same rows in the same order
+
+
+def test_sql_text_route_over_a_temp_view(spark, silver):
+    # A temp view queried with SQL text gives the same rollup as the DataFrame operator
+    silver.createOrReplaceTempView("silver_updates")
+    sql = spark.sql("""
+        SELECT region,
+               CAST(SUM(CAST(ROUND(unit_price * quantity, 2) AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
+               COUNT(order_id) AS total_orders
+        FROM silver_updates GROUP BY region""")
+    api = agg.revenue_by_region(silver).select("region", "total_revenue", "total_orders")
+    assert sorted(sql.collect()) == sorted(api.collect())
+    spark.catalog.dropTempView("silver_updates")
