@@ -183,18 +183,41 @@ class TableStore:
             raise FileNotFoundError(f"table {layer}.{name} has no version {version if version is not None else ''}")
         return self.spark.read.format(self.lake.table_format).load(list(row["paths"]))
 
-    def _commit(self, layer, name, operation, rows, paths, version) -> None:
-        rec = self.spark.createDataFrame(
-            [(layer, name, version, operation, rows, list(paths))], StructType(HISTORY_SCHEMA.fields[:6])
-        ).withColumn("committed_at", F.current_timestamp())
-        rec.coalesce(1).write.mode("append").parquet(self.history_path)
-        self._commits().append(
-            {"layer": layer, "table_name": name, "version": version, "operation": operation,
-             "row_count": rows, "paths": list(paths), "committed_at": None}
+    def _commit_many(self, records: Sequence[tuple]) -> None:
+        """Publish several table versions with ONE history append, so readers
+        see all of them or none. A record is (layer, name, operation, rows,
+        paths, version)."""
+        rows = [(layer, name, version, op, n, list(paths)) for layer, name, op, n, paths, version in records]
+        rec = self.spark.createDataFrame(rows, StructType(HISTORY_SCHEMA.fields[:6])).withColumn(
+            "committed_at", F.current_timestamp()
         )
-        if self.lake.catalog_mode:
-            sources = " UNION ALL ".join(f"SELECT * FROM parquet.`{p}`" for p in paths)
-            self.spark.sql(f"CREATE OR REPLACE VIEW {self.lake.location(layer, name)} AS {sources}")
+        rec.coalesce(1).write.mode("append").parquet(self.history_path)
+        for layer, name, version, op, n, paths in rows:
+            self._commits().append(
+                {"layer": layer, "table_name": name, "version": version, "operation": op,
+                 "row_count": n, "paths": paths, "committed_at": None}
+            )
+            if self.lake.catalog_mode:
+                sources = " UNION ALL ".join(f"SELECT * FROM {self.lake.table_format}.`{p}`" for p in paths)
+                self.spark.sql(f"CREATE OR REPLACE VIEW {self.lake.location(layer, name)} AS {sources}")
+
+    def _commit(self, layer, name, operation, rows, paths, version) -> None:
+        self._commit_many([(layer, name, operation, rows, paths, version)])
+
+    def _next_version(self, layer: str, name: str) -> int:
+        latest = self._latest(layer, name)
+        return 0 if latest is None else latest["version"] + 1
+
+    def write_many(self, layer: str, tables: Mapping[str, DataFrame], operation: str = "OVERWRITE") -> dict[str, int]:
+        """Overwrite several tables of a layer and publish them together: all
+        files are written first (each checked against its table's rules),
+        then one history append makes every new version current at once."""
+        records = []
+        for name, df in tables.items():
+            path, rows = self._write_files(layer, name, enforce(df, self._all_rules(layer, name, None)))
+            records.append((layer, name, operation, rows, [path], self._next_version(layer, name)))
+        self._commit_many(records)
+        return {r[1]: r[5] for r in records}
 
     def _files_root(self, layer: str, name: str) -> str:
         return f"{self.lake.root.rstrip('/')}/{layer}/{name}"
@@ -244,13 +267,12 @@ class TableStore:
             raise ValueError("write_split does not support tables with CHECK constraints; use write()")
         rows.write.mode("errorifexists").format(self.lake.table_format).partitionBy("_split").save(root)
         counts = obs.get
-        out = {}
-        for i, (value, name) in enumerate(tables.items()):
-            latest = self._latest(layer, name)
-            version = 0 if latest is None else latest["version"] + 1
-            self._commit(layer, name, "OVERWRITE", int(counts[f"n{i}"]), [f"{root}/_split={value}"], version)
-            out[name] = version
-        return out
+        records = [
+            (layer, name, "OVERWRITE", int(counts[f"n{i}"]), [f"{root}/_split={value}"], self._next_version(layer, name))
+            for i, (value, name) in enumerate(tables.items())
+        ]
+        self._commit_many(records)
+        return {r[1]: r[5] for r in records}
 
     def append(self, layer: str, name: str, df: DataFrame, rules: Mapping[str, str] | None = None) -> int:
         """K7: add rows as a new file set; earlier files are kept by reference."""
@@ -295,28 +317,36 @@ class TableStore:
                     out.pop(r["constraint_name"], None)
         return out
 
-    def _record_rule(self, layer, name, rule, cond, active) -> None:
+    def _record_rules(self, layer, name, rules: Mapping[str, str | None], active: bool) -> None:
         log = self._constraint_log()
-        row = {"layer": layer, "table_name": name, "constraint_name": rule, "condition": cond,
-               "active": active, "seq": (log[-1]["seq"] + 1) if log else 0}
-        self.spark.createDataFrame([row], CONSTRAINT_SCHEMA).coalesce(1).write.mode("append").parquet(self.constraints_path)
-        log.append(row)
-
-    def add_constraint(self, layer: str, name: str, rule: str, condition: str) -> None:
-        """Attach a CHECK rule; rows already stored must satisfy it (one scan),
-        and every later write or append to the table is checked against it.
-        Re-adding a rule replaces it (drop-then-add)."""
+        start = (log[-1]["seq"] + 1) if log else 0
+        rows = [
+            {"layer": layer, "table_name": name, "constraint_name": rule, "condition": cond,
+             "active": active, "seq": start + i}
+            for i, (rule, cond) in enumerate(rules.items())
+        ]
+        self.spark.createDataFrame(rows, CONSTRAINT_SCHEMA).coalesce(1).write.mode("append").parquet(self.constraints_path)
+        log.extend(rows)
+
+    def add_constraints(self, layer: str, name: str, rules: Mapping[str, str]) -> None:
+        """Attach CHECK rules; rows already stored must satisfy all of them
+        (checked in one scan), and every later write or append to the table is
+        checked against them. Re-adding a rule replaces it (drop-then-add)."""
         if self.exists(layer, name):
-            bad = violations(self.read(layer, name), {rule: condition}).limit(1).collect()
+            bad = violations(self.read(layer, name), rules).limit(1).collect()
             if bad:
-                raise ConstraintViolation(f"existing rows break CHECK constraint {rule} ({condition}): {bad[0].asDict()}")
-        self._record_rule(layer, name, rule, condition, True)
+                raise ConstraintViolation(f"existing rows break CHECK constraints {bad[0]['broken_rules']}: {bad[0].asDict()}")
+        self._record_rules(layer, name, rules, True)
+
+    def add_constraint(self, layer: str, name: str, rule: str, condition: str) -> None:
+        """Attach one CHECK rule (see ``add_constraints``)."""
+        self.add_constraints(layer, name, {rule: condition})
 
     def drop_constraint(self, layer: str, name: str, rule: str) -> bool:
         """Detach a rule; returns False when the table had no such rule."""
         if rule not in self.constraints(layer, name):
             return False
-        self._record_rule(layer, name, rule, None, False)
+        self._record_rules(layer, name, {rule: None}, False)
         return True
 
     def _all_rules(self, layer: str, name: str, rules: Mapping[str, str] | None) -> dict[str, str]:

@@ -170,3 +170,14 @@ def test_write_split_one_pass_two_tables(spark, lake):
     assert store.write_split("bronze", df, "source", {"csv": "a", "postgres": "b"}) == {"a": 1, "b": 1}
     with pytest.raises(ValueError):
         store.write_split("bronze", df, "source", {"a b": "c"})
+
+
+def test_write_many_publishes_together(spark, lake):
+    store = TableStore(spark, lake)
+    store.write("gold", "a", spark.range(1))
+    versions = store.write_many("gold", {"a": spark.range(2), "b": spark.range(3)})
+    assert versions == {"a": 1, "b": 0}
+    h = store.history("gold").collect()
+    stamps = {r.committed_at for r in h if (r.table_name, r.version) in {("a", 1), ("b", 0)}}
+    assert len(stamps) == 1  # one commit for both tables
+    assert store.read("gold", "a").count() == 2 and store.read("gold", "b").count() == 3
