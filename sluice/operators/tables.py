@@ -15,7 +15,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -89,12 +89,25 @@ def enforce(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
 # --- merge (K5/J1) -----------------------------------------------------------
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    """Fail when two rows share a key (one aggregate job, stops at the first)."""
+    """Fail now when two rows share a key (one aggregate job, stops at the first)."""
     dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
     if dup:
         raise ValueError(f"duplicate key in merge source: {dup[0].asDict()}")
 
 
+def unique_or_fail(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same rows, but the job that consumes them fails on a duplicate key.
+
+    A count per key over a window: no separate pass, and when ``df`` is
+    already hash-partitioned by the keys no extra shuffle either. NULL keys
+    count as one key, as in the NULL-safe merge.
+    """
+    msg = F.concat(F.lit("duplicate key in merge source: "), F.to_json(F.struct(*keys)))
+    counted = df.withColumn("_key_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    guarded = counted.filter(F.when(F.col("_key_rows") > 1, F.raise_error(msg)).otherwise(F.lit(True)))
+    return guarded.drop("_key_rows")
+
+
 def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], check_unique: bool = True) -> DataFrame:
     """MERGE by key: matched rows take the update's values, new keys are
     inserted, target-only rows are kept.
@@ -110,7 +123,7 @@ def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], che
     a NULL key take a separate NULL-safe anti join.
     """
     if check_unique:
-        assert_unique(updates, keys)
+        updates = unique_or_fail(updates, keys)
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     u_keys = updates.select(*keys)
     kept_complete = target.filter(complete).join(u_keys.filter(complete), list(keys), "left_anti")
@@ -292,9 +305,7 @@ class TableStore:
         already guarantees one row per key (e.g. a deduplicated silver build).
         """
         if not self.exists(layer, name):
-            if check_unique:
-                assert_unique(updates, keys)
-            return self.write(layer, name, updates, operation="CREATE")
+            return self.write(layer, name, unique_or_fail(updates, keys) if check_unique else updates, operation="CREATE")
         merged = merge_upsert(self.read(layer, name), updates, keys, check_unique)
         return self.write(layer, name, merged, operation="MERGE")
 

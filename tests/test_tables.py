@@ -33,8 +33,18 @@ def test_merge_is_idempotent_with_null_keys(spark):
 def test_merge_rejects_duplicate_update_keys(spark):
     target = _orders(spark, [(1, "A", 1.0)])
     updates = _orders(spark, [(1, "B", 1.0), (1, "C", 1.0)])
-    with pytest.raises(ValueError, match="duplicate key"):
-        merge_upsert(target, updates, ["order_id"])
+    with pytest.raises(Exception, match="duplicate key"):
+        merge_upsert(target, updates, ["order_id"]).collect()
+    nulls = _orders(spark, [(None, "B", 1.0), (None, "C", 1.0)])
+    with pytest.raises(Exception, match="duplicate key"):
+        merge_upsert(target, nulls, ["order_id"]).collect()
+
+
+def test_store_merge_rejects_duplicates_without_committing(spark, lake):
+    store = TableStore(spark, lake)
+    with pytest.raises(Exception, match="duplicate key"):
+        store.merge("silver", "o", _orders(spark, [(1, "B", 1.0), (1, "C", 1.0)]), ["order_id"])
+    assert not store.exists("silver", "o")
 
 
 def test_merge_aligns_columns_by_name(spark):
