@@ -57,11 +57,10 @@ def forecast_series(monthly: DataFrame, keys: Sequence[str] = (), scale: float =
     s = monthly.filter(F.col("year_month").isNotNull()).select(
         *keys, month_start("year_month").alias("month"), (F.col("monthly_revenue") / F.lit(scale)).alias("y")
     )
-    if keys:
-        s = s.withColumn("_last", F.max("month").over(_w(keys))).filter(F.col("month") < F.col("_last")).drop("_last")
-    else:
-        s = s.filter(F.col("month") < s.agg(F.max("month")).scalar())
-    return s
+    # a window over the monthly aggregate (one row per series and month), not a
+    # subquery that would re-run the plan behind ``monthly``
+    last = F.max("month").over(_w(keys))
+    return s.withColumn("_last", last).filter(F.col("month") < F.col("_last")).drop("_last")
 
 
 def holdout_split(series: DataFrame, keys: Sequence[str] = (), holdout: int = 3) -> DataFrame:
