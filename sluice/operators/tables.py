@@ -10,6 +10,7 @@ One writer per table at a time.
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Mapping, Sequence
@@ -37,6 +38,7 @@ HISTORY_SCHEMA = StructType(
         StructField("operation", StringType(), False),
         StructField("row_count", LongType(), False),
         StructField("paths", ArrayType(StringType()), False),
+        StructField("schema_json", StringType(), True),
         StructField("committed_at", TimestampType(), False),
     ]
 )
@@ -194,28 +196,32 @@ class TableStore:
         row = self._latest(layer, name, version)
         if row is None:
             raise FileNotFoundError(f"table {layer}.{name} has no version {version if version is not None else ''}")
-        return self.spark.read.format(self.lake.table_format).load(list(row["paths"]))
+        reader = self.spark.read.format(self.lake.table_format)
+        if row.get("schema_json"):
+            # the schema recorded at commit: no footer-sampling job per read
+            reader = reader.schema(StructType.fromJson(json.loads(row["schema_json"])))
+        return reader.load(list(row["paths"]))
 
     def _commit_many(self, records: Sequence[tuple]) -> None:
         """Publish several table versions with ONE history append, so readers
         see all of them or none. A record is (layer, name, operation, rows,
-        paths, version)."""
-        rows = [(layer, name, version, op, n, list(paths)) for layer, name, op, n, paths, version in records]
-        rec = self.spark.createDataFrame(rows, StructType(HISTORY_SCHEMA.fields[:6])).withColumn(
+        paths, version, schema_json)."""
+        rows = [(layer, name, version, op, n, list(paths), sch) for layer, name, op, n, paths, version, sch in records]
+        rec = self.spark.createDataFrame(rows, StructType(HISTORY_SCHEMA.fields[:7])).withColumn(
             "committed_at", F.current_timestamp()
         )
         rec.coalesce(1).write.mode("append").parquet(self.history_path)
-        for layer, name, version, op, n, paths in rows:
+        for layer, name, version, op, n, paths, sch in rows:
             self._commits().append(
                 {"layer": layer, "table_name": name, "version": version, "operation": op,
-                 "row_count": n, "paths": paths, "committed_at": None}
+                 "row_count": n, "paths": paths, "schema_json": sch, "committed_at": None}
             )
             if self.lake.catalog_mode:
                 sources = " UNION ALL ".join(f"SELECT * FROM {self.lake.table_format}.`{p}`" for p in paths)
                 self.spark.sql(f"CREATE OR REPLACE VIEW {self.lake.location(layer, name)} AS {sources}")
 
-    def _commit(self, layer, name, operation, rows, paths, version) -> None:
-        self._commit_many([(layer, name, operation, rows, paths, version)])
+    def _commit(self, layer, name, operation, rows, paths, version, schema_json=None) -> None:
+        self._commit_many([(layer, name, operation, rows, paths, version, schema_json)])
 
     def _next_version(self, layer: str, name: str) -> int:
         latest = self._latest(layer, name)
@@ -228,7 +234,7 @@ class TableStore:
         records = []
         for name, df in tables.items():
             path, rows = self._write_files(layer, name, enforce(df, self._all_rules(layer, name, None)))
-            records.append((layer, name, operation, rows, [path], self._next_version(layer, name)))
+            records.append((layer, name, operation, rows, [path], self._next_version(layer, name), df.schema.json()))
         self._commit_many(records)
         return {r[1]: r[5] for r in records}
 
@@ -254,7 +260,7 @@ class TableStore:
         latest = self._latest(layer, name)
         version = 0 if latest is None else latest["version"] + 1
         path, rows = self._write_files(layer, name, enforce(df, self._all_rules(layer, name, rules)))
-        self._commit(layer, name, operation, rows, [path], version)
+        self._commit(layer, name, operation, rows, [path], version, df.schema.json())
         return version
 
     def write_split(self, layer: str, df: DataFrame, by: str, tables: Mapping[str, str]) -> dict[str, int]:
@@ -280,8 +286,10 @@ class TableStore:
             raise ValueError("write_split does not support tables with CHECK constraints; use write()")
         rows.write.mode("errorifexists").format(self.lake.table_format).partitionBy("_split").save(root)
         counts = obs.get
+        schema_json = df.schema.json()
         records = [
-            (layer, name, "OVERWRITE", int(counts[f"n{i}"]), [f"{root}/_split={value}"], self._next_version(layer, name))
+            (layer, name, "OVERWRITE", int(counts[f"n{i}"]), [f"{root}/_split={value}"], self._next_version(layer, name),
+             schema_json)
             for i, (value, name) in enumerate(tables.items())
         ]
         self._commit_many(records)
@@ -292,10 +300,11 @@ class TableStore:
         latest = self._latest(layer, name)
         path, rows = self._write_files(layer, name, enforce(df, self._all_rules(layer, name, rules)))
         if latest is None:
-            self._commit(layer, name, "APPEND", rows, [path], 0)
+            self._commit(layer, name, "APPEND", rows, [path], 0, df.schema.json())
             return 0
         version = latest["version"] + 1
-        self._commit(layer, name, "APPEND", latest["row_count"] + rows, list(latest["paths"]) + [path], version)
+        self._commit(layer, name, "APPEND", latest["row_count"] + rows, list(latest["paths"]) + [path], version,
+                     latest.get("schema_json") or df.schema.json())
         return version
 
     def merge(self, layer: str, name: str, updates: DataFrame, keys: Sequence[str], check_unique: bool = True) -> int:
