@@ -11,8 +11,11 @@ import collections
 import glob
 import json
 import os
+import signal
 import sys
 
+signal.signal(signal.SIGPIPE, signal.SIG_DFL)  # quiet when piped into head
+
 
 def events(folder: str):
     for path in sorted(glob.glob(os.path.join(folder, "**", "*"), recursive=True)):
