@@ -31,3 +31,13 @@ def test_lineitem_scan_reads_only_needed_columns(spark, capsys):
 def test_source_filter_reaches_the_scan(spark, capsys):
     plan = _plan(spark, capsys, "source_overlap")
     assert "LessThanOrEqual(l_linenumber,4)" in plan and "GreaterThan(l_linenumber,4)" in plan
+
+
+PANDAS_GROUPS = {"seasonal_forecast_by_region", "forecast_runs"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_python_only_where_intended(spark, capsys, name):
+    plan = _plan(spark, capsys, name)
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan  # no per-row Python UDFs
+    assert ("FlatMapGroupsInPandas" in plan) == (name in PANDAS_GROUPS)
