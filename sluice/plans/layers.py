@@ -40,6 +40,15 @@ def run_layers(
     holdout: int = 2,
     forecast_model: str = "seasonal",
 ) -> LayerRun:
+    """Run every layer over the provided tables into ``lake`` (a new folder
+    under ``spark.checkpoint.dir`` when omitted).
+
+    Bronze is overwritten, silver is MERGEd by ``order_id`` (created on the
+    first run, so rerunning with the same data changes nothing), gold is
+    overwritten and published in one commit under the revenue rules, the
+    forecast table is overwritten and one run record per run is appended.
+    Returns the store, the per-table audit and the commit history.
+    """
     lake = lake or fresh_lake(spark, "run")
     create_namespaces(spark, lake)
     store = TableStore(spark, lake)
