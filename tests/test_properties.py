@@ -82,3 +82,31 @@ def test_merge_matches_python(spark, target_rows, update_rows):
     rows = got.collect()
     assert len(rows) == len(want)  # one row per key: nothing duplicated, nothing lost
     assert {(r.k1, r.k2): r.v for r in rows} == want
+
+
+text = st.text(alphabet=st.sampled_from(list("abcXYZ '-#1\t")), max_size=12)
+
+
+def _py_title(s):
+    # trim spaces only, lower case, upper-case the first character of each space-separated word
+    t = s.strip(" ")
+    return " ".join(w[:1].upper() + w[1:].lower() for w in t.lower().split(" "))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(text, text), min_size=1, max_size=20))
+def test_cleaning_matches_python(spark, rows):
+    from sluice.operators.cleaning import clean_orders
+
+    df = spark.createDataFrame(
+        [(i, n, s, n, s, s) for i, (n, s) in enumerate(rows)],
+        "i int, customer_name string, status string, product_name string, product_sku string, region string",
+    )
+    got = {r.i: r for r in clean_orders(df).collect()}
+    for i, (n, s) in enumerate(rows):
+        r = got[i]
+        name = _py_title(n)
+        assert r.customer_name == (None if name.strip(" ") == "" else name)
+        assert r.product_name == _py_title(n)
+        up = s.strip(" ").upper()
+        assert r.status == (None if up == "" else up) and r.region == up and r.product_sku == up
