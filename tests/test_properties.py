@@ -110,3 +110,17 @@ def test_cleaning_matches_python(spark, rows):
         assert r.product_name == _py_title(n)
         up = s.strip(" ").upper()
         assert r.status == (None if up == "" else up) and r.region == up and r.product_sku == up
+
+
+@SETTINGS
+@given(st.dictionaries(st.integers(1, 30), st.one_of(st.none(), st.integers(0, 5)), min_size=1, max_size=12))
+def test_best_worst_month_matches_python(spark, months):
+    rows = [(f"2025-{m:02d}" if m <= 12 else f"2026-{m - 12:02d}", None if v is None else float(v), 1) for m, v in months.items()]
+    got = agg.best_worst_month(
+        spark.createDataFrame(rows, "year_month string, monthly_revenue double, total_orders long")
+    ).first()
+    # best: highest revenue, NULL never best unless all NULL; worst: ascending with NULL first; ties -> earliest
+    best = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))[0]
+    worst = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))[0]
+    assert (got.best_month, got.best_revenue) == (best[0], best[1])
+    assert (got.worst_month, got.worst_revenue) == (worst[0], worst[1])
