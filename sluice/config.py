@@ -63,17 +63,15 @@ def shared_dir(spark: SparkSession) -> str:
     setting is absent on a ``local`` master (tests); on a cluster the setting is
     required.
     """
-    conf = spark.sparkContext.getConf()
-    path = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if path:
         return path
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
-    path = tempfile.mkdtemp(prefix="sluice-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="sluice-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def fresh_lake(spark: SparkSession, label: str = "lake") -> LakeConfig:
