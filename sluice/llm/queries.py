@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import packing
+from sluice.llm import packing, rans
 from sluice.llm.common import documents
 
 
@@ -16,11 +16,16 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op9_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rans.round_trip(documents(spark, sf_dir, "doc_id", "text"), vocabulary("byte_bpe_50k.json"))
+
+
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir, "doc_id", "text"), vocabulary("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_token_blocks": op9_token_blocks,
     "op10_pack": op10_pack,
 }
 
