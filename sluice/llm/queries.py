@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import packing, rans
+from sluice.llm import bpe, packing, rans
 from sluice.llm.common import documents
 
 
@@ -16,6 +16,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import PATTERN
+
+    return bpe.encode_documents(documents(spark, sf_dir, "doc_id", "text"), vocabulary("byte_bpe_multi_50k.tiktoken"), PATTERN)
+
+
 def op9_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.round_trip(documents(spark, sf_dir, "doc_id", "text"), vocabulary("byte_bpe_50k.json"))
 
@@ -25,6 +31,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_byte_bpe": op6_byte_bpe,
     "op9_token_blocks": op9_token_blocks,
     "op10_pack": op10_pack,
 }
