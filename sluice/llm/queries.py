@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, packing, rans
+from sluice.llm import bpe, language, packing, rans
 from sluice.llm.common import documents
 
 
@@ -22,6 +22,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(documents(spark, sf_dir, "doc_id", "text"), vocabulary("byte_bpe_multi_50k.tiktoken"), PATTERN)
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_languages(documents(spark, sf_dir, "doc_id", "text", "lang"))
+
+
 def op9_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.round_trip(documents(spark, sf_dir, "doc_id", "text"), vocabulary("byte_bpe_50k.json"))
 
@@ -32,6 +36,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_language": op8_language,
     "op9_token_blocks": op9_token_blocks,
     "op10_pack": op10_pack,
 }
