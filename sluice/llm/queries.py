@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, language, packing, rans
+from sluice.llm import bpe, exact, language, licences, packing, rans
 from sluice.llm.common import documents
 
 
@@ -16,6 +16,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_groups(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import PATTERN
 
@@ -35,10 +43,15 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_dedup": op1_exact_dedup,
+    "op2_licence_scan": op2_licence_scan,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_language": op8_language,
     "op9_token_blocks": op9_token_blocks,
     "op10_pack": op10_pack,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_exact_dedup": exact.SQL,
+    "op2_licence_scan": licences.sql(),
+}
