@@ -24,7 +24,7 @@ from sluice.llm.common import bound_batches
 from sluice.llm.tokens import BYTE_LEVEL_CHUNK
 
 #: Chunks and pre-tokens whose ids a worker keeps.
-CACHE_CHUNKS = 350_000
+CACHE_CHUNKS = 700_000
 #: Longer pre-tokens (rare: unbroken runs) merge by a heap with the same rule, as a matrix row would take quadratic time.
 LONGEST_ROW = 2048
 #: Cells of one matrix.

@@ -1,7 +1,8 @@
 """Whole-text encoding with the ``tokenizers`` library, by distinct chunk.
 
-Both vocabularies split a text at white space before any merge, so the ids of a
-text are the ids of its chunks in order. Each worker keeps the ids of chunks it
+Both vocabularies split a text at white space, and between a plain word and the
+punctuation after it, before any merge, so the ids of a text are the ids of its
+chunks in order. Each worker keeps the ids of chunks it
 has met (cleared beyond ``CACHE_CHUNKS``), so the library sees each new chunk once.
 """
 
@@ -9,19 +10,22 @@ from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+from array import array
 
 from sluice.llm.common import WHITE_SPACE
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 1_500_000
+
+#: Letters and digits of every Unicode version in use that lower-case to one letter; a run of them ends before these marks.
+_PLAIN = "0-9A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u012f\\u0131-\\u024f\\u0400-\\u0481"
+_END = f"(?=[.,;:!?{WHITE_SPACE}]|\\Z)"
 
 #: A word takes one blank before it; longer white space forms chunks of its own.
-BYTE_LEVEL_CHUNK = f" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+"
+BYTE_LEVEL_CHUNK = f" ?[{_PLAIN}]+{_END}| ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+"
 #: White space is dropped.
-WORD_CHUNK = f"[^{WHITE_SPACE}]+"
+WORD_CHUNK = f"[{_PLAIN}]+{_END}|[^{WHITE_SPACE}]+"
 
 _loaded: dict[tuple[str, str], ChunkEncoder] = {}
 
@@ -36,7 +40,7 @@ class ChunkEncoder:
         self.known: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
+        """Ids as little-endian unsigned 32-bit integers (every machine Spark runs on here is little-endian)."""
         chunks = self.find(text)
         known = self.known
         try:
@@ -46,7 +50,7 @@ class ChunkEncoder:
                 known.clear()
             new = list({c for c in chunks if c not in known})
             for c, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[c] = np.array(e.ids, "<u4").tobytes()
+                known[c] = array("I", e.ids).tobytes()
             return b"".join([known[c] for c in chunks])
 
 
