@@ -8,6 +8,7 @@ that the threshold allows are compared. A unit counts for its best template.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -91,18 +92,16 @@ def template_bigrams() -> list[tuple[str, str, list[str]]]:
 
 
 def _templates() -> Column:
-    rows = [
-        F.struct(F.lit(licence).alias("licence"), F.array(*map(F.lit, bigrams)).alias("bigrams"), F.lit(len(bigrams)).alias("n"))
-        for licence, _, bigrams in template_bigrams()
-    ]
-    return F.array(*rows)
+    """All templates as one constant (the optimiser folds it)."""
+    rows = [{"licence": licence, "bigrams": bigrams, "n": len(bigrams)} for licence, _, bigrams in template_bigrams()]
+    return F.from_json(F.lit(json.dumps(rows)), "array<struct<licence string, bigrams array<string>, n int>>")
 
 
 def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document and licence found: doc_id, licence, dice, units.
 
     ``dice`` is the best unit's, ``units`` the number of different units that
-    match. Of templates that tie, the licence first in the alphabet wins. Null
+    match. Of templates that tie, the licence last in the alphabet wins. Null
     and empty texts, and units under two words, match nothing. Repeated rows
     count as one document's units each. An empty table gives no rows.
     """
@@ -113,25 +112,23 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     units = F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, "\n[ \t\r]*\n"), F.array(text)))
     # n bigrams take n + 1 words and n gaps at least; a unit this short needs no word split
     long_enough = F.filter(units, lambda u: F.length(u) >= int(2 * least + 1))
-    words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(long_enough).alias("unit")).select(
-        "doc_id", F.regexp_extract_all("unit", F.lit("[a-z0-9]+"), F.lit(0)).alias("words")
+    # each explode of a one-element array keeps the optimiser from repeating its expression further up
+    split = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(long_enough).alias("unit")).select(
+        "doc_id", F.explode(F.array(F.regexp_extract_all("unit", F.lit("[a-z0-9]+"), F.lit(0)))).alias("words")
     )
-    words = words.where((F.size("words") > least) & (F.size("words") >= 2))
     pairs = F.zip_with(
-        F.slice("words", F.lit(1), F.size("words") - 1), F.slice("words", F.lit(2), F.size("words") - 1), lambda a, b: F.concat_ws(" ", a, b)
+        F.slice("words", F.lit(1), F.greatest(F.size("words") - 1, F.lit(0))),
+        F.slice("words", F.lit(2), F.greatest(F.size("words") - 1, F.lit(0))),
+        lambda a, b: F.concat_ws(" ", a, b),
     )
-    sets = words.select("doc_id", F.array_distinct(pairs).alias("bigrams")).where(F.size("bigrams").between(least, most))
+    sets = split.where(F.size("words") > least).select("doc_id", F.explode(F.array(F.array_distinct(pairs))).alias("bigrams"))
     n = F.size("bigrams")
     near = F.filter(_templates(), lambda t: (n * ratio >= t["n"]) & (t["n"] * ratio >= n))
     dice = F.transform(
         near, lambda t: F.struct((2.0 * F.size(F.array_intersect(F.col("bigrams"), t["bigrams"])) / (n + t["n"])).alias("dice"), t["licence"].alias("licence"))
     )
-    best = F.aggregate(
-        dice,
-        F.struct(F.lit(-1.0).alias("dice"), F.lit("").alias("licence")),
-        lambda a, b: F.when((b["dice"] > a["dice"]) | ((b["dice"] == a["dice"]) & (b["licence"] < a["licence"])), b).otherwise(a),
-    )
-    found = sets.where(F.size(near) > 0).select("doc_id", best.alias("best")).where(F.col("best.dice") >= threshold)
+    best = sets.where((n > 0) & n.between(least, most)).select("doc_id", F.array_max(dice).alias("best"))
+    found = best.where(F.col("best.dice") >= threshold)
     return found.groupBy("doc_id", F.col("best.licence").alias("licence")).agg(
         F.max("best.dice").alias("dice"), F.count("*").alias("units")
     )
@@ -159,7 +156,7 @@ WITH t AS (
   WHERE len(b.bigrams) > 0
 ), best AS (
   SELECT * FROM d WHERE dice >= {threshold}
-  QUALIFY row_number() OVER (PARTITION BY r, unit ORDER BY dice DESC, licence) = 1
+  QUALIFY row_number() OVER (PARTITION BY r, unit ORDER BY dice DESC, licence DESC) = 1
 )
 SELECT doc_id, licence, max(dice) AS dice, count(*) AS units FROM best GROUP BY doc_id, licence
 """

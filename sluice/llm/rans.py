@@ -48,7 +48,7 @@ class Table:
     def __init__(self, freq: np.ndarray):
         self.freq = freq.astype(np.uint64)
         self.start = (np.cumsum(self.freq) - self.freq).astype(np.uint64)
-        self.symbol = np.repeat(np.arange(len(freq), dtype=np.uint32), freq)
+        self.symbol = np.repeat(np.arange(len(freq), dtype=np.uint16 if len(freq) <= 1 << 16 else np.uint32), freq)
 
     @classmethod
     def from_counts(cls, counts: np.ndarray) -> Table:
@@ -81,7 +81,7 @@ def encode_block(ids: np.ndarray, table: Table) -> bytes:
         x = state[: len(f)]
         full = x >= f << spill
         words.append(x[full].astype(np.uint32))  # the low half
-        x = np.where(full, x >> half, x)
+        x = x >> (full * half)
         q = x // f
         state[: len(f)] = (q << np.uint64(SCALE)) + (x - q * f) + c
         if t % CHECKPOINT_STEPS == 0:
@@ -135,21 +135,27 @@ def _decode_side_by_side(state, place, words, table: Table, n: int) -> np.ndarra
     count, lanes = state.shape
     out = np.empty((count, n), "<u4")
     mask, scale, half = np.uint64((1 << SCALE) - 1), np.uint64(SCALE), np.uint64(32)
-    padded = np.append(words, np.uint64(0))
-    last = len(words)
+    place = place.tolist()
     for lo in range(0, n, lanes):
         width = min(lanes, n - lo)
         x = state[:, :width]
         slot = x & mask
-        symbol = table.symbol[slot]
+        symbol = table.symbol.take(slot.view(np.int64))
         out[:, lo : lo + width] = symbol
-        x = table.freq[symbol] * (x >> scale) + slot - table.start[symbol]
-        low = x < LOW
-        taken = np.cumsum(low, axis=1)
-        index = np.minimum((place[:, None] + taken - 1)[low], last)
-        x[low] = (x[low] << half) | padded[index]
-        place = place + taken[:, -1]
-        state[:, :width] = x
+        x = (x >> scale) * table.freq.take(symbol) + (slot - table.start.take(symbol))
+        low = np.flatnonzero((x < LOW).ravel())
+        ends = np.searchsorted(low, np.arange(width, (count + 1) * width, width)).tolist()
+        more, begin = [], 0
+        for s, end in enumerate(ends):
+            more.append(words[place[s] : place[s] + end - begin])
+            place[s] += end - begin
+            begin = end
+        flat = x.reshape(-1)
+        got = np.concatenate(more)
+        if len(got) != len(low):
+            raise ValueError("the stream ends early")
+        flat[low] = (flat[low] << half) | got
+        state[:, :width] = flat.reshape(count, width)
     return out
 
 
@@ -176,27 +182,43 @@ def crc32_combine(a: int, b: int, length: int) -> int:
     return a ^ b
 
 
-def _encoded(batch: pa.RecordBatch, vocabulary: str, end: bytes) -> Iterator[tuple[int | None, np.ndarray]]:
-    encoder = chunk_encoder(vocabulary, BYTE_LEVEL_CHUNK)
-    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-        yield doc_id, np.frombuffer(encoder.encode(text.as_py() or "") + end, "<u4")
+def tokenise(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
+    """doc_id, ids (little-endian, two bytes each where the vocabulary allows), width (bytes an id)."""
+    end = np.array([end_id], "<u4").tobytes()
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = chunk_encoder(vocabulary, BYTE_LEVEL_CHUNK)
+        width = 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        for batch in batches:
+            ids = [np.frombuffer(encoder.encode(t.as_py() or "") + end, "<u4").astype(f"<u{width}").tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(ids, pa.binary()), pa.array([width] * len(ids), pa.int32())], ["doc_id", "ids", "width"]
+            )
+
+    bound_batches(docs.sparkSession)
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return source.mapInArrow(encode, "doc_id long, ids binary, width int")
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int | None, np.ndarray]]:
+    for doc_id, ids, width in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+        yield doc_id, np.frombuffer(ids.as_buffer(), f"<u{width}")
 
 
-def count_ids(docs: DataFrame, vocabulary: str, end_id: int) -> np.ndarray:
-    """Occurrences of every id over all documents; as long as the vocabulary."""
-    end = end_id.to_bytes(4, "little")
+def count_ids(tokenised: DataFrame) -> np.ndarray:
+    """Occurrences of every id over all documents, up to the largest id."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for _, ids in _encoded(batch, vocabulary, end):
-                got = np.bincount(ids, minlength=len(total))
-                got[: len(total)] += total
-                total = got
+            rows = [ids for _, ids in _rows(batch)]
+            got = np.bincount(np.concatenate(rows) if rows else np.zeros(0, np.int64), minlength=len(total))
+            got[: len(total)] += total
+            total = got
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
 
-    rows = docs.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = tokenised.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r.id for r in rows), default=0) + 1, np.int64)
     for r in rows:
         counts[r.id] = r.n
@@ -211,10 +233,8 @@ def write_ids(docs: DataFrame, scratch: Scratch, vocabulary: str, end_id: int =
     than a block goes on in the next.
     """
     spark = docs.sparkSession
-    bound_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    freq = Table.from_counts(count_ids(docs, vocabulary, end_id)).freq.astype("<u4").tobytes()
-    end = end_id.to_bytes(4, "little")
+    tokenised = scratch.store(tokenise(docs, vocabulary, end_id), "ids")
+    freq = Table.from_counts(count_ids(tokenised)).freq.astype("<u4").tobytes()
     spark.createDataFrame([(SCALE, bytearray(freq))], "scale int, freq binary").coalesce(1).write.parquet(scratch.path("table"))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +259,7 @@ def write_ids(docs: DataFrame, scratch: Scratch, vocabulary: str, end_id: int =
             return pa.RecordBatch.from_arrays(values, names)
 
         for batch in batches:
-            for doc_id, ids in _encoded(batch, vocabulary, end):
+            for doc_id, ids in _rows(batch):
                 begin = written + BLOCK_TOKENS - room
                 while len(ids):
                     held.append((doc_id, begin, ids[:room]))
@@ -252,8 +272,9 @@ def write_ids(docs: DataFrame, scratch: Scratch, vocabulary: str, end_id: int =
         if held:
             yield flush()
 
-    ordered = docs.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    ordered = tokenised.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("ids"))
     ordered.mapInArrow(blocks, BLOCK_SCHEMA).write.option("compression", "uncompressed").parquet(scratch.path("blocks"))
+    scratch.drop("ids")
 
 
 def read_documents(scratch: Scratch) -> DataFrame:

@@ -49,7 +49,7 @@ class ChunkEncoder:
             if len(known) > CACHE_CHUNKS:
                 known.clear()
             new = list({c for c in chunks if c not in known})
-            for c, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
+            for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
                 known[c] = array("I", e.ids).tobytes()
             return b"".join([known[c] for c in chunks])
 
