@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, exact, language, licences, packing, rans
+from sluice.llm import bpe, exact, jaccard, language, licences, packing, rans
 from sluice.llm.common import documents
 
 
@@ -24,6 +24,10 @@ def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_groups(documents(spark, sf_dir, "doc_id", "text"), size=3, percent=90)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import PATTERN
 
@@ -45,6 +49,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_licence_scan": op2_licence_scan,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_language": op8_language,
     "op9_token_blocks": op9_token_blocks,
