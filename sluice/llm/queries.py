@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, exact, jaccard, language, licences, packing, rans
+from sluice.llm import bpe, exact, jaccard, language, licences, packing, rans, suffixes
 from sluice.llm.common import documents
 
 
@@ -28,6 +28,10 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_groups(documents(spark, sf_dir, "doc_id", "text"), size=3, percent=90)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(documents(spark, sf_dir, "doc_id", "text")).drop("spans")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import PATTERN
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_licence_scan": op2_licence_scan,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_language": op8_language,
     "op9_token_blocks": op9_token_blocks,
