@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, exact, jaccard, language, licences, packing, rans, suffixes
+from sluice.llm import bpe, exact, fingerprints, jaccard, language, licences, packing, rans, suffixes
 from sluice.llm.common import documents
 
 
@@ -32,6 +32,10 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(documents(spark, sf_dir, "doc_id", "text")).drop("spans")
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import PATTERN
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_licence_scan": op2_licence_scan,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_fingerprints": op5_fingerprints,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_language": op8_language,
     "op9_token_blocks": op9_token_blocks,
