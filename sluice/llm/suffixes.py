@@ -4,8 +4,8 @@ A suffix matters only up to ``LENGTH`` bytes: two suffixes tie when their first
 ``LENGTH`` bytes are equal, and of a tie all but the earliest are repeats. The
 construction bounds memory to one bucket of suffixes at a time.
 
-1. Texts are laid out once in blocks (about ``BLOCK_BYTES``), a bucketed table,
-   so later passes join small answers to a block without moving text again.
+1. Texts are laid out once in blocks (blocks.py), so later passes join small
+   answers to a block without moving text again.
 2. Positions in a difference cover (mod 57) are the sample: for any two
    positions there is an offset below 57 that puts both into it. Sample strings
    of 44 bytes are dealt into buckets and sorted; those met twice are ranked as
@@ -27,28 +27,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Scratch, bound_batches, partitions
+from sluice.llm import blocks
+from sluice.llm.blocks import BUCKET_SCHEMA, answered, bits, deal, later_copies, lay_out, split, tied, to_batches
+from sluice.llm.common import Scratch
 
 LENGTH = 100
 PERIOD = 57
 #: A perfect difference set mod 57 (fixed values): every non-zero difference occurs once.
 COVER = (1, 6, 7, 9, 19, 38, 42, 49)
 SAMPLE = LENGTH - PERIOD + 1
-BLOCK_BYTES = 8 << 20
-#: Entries sorted together in one task.
-BUCKET_ENTRIES = 4_000_000
-
-BLOCK_SCHEMA = "block long, n_docs int, raw_bytes long, doc_ids array<long>, sizes array<long>, digests array<binary>, payload binary"
-BUCKET_SCHEMA = "block long, bucket int, docs array<long>, counts array<int>, entries binary"
-ANSWER_SCHEMA = "block long, bucket int, bits binary"
-
-_LAST = 2**63 - 1  # a null doc_id comes last
 _FACTOR = 0x9E3779B97F4A7C15
 _powers: dict[str, np.ndarray] = {}
 
@@ -104,126 +94,22 @@ def covered_by(n: int, starts: np.ndarray) -> np.ndarray:
     return np.cumsum(change[:n]) > 0
 
 
-def _split(payload: bytes, sizes: list[int]) -> list[bytes]:
-    raw = zstandard.ZstdDecompressor().decompress(payload) if sum(sizes) else b""
-    ends = np.cumsum(sizes).tolist()
-    return [raw[e - s : e] for e, s in zip(ends, sizes, strict=True)]
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    base = TaskContext.get().partitionId() << 32
-    held: list[tuple[int | None, bytes]] = []
-    size = 0
-
-    def flush() -> pa.RecordBatch:
-        nonlocal base
-        held.sort(key=lambda d: _LAST if d[0] is None else d[0])
-        raw = b"".join(d[1] for d in held)
-        values = [
-            [base],
-            [len(held)],
-            [len(raw)],
-            [[d[0] for d in held]],
-            [[len(d[1]) for d in held]],
-            [[xxhash.xxh3_128_digest(d[1]) for d in held]],
-            [zstandard.ZstdCompressor(level=3).compress(raw)],
-        ]
-        types = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.binary()]
-        base += 1
-        names = [x.split()[0] for x in BLOCK_SCHEMA.split(", ")]
-        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types, strict=True)], names)
-
-    for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-            if held and size + len(raw) > BLOCK_BYTES:
-                yield flush()
-                held, size = [], 0
-            held.append((doc_id, raw))
-            size += len(raw)
-    if held:
-        yield flush()
-
-
-def _bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
-    return ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-
-
 def _samples(raws: list[bytes]) -> tuple[np.ndarray, list[int]]:
     """Fingerprints of all sample strings of a block's texts, and their number per text."""
     out = [strings_at(prefix_sums(r), cover_positions(len(r)), SAMPLE) if len(r) >= LENGTH else np.zeros(0, np.uint64) for r in raws]
     return np.concatenate(out), [len(x) for x in out]
 
 
-def _deal(h: np.ndarray, doc: np.ndarray | None, block: int, doc_ids: list[int | None], buckets: int, width: int) -> Iterator[tuple]:
-    """Rows for the buckets; within one, entries keep their order."""
-    bucket = _bucket_of(h, buckets)
-    order = np.argsort(bucket, kind="stable")
-    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    for b in np.flatnonzero(ends[1:] > ends[:-1]).tolist():
-        own = order[ends[b] : ends[b + 1]]
-        docs, counts = [], []
-        if doc is not None:
-            index, counts = np.unique(doc[own], return_counts=True)
-            docs, counts = [_LAST if doc_ids[i] is None else doc_ids[i] for i in index], counts.tolist()
-        yield block, b, docs, counts, h[own].astype(f"<u{width}").tobytes()
-
-
-def _to_batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-    types = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
-    names = ["block", "bucket", "docs", "counts", "entries"]
-    for row in rows:
-        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names)
-
-
 def _sample_rows(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                h = np.unique(_samples(_split(row["payload"], row["sizes"]))[0])
-                yield from _to_batches(_deal(h, None, row["block"], row["doc_ids"], buckets, 4))
-
-    return run
-
-
-def _answers(sort_bucket):
-    """Run over rows sorted by bucket; yields a bit per entry of each row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def settle(rows: list[dict]) -> pa.RecordBatch:
-            bits, at, out = sort_bucket(rows), 0, []
-            for n in (len(r["entries"]) // sort_bucket.width for r in rows):
-                out.append(np.packbits(bits[at : at + n]).tobytes())
-                at += n
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r["block"] for r in rows], pa.int64()), pa.array([r["bucket"] for r in rows], pa.int32()), pa.array(out, pa.binary())],
-                ["block", "bucket", "bits"],
-            )
-
-        held: list[dict] = []
-        for batch in batches:
-            for row in batch.to_pylist():
-                if held and held[0]["bucket"] != row["bucket"]:
-                    yield settle(held)
-                    held = []
-                held.append(row)
-        if held:
-            yield settle(held)
+                h = np.unique(_samples(split(row["payload"], row["sizes"]))[0])
+                yield from to_batches(deal(h, None, row["block"], row["doc_ids"], buckets, 4))
 
     return run
 
 
-def _tied_samples(rows: list[dict]) -> np.ndarray:
-    """Sample strings that several blocks hold."""
-    h = np.concatenate([np.frombuffer(r["entries"], "<u4") for r in rows])
-    order = np.argsort(h, kind="stable")
-    same = h[order[1:]] == h[order[:-1]]
-    out = np.zeros(len(h), bool)
-    out[order[1:][same]] = True
-    out[order[:-1][same]] = True
-    return out
-
-
 def _later_suffixes(rows: list[dict]) -> np.ndarray:
     """Suffixes that are not the first of their tie, by (document, block)."""
     h = np.concatenate([np.frombuffer(r["entries"], "<u8") for r in rows])
@@ -234,29 +120,17 @@ def _later_suffixes(rows: list[dict]) -> np.ndarray:
     return out
 
 
-_tied_samples.width, _later_suffixes.width = 4, 8
-
-
-def _bits(answers: list[dict] | None, h: np.ndarray, buckets: int) -> np.ndarray:
-    """The answers for the entries ``h`` that a block has sent, in its order."""
-    out = np.zeros(len(h), bool)
-    bucket = _bucket_of(h, buckets)
-    order = np.argsort(bucket, kind="stable")
-    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    for a in answers or ():
-        own = order[ends[a["bucket"]] : ends[a["bucket"] + 1]]
-        out[own] = np.unpackbits(np.frombuffer(a["bits"], np.uint8), count=len(own)).astype(bool)
-    return out
+_later_suffixes.width = 8
 
 
 def _candidates_of(raws: list[bytes], skipped: set[int], answers: list[dict] | None, buckets: int):
     """Per text, the starts of its unsettled suffixes; the keys of all; the text of each key."""
     h, numbers = _samples(raws)
     sent, place, count = np.unique(h, return_inverse=True, return_counts=True)
-    tied = (_bits(answers, sent, buckets) | (count > 1))[place] if len(h) else np.zeros(0, bool)
+    again = (bits(answers, sent, buckets) | (count > 1))[place] if len(h) else np.zeros(0, bool)
     starts, keys, owner, at = [], [], [], 0
     for i, (raw, n) in enumerate(zip(raws, numbers, strict=True)):
-        own, at = tied[at : at + n], at + n
+        own, at = again[at : at + n], at + n
         found = np.zeros(0, np.int64)
         if i not in skipped and own.any():
             found = candidates(len(raw), cover_positions(len(raw))[own])
@@ -279,10 +153,10 @@ def _suffix_rows(sample_buckets: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                raws = _split(row["payload"], row["sizes"])
+                raws = split(row["payload"], row["sizes"])
                 _, keys, owner = _candidates_of(raws, set(row["copies"] or ()), row["samples"], sample_buckets)
                 first, _ = _first_of_each(keys)
-                yield from _to_batches(_deal(keys[first], owner[first], row["block"], row["doc_ids"], buckets, 8))
+                yield from to_batches(deal(keys[first], owner[first], row["block"], row["doc_ids"], buckets, 8))
 
     return run
 
@@ -301,11 +175,11 @@ def _result_rows(sample_buckets: int, buckets: int, with_text: bool):
                 yield pa.RecordBatch.from_pylist(list(documents_of(row)), schema=_RESULT_TEXT if with_text else _RESULT)
 
     def documents_of(row: dict) -> Iterator[dict]:
-        raws = _split(row["payload"], row["sizes"])
+        raws = split(row["payload"], row["sizes"])
         copies = set(row["copies"] or ())
         starts, keys, _ = _candidates_of(raws, copies, row["samples"], sample_buckets)
         first, number = _first_of_each(keys)
-        later = _bits(row["suffixes"], keys[first], buckets)[number]
+        later = bits(row["suffixes"], keys[first], buckets)[number]
         later[np.setdiff1d(np.arange(len(keys)), first, assume_unique=True)] = True
         at = 0
         for i, (doc_id, raw) in enumerate(zip(row["doc_ids"], raws, strict=True)):
@@ -331,10 +205,6 @@ _RESULT_TEXT = pa.schema([*_RESULT, ("kept", pa.string()), ("source_sha256", pa.
 _RESULT_DDL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>"
 
 
-def _gathered(answers: DataFrame, name: str) -> DataFrame:
-    return answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias(name))
-
-
 def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (starts and ends).
 
@@ -344,36 +214,17 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     one counts as the earlier. ``with_text`` adds the kept text, in which a
     character stays whole if any byte of it does, and the sha256 of the input text.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "suffixes")
-    bound_batches(spark, 4 << 20)
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    table = f"suffix_blocks_{scratch.root.rpartition('-')[2]}"
-    parts = partitions(spark)
-    laid = source.mapInArrow(_blocks, BLOCK_SCHEMA).write.bucketBy(parts, "block").option("compression", "uncompressed")
-    laid.option("path", scratch.path("blocks")).saveAsTable(table)
-    blocks = spark.table(table)
-    total = blocks.agg(F.sum("raw_bytes")).first()[0] or 0
-    sample_buckets = 1 + total * len(COVER) // PERIOD // BUCKET_ENTRIES
-    buckets = 1 + total // 3 // BUCKET_ENTRIES
-
-    def settled(rows: DataFrame, sort_bucket, name: str) -> DataFrame:
-        dealt = rows.repartition("bucket").sortWithinPartitions("bucket", "block")
-        return scratch.store(_gathered(dealt.mapInArrow(_answers(sort_bucket), ANSWER_SCHEMA), name), name)
-
-    def copies() -> DataFrame:
-        each = blocks.select("block", F.posexplode(F.arrays_zip("doc_ids", "sizes", "digests")).alias("i", "d")).select(
-            "block", "i", F.col("d.digests").alias("digest"), F.coalesce("d.doc_ids", F.lit(_LAST)).alias("id"), F.col("d.sizes").alias("size")
-        )
-        each = each.where(F.col("size") >= LENGTH)
-        first = each.groupBy("digest", "size").agg(F.min(F.struct("id", "block", "i")).alias("first"), F.count("*").alias("n")).where("n > 1")
-        later = each.join(first, ["digest", "size"]).where(F.struct("id", "block", "i") != F.col("first"))
-        return scratch.store(later.groupBy("block").agg(F.collect_list("i").alias("copies")), "copies")
-
-    held = blocks.select("block", "doc_ids", "sizes", "payload")
-    samples = settled(held.mapInArrow(_sample_rows(sample_buckets), BUCKET_SCHEMA), _tied_samples, "samples")
-    known = held.join(copies(), "block", "left").join(samples, "block", "left")
-    suffixes = settled(known.mapInArrow(_suffix_rows(sample_buckets, buckets), BUCKET_SCHEMA), _later_suffixes, "suffixes")
+    scratch = Scratch(docs.sparkSession, "suffixes")
+    laid = lay_out(docs, scratch)
+    total = laid.agg(F.sum("raw_bytes")).first()[0] or 0
+    sample_buckets = 1 + total * len(COVER) // PERIOD // blocks.BUCKET_ENTRIES
+    buckets = 1 + total // 3 // blocks.BUCKET_ENTRIES
+
+    held = laid.select("block", "doc_ids", "sizes", "payload")
+    samples = answered(held.mapInArrow(_sample_rows(sample_buckets), BUCKET_SCHEMA), tied, scratch, "samples")
+    copies = scratch.store(later_copies(laid, LENGTH).groupBy("block").agg(F.collect_list("i").alias("copies")), "copies")
+    known = held.join(copies, "block", "left").join(samples, "block", "left")
+    suffixes = answered(known.mapInArrow(_suffix_rows(sample_buckets, buckets), BUCKET_SCHEMA), _later_suffixes, scratch, "suffixes")
     known = known.join(suffixes, "block", "left")
     ddl = _RESULT_DDL + (", kept string, source_sha256 string" if with_text else "")
     return known.mapInArrow(_result_rows(sample_buckets, buckets, with_text), ddl)

@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from sluice.llm import suffixes
+from sluice.llm import blocks, suffixes
 
 
 def plain(rows):
@@ -52,8 +52,8 @@ def test_the_cover_meets_every_pair_of_positions():
 
 @pytest.mark.parametrize("block, entries", [(8 << 20, 4_000_000), (3000, 500)])
 def test_against_brute_force(docs, monkeypatch, block, entries):
-    monkeypatch.setattr(suffixes, "BLOCK_BYTES", block)
-    monkeypatch.setattr(suffixes, "BUCKET_ENTRIES", entries)
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", block)
+    monkeypatch.setattr(blocks, "BUCKET_ENTRIES", entries)
     rows = corpus(block, 160)
     got = suffixes.remove_repeats(docs(rows)).collect()
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == plain(rows)
