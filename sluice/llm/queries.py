@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, exact, fingerprints, jaccard, language, licences, packing, rans, suffixes
+from sluice.llm import bpe, exact, fingerprints, jaccard, language, licences, packing, passages, rans, suffixes
 from sluice.llm.common import documents
 
 
@@ -42,6 +42,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(documents(spark, sf_dir, "doc_id", "text"), vocabulary("byte_bpe_multi_50k.tiktoken"), PATTERN)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_languages(documents(spark, sf_dir, "doc_id", "text", "lang"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_fingerprints": op5_fingerprints,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_language": op8_language,
     "op9_token_blocks": op9_token_blocks,
     "op10_pack": op10_pack,
