@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from itertools import product
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -232,6 +233,20 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return source.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
 
 
+def with_language(docs: DataFrame, model: Model) -> DataFrame:
+    """All rows and columns of ``docs`` with ``_language`` and ``_score`` of their texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("struct<language string, score double>")
+    def judge(texts: pd.Series) -> pd.DataFrame:
+        names, score, _ = shared.value.predict([t if isinstance(t, str) else None for t in texts])
+        return pd.DataFrame({"language": names, "score": score})
+
+    bound_batches(docs.sparkSession, 4 << 20)
+    judged = docs.withColumn("_judged", judge(F.col("text").cast("string")))
+    return judged.withColumns({"_language": F.col("_judged.language"), "_score": F.col("_judged.score")}).drop("_judged")
+
+
 def identify_languages(docs: DataFrame) -> DataFrame:
     """Fit on the training side of ``docs`` and predict all of them."""
     return identify(docs, fit(docs))
