@@ -1,40 +1,29 @@
-"""Command line: ``python -m sluice run|generate ...``.
+"""Command line: ``python -m sluice run ...``.
 
 ``run``       bronze -> silver -> gold -> forecast over the provided tables,
               printing the layer audit and the forecast run record.
-``generate``  synthetic orders (file or relational profile) written as CSV.
 """
 
 from __future__ import annotations
 
 import argparse
-import datetime as dt
 
 from pyspark.sql import functions as F
 
 from sluice.config import LakeConfig
-from sluice.plans.layers import run_layers
+from sluice.plans.layers import run_test_layers
 from sluice.session import local_session
-from sluice.sources.files import write_orders_csv
-from sluice.sources.synth import synth_orders
 
 
 def run_command(args, spark) -> None:
     lake = LakeConfig(root=args.lake) if args.lake else None
-    run = run_layers(spark, args.sf_dir, lake=lake, horizon=args.horizon, holdout=args.holdout,
+    run = run_test_layers(spark, args.sf_dir, lake=lake, horizon=args.horizon, holdout=args.holdout,
                      forecast_model=args.model)
     run.audit.show(truncate=False)
     run.store.read("gold", "forecast_runs").orderBy(F.desc("run_at")).show(truncate=False)
     print(f"tables written under {run.store.lake.root}")
 
 
-def generate_command(args, spark) -> None:
-    ids = spark.range(1, args.rows + 1).withColumnRenamed("id", "order_id")
-    end = F.lit(dt.date.fromisoformat(args.end) if args.end else dt.date.today())
-    write_orders_csv(synth_orders(ids, end, args.profile, args.seed), args.output)
-    print(f"generated {args.rows} {args.profile} orders -> {args.output}")
-
-
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="sluice")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -46,14 +35,6 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--model", choices=("seasonal", "trend"), default="seasonal")
     r.add_argument("--cores", default="*")
     r.set_defaults(fn=run_command)
-    g = sub.add_parser("generate", help="write synthetic orders as CSV")
-    g.add_argument("--rows", type=int, default=3000)
-    g.add_argument("--output", required=True)
-    g.add_argument("--profile", choices=("csv", "postgres"), default="csv")
-    g.add_argument("--end", help="last day of the one-year window (YYYY-MM-DD, default today)")
-    g.add_argument("--seed", type=int, default=0)
-    g.add_argument("--cores", default="*")
-    g.set_defaults(fn=generate_command)
     args = p.parse_args(argv)
     spark = local_session(args.cores)
     spark.sparkContext.setLogLevel("ERROR")

@@ -7,7 +7,6 @@ directories under ``root`` (path mode) or a set of catalog databases named
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -21,8 +20,7 @@ LAYERS = ("bronze", "silver", "gold")
 class LakeConfig:
     """Storage settings for one lake.
 
-    ``root``: base directory of data files, versions and history (both
-    modes). ``table_format``: file format of table data (``parquet`` or
+    ``root``: base directory of data files (both modes). ``table_format``: file format of table data (``parquet`` or
     ``orc``). ``database_prefix``: set to also expose tables in the catalog.
     """
 
@@ -59,9 +57,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
     Every job that writes intermediate tables writes under this folder, so the
-    files survive the loss of any executor. A folder is created only when the
-    setting is absent on a ``local`` master (tests); on a cluster the setting is
-    required.
+    files survive the loss of any executor. A folder is created only when none is
+    set on a ``local`` master (tests); on a cluster the setting is required.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -75,8 +72,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_lake(spark: SparkSession, label: str = "lake") -> LakeConfig:
-    """A new, empty lake under the shared folder (one per run)."""
-    root = f"{shared_dir(spark).rstrip('/')}/sluice/{label}-{uuid.uuid4().hex[:12]}"
-    if "://" not in root or root.startswith("file:"):
-        os.makedirs(root.replace("file:", ""), exist_ok=True)
-    return LakeConfig(root=root)
+    """A new, empty lake under the shared folder (one per run); Spark's writers create the folders."""
+    return LakeConfig(root=f"{shared_dir(spark).rstrip('/')}/sluice/{label}-{uuid.uuid4().hex[:12]}")
+
+
+def remove_lake(spark: SparkSession, lake: LakeConfig) -> None:
+    """Delete all files of a lake, on whatever file system it lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(lake.root)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,7 +1,7 @@
 """Column expressions shared by the operators (all built-in, JVM-side)."""
 
 from sluice.functions.dates import growth_factor, month_start, seasonal_factor, year_month
-from sluice.functions.money import as_money, as_price, money_mean, money_sum, order_value, to_double
+from sluice.functions.money import as_money, as_price, money_mean, order_value, to_double
 from sluice.functions.text import blank_to_null, title_case, upper_case
 
 __all__ = [
@@ -10,7 +10,6 @@ __all__ = [
     "blank_to_null",
     "growth_factor",
     "money_mean",
-    "money_sum",
     "month_start",
     "order_value",
     "seasonal_factor",

@@ -34,11 +34,6 @@ def as_price(c: str | Column) -> Column:
     return _col(c).cast(PRICE)
 
 
-def money_sum(c: str | Column) -> Column:
-    """Exact sum of amounts (aggregate, DECIMAL(28,2)); NULL on empty input."""
-    return F.sum(as_money(c))
-
-
 def to_double(c: Column) -> Column:
     return c.cast("double")
 

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from sluice.functions import blank_to_null, order_value, title_case, upper_case
 
@@ -48,22 +48,31 @@ def with_order_value(df: DataFrame, name: str = "order_value") -> DataFrame:
     return df.withColumn(name, order_value())
 
 
-def enforce_types(df: DataFrame, schema: StructType, safe: bool = True) -> DataFrame:
+def enforce_types(df: DataFrame, schema: StructType, bad_values: str = "fail") -> DataFrame:
     """Cast every column of ``schema`` present in ``df`` to its declared type.
 
-    ``safe`` uses ``try_cast`` (bad values become NULL); otherwise an ANSI cast
-    fails the job on the first bad value. Columns missing from ``df`` are
-    skipped; columns not in ``schema`` are kept at the end.
+    A value that does not fit its type (text in a number, an id beyond the
+    range) fails the job with the column's name; with ``bad_values="null"`` it
+    becomes NULL. Columns missing from ``df`` are skipped; columns not in
+    ``schema`` are kept at the end.
     """
-    present = set(df.columns)
+    if bad_values not in ("fail", "null"):
+        raise ValueError("bad_values must be 'fail' or 'null'")
+    present = dict(df.dtypes)
     declared = [f for f in schema.fields if f.name in present]
+
+    def typed(name: str, kind: DataType) -> Column:
+        if present[name] == kind.simpleString():
+            return F.col(name)
+        cast = F.col(name).try_cast(kind)
+        if bad_values == "null":
+            return cast.alias(name)
+        msg = F.concat(F.lit(f"column {name} has a value that is no {kind.simpleString()}: "), F.col(name).cast("string"))
+        bad = F.col(name).isNotNull() & cast.isNull()
+        return F.when(bad, F.raise_error(msg).cast(kind)).otherwise(cast).alias(name)
+
     names = {f.name for f in declared}
-    casts = [
-        (F.col(f.name).try_cast(f.dataType) if safe else F.col(f.name).cast(f.dataType)).alias(f.name)
-        for f in declared
-    ]
-    rest = [F.col(c) for c in df.columns if c not in names]
-    return df.select(*casts, *rest)
+    return df.select(*[typed(f.name, f.dataType) for f in declared], *[F.col(c) for c in df.columns if c not in names])
 
 
 def schema_diff(spark: SparkSession, a: DataFrame, b: DataFrame) -> DataFrame:

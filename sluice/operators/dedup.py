@@ -74,6 +74,26 @@ def dedup_sources(
     return dedup_by_priority(df, keys, [source_priority(source, priorities, default).asc()], tiebreak)
 
 
+def rank_sources(
+    df: DataFrame,
+    keys: Sequence[str] = ("order_id",),
+    source: str = "source",
+    priorities: Mapping[str, int] = SOURCE_PRIORITIES,
+    default: int = DEFAULT_PRIORITY,
+    tiebreak: Sequence[str] | None = None,
+) -> DataFrame:
+    """All rows, with a flag ``kept`` on those that ``dedup_sources`` keeps."""
+    others = tiebreak if tiebreak is not None else [c for c in df.columns if c not in set(keys)]
+    order = [source_priority(source, priorities, default).asc(), *[F.col(c).asc_nulls_first() for c in others]]
+    return df.withColumn("kept", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) == 1)
+
+
 def source_overlap(a: DataFrame, b: DataFrame, key: str = "order_id") -> DataFrame:
     """Distinct keys present in both frames (NULL matches NULL)."""
     return a.select(key).intersect(b.select(key))
+
+
+def overlap_within(rows: DataFrame, key: str, source: str, a: str, b: str) -> DataFrame:
+    """J2 on one frame that holds both sources: the distinct keys found in both, from one aggregate."""
+    both = rows.groupBy(key).agg((F.bool_or(F.col(source) == a) & F.bool_or(F.col(source) == b)).alias("_both"))
+    return both.filter("_both").select(key)

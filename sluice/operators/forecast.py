@@ -11,8 +11,8 @@ the horizon are forecast *and* have actuals, as in the reference).
 
 * ``predict_trend``: least-squares line per series from ``regr_*`` window
   aggregates (plain SQL, checkable against another engine).
-* ``predict_seasonal``: linear trend + Fourier terms of a 91.25-day season,
-  fitted per series with ``applyInPandas`` (numpy ridge); each series is one
+* ``predict_seasonal``: trend with changepoints + Fourier terms of a 91.25-day
+  season, fitted per series with ``applyInPandas`` (numpy ridge); each series is one
   small group, so series fit in parallel and never meet on the driver.
 
 Series are monthly aggregates (one row per month), so a window over one series
@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DateType, DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DateType, DoubleType, StringType, StructField, StructType
 
 from sluice.functions import month_start
 
@@ -39,7 +39,15 @@ FOURIER_ORDER = 3
 INTERVAL_WIDTH = 0.80
 SEASONALITY_PRIOR_SCALE = 10.0
 MAPE_EPS = 1e-9
+CHANGEPOINT_PRIOR_SCALE = 0.05
+MAX_CHANGEPOINTS = 25
+CHANGEPOINT_RANGE = 0.8
+#: The noise of the scaled series weighs the changepoints; it is taken from the last of a few fits.
+NOISE_ROUNDS = 5
+LEAST_NOISE = 1e-4
 Z80 = 1.2815515655446004  # two-sided 80% normal quantile
+#: Fewer training months than this leave a series without a forecast, in every model.
+MIN_TRAIN_MONTHS = 3
 
 
 def _w(keys: Sequence[str]) -> Window:
@@ -51,16 +59,14 @@ def _w(keys: Sequence[str]) -> Window:
 def forecast_series(monthly: DataFrame, keys: Sequence[str] = (), scale: float = SCALE_CRORE) -> DataFrame:
     """``(keys..., month DATE, y)`` with ``y = monthly_revenue / scale``.
 
-    NULL months are dropped first, then each series' latest month (treated as
-    a partial month, whatever its date).
+    NULL months are dropped first, then the latest month of the whole data set
+    (it is still running); a series that ended earlier keeps its last month.
     """
     s = monthly.filter(F.col("year_month").isNotNull()).select(
         *keys, month_start("year_month").alias("month"), (F.col("monthly_revenue") / F.lit(scale)).alias("y")
     )
-    # a window over the monthly aggregate (one row per series and month), not a
-    # subquery that would re-run the plan behind ``monthly``
-    last = F.max("month").over(_w(keys))
-    return s.withColumn("_last", last).filter(F.col("month") < F.col("_last")).drop("_last")
+    # one value for all series; the subquery reuses the aggregate's shuffle
+    return s.filter(F.col("month") < s.agg(F.max("month")).scalar())
 
 
 def holdout_split(series: DataFrame, keys: Sequence[str] = (), holdout: int = 3) -> DataFrame:
@@ -106,7 +112,9 @@ def predict_trend(
 
     Coefficients are window aggregates over each series' training rows, so
     history and future rows get them without a join. Band: yhat +- z * s with
-    s the residual standard error (n - 2 degrees of freedom).
+    s the residual standard error (n - 2 degrees of freedom). Training months
+    without a value are left out; a series with fewer than ``MIN_TRAIN_MONTHS``
+    of them gets NULL predictions.
 
     ``anchor='train'`` (the reference) counts the horizon from the last
     training month, so holdout months fall inside it; ``anchor='data'``
@@ -131,6 +139,8 @@ def predict_trend(
     coef = coef.withColumn(
         "sigma", F.when(F.col("n") > 2, F.sqrt(sse / (F.col("n") - 2))).otherwise(F.lit(None).cast("double"))
     )
+    long_enough = F.col("n") >= MIN_TRAIN_MONTHS
+    coef = coef.withColumns({c: F.when(long_enough, F.col(c)) for c in ("slope", "intercept")})
     coef = coef.withColumn("anchor", F.col("last_train") if anchor == "train" else F.col("last_month"))
     known = coef.select(*keys, "month", F.col("y").alias("actual"), "split", "slope", "intercept", "sigma", "anchor")
     # future months come from each series' last training row
@@ -157,41 +167,62 @@ def predict_trend(
 
 # --- F4: seasonal model (applyInPandas) ----------------------------------------
 
-def _seasonal_group(keys, horizon, period, order, prior_scale, z, anchor):
+def _knots(t: np.ndarray) -> np.ndarray:
+    """Places (0 to 1) where the trend may change: spread over the first part of the training months."""
+    early = int(len(t) * CHANGEPOINT_RANGE)
+    count = min(MAX_CHANGEPOINTS, max(0, early - 1))
+    return t[np.linspace(0, early - 1, count + 1).round().astype(int)][1:] if count else np.zeros(0)
+
+
+def _design(days: np.ndarray, span: float, knots: np.ndarray, period: float, order: int) -> np.ndarray:
+    """Columns: level, slope, slope changes, sine and cosine pairs."""
+    t = days / span
+    angles = [2.0 * math.pi * k * days / period for k in range(1, order + 1)]
+    columns = [np.ones_like(t), t, *[np.maximum(0.0, t - c) for c in knots]]
+    return np.column_stack(columns + [f(a) for a in angles for f in (np.sin, np.cos)])
+
+
+def penalties(knots: int, order: int, prior_scale: float, noise: float) -> list[float]:
+    """Ridge weight of each column of the design; a slope change's is the noise over its prior variance."""
+    return [0.0, 0.0] + [noise / CHANGEPOINT_PRIOR_SCALE**2] * knots + [1.0 / prior_scale**2] * (2 * order)
+
+
+def _seasonal_group(keys, horizon, period, order, prior_scale, z, anchor, with_fit):
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.assign(month=pd.to_datetime(pdf["month"])).sort_values("month")
         key_vals = {k: pdf[k].iloc[0] for k in keys}
-        train = pdf[pdf["split"] == "train"]
+        train = pdf[(pdf["split"] == "train")]
         last_train = train["month"].max() if len(train) else pdf["month"].max()
         last_month = pdf["month"].max()
         start = last_train if anchor == "train" else last_month
         fut = [start + pd.DateOffset(months=i) for i in range(1, horizon + 1)]
         fut = [m for m in fut if m > last_month]
         months = list(pdf["month"]) + fut
-        actual = list(pdf["y"]) + [np.nan] * len(fut)
+        actual = np.array(list(pdf["y"]) + [np.nan] * len(fut), dtype=float)
         split = list(pdf["split"]) + ["future"] * len(fut)
-        yhat = np.full(len(months), np.nan)
-        band = np.nan
-        if len(train) >= 3:
-            t0 = train["month"].min()
-            days = np.array([(m - t0).days for m in months], dtype=float)
-            span = max(float((last_train - t0).days), 1.0)
-            cols = [np.ones_like(days), days / span]
-            for k in range(1, order + 1):
-                ang = 2.0 * math.pi * k * days / period
-                cols += [np.sin(ang), np.cos(ang)]
-            X = np.column_stack(cols)
-            is_tr = np.array([s == "train" for s in split])
-            ytr = np.asarray(actual, dtype=float)[is_tr]
-            ymax = float(np.max(np.abs(ytr))) or 1.0
-            pen = np.zeros(X.shape[1])
-            pen[2:] = 1.0 / prior_scale**2
-            A = X[is_tr].T @ X[is_tr] + np.diag(pen)
-            beta = np.linalg.lstsq(A, X[is_tr].T @ (ytr / ymax), rcond=None)[0]
-            yhat = X @ beta * ymax
-            resid = ytr - yhat[is_tr]
-            dof = max(len(ytr) - 2, 1)
-            band = z * float(np.sqrt(np.sum(resid**2) / dof))
+        used = np.array([s == "train" for s in split]) & ~np.isnan(actual)
+        yhat, band, fitted = np.full(len(months), np.nan), np.nan, {}
+        if used.sum() >= MIN_TRAIN_MONTHS:
+            origin = min(m for m, u in zip(months, used) if u)
+            days = np.array([(m - origin).days for m in months], dtype=float)
+            span = max(float(days[used].max()), 1.0)
+            scale = float(np.max(np.abs(actual[used]))) or 1.0
+            knots = _knots(days[used] / span)
+            X = _design(days, span, knots, period, order)
+            Xt = X[used]
+            y = actual[used] / scale
+            line = np.linalg.lstsq(Xt[:, :2], y, rcond=None)[0]
+            noise = max(float(np.mean((y - Xt[:, :2] @ line) ** 2)), LEAST_NOISE)
+            for _ in range(NOISE_ROUNDS):  # the noise is that of the fit before
+                A = Xt.T @ Xt + np.diag(penalties(len(knots), order, prior_scale, noise))
+                beta = np.linalg.lstsq(A, Xt.T @ y, rcond=None)[0]
+                used_noise, noise = noise, max(float(np.mean((y - Xt @ beta) ** 2)), LEAST_NOISE)
+            yhat = X @ beta * scale
+            # effective parameters of the ridge fit: trace of its hat matrix
+            parameters = float(np.trace(np.linalg.lstsq(A, Xt.T @ Xt, rcond=None)[0]))
+            sse = float(np.sum((actual[used] - yhat[used]) ** 2))
+            band = z * math.sqrt(sse / max(used.sum() - parameters, 1.0))
+            fitted = {"origin": origin.date(), "span": span, "scale": scale, "noise": used_noise, "knots": knots.tolist(), "beta": beta.tolist()}
         limit = start + pd.DateOffset(months=horizon)
         out = pd.DataFrame(
             {
@@ -206,7 +237,12 @@ def _seasonal_group(keys, horizon, period, order, prior_scale, z, anchor):
         )
         for k, v in key_vals.items():
             out.insert(0, k, v)
-        return out[[*keys, "month", "actual", "yhat", "lower", "upper", "split", "in_frame"]]
+        columns = [*keys, "month", "actual", "yhat", "lower", "upper", "split", "in_frame"]
+        if with_fit:
+            for name in (f.name for f in FIT_FIELDS):
+                out[name] = [fitted.get(name)] * len(out)
+                columns.append(name)
+        return out[columns]
 
     return fit
 
@@ -220,6 +256,14 @@ PRED_FIELDS = [
     StructField("split", StringType()),
     StructField("in_frame", BooleanType()),
 ]
+FIT_FIELDS = [
+    StructField("origin", DateType()),
+    StructField("span", DoubleType()),
+    StructField("scale", DoubleType()),
+    StructField("noise", DoubleType()),
+    StructField("knots", ArrayType(DoubleType())),
+    StructField("beta", ArrayType(DoubleType())),
+]
 
 
 def predict_seasonal(
@@ -231,27 +275,67 @@ def predict_seasonal(
     prior_scale: float = SEASONALITY_PRIOR_SCALE,
     z: float = Z80,
     anchor: str = "train",
+    with_fit: bool = False,
 ) -> DataFrame:
-    """additive linear trend + quarterly Fourier season, one fit per series.
-
-    About three monthly samples per 91.25-day cycle make the harmonics alias,
-    so plain least squares is singular: the seasonal terms carry a ridge
-    penalty (a Gaussian prior of scale ``prior_scale`` on y scaled by its max,
-    as Prophet's seasonality prior). Trend and level are not penalised. Series
-    with fewer than 3 training months get NULL predictions instead of failing.
+    """additive piecewise-linear trend + quarterly Fourier season, one fit per series.
+
+    The trend may bend at up to ``MAX_CHANGEPOINTS`` months of the first 80% of
+    the training months, each bend with a ridge penalty (a Gaussian prior of
+    scale 0.05 on y scaled by its maximum, against the noise of the series). About three monthly samples per
+    91.25-day cycle make the harmonics alias, so the seasonal terms carry a
+    penalty too (prior scale ``prior_scale``). Level and slope are free.
+    Training months without a value are left out; a series with fewer than
+    ``MIN_TRAIN_MONTHS`` of them gets NULL predictions. The band uses the
+    residuals' degrees of freedom less the fit's effective parameters.
+    ``with_fit`` adds the fit itself (``FIT_FIELDS``), as ``fit_gap`` needs it.
     """
     key_fields = [f for f in split.schema.fields if f.name in keys]
     key_fields = sorted(key_fields, key=lambda f: list(keys).index(f.name))
-    schema = StructType(key_fields + PRED_FIELDS)
+    schema = StructType(key_fields + PRED_FIELDS + (FIT_FIELDS if with_fit else []))
     data = split.select(*keys, "month", "y", "split")
     _check_anchor(anchor)
-    fn = _seasonal_group(list(keys), horizon, period, order, prior_scale, z, anchor)
+    fn = _seasonal_group(list(keys), horizon, period, order, prior_scale, z, anchor, with_fit)
     if keys:
         return data.groupBy(*keys).applyInPandas(fn, schema)
     # one global series: group on a constant so it still runs as one grouped task
     return data.withColumn("_g", F.lit(0)).groupBy("_g").applyInPandas(fn, schema)
 
 
+def fit_gap(
+    pred: DataFrame,
+    keys: Sequence[str] = (),
+    period: float = SEASON_PERIOD_DAYS,
+    order: int = FOURIER_ORDER,
+    prior_scale: float = SEASONALITY_PRIOR_SCALE,
+) -> DataFrame:
+    """How far a seasonal fit is from its definition, recomputed in SQL from its coefficients.
+
+    Per series: ``equation_gap`` is the largest error of the penalised normal
+    equations (X'(y - Xb) = Pb, y scaled), ``forecast_gap`` the largest scaled
+    difference between the forecasts and Xb. Both are 0 up to rounding for a
+    right fit and NULL without one.
+    """
+    days = F.date_diff("month", "origin").cast("double")
+    t = days / F.col("span")
+    waves = [f(F.lit(2.0 * math.pi * k / period) * days) for k in range(1, order + 1) for f in (F.sin, F.cos)]
+    bends = F.transform("knots", lambda c: F.greatest(F.lit(0.0), t - c))
+    rows = pred.withColumn("x", F.concat(F.array(F.lit(1.0), t), bends, F.array(*waves)))
+    dot = F.aggregate(F.zip_with("x", "beta", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    rows = rows.withColumn("off", F.abs(dot - F.col("yhat") / F.col("scale"))).withColumn(
+        "left", F.when((F.col("split") == "train") & F.col("actual").isNotNull(), F.col("actual") / F.col("scale") - dot)
+    )
+    weight = F.concat(
+        F.array(F.lit(0.0), F.lit(0.0)),
+        F.array_repeat(F.col("noise") / F.lit(CHANGEPOINT_PRIOR_SCALE**2), F.size("knots")),
+        F.array_repeat(F.lit(1.0 / prior_scale**2), 2 * order),
+    )
+    terms = rows.select(*keys, "off", "left", F.posexplode_outer(F.arrays_zip("x", "beta", weight.alias("w"))).alias("j", "c"))
+    each = terms.groupBy(*keys, "j").agg(
+        F.max("off").alias("off"), F.abs(F.sum(F.col("left") * F.col("c.x")) - F.max(F.col("c.w") * F.col("c.beta"))).alias("gap")
+    )
+    return each.groupBy(*keys).agg(F.max("gap").alias("equation_gap"), F.max("off").alias("forecast_gap"))
+
+
 # --- F6 / F7 -------------------------------------------------------------------
 
 def forecast_table(pred: DataFrame, keys: Sequence[str] = (), clock: Column | None = None) -> DataFrame:
@@ -279,20 +363,17 @@ def forecast_accuracy(pred: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         F.round(F.avg(F.when(test, F.abs(err))), 2).alias("mae"),
         F.round(F.avg(F.when(test, F.abs(err / (F.col("actual") + F.lit(MAPE_EPS))))) * 100, 2).alias("mape_pct"),
         F.count_if(test).alias("test_months"),
-        F.count_if(F.col("split") == "train").alias("train_months"),
+        F.count_if((F.col("split") == "train") & F.col("actual").isNotNull()).alias("train_months"),
     )
 
 
 # --- F8 / F9 -------------------------------------------------------------------
 
-MIN_TRAIN_MONTHS = 3
-
-
 def forecast_runs(accuracy: DataFrame, model: str, horizon: int, holdout: int, clock: Column | None = None) -> DataFrame:
     """F8: one run record per series: parameters actually used + metrics.
 
     ``fit_status`` is 'too_short' for a series with fewer than 3 training
-    months (its forecasts are NULL), else 'ok'.
+    months that have a value (its forecasts are NULL, whatever the model), else 'ok'.
     """
     seasonal = model == "seasonal"
     return accuracy.select(

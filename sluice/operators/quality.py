@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -20,17 +20,18 @@ def bronze_audit(df: DataFrame, by: str = "source") -> DataFrame:
     )
 
 
-def source_summary(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Q2: rows, date range and distinct regions of several tables, as one
-    SQL ``UNION ALL`` over the DataFrames (passed as SQL parameters, no global
-    temp views)."""
-    names = list(tables)
-    parts = [
-        f"SELECT '{name}' AS table_name, COUNT(*) AS row_count, MIN(order_date) AS earliest_order, "
-        f"MAX(order_date) AS latest_order, COUNT(DISTINCT region) AS unique_regions FROM {{t{i}}}"
-        for i, name in enumerate(names)
-    ]
-    return spark.sql(" UNION ALL ".join(parts), **{f"t{i}": tables[n] for i, n in enumerate(names)})
+def source_summary(spark: SparkSession, orders: DataFrame, tables: Mapping[str, str], by: str = "source") -> DataFrame:
+    """Q2: rows, date range and distinct regions per source table, as SQL text over one scan.
+
+    ``tables`` maps a value of ``by`` to its table's name; other values are left out.
+    """
+    names = " ".join(f"WHEN '{value}' THEN '{name}'" for value, name in tables.items())
+    return spark.sql(
+        f"SELECT table_name, COUNT(*) AS row_count, MIN(order_date) AS earliest_order, MAX(order_date) AS latest_order, "
+        f"COUNT(DISTINCT region) AS unique_regions FROM (SELECT CASE {by} {names} END AS table_name, order_date, region FROM {{orders}}) "
+        "WHERE table_name IS NOT NULL GROUP BY table_name",
+        orders=orders,
+    )
 
 
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -44,29 +45,21 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(F.col(column).asc_nulls_first())
 
 
-def dedup_audit(before: DataFrame, after: DataFrame, overlap: DataFrame | None = None) -> DataFrame:
-    """Q5: rows before and after dedup, rows removed, overlapping keys.
+def dedup_audit(rows: DataFrame, key: str, source: str, a: str, b: str) -> DataFrame:
+    """Q5: rows before and after dedup by ``key``, rows removed, keys that sources ``a`` and ``b`` share.
 
-    The inputs are tagged and unioned into one aggregate, so the counts come
-    from one job without joining single-row frames.
+    One aggregate per key (NULL is a key), then one over the keys: the rows are read once.
     """
-    parts = [
-        before.select(F.lit(1).alias("_b"), F.lit(0).alias("_a"), F.lit(0).alias("_o")),
-        after.select(F.lit(0).alias("_b"), F.lit(1).alias("_a"), F.lit(0).alias("_o")),
-    ]
-    if overlap is not None:
-        parts.append(overlap.select(F.lit(0).alias("_b"), F.lit(0).alias("_a"), F.lit(1).alias("_o")))
-    tagged = parts[0]
-    for p in parts[1:]:
-        tagged = tagged.unionByName(p)
-    counts = tagged.agg(
-        F.sum("_b").cast("bigint").alias("rows_before"),
-        F.sum("_a").cast("bigint").alias("rows_after"),
-        F.sum("_o").cast("bigint").alias("overlapping_keys"),
+    per_key = rows.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.bool_or(F.col(source) == a) & F.bool_or(F.col(source) == b)).alias("shared"),
+    )
+    return per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows_before"),
+        F.count(F.lit(1)).alias("rows_after"),
+        (F.coalesce(F.sum("n"), F.lit(0)) - F.count(F.lit(1))).cast("bigint").alias("rows_removed"),
+        F.count_if("shared").alias("overlapping_keys"),
     )
-    out = counts.withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
-    cols = ["rows_before", "rows_after", "rows_removed"] + (["overlapping_keys"] if overlap is not None else [])
-    return out.select(*cols)
 
 
 def layer_audit(tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
@@ -82,3 +75,22 @@ def layer_audit(tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.orderBy("layer", "table_name")
+
+
+def single_scan_audit(
+    bronze: DataFrame, kept: str, bronze_tables: Mapping[str, str], silver_table: str, gold_keys: Mapping[str, Column]
+) -> DataFrame:
+    """Q6 over rows of bronze with a flag ``kept`` (the row is in silver): every layer's row count from one scan.
+
+    ``bronze_tables`` maps a source to its table; ``gold_keys`` maps a gold table
+    to the expression it groups silver by (NULL is a group).
+    """
+    counts = {("BRONZE", name): F.count_if(F.col("source") == source) for source, name in bronze_tables.items()}
+    counts[("SILVER", silver_table)] = F.count_if(kept)
+    flags = {name: F.when(F.col(kept), key) for name, key in gold_keys.items()}
+    for name, key in flags.items():
+        counts[("GOLD", name)] = F.count_distinct(key) + F.max(F.when(F.col(kept), key.isNull().cast("int")).otherwise(0))
+    wide = bronze.agg(*[c.cast("bigint").alias(f"{layer}/{name}") for (layer, name), c in counts.items()])
+    long = wide.unpivot([], [f"`{layer}/{name}`" for layer, name in counts], "at", "row_count")
+    out = long.select(F.split_part("at", F.lit("/"), F.lit(1)).alias("layer"), F.split_part("at", F.lit("/"), F.lit(2)).alias("table_name"), F.coalesce("row_count", F.lit(0)).alias("row_count"))
+    return out.orderBy("layer", "table_name")

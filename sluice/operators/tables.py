@@ -1,59 +1,38 @@
-"""Versioned tables on plain Parquet: overwrite, append, merge, constraints, history.
-
-A table is a list of Parquet directories. Every commit writes new files into a
-fresh directory and then appends one row to the lake's ``_history`` dataset;
-readers take the newest version listed there. Nothing is ever read and
-overwritten in place, a crash between the two steps leaves the previous
-version current, and retried tasks only ever touch the new directory.
-One writer per table at a time.
+"""Tables of a lake on plain Parquet or ORC: overwrite, append, merge, CHECK rules.
+
+An overwrite goes to a new directory ``v<number>`` of its table, and the newest
+one that Spark's committer has finished is the table: nothing is read and
+overwritten in place, a crash leaves the previous version current, and a store
+never answers from memory. In catalog mode each table is also an external table
+of the session catalog, whose location follows the newest version. One writer
+per table at a time.
 """
 
 from __future__ import annotations
 
-import json
-import re
 import uuid
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ArrayType,
-    BooleanType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampType,
-)
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from sluice.config import LakeConfig
 
-HISTORY_SCHEMA = StructType(
+WRITES_SCHEMA = StructType(
     [
         StructField("layer", StringType(), False),
         StructField("table_name", StringType(), False),
         StructField("version", LongType(), False),
         StructField("operation", StringType(), False),
         StructField("row_count", LongType(), False),
-        StructField("paths", ArrayType(StringType()), False),
-        StructField("schema_json", StringType(), True),
-        StructField("committed_at", TimestampType(), False),
     ]
 )
+RULES_DDL = "rule string, condition string"
 
 
-CONSTRAINT_SCHEMA = StructType(
-    [
-        StructField("layer", StringType(), False),
-        StructField("table_name", StringType(), False),
-        StructField("constraint_name", StringType(), False),
-        StructField("condition", StringType(), True),
-        StructField("active", BooleanType(), False),
-        StructField("seq", LongType(), False),
-    ]
-)
+class SchemaMismatch(Exception):
+    pass
 
 
 class ConstraintViolation(Exception):
@@ -90,273 +69,144 @@ def enforce(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
 
 # --- merge (K5/J1) -----------------------------------------------------------
 
-def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    """Fail now when two rows share a key (one aggregate job, stops at the first)."""
-    dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
-    if dup:
-        raise ValueError(f"duplicate key in merge source: {dup[0].asDict()}")
-
-
-def unique_or_fail(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The same rows, but the job that consumes them fails on a duplicate key.
-
-    A count per key over a window: no separate pass, and when ``df`` is
-    already hash-partitioned by the keys no extra shuffle either. NULL keys
-    count as one key, as in the NULL-safe merge.
-    """
-    msg = F.concat(F.lit("duplicate key in merge source: "), F.to_json(F.struct(*keys)))
-    counted = df.withColumn("_key_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    guarded = counted.filter(F.when(F.col("_key_rows") > 1, F.raise_error(msg)).otherwise(F.lit(True)))
-    return guarded.drop("_key_rows")
-
-
 def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], check_unique: bool = True) -> DataFrame:
     """MERGE by key: matched rows take the update's values, new keys are
     inserted, target-only rows are kept.
 
-    ``updates UNION ALL (target LEFT ANTI JOIN updates)`` with NULL-safe key
-    equality, so a NULL key is matched like any other value and a rerun with
-    the same updates changes nothing. Columns are aligned by name and must
-    match. ``target`` is assumed unique on ``keys`` (as the silver table is).
-
-    The anti join is split: rows whose keys are all non-NULL use plain
-    equality, so a target already hash-partitioned by the keys (e.g. the
-    output of the silver build) is joined without another shuffle; rows with
-    a NULL key take a separate NULL-safe anti join.
+    Both sides are tagged and unioned, and one window per key counts the
+    updates: each side is read once and shuffled once. NULL keys form a group
+    like any other value, so a rerun with the same updates changes nothing.
+    Columns are aligned by name and must match. Two updates with one key fail
+    the job (``check_unique=False`` keeps both). ``target`` is assumed unique on
+    ``keys``; its repeated rows are kept where no update meets them.
     """
+    tagged = updates.withColumn("_update", F.lit(1)).unionByName(target.withColumn("_update", F.lit(0)))
+    counted = tagged.withColumn("_updates", F.sum("_update").over(Window.partitionBy(*keys)))
+    keep = (F.col("_update") == 1) | (F.col("_updates") == 0)
     if check_unique:
-        updates = unique_or_fail(updates, keys)
-    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    u_keys = updates.select(*keys)
-    kept_complete = target.filter(complete).join(u_keys.filter(complete), list(keys), "left_anti")
-    t = target.filter(~complete).alias("_t")
-    u = u_keys.filter(~complete).alias("_u")
-    cond = reduce(lambda a, b: a & b, [F.col(f"_t.{k}").eqNullSafe(F.col(f"_u.{k}")) for k in keys])
-    kept_partial = t.join(u, cond, "left_anti")
-    return updates.unionByName(kept_complete).unionByName(kept_partial)
+        msg = F.concat(F.lit("duplicate key in merge source: "), F.to_json(F.struct(*keys)))
+        keep = F.when(F.col("_updates") > 1, F.raise_error(msg).cast("boolean")).otherwise(keep)
+    return counted.filter(keep).drop("_update", "_updates")
 
 
-# --- the store (K1, K3, K8) ---------------------------------------------------
+def unique_or_fail(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same rows, but the job that consumes them fails on a duplicate key (NULL keys count as one)."""
+    return merge_upsert(df.limit(0), df, keys)
 
-class TableStore:
-    """Versioned Parquet tables of one lake, with a commit history.
 
-    The store is the table's single writer, so it keeps the commit log it
-    loaded (once) plus its own commits in memory: looking up the current
-    version costs no Spark job. Other readers use ``history()``/``read()``
-    on a fresh store, which load the log from the shared folder.
-    """
+# --- the store (K1, K2, K3, K4) -------------------------------------------------
+
+class TableStore:
+    """Tables of one lake; ``writes`` lists what this store has written, with row counts."""
 
     FORMATS = ("parquet", "orc")
 
     def __init__(self, spark: SparkSession, lake: LakeConfig):
         if lake.table_format not in self.FORMATS:
-            raise ValueError(f"table_format must be one of {self.FORMATS} (no Delta jar in this build)")
+            raise ValueError(f"table_format must be one of {self.FORMATS}")
         self.spark = spark
         self.lake = lake
-        self.history_path = f"{lake.root.rstrip('/')}/_history"
-        self.constraints_path = f"{lake.root.rstrip('/')}/_constraints"
-        self._log: list[dict] | None = None
-        self._rules: list[dict] | None = None
-
-    def _read_history(self) -> DataFrame:
-        return self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
-
-    def _commits(self) -> list[dict]:
-        if self._log is None:
-            # appending nothing creates the history folder on a new lake and
-            # leaves an existing one unchanged
-            self.spark.createDataFrame([], HISTORY_SCHEMA).write.mode("append").parquet(self.history_path)
-            # one row per commit: a small, bounded collect
-            self._log = [r.asDict() for r in self._read_history().collect()]
-        return self._log
-
-    # history
-    def history(self, layer: str | None = None, name: str | None = None) -> DataFrame:
-        """K8: every commit, newest first."""
-        self._commits()
-        h = self._read_history()
-        if layer is not None:
-            h = h.filter(F.col("layer") == layer)
-        if name is not None:
-            h = h.filter(F.col("table_name") == name)
-        return h.orderBy(F.desc("committed_at"), F.desc("version"))
-
-    def _latest(self, layer: str, name: str, version: int | None = None):
-        rows = [c for c in self._commits() if c["layer"] == layer and c["table_name"] == name]
-        if version is not None:
-            rows = [c for c in rows if c["version"] == version]
-        return max(rows, key=lambda c: c["version"]) if rows else None
+        self.writes: list[tuple[str, str, int, str, int]] = []
+
+    def _root(self, layer: str, name: str) -> str:
+        return f"{self.lake.root.rstrip('/')}/{layer}/{name}"
+
+    def _versions(self, layer: str, name: str) -> list[int]:
+        """Finished versions, ascending; a listing of one table's directories."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._root(layer, name)}/v*/_SUCCESS")
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path) or []
+        return sorted(int(f.getPath().getParent().getName()[1:]) for f in found)
+
+    def _path(self, layer: str, name: str, version: int) -> str:
+        return f"{self._root(layer, name)}/v{version}"
 
     def exists(self, layer: str, name: str) -> bool:
-        return self._latest(layer, name) is not None
+        return bool(self._versions(layer, name))
 
     def read(self, layer: str, name: str, version: int | None = None) -> DataFrame:
         """The newest (or a given) version of a table."""
-        row = self._latest(layer, name, version)
-        if row is None:
-            raise FileNotFoundError(f"table {layer}.{name} has no version {version if version is not None else ''}")
-        reader = self.spark.read.format(self.lake.table_format)
-        if row.get("schema_json"):
-            # the schema recorded at commit: no footer-sampling job per read
-            reader = reader.schema(StructType.fromJson(json.loads(row["schema_json"])))
-        return reader.load(list(row["paths"]))
-
-    def _commit_many(self, records: Sequence[tuple]) -> None:
-        """Publish several table versions with ONE history append, so readers
-        see all of them or none. A record is (layer, name, operation, rows,
-        paths, version, schema_json)."""
-        rows = [(layer, name, version, op, n, list(paths), sch) for layer, name, op, n, paths, version, sch in records]
-        rec = self.spark.createDataFrame(rows, StructType(HISTORY_SCHEMA.fields[:7])).withColumn(
-            "committed_at", F.current_timestamp()
-        )
-        rec.coalesce(1).write.mode("append").parquet(self.history_path)
-        for layer, name, version, op, n, paths, sch in rows:
-            self._commits().append(
-                {"layer": layer, "table_name": name, "version": version, "operation": op,
-                 "row_count": n, "paths": paths, "schema_json": sch, "committed_at": None}
-            )
-            if self.lake.catalog_mode:
-                sources = " UNION ALL ".join(f"SELECT * FROM {self.lake.table_format}.`{p}`" for p in paths)
-                self.spark.sql(f"CREATE OR REPLACE VIEW {self.lake.location(layer, name)} AS {sources}")
-
-    def _commit(self, layer, name, operation, rows, paths, version, schema_json=None) -> None:
-        self._commit_many([(layer, name, operation, rows, paths, version, schema_json)])
-
-    def _next_version(self, layer: str, name: str) -> int:
-        latest = self._latest(layer, name)
-        return 0 if latest is None else latest["version"] + 1
-
-    def write_many(self, layer: str, tables: Mapping[str, DataFrame], operation: str = "OVERWRITE") -> dict[str, int]:
-        """Overwrite several tables of a layer and publish them together: all
-        files are written first (each checked against its table's rules),
-        then one history append makes every new version current at once."""
-        records = []
-        for name, df in tables.items():
-            path, rows = self._write_files(layer, name, enforce(df, self._all_rules(layer, name, None)))
-            records.append((layer, name, operation, rows, [path], self._next_version(layer, name), df.schema.json()))
-        self._commit_many(records)
-        return {r[1]: r[5] for r in records}
-
-    def _files_root(self, layer: str, name: str) -> str:
-        return f"{self.lake.root.rstrip('/')}/{layer}/{name}"
+        versions = self._versions(layer, name)
+        if not versions or version not in (None, *versions):
+            raise FileNotFoundError(f"table {layer}.{name} has no version {'' if version is None else version}")
+        return self.spark.read.format(self.lake.table_format).load(self._path(layer, name, versions[-1] if version is None else version))
 
-    def _write_files(self, layer: str, name: str, df: DataFrame) -> tuple[str, int]:
+    def _save(self, layer: str, name: str, df: DataFrame, version: int, operation: str, mode: str, before: int = 0) -> int:
         # The observed count sits in the write's result stage, whose accumulator
         # updates Spark applies once per partition: retried or speculative
         # tasks do not count twice.
-        obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-        path = f"{self._files_root(layer, name)}/part-{uuid.uuid4().hex[:12]}"
-        df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").format(self.lake.table_format).save(path)
-        return path, int(obs.get["n"])
-
-    def write(self, layer: str, name: str, df: DataFrame, operation: str = "OVERWRITE",
-              rules: Mapping[str, str] | None = None) -> int:
-        """K1/K3: replace the table with ``df``; returns the new version.
-
-        The row count comes from an Observation on the write itself (no
-        second scan). ``rules`` are CHECK constraints enforced while writing.
-        """
-        latest = self._latest(layer, name)
-        version = 0 if latest is None else latest["version"] + 1
-        path, rows = self._write_files(layer, name, enforce(df, self._all_rules(layer, name, rules)))
-        self._commit(layer, name, operation, rows, [path], version, df.schema.json())
+        rows = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+        path = self._path(layer, name, version)
+        counted = df.observe(rows, F.count(F.lit(1)).alias("n"))
+        counted.write.mode(mode).format(self.lake.table_format).save(path)
+        if self.lake.catalog_mode:
+            table = self.lake.location(layer, name)
+            if self.spark.catalog.tableExists(table):
+                self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+                self.spark.catalog.refreshTable(table)
+            else:
+                self.spark.sql(f"CREATE TABLE {table} USING {self.lake.table_format} LOCATION '{path}'")
+        self.writes.append((layer, name, version, operation, before + int(rows.get["n"])))
         return version
 
-    def write_split(self, layer: str, df: DataFrame, by: str, tables: Mapping[str, str]) -> dict[str, int]:
-        """Overwrite several tables from ONE pass over ``df``.
+    def write(self, layer: str, name: str, df: DataFrame, operation: str = "OVERWRITE", rules: Mapping[str, str] | None = None) -> int:
+        """K1/K2/K3: replace the table with ``df``; returns the new version.
 
-        ``tables`` maps a value of column ``by`` to a table name. The rows are
-        written once, partitioned by a copy of ``by`` (the column itself stays
-        in the files), and each partition directory is committed as the new
-        version of its table. Per-table row counts come from one Observation.
-        Rows whose ``by`` value is not listed are not written.
+        The attached CHECK rules and ``rules`` are enforced inside the writing
+        tasks: on a broken rule the job fails and the old version stays.
         """
-        values = list(tables)
-        bad = [v for v in values if not re.fullmatch(r"[A-Za-z0-9_.-]+", str(v))]
-        if bad:
-            # Spark escapes other characters in partition directory names
-            raise ValueError(f"split values must be plain names, got {bad}")
-        obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-        root = f"{self._files_root(layer, '_split')}/part-{uuid.uuid4().hex[:12]}"
-        rows = df.filter(F.col(by).isin(values)).withColumn("_split", F.col(by))
-        rows = rows.observe(obs, *[F.count_if(F.col(by) == F.lit(v)).alias(f"n{i}") for i, v in enumerate(values)])
-        rules = {name: self._all_rules(layer, name, None) for name in tables.values()}
-        if any(rules.values()):
-            raise ValueError("write_split does not support tables with CHECK constraints; use write()")
-        rows.write.mode("errorifexists").format(self.lake.table_format).partitionBy("_split").save(root)
-        counts = obs.get
-        schema_json = df.schema.json()
-        records = [
-            (layer, name, "OVERWRITE", int(counts[f"n{i}"]), [f"{root}/_split={value}"], self._next_version(layer, name),
-             schema_json)
-            for i, (value, name) in enumerate(tables.items())
-        ]
-        self._commit_many(records)
-        return {r[1]: r[5] for r in records}
+        versions = self._versions(layer, name)
+        checked = enforce(df, {**self.constraints(layer, name), **(rules or {})})
+        # an unfinished directory of a crashed run is replaced
+        return self._save(layer, name, checked, versions[-1] + 1 if versions else 0, operation, "overwrite")
 
     def append(self, layer: str, name: str, df: DataFrame, rules: Mapping[str, str] | None = None) -> int:
-        """K7: add rows as a new file set; earlier files are kept by reference."""
-        latest = self._latest(layer, name)
-        path, rows = self._write_files(layer, name, enforce(df, self._all_rules(layer, name, rules)))
-        if latest is None:
-            self._commit(layer, name, "APPEND", rows, [path], 0, df.schema.json())
-            return 0
-        version = latest["version"] + 1
-        self._commit(layer, name, "APPEND", latest["row_count"] + rows, list(latest["paths"]) + [path], version,
-                     latest.get("schema_json") or df.schema.json())
-        return version
+        """K7: add rows to the newest version; names and types must be those of the table."""
+        versions = self._versions(layer, name)
+        if not versions:
+            return self.write(layer, name, df, "APPEND", rules)
+        stored = self.read(layer, name)
+        if sorted(stored.dtypes) != sorted(df.dtypes):
+            raise SchemaMismatch(f"{layer}.{name} has {stored.dtypes}, the rows to append {df.dtypes}")
+        checked = enforce(df.select(*stored.columns), {**self.constraints(layer, name), **(rules or {})})
+        return self._save(layer, name, checked, versions[-1], "APPEND", "append", stored.count())
 
     def merge(self, layer: str, name: str, updates: DataFrame, keys: Sequence[str], check_unique: bool = True) -> int:
-        """K5: upsert ``updates`` into the table (created from them if absent).
-
-        ``check_unique=False`` skips the duplicate-key job when the caller
-        already guarantees one row per key (e.g. a deduplicated silver build).
-        """
+        """K5: upsert ``updates`` into the table (created from them if absent)."""
         if not self.exists(layer, name):
             return self.write(layer, name, unique_or_fail(updates, keys) if check_unique else updates, operation="CREATE")
-        merged = merge_upsert(self.read(layer, name), updates, keys, check_unique)
-        return self.write(layer, name, merged, operation="MERGE")
+        return self.write(layer, name, merge_upsert(self.read(layer, name), updates, keys, check_unique), operation="MERGE")
 
-    # table constraints (K6)
-    def _constraint_log(self) -> list[dict]:
-        if self._rules is None:
-            self.spark.createDataFrame([], CONSTRAINT_SCHEMA).write.mode("append").parquet(self.constraints_path)
-            rows = self.spark.read.schema(CONSTRAINT_SCHEMA).parquet(self.constraints_path).collect()
-            self._rules = sorted((r.asDict() for r in rows), key=lambda r: r["seq"])
-        return self._rules
+    def create_if_absent(self, layer: str, name: str, schema: StructType) -> bool:
+        """K4: create an empty table with a declared schema unless it exists; True when created."""
+        if self.exists(layer, name):
+            return False
+        self.write(layer, name, self.spark.createDataFrame([], schema), operation="CREATE")
+        return True
 
+    # table constraints (K6)
     def constraints(self, layer: str, name: str) -> dict[str, str]:
-        """The CHECK rules currently attached to a table."""
-        out: dict[str, str] = {}
-        for r in self._constraint_log():
-            if r["layer"] == layer and r["table_name"] == name:
-                if r["active"]:
-                    out[r["constraint_name"]] = r["condition"]
-                else:
-                    out.pop(r["constraint_name"], None)
-        return out
-
-    def _record_rules(self, layer, name, rules: Mapping[str, str | None], active: bool) -> None:
-        log = self._constraint_log()
-        start = (log[-1]["seq"] + 1) if log else 0
-        rows = [
-            {"layer": layer, "table_name": name, "constraint_name": rule, "condition": cond,
-             "active": active, "seq": start + i}
-            for i, (rule, cond) in enumerate(rules.items())
-        ]
-        self.spark.createDataFrame(rows, CONSTRAINT_SCHEMA).coalesce(1).write.mode("append").parquet(self.constraints_path)
-        log.extend(rows)
+        """The CHECK rules attached to a table (a few rows beside its versions)."""
+        path = f"{self._root(layer, name)}/_rules"
+        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(jpath):
+            return {}
+        return {r.rule: r.condition for r in self.spark.read.schema(RULES_DDL).json(path).collect()}
+
+    def _keep_rules(self, layer: str, name: str, rules: Mapping[str, str]) -> None:
+        rows = self.spark.createDataFrame(list(rules.items()), RULES_DDL)
+        rows.coalesce(1).write.mode("overwrite").json(f"{self._root(layer, name)}/_rules")
 
     def add_constraints(self, layer: str, name: str, rules: Mapping[str, str]) -> None:
         """Attach CHECK rules; rows already stored must satisfy all of them
         (checked in one scan), and every later write or append to the table is
-        checked against them. Re-adding a rule replaces it (drop-then-add)."""
+        checked against them. Re-adding a rule replaces it."""
         if self.exists(layer, name):
             bad = violations(self.read(layer, name), rules).limit(1).collect()
             if bad:
                 raise ConstraintViolation(f"existing rows break CHECK constraints {bad[0]['broken_rules']}: {bad[0].asDict()}")
-        self._record_rules(layer, name, rules, True)
+        kept = self.constraints(layer, name)
+        if {**kept, **rules} != kept:
+            self._keep_rules(layer, name, {**kept, **rules})
 
     def add_constraint(self, layer: str, name: str, rule: str, condition: str) -> None:
         """Attach one CHECK rule (see ``add_constraints``)."""
@@ -364,33 +214,18 @@ class TableStore:
 
     def drop_constraint(self, layer: str, name: str, rule: str) -> bool:
         """Detach a rule; returns False when the table had no such rule."""
-        if rule not in self.constraints(layer, name):
+        kept = self.constraints(layer, name)
+        if rule not in kept:
             return False
-        self._record_rules(layer, name, {rule: None}, False)
+        self._keep_rules(layer, name, {k: v for k, v in kept.items() if k != rule})
         return True
 
-    def _all_rules(self, layer: str, name: str, rules: Mapping[str, str] | None) -> dict[str, str]:
-        merged = self.constraints(layer, name)
-        merged.update(rules or {})
-        return merged
-
-    def create_if_absent(self, layer: str, name: str, schema: StructType) -> bool:
-        """K4: create an empty table with a declared schema unless it exists.
-
-        Returns True when a table was created. A later ``merge`` then upserts
-        into it; an existing table is left untouched.
-        """
-        if self.exists(layer, name):
-            return False
-        self.write(layer, name, self.spark.createDataFrame([], schema), operation="CREATE")
-        return True
+    def written(self) -> DataFrame:
+        """K3/K8: this store's writes: layer, table_name, version, operation, row_count."""
+        return self.spark.createDataFrame(self.writes, WRITES_SCHEMA)
 
     def audit(self) -> DataFrame:
-        """Q6 from the history: row count of the newest version of every table."""
-        from pyspark.sql import Window
-
-        self._commits()
-        h = self._read_history()
-        w = Window.partitionBy("layer", "table_name").orderBy(F.desc("version"))
-        latest = h.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
-        return latest.select("layer", "table_name", "row_count").orderBy("layer", "table_name")
+        """Q6: row count after the last write of every table this store has written."""
+        last = {(layer, name): n for layer, name, _, _, n in self.writes}
+        rows = [(*key, n) for key, n in sorted(last.items())]
+        return self.spark.createDataFrame(rows, "layer string, table_name string, row_count long")

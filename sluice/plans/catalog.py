@@ -13,21 +13,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.config import fresh_lake, shared_dir
-from sluice.functions import growth_factor, seasonal_factor
+from sluice.config import fresh_lake
+from sluice.functions import growth_factor, seasonal_factor, year_month
 from sluice.operators import aggregates as agg
 from sluice.operators import forecast as fc
 from sluice.operators import quality as qa
-from sluice.operators.cleaning import enforce_types
-from sluice.operators.dedup import source_overlap
+from sluice.operators.cleaning import clean_orders, enforce_types
+from sluice.operators.dedup import overlap_within, rank_sources
 from sluice.operators.tables import merge_upsert, violations
-from sluice.plans.gold import gold_tables
-from sluice.plans.layers import run_layers
-from sluice.plans.silver import silver_orders
+from sluice.plans.layers import BRONZE_TABLES, SILVER_TABLE, run_test_layers
+from sluice.plans.silver import SILVER_KEYS, build_silver, silver_orders
 from sluice.schema import ORDER_COLUMNS, SILVER_SCHEMA, WIDE_SALES_ORDERS_SCHEMA
 from sluice.sources import testdata
 from sluice.sources.files import read_orders_csv, write_orders_csv
-from sluice.sources.synth import synth_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,16 +93,18 @@ def q_typed_orders(spark, sf_dir):
 
 # --- sources, set operations, audits --------------------------------------------
 
-def q_source_overlap(spark, sf_dir):
+def q_silver_from_sources(spark, sf_dir):
     csv = testdata.bronze_source(spark, sf_dir, "csv")
     pg = testdata.bronze_source(spark, sf_dir, "postgres")
-    return source_overlap(csv, pg, "order_id")
+    return build_silver(csv, pg, tiebreak=list(testdata.TIEBREAK), drop_after=testdata.TIEBREAK).select(*SILVER_OUT)
+
+
+def q_source_overlap(spark, sf_dir):
+    return overlap_within(testdata.bronze_orders(spark, sf_dir), "order_id", "source", "csv", "postgres")
 
 
 def q_dedup_audit(spark, sf_dir):
-    csv = testdata.bronze_source(spark, sf_dir, "csv")
-    pg = testdata.bronze_source(spark, sf_dir, "postgres")
-    return qa.dedup_audit(testdata.bronze_orders(spark, sf_dir), _silver(spark, sf_dir), source_overlap(csv, pg))
+    return qa.dedup_audit(testdata.bronze_orders(spark, sf_dir), "order_id", "source", "csv", "postgres")
 
 
 def q_bronze_audit(spark, sf_dir):
@@ -112,10 +112,8 @@ def q_bronze_audit(spark, sf_dir):
 
 
 def q_source_summary(spark, sf_dir):
-    return qa.source_summary(spark, {
-        "sales_orders_csv": testdata.bronze_source(spark, sf_dir, "csv"),
-        "sales_orders_postgres": testdata.bronze_source(spark, sf_dir, "postgres"),
-    })
+    tables = dict(zip(("csv", "postgres"), BRONZE_TABLES, strict=True))
+    return qa.source_summary(spark, testdata.bronze_orders(spark, sf_dir), tables)
 
 
 def q_null_profile(spark, sf_dir):
@@ -131,20 +129,25 @@ def q_distinct_region(spark, sf_dir):
 
 
 def q_layer_audit(spark, sf_dir):
-    silver = _silver(spark, sf_dir)
-    tables = {
-        ("BRONZE", "sales_orders_csv"): testdata.bronze_source(spark, sf_dir, "csv"),
-        ("BRONZE", "sales_orders_postgres"): testdata.bronze_source(spark, sf_dir, "postgres"),
-        ("SILVER", "sales_orders"): silver,
+    bronze = testdata.bronze_orders(spark, sf_dir)
+    ranked = clean_orders(rank_sources(bronze, list(SILVER_KEYS), tiebreak=list(testdata.TIEBREAK)))
+    tables = dict(zip(("csv", "postgres"), BRONZE_TABLES, strict=True))
+    gold = {
+        "revenue_by_region": F.col("region"),
+        "revenue_by_product": F.col("product_name"),
+        "order_status_breakdown": F.col("status"),
+        "monthly_sales_trend": year_month("order_date"),
     }
-    tables.update({("GOLD", name): df for name, df in gold_tables(silver).items()})
-    return qa.layer_audit(tables)
+    return qa.single_scan_audit(ranked, "kept", tables, SILVER_TABLE, gold)
 
 
 def q_csv_round_trip(spark, sf_dir):
-    path = f"{fresh_lake(spark, 'csv').root}/sales_orders_csv"
-    write_orders_csv(testdata.bronze_source(spark, sf_dir, "csv").select(*ORDER_COLUMNS), path)
-    return read_orders_csv(spark, path, WIDE_SALES_ORDERS_SCHEMA, source="csv").drop("ingested_at")
+    lake = fresh_lake(spark, "csv")
+    read = []
+    for source in ("csv", "postgres"):
+        write_orders_csv(testdata.bronze_source(spark, sf_dir, source).select(*ORDER_COLUMNS), f"{lake.root}/{source}")
+        read.append(read_orders_csv(spark, f"{lake.root}/{source}", WIDE_SALES_ORDERS_SCHEMA, source=source).drop("ingested_at"))
+    return read[0].unionAll(read[1])
 
 
 # --- table operations --------------------------------------------------------------
@@ -161,9 +164,28 @@ def q_constraint_violations(spark, sf_dir):
 
 
 def q_table_history(spark, sf_dir):
-    shared_dir(spark)
-    run = run_layers(spark, sf_dir, horizon=HORIZON, holdout=HOLDOUT)
-    return run.history.select("layer", "table_name", "version", "operation", "row_count")
+    return run_test_layers(spark, sf_dir, horizon=HORIZON, holdout=HOLDOUT).writes
+
+
+def q_layer_tables(spark, sf_dir):
+    """The stored silver (as one row of totals) and all rows of the stored gold tables, in one shape."""
+    store = run_test_layers(spark, sf_dir, horizon=HORIZON, holdout=HOLDOUT).store
+    silver = store.read("silver", SILVER_TABLE)
+    none = F.lit(None)
+    out = silver.agg(F.count("*").alias("orders"), F.sum("quantity").cast("bigint").alias("units"), F.min("order_id").alias("a"), F.max("order_id").alias("z"))
+    out = out.select(F.lit(SILVER_TABLE).alias("table_name"), F.concat_ws("-", "a", "z").alias("key"), none.cast("double").alias("revenue"), "orders", "units", none.cast("double").alias("mean"))
+    for name, key, revenue, units, mean in (
+        ("revenue_by_region", "region", "total_revenue", none, "avg_order_value"),
+        ("revenue_by_product", "product_name", "total_revenue", F.col("total_units_sold"), "avg_unit_price"),
+        ("order_status_breakdown", "status", "total_revenue", none, "avg_order_value"),
+        ("monthly_sales_trend", "year_month", "monthly_revenue", none, "avg_order_value"),
+    ):
+        rows = store.read("gold", name).select(
+            F.lit(name).alias("table_name"), F.col(key).alias("key"), F.col(revenue).alias("revenue"),
+            F.col("total_orders").alias("orders"), units.cast("bigint").alias("units"), F.col(mean).alias("mean"),
+        )
+        out = out.unionByName(rows)
+    return out
 
 
 # --- forecasting -----------------------------------------------------------------
@@ -197,13 +219,23 @@ def q_forecast_accuracy(spark, sf_dir):
 
 
 def q_seasonal_forecast_by_region(spark, sf_dir):
-    pred = fc.predict_seasonal(_region_split(spark, sf_dir), ["region"], HORIZON)
-    return _no_stamp(fc.forecast_table(pred, ["region"]))
+    """Months, actuals and flags, and whether the forecasts are those of a fit that satisfies its equations."""
+    pred = fc.predict_seasonal(_region_split(spark, sf_dir), ["region"], HORIZON, with_fit=True)
+    gap = fc.fit_gap(pred, ["region"]).select(F.col("region").alias("_region"), "equation_gap", "forecast_gap")
+    fits = (F.col("equation_gap") < 1e-6) & (F.col("forecast_gap") < 1e-6)
+    banded = F.col("lower").isNotNull() & (F.col("lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("upper"))
+    joined = pred.filter("in_frame").join(gap, F.col("region").eqNullSafe(F.col("_region")))
+    return joined.select(
+        "region", F.date_format("month", "yyyy-MM").alias("month"), F.col("actual").alias("actual_revenue"),
+        F.col("actual").isNull().alias("is_forecast"), fits.alias("fits"), banded.alias("banded"),
+    )
 
 
 def q_forecast_runs(spark, sf_dir):
+    """Run records of the seasonal model; of its errors (they depend on the solver's rounding) only whether they are there."""
     pred = fc.predict_seasonal(_region_split(spark, sf_dir), ["region"], HORIZON)
-    return _no_stamp(fc.forecast_runs(fc.forecast_accuracy(pred, ["region"]), "seasonal", HORIZON, HOLDOUT))
+    runs = _no_stamp(fc.forecast_runs(fc.forecast_accuracy(pred, ["region"]), "seasonal", HORIZON, HOLDOUT))
+    return runs.withColumns({c: F.col(c).isNotNull() & (F.col(c) >= 0) for c in ("mae", "mape_pct")}).withColumnsRenamed({"mae": "has_mae", "mape_pct": "has_mape"})
 
 
 def q_trend_forecast_runs(spark, sf_dir):
@@ -211,12 +243,13 @@ def q_trend_forecast_runs(spark, sf_dir):
     return _no_stamp(fc.forecast_runs(fc.forecast_accuracy(pred, ["region"]), "trend", HORIZON, HOLDOUT))
 
 
-# --- generator curves and synthetic orders -------------------------------------------
+# --- generator curves -------------------------------------------
 
 def _dated(spark, sf_dir):
     silver = _silver(spark, sf_dir).select("order_id", "order_date")
-    # one scalar subquery for both ends of the window (no join, no global window)
-    bounds = silver.agg(F.struct(F.min("order_date").alias("s"), F.max("order_date").alias("e"))).scalar()
+    # every order keeps its date through the dedup, so the ends of the window come from bronze
+    dates = testdata.bronze_orders(spark, sf_dir)
+    bounds = dates.agg(F.struct(F.min("order_date").alias("s"), F.max("order_date").alias("e"))).scalar()
     return silver, bounds.getField("s"), bounds.getField("e")
 
 
@@ -230,17 +263,9 @@ def q_seasonal_factor(spark, sf_dir):
     return silver.select("order_id", "order_date", seasonal_factor("order_date").alias("seasonal_factor"))
 
 
-def q_synthetic_orders(spark, sf_dir):
-    orders = testdata.table(spark, sf_dir, "orders")
-    ids = orders.select(F.col("o_orderkey").alias("order_id"))
-    end = orders.agg(F.max(F.col("o_orderdate").cast("date"))).scalar()
-    csv = synth_orders(ids, end, "csv", seed=1).withColumn("source", F.lit("csv"))
-    pg = synth_orders(ids, end, "postgres", seed=2).withColumn("source", F.lit("postgres"))
-    return csv.unionByName(pg)
-
-
 QUERIES: dict[str, Query] = {
     "silver_orders": q_silver_orders,
+    "silver_from_sources": q_silver_from_sources,
     "revenue_by_region": q_revenue_by_region,
     "revenue_by_product": q_revenue_by_product,
     "order_status_breakdown": q_order_status_breakdown,
@@ -260,6 +285,7 @@ QUERIES: dict[str, Query] = {
     "merge_upsert": q_merge_upsert,
     "constraint_violations": q_constraint_violations,
     "table_history": q_table_history,
+    "layer_tables": q_layer_tables,
     "forecast_series": q_forecast_series,
     "holdout_split": q_holdout_split,
     "trend_fit": q_trend_fit,
@@ -270,5 +296,4 @@ QUERIES: dict[str, Query] = {
     "trend_forecast_runs": q_trend_forecast_runs,
     "growth_factor": q_growth_factor,
     "seasonal_factor": q_seasonal_factor,
-    "synthetic_orders": q_synthetic_orders,
 }

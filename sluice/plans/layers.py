@@ -1,4 +1,4 @@
-"""B2: bronze -> silver -> gold -> forecast, every layer stored and versioned.
+"""B2: bronze -> silver -> gold -> forecast over the caller's own sources, every layer stored.
 
 Each layer reads the *stored* previous layer, so the silver plan runs once
 (not once per gold table) and every later step restarts from files in the
@@ -7,6 +7,7 @@ shared folder rather than from a long lineage.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,8 @@ from sluice.config import LakeConfig, create_namespaces, fresh_lake
 from sluice.operators import forecast as fc
 from sluice.operators.tables import TableStore
 from sluice.plans.gold import gold_tables_single_pass
-from sluice.plans.silver import build_silver
+from sluice.plans.silver import SILVER_KEYS, build_silver
+from sluice.schema import SILVER_SCHEMA
 from sluice.sources import testdata
 
 # Table names and the reference's CHECK rules on revenue_by_region.
@@ -28,57 +30,58 @@ REGION_RULES = {"revenue_positive": "total_revenue > 0", "orders_positive": "tot
 class LayerRun:
     store: TableStore
     audit: DataFrame
-    history: DataFrame
+    writes: DataFrame
 
 
 def run_layers(
     spark: SparkSession,
-    sf_dir: str,
+    sources: Mapping[str, DataFrame],
     lake: LakeConfig | None = None,
     clock: Column | None = None,
     horizon: int = 6,
     holdout: int = 2,
     forecast_model: str = "seasonal",
+    tiebreak: Sequence[str] | None = None,
+    drop_after: Sequence[str] = (),
 ) -> LayerRun:
-    """Run every layer over the provided tables into ``lake`` (a new folder
-    under ``spark.checkpoint.dir`` when omitted).
-
-    Bronze is overwritten, silver is MERGEd by ``order_id`` (created on the
-    first run, so rerunning with the same data changes nothing), gold is
-    overwritten and published in one commit under the revenue rules, the
-    forecast table is overwritten and one run record per run is appended.
-    Returns the store, the per-table audit and the commit history.
+    """Run every layer over ``sources`` (bronze table name -> frame, e.g. from
+    ``read_orders_csv`` and ``read_postgres``) into ``lake`` (a new folder under
+    ``spark.checkpoint.dir`` when omitted).
+
+    Bronze is overwritten. Silver is created from ``SILVER_SCHEMA`` if absent and
+    MERGEd by its key, so rerunning with the same data changes nothing. Gold is
+    overwritten under the revenue rules, which are attached before its first
+    write, so gold that breaks them is never the current version. The forecast
+    table is overwritten and one run record per run is appended. Returns the
+    store, the row count of every table and the list of writes.
     """
     lake = lake or fresh_lake(spark, "run")
     create_namespaces(spark, lake)
     store = TableStore(spark, lake)
+    for name, frame in sources.items():
+        store.write("bronze", name, frame)
 
-    # both bronze tables come from one scan of the provided tables, written once
-    # and split by source
-    store.write_split(
-        "bronze", testdata.bronze_orders(spark, sf_dir, clock), "source",
-        {"csv": BRONZE_TABLES[0], "postgres": BRONZE_TABLES[1]},
-    )
-
-    updates = build_silver(
-        store.read("bronze", BRONZE_TABLES[0]),
-        store.read("bronze", BRONZE_TABLES[1]),
-        tiebreak=list(testdata.TIEBREAK),
-        drop_after=testdata.TIEBREAK,
-        clock=clock,
-    )
-    # build_silver keeps one row per order_id, so the merge needs no duplicate check
-    store.merge("silver", SILVER_TABLE, updates, ["order_id"], check_unique=False)
+    bronze = [store.read("bronze", name) for name in sources]
+    updates = build_silver(*bronze, keys=SILVER_KEYS, tiebreak=tiebreak, drop_after=drop_after, clock=clock)
+    store.create_if_absent("silver", SILVER_TABLE, SILVER_SCHEMA)
+    # build_silver keeps one row per SILVER_KEYS, so the merge needs no duplicate check
+    store.merge("silver", SILVER_TABLE, updates, SILVER_KEYS, check_unique=False)
 
     silver = store.read("silver", SILVER_TABLE)
-    # one scan of stored silver feeds all four gold tables, published together
-    store.write_many("gold", gold_tables_single_pass(silver, clock))
-    # as the reference: rules are attached after the first write, checked
-    # against the stored rows, and enforced on every later write
     store.add_constraints("gold", "revenue_by_region", REGION_RULES)
+    # one scan of stored silver feeds all four gold tables
+    for name, frame in gold_tables_single_pass(silver, clock).items():
+        store.write("gold", name, frame)
 
     monthly = store.read("gold", "monthly_sales_trend")
     table, runs = fc.forecast_revenue(monthly, (), horizon, holdout, forecast_model, clock=clock)
     store.write("gold", "revenue_forecast", table)
     store.append("gold", "forecast_runs", runs)
-    return LayerRun(store, store.audit(), store.history())
+    return LayerRun(store, store.audit(), store.written())
+
+
+def run_test_layers(spark: SparkSession, sf_dir: str, **options) -> LayerRun:
+    """``run_layers`` over the two order sources of the provided tables."""
+    labels = ("csv", "postgres")
+    sources = {name: testdata.bronze_source(spark, sf_dir, label, options.get("clock")) for name, label in zip(BRONZE_TABLES, labels, strict=True)}
+    return run_layers(spark, sources, tiebreak=list(testdata.TIEBREAK), drop_after=testdata.TIEBREAK, **options)

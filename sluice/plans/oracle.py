@@ -71,6 +71,7 @@ FROM (SELECT {key_expr} AS {key}, {cents()} AS c, count(order_id) AS n FROM {sou
 SQL: dict[str, str] = {}
 
 SQL["silver_orders"] = f"{SILVER_CTE}\nSELECT {SILVER_COLS} FROM silver"
+SQL["silver_from_sources"] = SQL["silver_orders"]
 
 SQL["revenue_by_region"] = SILVER_CTE + rollup("region", "region", "total_revenue", "total_orders")
 
@@ -116,7 +117,7 @@ FROM (SELECT * FROM monthly ORDER BY monthly_revenue DESC NULLS LAST, year_month
 SQL["typed_orders"] = (
     SILVER_CTE
     + """
-SELECT try_cast(order_id AS INTEGER) AS order_id, try_cast(customer_id AS INTEGER) AS customer_id,
+SELECT try_cast(order_id AS BIGINT) AS order_id, try_cast(customer_id AS BIGINT) AS customer_id,
   customer_name, product_sku, product_name, try_cast(quantity AS INTEGER) AS quantity,
   try_cast(unit_price AS DOUBLE) AS unit_price, try_cast(order_date AS DATE) AS order_date,
   region, status, source
@@ -185,7 +186,7 @@ SQL["csv_round_trip"] = (
     "WITH" + BRONZE + """
 SELECT order_id, customer_id, customer_name, product_sku, product_name, quantity, unit_price, order_date,
   region, status, source
-FROM bronze WHERE source = 'csv'"""
+FROM bronze"""
 )
 
 # --- table operations --------------------------------------------------------------
@@ -216,13 +217,33 @@ WHERE ok IS NOT TRUE"""
 # history of one layer run: every table written once at version 0; the forecast
 # table holds the training months (all months but the partial last one and the
 # 2 holdout months) plus the 6-month horizon.
+def _gold_rows(name: str, rollup_sql: str, key: str, revenue: str, orders: str, units: str, average: str) -> str:
+    return f"""
+UNION ALL SELECT '{name}', cast({key} AS VARCHAR), {revenue}, {orders}, {units}, {average} FROM ({rollup_sql})"""
+
+
+_STORED = SILVER_CTE + """
+SELECT 'sales_orders' AS table_name, min(order_id) || '-' || max(order_id) AS key, NULL::DOUBLE AS revenue,
+  count(*) AS orders, cast(sum(quantity) AS BIGINT) AS units, NULL::DOUBLE AS mean
+FROM silver"""
+_STORED += _gold_rows("revenue_by_region", rollup("region", "region", "total_revenue", "total_orders"),
+                      "region", "total_revenue", "total_orders", "NULL::BIGINT", "avg_order_value")
+_STORED += _gold_rows("order_status_breakdown", rollup("status", "status", "total_revenue", "total_orders"),
+                      "status", "total_revenue", "total_orders", "NULL::BIGINT", "avg_order_value")
+_STORED += _gold_rows("monthly_sales_trend", rollup("strftime(order_date, '%Y-%m')", "year_month", "monthly_revenue", "total_orders"),
+                      "year_month", "monthly_revenue", "total_orders", "NULL::BIGINT", "avg_order_value")
+_STORED += _gold_rows("revenue_by_product", SQL["revenue_by_product"][len(SILVER_CTE):],
+                      "product_name", "total_revenue", "total_orders", "total_units_sold", "avg_unit_price")
+SQL["layer_tables"] = _STORED
+
 SQL["table_history"] = (
     SILVER_CTE
     + """
 SELECT 'bronze' AS layer, 'sales_orders_csv' AS table_name, 0::BIGINT AS version, 'OVERWRITE' AS operation,
   count(*) AS row_count FROM bronze WHERE source = 'csv'
 UNION ALL SELECT 'bronze', 'sales_orders_postgres', 0, 'OVERWRITE', count(*) FROM bronze WHERE source = 'postgres'
-UNION ALL SELECT 'silver', 'sales_orders', 0, 'CREATE', count(*) FROM silver
+UNION ALL SELECT 'silver', 'sales_orders', 0, 'CREATE', 0
+UNION ALL SELECT 'silver', 'sales_orders', 1, 'MERGE', count(*) FROM silver
 """
     + "\n".join(f"UNION ALL SELECT 'gold', '{t}', 0, 'OVERWRITE', ({q})" for t, q in _GOLD_COUNTS.items())
     + """
@@ -241,7 +262,7 @@ series_r AS (
   SELECT region, month, y FROM (
     SELECT region, cast(year_month || '-01' AS DATE) AS month, monthly_revenue / cast(100000 AS DOUBLE) AS y
     FROM monthly_r WHERE year_month IS NOT NULL)
-  QUALIFY month < max(month) OVER (PARTITION BY region)),
+  QUALIFY month < max(month) OVER ()),
 split_r AS (
   SELECT *, CASE WHEN row_number() OVER (PARTITION BY region ORDER BY month DESC) <= 2
                  THEN 'test' ELSE 'train' END AS split
@@ -277,7 +298,8 @@ GROUP BY region"""
 _PRED_R = """,
 coef AS (
   SELECT region, month, y, split,
-    regr_slope(ty, tx) OVER w AS slope, regr_intercept(ty, tx) OVER w AS intercept,
+    CASE WHEN regr_count(ty, tx) OVER w >= 3 THEN regr_slope(ty, tx) OVER w END AS slope,
+    CASE WHEN regr_count(ty, tx) OVER w >= 3 THEN regr_intercept(ty, tx) OVER w END AS intercept,
     regr_sxx(ty, tx) OVER w AS sxx, regr_sxy(ty, tx) OVER w AS sxy, regr_syy(ty, tx) OVER w AS syy,
     regr_count(ty, tx) OVER w AS n,
     max(CASE WHEN split = 'train' THEN month END) OVER w AS last_train, max(month) OVER w AS last_month
@@ -320,7 +342,7 @@ SELECT region,
   round(avg(CASE WHEN split = 'test' THEN abs(actual - yhat) END), 2) AS mae,
   round(avg(CASE WHEN split = 'test' THEN abs((actual - yhat) / (actual + 1e-9)) END) * 100, 2) AS mape_pct,
   count(*) FILTER (WHERE split = 'test') AS test_months,
-  count(*) FILTER (WHERE split = 'train') AS train_months
+  count(*) FILTER (WHERE split = 'train' AND actual IS NOT NULL) AS train_months
 FROM pred2 GROUP BY region"""
 )
 
@@ -335,10 +357,34 @@ FROM (
     round(avg(CASE WHEN split = 'test' THEN abs(actual - yhat) END), 2) AS mae,
     round(avg(CASE WHEN split = 'test' THEN abs((actual - yhat) / (actual + 1e-9)) END) * 100, 2) AS mape_pct,
     count(*) FILTER (WHERE split = 'test') AS test_months,
-    count(*) FILTER (WHERE split = 'train') AS train_months
+    count(*) FILTER (WHERE split = 'train' AND actual IS NOT NULL) AS train_months
   FROM pred2 GROUP BY region)"""
 )
 
+# Months, actuals and flags of the seasonal model; a fit is right where there are 3 training months or more.
+_TRAINED_R = "(SELECT region AS r, count(*) FILTER (WHERE split = 'train' AND y IS NOT NULL) AS n FROM split_r GROUP BY 1)"
+
+SQL["seasonal_forecast_by_region"] = (
+    REGION_CTE + _PRED_R
+    + f"""
+SELECT region, strftime(month, '%Y-%m') AS month, actual AS actual_revenue, actual IS NULL AS is_forecast,
+  CASE WHEN n >= 3 THEN TRUE END AS fits, n >= 3 AS banded
+FROM pred2 JOIN {_TRAINED_R} ON region IS NOT DISTINCT FROM r WHERE in_frame"""
+)
+
+SQL["forecast_runs"] = (
+    REGION_CTE
+    + """
+SELECT region, train_months >= 3 AND test_months > 0 AS has_mae, train_months >= 3 AND test_months > 0 AS has_mape,
+  test_months, train_months, CASE WHEN train_months < 3 THEN 'too_short' ELSE 'ok' END AS fit_status,
+  'seasonal' AS model, 6 AS horizon_months, 2 AS holdout_months, 'additive' AS seasonality_mode,
+  91.25::DOUBLE AS season_period_days, 3 AS fourier_order, 0.8::DOUBLE AS interval_width
+FROM (
+  SELECT region, count(*) FILTER (WHERE split = 'test') AS test_months,
+    count(*) FILTER (WHERE split = 'train' AND y IS NOT NULL) AS train_months
+  FROM split_r GROUP BY region)"""
+)
+
 _DATED = """
 SELECT order_id, order_date,
   cast(1.0 AS DOUBLE) + cast(0.6 AS DOUBLE) * (datediff('day', s, order_date)

@@ -3,35 +3,47 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from sluice.operators.cleaning import clean_orders
+from sluice.operators.cleaning import clean_orders, enforce_types
 from sluice.operators.dedup import align_and_union, dedup_sources
+from sluice.schema import SILVER_SCHEMA
 from sluice.sources import testdata
 
 
+SILVER_KEYS = ("order_id",)
+
+
+def _finish(deduped: DataFrame, drop_after: Sequence[str], schema: StructType, clock: Column | None) -> DataFrame:
+    cleaned = enforce_types(clean_orders(deduped).drop(*drop_after), schema)
+    return cleaned.withColumn("silver_processed_at", clock if clock is not None else F.current_timestamp())
+
+
 def build_silver(
     *sources: DataFrame,
-    keys: Sequence[str] = ("order_id",),
+    keys: Sequence[str] = SILVER_KEYS,
     tiebreak: Sequence[str] | None = None,
     drop_after: Sequence[str] = (),
     clock: Column | None = None,
+    schema: StructType = SILVER_SCHEMA,
 ) -> DataFrame:
     """Union the sources by name, keep one row per key (master source first),
-    clean text, stamp ``silver_processed_at``.
+    clean text, enforce the types of ``schema``, stamp ``silver_processed_at``.
 
     Dedup runs before cleaning, as in the reference. ``tiebreak`` orders rows
     of one key within one source (default: all other columns), so the result
     is the same on every run. ``drop_after`` removes helper columns (e.g. the
     tiebreak columns) from the result. Passing one frame twice still yields
-    one row per key.
+    one row per key. A value that does not fit its declared type fails the job.
     """
     combined = align_and_union(list(sources))
     deduped = dedup_sources(combined, keys, tiebreak=tiebreak)
-    cleaned = clean_orders(deduped).drop(*drop_after)
-    return cleaned.withColumn("silver_processed_at", clock if clock is not None else F.current_timestamp())
+    return _finish(deduped, drop_after, schema, clock)
 
 
 def silver_orders(
@@ -39,31 +51,22 @@ def silver_orders(
     sf_dir: str,
     clock: Column | None = None,
     sources: Sequence[str] | None = None,
-    part_keys_complete: bool = False,
 ) -> DataFrame:
     """Silver from the provided tables with the dedup moved below the order joins.
 
     Same rows as ``build_silver(bronze csv, bronze postgres, tiebreak=TIEBREAK)``:
     the priority and tiebreak only read line columns and every line of a key
     shares the key's order header, so picking the line first and joining the
-    header after is equivalent. Lineitem is then shuffled once (by order key,
-    after a partial per-task group limit), and the order/customer joins see one
-    row per order instead of one per line. ``sources`` keeps only the named
-    sources (pushed into the lineitem scan).
+    header after is equivalent. The shuffles below the dedup carry raw line
+    columns; SKU and status are derived from the line that stays. ``sources``
+    keeps only the named sources (pushed into the lineitem scan).
 
-    The part join stays below the dedup by default because a line whose part
-    is missing must not win its order (the inner join drops it). When the
-    caller knows every line's part exists, ``part_keys_complete=True`` joins
-    part after the dedup: lineitem is then shuffled once (by order key)
-    instead of twice (by part key, then by order key) when part is too big to
-    broadcast, and the part join sees one row per order.
+    The part join stays below the dedup because a line whose part is missing
+    must not win its order (the inner join drops it).
     """
-    lines = testdata.line_items(spark, sf_dir) if part_keys_complete else testdata.order_lines(spark, sf_dir)
+    lines = testdata.raw_order_lines(spark, sf_dir)
     if sources is not None:
-        lines = lines.filter(F.col("source").isin(list(sources)))
-    best = dedup_sources(lines, ["order_id"], tiebreak=list(testdata.TIEBREAK))
-    if part_keys_complete:
-        best = testdata.with_part(best, spark, sf_dir)
+        lines = lines.filter(reduce(or_, [testdata.lines_of(x) for x in sources]))
+    best = testdata.derived(dedup_sources(lines, ["order_id"], tiebreak=list(testdata.TIEBREAK)))
     bronze = testdata.assemble(best, testdata.order_headers(spark, sf_dir), clock)
-    cleaned = clean_orders(bronze).drop(*testdata.TIEBREAK)
-    return cleaned.withColumn("silver_processed_at", clock if clock is not None else F.current_timestamp())
+    return _finish(bronze, testdata.TIEBREAK, SILVER_SCHEMA, clock)

@@ -28,7 +28,6 @@ ORDER_COLUMNS = (
     "status",
 )
 PROVENANCE_COLUMNS = ("ingested_at", "source")
-SILVER_COLUMNS = ORDER_COLUMNS + PROVENANCE_COLUMNS + ("silver_processed_at",)
 
 
 def sales_orders_schema(id_type: DataType | None = None) -> StructType:
@@ -63,5 +62,5 @@ def silver_schema(id_type: DataType | None = None) -> StructType:
 
 
 SALES_ORDERS_SCHEMA = sales_orders_schema()
-SILVER_SCHEMA = silver_schema()
+SILVER_SCHEMA = silver_schema(LongType())
 WIDE_SALES_ORDERS_SCHEMA = sales_orders_schema(LongType())

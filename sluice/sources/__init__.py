@@ -1,5 +1,4 @@
-"""Sources: CSV files, catalog tables, JDBC, the provided test tables, and the
-synthetic order generator."""
+"""Sources: CSV files, catalog tables, JDBC, and the provided test tables."""
 
 from sluice.sources.files import read_catalog_table, read_orders_csv, with_provenance, write_orders_csv
 from sluice.sources.jdbc import jdbc_options, postgres_url, read_jdbc, read_postgres

@@ -49,7 +49,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _status() -> Column:
     flag, st = F.col("l_returnflag"), F.col("l_linestatus")
     return (
-        F.when(F.col("l_partkey") % 97 == 0, F.lit(" "))
+        F.when(F.col("src_part") % 97 == 0, F.lit(" "))
         .when(flag == "R", F.lit("cancelled"))
         .when((flag == "A") & (st == "F"), F.lit("delivered"))
         .when(flag == "A", F.lit("shipped"))
@@ -62,26 +62,19 @@ def source_of_line(line: Column) -> Column:
     return F.when(line <= CSV_MAX_LINE, F.lit("csv")).otherwise(F.lit("postgres"))
 
 
-LINE_COLUMNS = ("order_id", "product_sku", "quantity", "status", "source") + TIEBREAK
-
-
-def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line-level columns that need no other table."""
-    return table(spark, sf_dir, "lineitem").select(
+def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-level columns as they are, joined to part (inner, on the part key)."""
+    lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
-        F.concat(F.lit(" sku-"), F.lpad(F.col("l_partkey").cast("string"), 6, "0")).alias("product_sku"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        _status().alias("status"),
+        "l_returnflag",
+        "l_linestatus",
         source_of_line(F.col("l_linenumber")).alias("source"),
         F.col("l_linenumber").alias("src_line"),
         F.col("l_partkey").alias("src_part"),
         F.col("l_suppkey").alias("src_supp"),
         F.col("l_extendedprice").alias("src_price"),
     )
-
-
-def with_part(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Add product name and price: inner join to part on the line's part key."""
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("src_part"), F.col("p_name").alias("product_name"),
         F.col("p_retailprice").alias("unit_price"),
@@ -89,11 +82,19 @@ def with_part(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(part, "src_part", "inner")
 
 
+def derived(lines: DataFrame) -> DataFrame:
+    """SKU and status from the raw line columns (a projection, so it can follow a dedup)."""
+    return lines.withColumns(
+        {
+            "product_sku": F.concat(F.lit(" sku-"), F.lpad(F.col("src_part").cast("string"), 6, "0")),
+            "status": _status(),
+        }
+    ).select("order_id", "product_sku", "product_name", "quantity", "unit_price", "status", "source", *TIEBREAK)
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line-level columns: lineitem joined to part (inner, on the part key)."""
-    return with_part(line_items(spark, sf_dir), spark, sf_dir).select(
-        "order_id", "product_sku", "product_name", "quantity", "unit_price", "status", "source", *TIEBREAK
-    )
+    """Line-level columns: lineitem joined to part."""
+    return derived(raw_order_lines(spark, sf_dir))
 
 
 def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,15 +141,20 @@ def bronze_orders(spark: SparkSession, sf_dir: str, clock: Column | None = None)
     return assemble(order_lines(spark, sf_dir), order_headers(spark, sf_dir), clock)
 
 
+def lines_of(source: str) -> Column:
+    """The lines of one source, as a range of ``src_line`` that reaches the scan."""
+    line = F.col("src_line")
+    return line <= CSV_MAX_LINE if source == "csv" else line > CSV_MAX_LINE
+
+
 def bronze_source(spark: SparkSession, sf_dir: str, source: str, clock: Column | None = None) -> DataFrame:
     """One bronze source. The filter on ``src_line`` is pushed through the
     projection and the part join into the lineitem scan."""
-    line = F.col("src_line")
-    keep = line <= CSV_MAX_LINE if source == "csv" else line > CSV_MAX_LINE
-    return assemble(order_lines(spark, sf_dir).filter(keep), order_headers(spark, sf_dir), clock)
+    lines = order_lines(spark, sf_dir).filter(lines_of(source))
+    return assemble(lines, order_headers(spark, sf_dir), clock)
 
 
 __all__ = [
-    "BRONZE_COLUMNS", "TABLES", "TIEBREAK", "assemble", "bronze_orders", "bronze_source",
-    "line_items", "order_headers", "order_lines", "table", "with_part",
+    "BRONZE_COLUMNS", "TABLES", "TIEBREAK", "assemble", "bronze_orders", "bronze_source", "derived", "lines_of",
+    "order_headers", "order_lines", "raw_order_lines", "table",
 ]

@@ -135,3 +135,66 @@ def test_null_series_key_is_its_own_series(spark):
     for model in (fc.predict_trend, fc.predict_seasonal):
         t = fc.forecast_table(model(split, ["region"], 3), ["region"])
         assert t.filter("region IS NULL").count() == 7 + 3
+
+
+def test_a_series_that_ended_early_keeps_its_last_month(spark):
+    m = _monthly(spark, [1, 2, 3], region="gone").unionByName(_monthly(spark, [1, 2, 3, 4, 5], region="here"))
+    s = {(r.region, r.month.month) for r in fc.forecast_series(m, ["region"], 1.0).collect()}
+    assert s == {("gone", 1), ("gone", 2), ("gone", 3), ("here", 1), ("here", 2), ("here", 3), ("here", 4)}
+
+
+def test_a_month_without_a_value_is_left_out(spark):
+    vals = [100.0 + 2 * i for i in range(20)]
+    m = _monthly(spark, vals, region="A").withColumn(
+        "monthly_revenue", F.when(F.col("year_month") != "2020-05", F.col("monthly_revenue")))
+    split = fc.holdout_split(fc.forecast_series(m, ["region"], 1.0), ["region"], 2)
+    for model in (fc.predict_trend, fc.predict_seasonal):
+        pred = model(split, ["region"])
+        assert pred.filter("yhat IS NULL").count() == 0
+        acc = fc.forecast_accuracy(pred, ["region"]).first()
+        assert acc.train_months == 16 and acc.mape_pct < 2.0
+
+
+def test_one_length_rule_for_both_models(spark):
+    split = fc.holdout_split(fc.forecast_series(_lines(spark, 4), ["region"], 1.0), ["region"], 1)  # two training months
+    for model, name in ((fc.predict_trend, "trend"), (fc.predict_seasonal, "seasonal")):
+        pred = model(split, ["region"])
+        assert pred.filter("yhat IS NOT NULL").count() == 0
+        runs = fc.forecast_runs(fc.forecast_accuracy(pred, ["region"]), name, 6, 1).collect()
+        assert {r.fit_status for r in runs} == {"too_short"}
+
+
+def test_the_trend_may_bend(spark):
+    vals = [100.0 + 5 * i for i in range(20)] + [195.0 - 4 * i for i in range(1, 41)]
+    split = fc.holdout_split(fc.forecast_series(_monthly(spark, vals, region="A"), ["region"], 1.0), ["region"], 3)
+    bent = fc.forecast_accuracy(fc.predict_seasonal(split, ["region"]), ["region"]).first()
+    straight = fc.forecast_accuracy(fc.predict_trend(split, ["region"]), ["region"]).first()
+    assert bent.mae < straight.mae / 2
+
+
+def test_seasonal_fit_satisfies_its_equations(spark):
+    vals = [50 + 1.5 * i + 5 * math.sin(2 * math.pi * i / 3) for i in range(30)]
+    both = _monthly(spark, vals, region="A").unionByName(_monthly(spark, [1, 2, 3], region="B"))
+    split = fc.holdout_split(fc.forecast_series(both, ["region"], 1.0), ["region"], 2)
+    pred = fc.predict_seasonal(split, ["region"], with_fit=True)
+    gaps = {r.region: r for r in fc.fit_gap(pred, ["region"]).collect()}
+    assert gaps["A"].equation_gap < 1e-8 and gaps["A"].forecast_gap < 1e-8
+    assert gaps["B"].equation_gap is None
+    # the check sees a wrong coefficient
+    wrong = pred.withColumn("beta", F.transform("beta", lambda b, i: F.when(i == 1, b * 1.01).otherwise(b)))
+    off = {r.region: r for r in fc.fit_gap(wrong, ["region"]).collect()}["A"]
+    assert off.equation_gap > 1e-3 and off.forecast_gap > 1e-4
+
+
+def test_band_uses_the_effective_parameters(spark):
+    import random
+
+    draw = random.Random(5)
+    vals = [100.0 + draw.gauss(0, 5) for _ in range(20)]
+    split = fc.holdout_split(fc.forecast_series(_monthly(spark, vals, region="A"), ["region"], 1.0), ["region"], 2)
+    rows = fc.predict_seasonal(split, ["region"]).collect()
+    train = [r for r in rows if r.split == "train"]
+    sse = sum((r.actual - r.yhat) ** 2 for r in train)
+    half = rows[0].upper - rows[0].yhat
+    free = sse / (half / fc.Z80) ** 2  # degrees of freedom behind the band
+    assert len(train) - 14 < free < len(train) - 2.5

@@ -3,16 +3,16 @@ projections reach the scans."""
 
 import pytest
 
-import __spark_entry__ as E
+from sluice.plans.catalog import QUERIES
 from tests.conftest import SF_SMALL
 
 # building these writes files, so they are left to their own tests
-WRITES = {"table_history", "csv_round_trip"}
-NAMES = sorted(set(E.queries()) - WRITES)
+WRITES = {"table_history", "layer_tables", "csv_round_trip"}
+NAMES = sorted(set(QUERIES) - WRITES)
 
 
 def _plan(spark, capsys, name):
-    E.queries()[name](spark, SF_SMALL).explain("formatted")
+    QUERIES[name](spark, SF_SMALL).explain("formatted")
     return capsys.readouterr().out
 
 
@@ -29,10 +29,20 @@ def test_lineitem_scan_reads_only_needed_columns(spark, capsys):
 
 
 def test_source_filter_reaches_the_scan(spark, capsys):
-    plan = _plan(spark, capsys, "source_overlap")
+    plan = _plan(spark, capsys, "merge_upsert")
     assert "LessThanOrEqual(l_linenumber,4)" in plan and "GreaterThan(l_linenumber,4)" in plan
 
 
+SCANS = {"layer_audit": 1, "dedup_audit": 1, "source_overlap": 1, "source_summary": 1, "bronze_audit": 1, "silver_orders": 1, "merge_upsert": 2}
+
+
+@pytest.mark.parametrize("name", SCANS)
+def test_lineitem_is_scanned_as_often_as_needed(spark, name):
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("l_orderkey") > 0
+    assert sum("FileScan parquet" in line and "l_orderkey" in line for line in plan.splitlines()) == SCANS[name]
+
+
 PANDAS_GROUPS = {"seasonal_forecast_by_region", "forecast_runs"}
 
 

@@ -16,10 +16,24 @@ def test_distinct_values_sorted_with_null(spark):
     assert [r.s for r in qa.distinct_values(df, "s").collect()] == [None, "A", "B"]
 
 
-def test_dedup_audit(spark):
-    before, after, overlap = spark.range(10), spark.range(7), spark.range(2)
-    r = qa.dedup_audit(before, after, overlap).first()
-    assert (r.rows_before, r.rows_after, r.rows_removed, r.overlapping_keys) == (10, 7, 3, 2)
+def test_dedup_audit_and_overlap_from_one_frame(spark):
+    from sluice.operators.dedup import overlap_within
+
+    df = spark.createDataFrame(
+        [(1, "csv"), (1, "postgres"), (2, "csv"), (2, "csv"), (None, "csv"), (None, "postgres"), (3, None)], "k int, source string")
+    r = qa.dedup_audit(df, "k", "source", "csv", "postgres").first()
+    assert (r.rows_before, r.rows_after, r.rows_removed, r.overlapping_keys) == (7, 4, 3, 2)
+    assert {r.k for r in overlap_within(df, "k", "source", "csv", "postgres").collect()} == {1, None}
+    none = qa.dedup_audit(df.limit(0), "k", "source", "csv", "postgres").first()
+    assert tuple(none) == (0, 0, 0, 0)
+
+
+def test_single_scan_audit_counts_null_groups(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("csv", True, "A"), ("csv", False, "B"), ("postgres", True, None), (None, True, "A")], "source string, kept boolean, g string")
+    out = qa.single_scan_audit(df, "kept", {"csv": "c", "postgres": "p"}, "s", {"g": F.col("g")})
+    assert [tuple(r) for r in out.collect()] == [("BRONZE", "c", 2), ("BRONZE", "p", 1), ("GOLD", "g", 2), ("SILVER", "s", 3)]
 
 
 def test_layer_audit_order(spark):
@@ -44,14 +58,27 @@ def test_schema_diff(spark):
     assert rows == {("created_at", "left_only", "string"), ("extra", "right_only", "double")}
 
 
-def test_enforce_types_safe_and_strict(spark):
+def test_enforce_types_fails_or_nulls(spark):
+    import pytest
+
     df = spark.createDataFrame([("7", "oops", "2025-01-02")], "order_id string, quantity string, order_date string")
-    out = enforce_types(df, SILVER_SCHEMA).first()
+    out = enforce_types(df, SILVER_SCHEMA, bad_values="null").first()
     assert out.order_id == 7 and out.quantity is None and out.order_date == dt.date(2025, 1, 2)
+    with pytest.raises(Exception, match="column quantity"):
+        enforce_types(df, SILVER_SCHEMA).collect()
+    with pytest.raises(ValueError):
+        enforce_types(df, SILVER_SCHEMA, bad_values="drop")
+
+
+def test_enforce_types_keeps_ids_beyond_32_bits(spark):
     import pytest
 
-    with pytest.raises(Exception):
-        enforce_types(df, SILVER_SCHEMA, safe=False).collect()
+    from sluice.schema import sales_orders_schema
+
+    df = spark.createDataFrame([(3_000_000_000, None), (None, 1)], "order_id long, quantity int")
+    assert [r.order_id for r in enforce_types(df, SILVER_SCHEMA).collect()] == [3_000_000_000, None]
+    with pytest.raises(Exception, match="column order_id"):
+        enforce_types(df, sales_orders_schema()).collect()
 
 
 def test_nullify_blanks_only_listed_columns(spark):
@@ -65,10 +92,12 @@ def test_order_value_rounds_to_cents(spark):
     assert with_order_value(df).first().order_value == 1.01
 
 
-def test_source_summary_sql_union(spark):
+def test_source_summary_sql(spark):
     D = dt.date
-    a = spark.createDataFrame([(D(2025, 1, 1), "A"), (D(2025, 2, 1), "B")], "order_date date, region string")
-    b = spark.createDataFrame([(D(2024, 5, 1), "A")], "order_date date, region string")
-    rows = {r.table_name: r for r in qa.source_summary(spark, {"csv": a, "pg": b}).collect()}
-    assert rows["csv"].row_count == 2 and rows["csv"].unique_regions == 2
-    assert rows["pg"].earliest_order == D(2024, 5, 1)
+    df = spark.createDataFrame(
+        [(D(2025, 1, 1), "A", "csv"), (D(2025, 2, 1), "B", "csv"), (D(2024, 5, 1), "A", "postgres"), (D(2023, 1, 1), "C", "other")],
+        "order_date date, region string, source string")
+    rows = {r.table_name: r for r in qa.source_summary(spark, df, {"csv": "web", "postgres": "shop"}).collect()}
+    assert set(rows) == {"web", "shop"}
+    assert rows["web"].row_count == 2 and rows["web"].unique_regions == 2
+    assert rows["shop"].earliest_order == D(2024, 5, 1)

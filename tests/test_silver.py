@@ -20,52 +20,45 @@ def _row(source, oid, cid, name, sku, prod, qty, price, day, region, status):
 
 @pytest.fixture()
 def sources(spark):
-    csv = spark.createDataFrame([
-        _row("csv", 1, 10, "priya nair", "sku-0001", "conveyor belt", 2, 25000.0, D(2025, 10, 1), "karnataka", "pending"),
-        _row("csv", 2, 20, "ARJUN MEHTA", "SKU-0002", "BUCKET ELEVATOR", 3, 35000.0, D(2025, 11, 1), "GUJARAT", "CONFIRMED"),
-        _row("csv", 3, 30, "Divya Rao", "SKU-0003", "Screw Conveyor", 1, 28000.0, D(2025, 12, 1), "Tamil Nadu", "shipped"),
+    web = spark.createDataFrame([
+        _row("csv", 71, 5, "noor el-amin", "tx-9", "garden hose", 6, 14.25, D(2023, 4, 30), " north shore", "open"),
+        _row("csv", 88, 6, "  TOMAS lindqvist", "TX-2", "PAINT ROLLER", 1, 7.5, D(2023, 5, 2), "HARBOUR", "Paid"),
+        _row("csv", 90, 7, "ines duarte", "tx-4", "Step Ladder", 2, 59.99, D(2023, 5, 9), "Old Town", "sent"),
+        _row("csv", 90, 7, "ines duarte", "tx-4", "Step Ladder", 3, 59.99, D(2023, 5, 9), "Old Town", "sent"),
     ])
-    pg = spark.createDataFrame([
-        _row("postgres", 1, 10, "sanjay rajan", "sku-0001", "belt feeder", 5, 22000.0, D(2025, 10, 1), "telangana", "delivered"),
-        _row("postgres", 2, 20, "meena pillai", "SKU-0002", "rotary valve", 4, 18000.0, D(2025, 11, 1), "maharashtra", "cancelled"),
+    shop = spark.createDataFrame([
+        _row("postgres", 88, 6, "tomas lindqvist", "tx-2", "wide paint roller", 2, 8.0, D(2023, 5, 3), "harbour", "returned"),
+        _row("postgres", 71, 5, "noor el-amin", "tx-9", "hose reel", 1, 31.0, D(2023, 4, 30), "north shore", "open"),
+        _row("postgres", 95, 8, "yuki mori", "tx-7", "wood glue", 12, 3.15, D(2023, 6, 1), "hill side", "open"),
     ])
-    return csv, pg
+    return web, shop
 
 
 def _by_id(df):
     return {r["order_id"]: r for r in df.collect()}
 
 
-def test_dedup_one_row_per_order(sources):
-    assert build_silver(*sources).count() == 3
+def test_every_value_of_the_silver_rows(sources):
+    got = build_silver(*sources).drop("ingested_at", "silver_processed_at").orderBy("order_id").collect()
+    assert [tuple(r) for r in got] == [
+        (71, 5, "Noor El-amin", "TX-9", "Hose Reel", 1, 31.0, D(2023, 4, 30), "NORTH SHORE", "OPEN", "postgres"),
+        (88, 6, "Tomas Lindqvist", "TX-2", "Wide Paint Roller", 2, 8.0, D(2023, 5, 3), "HARBOUR", "RETURNED", "postgres"),
+        # two rows of one source: the smaller quantity comes first in the default tie-break
+        (90, 7, "Ines Duarte", "TX-4", "Step Ladder", 2, 59.99, D(2023, 5, 9), "OLD TOWN", "SENT", "csv"),
+        (95, 8, "Yuki Mori", "TX-7", "Wood Glue", 12, 3.15, D(2023, 6, 1), "HILL SIDE", "OPEN", "postgres"),
+    ]
 
 
-def test_postgres_wins_conflict(sources):
-    rows = _by_id(build_silver(*sources))
-    assert rows[1]["customer_name"] == "Sanjay Rajan"
-    assert rows[1]["source"] == "postgres"
-    assert rows[2]["source"] == "postgres"
+def test_silver_types_are_declared(spark, sources):
+    from sluice.schema import SILVER_SCHEMA
 
-
-def test_csv_only_row_kept(sources):
-    rows = _by_id(build_silver(*sources))
-    assert rows[3]["source"] == "csv" and rows[3]["customer_name"] == "Divya Rao"
-
-
-def test_region_and_status_upper(sources):
-    for r in build_silver(*sources).collect():
-        assert r["region"] == r["region"].upper() and r["status"] == r["status"].upper()
-
-
-def test_names_title_case(sources):
-    rows = _by_id(build_silver(*sources))
-    assert rows[2]["customer_name"] == "Meena Pillai"
-    assert rows[2]["product_name"] == "Rotary Valve"
-    assert rows[3]["product_name"] == "Screw Conveyor"
-
-
-def test_sku_upper_trimmed(sources):
-    assert {r["product_sku"] for r in build_silver(*sources).collect()} == {"SKU-0001", "SKU-0002", "SKU-0003"}
+    declared = {f.name: f.dataType.simpleString() for f in SILVER_SCHEMA.fields}
+    assert dict(build_silver(*sources).dtypes) == declared
+    wide = sources[0].withColumn("order_id", F.col("order_id") + 3_000_000_000)
+    assert min(_by_id(build_silver(wide))) == 3_000_000_071
+    text = sources[0].withColumn("quantity", F.lit("a few"))
+    with pytest.raises(Exception, match="column quantity"):
+        build_silver(text).collect()
 
 
 def test_silver_processed_at_never_null(sources):
@@ -171,10 +164,3 @@ def test_dedup_limits_groups_before_the_shuffle(spark, capsys):
     silver_orders(spark, SF_SMALL).explain("formatted")
     plan = capsys.readouterr().out
     assert "WindowGroupLimit" in plan and "Partial" in plan
-
-
-def test_dedup_before_part_join_when_part_keys_complete(spark):
-    clock = F.lit(dt.datetime(2026, 1, 1))
-    safe = silver_orders(spark, SF_SMALL, clock=clock)
-    fast = silver_orders(spark, SF_SMALL, clock=clock, part_keys_complete=True)
-    assert fast.exceptAll(safe).count() == 0 and safe.exceptAll(fast).count() == 0

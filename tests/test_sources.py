@@ -96,14 +96,3 @@ def test_bronze_sources_split_by_line(spark):
     pg = testdata.bronze_source(spark, SF_SMALL, "postgres")
     assert csv.count() + pg.count() == both.count()
     assert {r.source for r in csv.select("source").distinct().collect()} == {"csv"}
-
-
-def test_generate_command_writes_readable_csv(spark, lake):
-    import argparse
-
-    from sluice.__main__ import generate_command
-
-    out = f"{lake.root}/gen"
-    generate_command(argparse.Namespace(rows=200, output=out, profile="postgres", end="2025-12-31", seed=3), spark)
-    back = read_orders_csv(spark, out)
-    assert back.count() == 200 and back.filter("order_id IS NULL OR unit_price IS NULL").count() == 0
