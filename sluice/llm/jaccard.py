@@ -260,3 +260,29 @@ def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataF
     groups = near_groups(docs, size, percent)
     dropped = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_dropped")).distinct()
     return docs.join(dropped, docs.doc_id.cast("long") == F.col("_dropped"), "left_anti")
+
+
+def sql(size: int, percent: int) -> str:
+    """The same groups by an inverted index over shingles."""
+    gram = " || ' ' || ".join(f"w[i + {k}]" for k in range(size))
+    return f"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {size} THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - {size} + 2), lambda i: {gram})) END AS g FROM t
+), e AS (
+  SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id
+  WHERE 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))
+), links AS (
+  SELECT a, b FROM p UNION ALL SELECT b, a FROM p
+), reach AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT s.doc_id, len(g)::BIGINT AS n_shingles, least(s.doc_id, coalesce(min(reach.b), s.doc_id)) AS component_id
+FROM s LEFT JOIN reach ON reach.a = s.doc_id GROUP BY s.doc_id, len(g)
+"""

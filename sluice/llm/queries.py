@@ -74,4 +74,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op1_exact_dedup": exact.SQL,
     "op2_licence_scan": licences.sql(),
+    "op3_ngram_jaccard": jaccard.sql(size=3, percent=90),
 }
