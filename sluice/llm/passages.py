@@ -9,7 +9,7 @@ a node is the minimum of some run of ``LEAST`` shingles, and its nearest smaller
 neighbours are such nodes too.
 
 Windows of all texts that share a signature (hash function and value) are joined
-with the earliest document among them. Where windows of ``ENOUGH`` functions agree
+with the earliest document among them and with the one before in order. Where windows of ``ENOUGH`` functions agree
 on a pair of documents and overlap, the two passages are brought together, cut
 to where they match, and verified: at least ``LEAST`` shingles (50 words) each
 and a Jaccard similarity of ``PERCENT`` or more.
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm import blocks
@@ -36,6 +36,8 @@ FUNCTIONS = 8
 ENOUGH = 3
 #: Passages are fetched in whole steps of so many words, so that many requests for one passage are one.
 STEP = 64
+#: Windows of one signature put in one order; more go into several.
+HOLDERS = 10_000
 _WORDS_KEPT = 1_000_000
 
 
@@ -233,18 +235,48 @@ def best_stretch(match: np.ndarray) -> tuple[int, int]:
     return int(hits[0]), int(hits[-1]) + 1
 
 
-def aligned(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, float] | None:
-    """The matching stretches of two shingle sequences, [start, end) each, and their similarity."""
+def _likeness(a: np.ndarray, b: np.ndarray) -> float | None:
+    """Jaccard similarity of two shingle sequences, if it reaches ``PERCENT``."""
+    x, y = np.unique(a), np.unique(b)
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    union = len(x) + len(y) - common
+    return common / union if 100 * common >= PERCENT * union else None
+
+
+def _matching(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, float] | None:
     s, e = best_stretch(np.isin(a, b))
     if e - s < LEAST:
         return None
     fs, fe = best_stretch(np.isin(b, a[s:e]))
-    if fe - fs < LEAST:
-        return None
-    x, y = np.unique(a[s:e]), np.unique(b[fs:fe])
-    common = len(np.intersect1d(x, y, assume_unique=True))
-    likeness = common / (len(x) + len(y) - common)
-    return (s, e, fs, fe, likeness) if 100 * common >= PERCENT * (len(x) + len(y) - common) else None
+    likeness = _likeness(a[s:e], b[fs:fe]) if fe - fs >= LEAST else None
+    return None if likeness is None else (s, e, fs, fe, likeness)
+
+
+def _longest_run(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, float] | None:
+    """The longest run of shingles that are the same in both, one after the other."""
+    order = np.argsort(b, kind="stable")
+    at = np.minimum(np.searchsorted(b[order], a), len(b) - 1)
+    at = np.where(b[order[at]] == a, order[at], -1)
+    breaks = np.flatnonzero((at[1:] != at[:-1] + 1) | (at[1:] < 0) | (at[:-1] < 0)) + 1
+    starts, ends = np.concatenate([[0], breaks]), np.concatenate([breaks, [len(a)]])
+    best = int(np.argmax(np.where(at[starts] >= 0, ends - starts, 0)))
+    s, e, f = int(starts[best]), int(ends[best]), int(at[starts[best]])
+    return (s, e, f, f + e - s, 1.0) if f >= 0 and e - s >= LEAST else None
+
+
+def aligned(a: np.ndarray, b: np.ndarray, base: int = 0) -> list[tuple[int, int, int, int, float]]:
+    """The matching stretches of two shingle sequences, [start, end) each, and their similarity.
+
+    The longest that reaches ``PERCENT``, else the longest run of equal
+    shingles; then the same on what lies before and after it.
+    """
+    if len(a) < LEAST or len(b) < LEAST:
+        return []
+    found = _matching(a, b) or _longest_run(a, b)
+    if not found:
+        return []
+    s, e, fs, fe, likeness = found
+    return [*aligned(a[:s], b, base), (base + s, base + e, fs, fe, likeness), *aligned(a[e:], b, base + e)]
 
 
 _FOUND_DDL = "doc_id long, start long, end long, first_doc_id long, first_start long, first_end long, similarity double"
@@ -257,9 +289,7 @@ def _verified_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         out = []
         columns = [batch.column(x).to_pylist() for x in ("id", "low", "passage", "first_id", "first_low", "first_passage")]
         for doc, low, text, first, first_low, first_text in zip(*columns, strict=True):
-            got = aligned(*(shingle_hashes(word_hashes(t)) for t in (text, first_text)))
-            if got:
-                s, e, fs, fe, likeness = got
+            for s, e, fs, fe, likeness in aligned(*(shingle_hashes(word_hashes(t)) for t in (text, first_text))):
                 out.append((doc, low + s, low + e + WORDS - 1, first, first_low + fs, first_low + fe + WORDS - 1, likeness))
         columns = zip(*out, strict=True) if out else [()] * 7
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names)
@@ -287,9 +317,16 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     windows = scratch.store(known.join(shared, "block").mapInArrow(_window_rows(buckets), _WINDOW_DDL), "tied")
 
     place = F.struct("id", "block", "i", "a", "c", "b")
-    first = windows.groupBy(F.col("key").alias("of")).agg(F.min(place).alias("first"), F.max(F.struct("id", "block", "i")).alias("last"))
+    first = windows.groupBy(F.col("key").alias("of")).agg(
+        F.min(place).alias("first"), F.max(F.struct("id", "block", "i")).alias("last"), F.count("*").alias("holders")
+    )
     first = first.where(F.struct("first.id", "first.block", "first.i") != F.col("last")).drop("last")
-    joined = windows.join(first, windows.key == F.col("of")).where(F.struct("id", "block", "i") != F.struct("first.id", "first.block", "first.i"))
+    # besides the first holder, the one before in order; a hot signature is dealt over several such orders
+    share = F.pmod(F.xxhash64("block", "i"), F.ceil(F.col("holders") / HOLDERS))
+    joined = windows.join(first, windows.key == F.col("of")).withColumn("share", share)
+    before = F.lag(place).over(Window.partitionBy("key", "share").orderBy("id", "block", "i"))
+    joined = joined.withColumn("before", before).withColumn("first", F.explode(F.array_distinct(F.array_compact(F.array("first", "before")))))
+    joined = joined.where(F.struct("id", "block", "i") != F.struct("first.id", "first.block", "first.i"))
     pair = ["id", "block", "i", "first_id", "first_block", "first_i"]
     evidence = joined.select(
         "id", "block", "i", "a", "c", "b", *[F.col(f"first.{x}").alias(f"first_{x}") for x in ("id", "block", "i")], *[F.col(f"first.{x}").alias(f"f{x}") for x in "acb"]
