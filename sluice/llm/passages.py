@@ -38,7 +38,7 @@ ENOUGH = 3
 STEP = 64
 #: Windows of one signature put in one order; more go into several.
 HOLDERS = 10_000
-_WORDS_KEPT = 1_000_000
+_WORDS_KEPT = 500_000
 
 
 def word_hashes(raw: bytes) -> np.ndarray:
@@ -53,63 +53,98 @@ def shingle_hashes(words: np.ndarray) -> np.ndarray:
     n = len(words) - WORDS + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = np.zeros(n, np.uint64)
+    out, mixed = np.zeros(n, np.uint64), _mix(words)
     for i in range(WORDS):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + _mix(words[i : i + n])
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += mixed[i : i + n]
     return _mix(out)
 
 
 def function(hashes: np.ndarray, number: int) -> np.ndarray:
-    return _mix(hashes ^ np.uint64(0x9E3779B97F4A7C15 * (number + 1) % 2**64))
+    """Values of one hash function, from 1."""
+    return np.maximum(_mix(hashes ^ np.uint64(0x9E3779B97F4A7C15 * (number + 1) % 2**64)), np.uint64(1))
 
 
-def compact_windows(h: np.ndarray, least: int = LEAST) -> list[tuple[int, int, int]]:
-    """(a, c, b), inclusive, of every node of the Cartesian tree of ``h`` that spans ``least`` or more; ties go left."""
-    n = len(h)
-    if n < least:
-        return []
-    place = np.arange(n)
-    best, reach = place, 1  # best[i]: place of the least of h[i : i + reach]
-    while reach < least:
-        move = min(reach, least - reach)
-        left, right = best[: len(best) - move], best[move:]
-        best = np.where(h[right] < h[left], right, left)
+def _sliding(pick: np.ufunc, h: np.ndarray, width: int) -> np.ndarray:
+    """``pick`` (minimum or maximum) of every run of ``width``, by doubling."""
+    out, reach = h, 1
+    while reach < width:
+        move = min(reach, width - reach)
+        out = pick(out[: len(out) - move], out[move:])
         reach += move
-    nodes = np.unique(best)
-    value, at = h[nodes].tolist(), nodes.tolist()
-    before, after, stack = [-1] * len(at), [n] * len(at), []
-    for i, v in enumerate(value):
-        while stack and value[stack[-1]] > v:
-            after[stack.pop()] = at[i]
-        if stack:
-            before[i] = at[stack[-1]]
-        stack.append(i)
-    return [(p + 1, c, q - 1) for p, c, q in zip(before, at, after, strict=True) if q - p - 1 >= least]
-
-
-def signatures(hashes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-    """(key, a, c, b) of the widest window of each signature of a text."""
-    for f in range(FUNCTIONS):
-        h = function(hashes, f)
-        found = compact_windows(h)
-        if found:
-            widest = {}
-            for w in found:
-                v = int(h[w[1]])
-                if v not in widest or w[2] - w[0] > widest[v][2] - widest[v][0]:
-                    widest[v] = w
-            for v, w in widest.items():
-                yield v, *w
-
-
-def _keys_of(raws: list[bytes], skipped: set[int]) -> tuple[np.ndarray, list[tuple[int, int, int, int]]]:
-    keys, rows = [], []
+    return out
+
+
+def _nearest(value: np.ndarray, or_equal: bool) -> np.ndarray:
+    """For every place the nearest one to the left with a smaller (or equal) value; place 0 holds the least.
+
+    All values between a place and its candidate are too large, which stays so
+    when the candidate is replaced by its own.
+    """
+    at = np.maximum(np.arange(len(value)) - 1, 0)
+    open_ = np.arange(1, len(value))
+    while len(open_):
+        here = value[at[open_]]
+        open_ = open_[here > value[open_] if or_equal else here >= value[open_]]
+        open_ = open_[at[open_] > 0]
+        at[open_] = at[at[open_]]
+    return at
+
+
+def tree_nodes(h: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, c, b), inclusive, of the nodes of Cartesian trees that span ``least`` or more; ties go left.
+
+    ``h`` holds one or more sequences of values from 1, a 0 before, between and
+    after them; a tree never goes across a 0.
+    """
+    if len(h) < least + 2:
+        return (np.zeros(0, np.int64),) * 3
+    low = _sliding(np.minimum, h, least)
+    edge = np.zeros(least - 1, h.dtype)
+    high = _sliding(np.maximum, np.concatenate([edge, low, edge]), least)
+    place = np.flatnonzero((h == high) | (h == 0))  # least of some run around it
+    value = h[place]
+    before = place[_nearest(value, or_equal=True)]
+    after = place[len(place) - 1 - _nearest(value[::-1], or_equal=False)[::-1]]
+    kept = (value > 0) & (after - before > least)
+    return before[kept] + 1, place[kept], after[kept] - 1
+
+
+def compact_windows(h: np.ndarray, least: int = LEAST) -> list[tuple[int, int, int]]:
+    """The nodes of one sequence."""
+    edge = np.zeros(1, np.uint64)
+    nodes = tree_nodes(np.concatenate([edge, np.maximum(h, np.uint64(1)), edge]), least)
+    return [(a - 1, c - 1, b - 1) for a, c, b in zip(*(x.tolist() for x in nodes), strict=True)]
+
+
+def _keys_of(raws: list[bytes], skipped: set[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a block's texts, and (text, a, c, b) of each: the widest window of every signature of a text."""
+    texts, parts = [], []
     for i, raw in enumerate(raws):
-        if i not in skipped:
-            for key, a, c, b in signatures(shingle_hashes(word_hashes(raw))):
-                keys.append(key)
-                rows.append((i, a, c, b))
-    return np.array(keys, np.uint64), rows
+        hashes = shingle_hashes(word_hashes(raw)) if i not in skipped and len(raw) >= 2 * (LEAST + WORDS) - 3 else ()
+        if len(hashes) >= LEAST:
+            texts.append(i)
+            parts.append(hashes)
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros((0, 4), np.int32)
+    begin = np.cumsum([1] + [len(x) + 1 for x in parts])  # a 0 before each text and after the last
+    every = np.zeros(begin[-1], np.uint64)
+    for at, x in zip(begin, parts, strict=False):
+        every[at : at + len(x)] = x
+    gaps = np.concatenate([[0], begin[1:] - 1])
+    keys, rows = [], []
+    for f in range(FUNCTIONS):
+        h = function(every, f)
+        h[gaps] = 0
+        a, c, b = tree_nodes(h)
+        own = np.searchsorted(begin, c, side="right") - 1
+        order = np.lexsort((a - b, h[c], own))
+        same = (own[order[1:]] == own[order[:-1]]) & (h[c[order[1:]]] == h[c[order[:-1]]])
+        kept = np.sort(order[np.concatenate([[True], ~same])]) if len(order) else order
+        a, c, b, own = a[kept], c[kept], b[kept], own[kept]
+        keys.append(h[c])
+        rows.append(np.stack([np.array(texts)[own], a - begin[own], c - begin[own], b - begin[own]], axis=1).astype(np.int32))
+    return np.concatenate(keys), np.concatenate(rows)
 
 
 def _key_rows(buckets: int):
@@ -136,9 +171,9 @@ def _window_rows(buckets: int):
                 keys, rows = _keys_of(split(row["payload"], row["sizes"]), set(row["copies"] or ()))
                 sent, place, count = np.unique(keys, return_inverse=True, return_counts=True)
                 shared = (bits(row["windows"], sent, buckets) | (count > 1))[place] if len(keys) else np.zeros(0, bool)
-                ids = [LAST if d is None else d for d in row["doc_ids"]]
-                out = [(k, ids[w[0]], row["block"], *w) for k, w, s in zip(keys.view(np.int64).tolist(), rows, shared.tolist(), strict=True) if s]
-                columns = zip(*out, strict=True) if out else [()] * 7
+                ids = np.array([LAST if d is None else d for d in row["doc_ids"]], np.int64)
+                keys, rows = keys[shared].view(np.int64), rows[shared]
+                columns = [keys, ids[rows[:, 0]], np.full(len(keys), row["block"], np.int64), *rows.T]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names)
 
     return run
