@@ -46,28 +46,41 @@ def _tables(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
     return _powers
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+
+
 class PrefixHashes:
     """Prefix arrays of one text, by code points."""
 
-    def __init__(self, text: str):
-        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
-        self.length = len(code)
+    def __init__(self, text: str, prefix: PrefixHashes | None = None, kept: int = 0):
+        """The hashes of ``text``, or of the first ``kept`` characters behind ``prefix`` with ``text`` after them."""
+        code = _codes(text)
+        self.length = kept + len(code)
         self.sums = []
-        for (up, _), prime in zip(_tables(self.length + 1), PRIMES, strict=True):
-            terms = code * up[: self.length] % np.uint64(prime)
-            self.sums.append(np.concatenate([[np.uint64(0)], np.cumsum(terms, dtype=np.uint64) % np.uint64(prime)]))
+        for k, ((up, _), prime) in enumerate(zip(_tables(self.length + 1), PRIMES, strict=True)):
+            begun = prefix.sums[k][: kept + 1] if prefix else np.zeros(1, np.uint64)
+            terms = code * up[kept : self.length] % np.uint64(prime)
+            more = (np.cumsum(terms, dtype=np.uint64) + begun[-1]) % np.uint64(prime)
+            self.sums.append(np.concatenate([begun, more]))
+
+    def windows(self, begin: int = 0) -> np.ndarray:
+        """Hashes of the spans of ``WIDTH`` characters that start at ``begin`` or later."""
+        out, end = np.zeros(self.length - WIDTH + 1 - begin, np.uint64), self.length - WIDTH + 1
+        for sums, (_, down), prime in zip(self.sums, _tables(self.length + 1), PRIMES, strict=True):
+            apart = sums[begin + WIDTH :] + np.uint64(prime) - sums[begin:end]  # below 2^32, so the product fits
+            out = out << np.uint64(31) | apart * down[begin:end] % np.uint64(prime)
+        return out
 
-    def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hashes of the spans [start, end); equal for equal spans of any texts."""
-        out = np.zeros(len(start), np.uint64)
+    def span(self, start: int, end: int) -> int:
+        """Hash of the span [start, end); equal for equal spans of any texts."""
+        out = 0
         for sums, (_, down), prime in zip(self.sums, _tables(self.length + 1), PRIMES, strict=True):
-            p = np.uint64(prime)
-            out = out << np.uint64(31) | (sums[end] + p - sums[start]) % p * down[start] % p
+            out = out << 31 | (int(sums[end]) - int(sums[start])) % prime * int(down[start]) % prime
         return out
 
     def equal(self, start: int, other: PrefixHashes, at: int, length: int) -> bool:
-        mine = self.spans(np.array([start]), np.array([start + length]))
-        return bool((mine == other.spans(np.array([at]), np.array([at + length]))).all())
+        return self.span(start, start + length) == other.span(at, at + length)
 
     def extension(self, start: int, other: PrefixHashes, at: int) -> int:
         """Length of the longest common extension from ``start`` here and ``at`` there."""
@@ -87,46 +100,52 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def sketch(hashes: PrefixHashes) -> np.ndarray:
-    """The least ``KEPT`` distinct 32-bit values of the text's spans; a shorter text is one span."""
-    n = hashes.length
-    if not n:
-        return np.zeros(0, np.uint64)
-    start = np.arange(max(1, n - WIDTH + 1))
-    value = _mix(hashes.spans(start, np.minimum(start + WIDTH, n))) >> np.uint64(32)
+def values(hashes: PrefixHashes, begin: int = 0) -> np.ndarray:
+    """32-bit values of the text's spans from ``begin``; a shorter text is one span."""
+    if hashes.length >= WIDTH:
+        raw = hashes.windows(begin)
+    else:
+        raw = np.array([hashes.span(0, hashes.length)] if hashes.length else [], np.uint64)
+    return _mix(raw) >> np.uint64(32)
+
+
+def sketch(value: np.ndarray) -> list[int]:
+    """The least ``KEPT`` distinct values, ascending."""
     few = 4 * KEPT
     if len(value) > few:
         least = np.unique(np.partition(value, few)[:few])
         if len(least) >= KEPT:
-            return least[:KEPT]
-    return np.unique(value)[:KEPT]
+            return least[:KEPT].tolist()
+    return np.unique(value)[:KEPT].tolist()
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
+def likeness(a: list[int], b: list[int]) -> float:
     """Estimated Jaccard similarity of two span sets; two empty texts are alike."""
-    if not len(a) and not len(b):
-        return 1.0
-    least = np.union1d(a, b)[:KEPT]
-    return float(np.isin(least, np.intersect1d(a, b)).sum() / len(least))
+    x, y = set(a), set(b)
+    least = sorted(x | y)[:KEPT]
+    return sum(v in x and v in y for v in least) / len(least) if least else 1.0
 
 
-def written(hashes: PrefixHashes, least: np.ndarray) -> str:
-    whole = int(hashes.spans(np.array([0]), np.array([hashes.length]))[0])
-    return f"{hashes.length:x}.{whole:016x}." + "".join([f"{x:08x}" for x in least.tolist()])
+def written(hashes: PrefixHashes, least: list[int]) -> str:
+    return f"{hashes.length:x}.{hashes.span(0, hashes.length):016x}." + "".join([f"{x:08x}" for x in least])
 
 
 class _Document:
     def __init__(self, doc_id: int | None, text: str):
         self.doc_id, self.text = doc_id, text
         self.hashes = PrefixHashes(text)
-        self.least = sketch(self.hashes)
+        self.values = values(self.hashes)
+        self.least = sketch(self.values)
 
     def row(self, following: _Document) -> dict:
         n = len(self.text)
         cut = n // 3
-        edited = self.text[: n - cut] + following.text[:cut]
-        hashes = PrefixHashes(edited)
-        least = sketch(hashes)
+        end = following.text[:cut]
+        # prefix sums and spans of what stays are those of the text
+        hashes = PrefixHashes(end, self.hashes, n - cut)
+        shared = max(0, n - cut - WIDTH + 1) if hashes.length >= WIDTH else 0
+        least = sketch(np.concatenate([self.values[:shared], values(hashes, shared)]))
+        edited = self.text[: n - cut] + end
         return {
             "doc_id": self.doc_id,
             "n_chars": n,

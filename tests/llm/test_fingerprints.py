@@ -1,7 +1,6 @@
 import hashlib
 import random
 
-import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -33,7 +32,10 @@ def test_long_text_tables_agree_with_plain_arithmetic():
             for c in reversed(text[start:end]):
                 part = (part * base + ord(c) + 1) % prime
             want = want << 31 | part
-        assert int(hashes.spans(np.array([start]), np.array([end]))[0]) == want
+        assert hashes.span(start, end) == want
+    assert hashes.windows(30_000).tolist() == [hashes.span(i, i + fp.WIDTH) for i in range(30_000, 40_000 - fp.WIDTH + 1)]
+    again = fp.PrefixHashes(text[1234:], hashes, 1234)
+    assert all((x == y).all() for x, y in zip(hashes.sums, again.sums, strict=True))
 
 
 def plain(rows):
