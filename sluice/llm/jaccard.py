@@ -28,27 +28,12 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import Scratch, bound_batches
 from sluice.llm.components import components
+from sluice.llm.hashing import mix, word_hashes
 
 #: Chunk of a large block: documents and text bytes at most.
 CHUNK_DOCS = 2000
 CHUNK_BYTES = 24 << 20
 SKETCH_WORDS = 16
-_WORDS_KEPT = 1_000_000
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_words = _WordHashes()
-
-
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -56,17 +41,14 @@ def shingles(text: str | None, size: int) -> np.ndarray:
 
     Fewer words than ``size`` form one shingle; none form an empty set.
     """
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(_words) > _WORDS_KEPT:
-        _words.clear()
-    h = np.array([_words[w] for w in words], np.uint64)
+    h = word_hashes((text or "").encode())
+    if not len(h):
+        return h
     n = min(size, len(h))
     out = np.zeros(len(h) - n + 1, np.uint64)
     for i in range(n):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + _mix(h[i : len(h) - n + 1 + i])
-    return np.unique(_mix(out + np.uint64(n)))
+        out = out * np.uint64(0x9E3779B97F4A7C15) + mix(h[i : len(h) - n + 1 + i])
+    return np.unique(mix(out + np.uint64(n)))
 
 
 def most_apart(total: int, percent: int) -> int:
@@ -100,7 +82,7 @@ def _bands_of(n: int, percent: int) -> list[tuple[int, int, int]]:
 def sketch_keys(hashes: np.ndarray, percent: int) -> np.ndarray:
     """One join key per (band, piece, value); an empty piece counts only for sets with more of them than E."""
     out = [np.zeros(0, np.uint64)]
-    place = _mix(hashes ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(32)
+    place = mix(hashes ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(32)
     for low, pieces, spare in _bands_of(len(hashes), percent) if len(hashes) else ():
         if not pieces:
             continue  # only equal sets are near enough
@@ -113,13 +95,13 @@ def sketch_keys(hashes: np.ndarray, percent: int) -> np.ndarray:
             full = np.zeros(pieces, np.uint64)
             full[index.astype(np.int64)] = value
             value, index = full, np.arange(pieces, dtype=np.uint64)
-        out.append(_mix(value ^ _mix(index * np.uint64(0x9E3779B97F4A7C15) + np.uint64(low))))
+        out.append(mix(value ^ mix(index * np.uint64(0x9E3779B97F4A7C15) + np.uint64(low))))
     return np.concatenate(out)
 
 
 def bit_sketch(hashes: np.ndarray) -> np.ndarray:
     """Parity bits, one toggled per shingle: their Hamming distance is at most the symmetric difference."""
-    bit = _mix(hashes ^ np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - (64 * SKETCH_WORDS).bit_length() + 1)
+    bit = mix(hashes ^ np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - (64 * SKETCH_WORDS).bit_length() + 1)
     odd = (np.bincount(bit.astype(np.int64), minlength=64 * SKETCH_WORDS) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.uint64)
 

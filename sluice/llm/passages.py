@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from sluice.llm import blocks
 from sluice.llm.blocks import BUCKET_SCHEMA, LAST, answered, bits, deal, later_copies, lay_out, split, tied, to_batches
 from sluice.llm.common import Scratch
-from sluice.llm.jaccard import _mix, _words
+from sluice.llm.hashing import mix, word_hashes
 
 WORDS = 5
 LEAST = 46
@@ -38,14 +38,6 @@ ENOUGH = 3
 STEP = 64
 #: Windows of one signature put in one order; more go into several.
 HOLDERS = 10_000
-_WORDS_KEPT = 500_000
-
-
-def word_hashes(raw: bytes) -> np.ndarray:
-    """A-Z lower-cased words between ASCII white space."""
-    if len(_words) > _WORDS_KEPT:
-        _words.clear()
-    return np.array([_words[w] for w in raw.lower().split()], np.uint64)
 
 
 def shingle_hashes(words: np.ndarray) -> np.ndarray:
@@ -53,16 +45,16 @@ def shingle_hashes(words: np.ndarray) -> np.ndarray:
     n = len(words) - WORDS + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out, mixed = np.zeros(n, np.uint64), _mix(words)
+    out, mixed = np.zeros(n, np.uint64), mix(words)
     for i in range(WORDS):
         out *= np.uint64(0x9E3779B97F4A7C15)
         out += mixed[i : i + n]
-    return _mix(out)
+    return mix(out)
 
 
 def function(hashes: np.ndarray, number: int) -> np.ndarray:
     """Values of one hash function, from 1."""
-    return np.maximum(_mix(hashes ^ np.uint64(0x9E3779B97F4A7C15 * (number + 1) % 2**64)), np.uint64(1))
+    return np.maximum(mix(hashes ^ np.uint64(0x9E3779B97F4A7C15 * (number + 1) % 2**64)), np.uint64(1))
 
 
 def _sliding(pick: np.ufunc, h: np.ndarray, width: int) -> np.ndarray:
