@@ -34,7 +34,8 @@ class Scratch:
 
     A written table cuts the lineage and outlives any executor. ``drop``
     removes one once nothing reads it; tables behind a returned frame stay in
-    ``root`` for the caller to remove.
+    ``root`` for the caller to remove: who passes a ``Scratch`` to an operator
+    calls ``clear`` when the frame has been used up.
     """
 
     def __init__(self, spark: SparkSession, label: str):
@@ -48,11 +49,16 @@ class Scratch:
         df.write.mode("overwrite").option("compression", codec).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def _delete(self, path: str) -> None:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
     def drop(self, *names: str) -> None:
-        jvm = self.spark._jvm
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(self.path(name))
+
+    def clear(self) -> None:
+        self._delete(self.root)
 
 
 def lower_ascii(column):

@@ -73,14 +73,14 @@ def identities(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return out
 
 
-def exact_groups(docs: DataFrame) -> DataFrame:
+def exact_groups(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     Of equal texts the largest ``doc_id`` stays; null ids lose to any other. Of
     rows that repeat id and text one stays. Null text is empty. An empty table
     gives no rows.
     """
-    known = identities(docs, Scratch(docs.sparkSession, "exact"))
+    known = identities(docs, scratch or Scratch(docs.sparkSession, "exact"))
     groups = known.groupBy("level", "name").agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
     rows = known.join(groups, ["level", "name"])
     copy = F.posexplode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy", "_")
@@ -93,9 +93,9 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     )
 
 
-def drop_copies(docs: DataFrame) -> DataFrame:
+def drop_copies(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, all columns."""
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
+    kept = exact_groups(docs, scratch).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
     marked = docs.withColumn("_own_sha", F.sha2(normalised(F.col("text")).cast("binary"), 256))
     same = (F.col("_own_sha") == F.col("_kept_sha")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id"))
     return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_own_sha"]).select(*docs.columns)

@@ -187,7 +187,7 @@ def _verify(size: int, percent: int):
     return run
 
 
-def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
     """One row per document: doc_id, n_shingles, class, component_id.
 
     Two documents link when 100 * |intersection| >= percent * |union| of their
@@ -197,17 +197,19 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     repeat a ``doc_id`` are one node. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    scratch = Scratch(spark, "near")
+    scratch = scratch or Scratch(spark, "near")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    known = scratch.store(_classes(docs, size, percent), "classes")
+    with_keys = scratch.store(_classes(docs, size, percent), "with-keys")
+    known = scratch.store(with_keys.drop("keys"), "classes")
 
-    real = known.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    real = with_keys.where("n_shingles > 0 AND doc_id IS NOT NULL")
     first = real.groupBy("class").agg(F.min("doc_id").alias("node"))
     first = scratch.store(first, "first")
     keys = real.join(first, (real["class"] == first["class"]) & (real.doc_id == first.node), "left_semi").select(
         F.col("doc_id").alias("node"), "keys"
     )
     keys = scratch.store(keys, "keys").select("node", F.explode("keys").alias("key"))
+    scratch.drop("with-keys")
     centres = keys.groupBy(F.col("key").alias("shared")).agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
     stars = keys.join(centres.select("shared", "a"), keys.key == F.col("shared")).where("node <> a").select("a", F.col("node").alias("b"))
     blocks = scratch.store(components(stars, scratch, "blocks"), "blocks")
@@ -232,14 +234,14 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     joined = components(links, scratch, "links")
     classes = first.join(joined, "node", "left").select("class", F.coalesce("component", "node").alias("component_id"))
     # rows that repeat a doc_id have one node, and one component, between them
-    whole = known.drop("keys").join(classes, "class", "left")
+    whole = known.join(classes, "class", "left")
     alone = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return whole.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), alone).alias("component_id"))
 
 
-def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
     """Rows of ``docs`` that stay: of each group the one with the least ``doc_id``, all others whole; all columns."""
-    groups = near_groups(docs, size, percent)
+    groups = near_groups(docs, size, percent, scratch)
     dropped = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_dropped")).distinct()
     return docs.join(dropped, docs.doc_id.cast("long") == F.col("_dropped"), "left_anti")
 

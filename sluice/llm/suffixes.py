@@ -205,7 +205,7 @@ _RESULT_TEXT = pa.schema([*_RESULT, ("kept", pa.string()), ("source_sha256", pa.
 _RESULT_DDL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>"
 
 
-def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, with_text: bool = False, scratch: Scratch | None = None) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (starts and ends).
 
     Removed is each byte covered by a ``LENGTH``-byte string that also starts
@@ -214,7 +214,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     one counts as the earlier. ``with_text`` adds the kept text, in which a
     character stays whole if any byte of it does, and the sha256 of the input text.
     """
-    scratch = Scratch(docs.sparkSession, "suffixes")
+    scratch = scratch or Scratch(docs.sparkSession, "suffixes")
     laid = lay_out(docs, scratch)
     total = laid.agg(F.sum("raw_bytes")).first()[0] or 0
     sample_buckets = 1 + total * len(COVER) // PERIOD // blocks.BUCKET_ENTRIES
@@ -230,13 +230,13 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     return known.mapInArrow(_result_rows(sample_buckets, buckets, with_text), ddl)
 
 
-def cut_repeats(docs: DataFrame) -> DataFrame:
+def cut_repeats(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """``docs`` with repeated passages cut from the texts, all columns, one row each; a text cut to nothing goes.
 
     An integer ``n_chars`` column follows the text. Of rows that repeat id and
     text one stays as it is cut first.
     """
-    cut = remove_repeats(docs, with_text=True).where("n_removed > 0")
+    cut = remove_repeats(docs, with_text=True, scratch=scratch).where("n_removed > 0")
     cut = cut.groupBy(F.col("doc_id").alias("_id"), F.col("source_sha256").alias("_sha")).agg(F.max_by("kept", F.octet_length("kept")).alias("_kept"))
     own = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
     joined = docs.withColumn("_own", own).join(cut, (F.col("_own") == F.col("_sha")) & docs.doc_id.cast("long").eqNullSafe(F.col("_id")), "left")
