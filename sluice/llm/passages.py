@@ -270,15 +270,21 @@ def _likeness(a: np.ndarray, b: np.ndarray) -> float | None:
     return common / union if 100 * common >= PERCENT * union else None
 
 
-def _matching(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, float] | None:
-    s, e = best_stretch(np.isin(a, b))
+def _matching(a: np.ndarray, b: np.ndarray, match: np.ndarray) -> tuple[int, int, int, int, float] | None:
+    s, e = best_stretch(match)
     if e - s < LEAST:
         return None
-    fs, fe = best_stretch(np.isin(b, a[s:e]))
+    fs, fe = best_stretch(_held(b, a[s:e]))
     likeness = _likeness(a[s:e], b[fs:fe]) if fe - fs >= LEAST else None
     return None if likeness is None else (s, e, fs, fe, likeness)
 
 
+def _held(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Which values are among the others."""
+    known = np.sort(among)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def _longest_run(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, float] | None:
     """The longest run of shingles that are the same in both, one after the other."""
     order = np.argsort(b, kind="stable")
@@ -291,7 +297,7 @@ def _longest_run(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, floa
     return (s, e, f, f + e - s, 1.0) if f >= 0 and e - s >= LEAST else None
 
 
-def aligned(a: np.ndarray, b: np.ndarray, base: int = 0) -> list[tuple[int, int, int, int, float]]:
+def aligned(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, int, float]]:
     """The matching stretches of two shingle sequences, [start, end) each, and their similarity.
 
     The longest that reaches ``PERCENT``, else the longest run of equal
@@ -299,11 +305,17 @@ def aligned(a: np.ndarray, b: np.ndarray, base: int = 0) -> list[tuple[int, int,
     """
     if len(a) < LEAST or len(b) < LEAST:
         return []
-    found = _matching(a, b) or _longest_run(a, b)
-    if not found:
-        return []
-    s, e, fs, fe, likeness = found
-    return [*aligned(a[:s], b, base), (base + s, base + e, fs, fe, likeness), *aligned(a[e:], b, base + e)]
+    out, todo, match = [], [(0, len(a))], _held(a, b)
+    while todo:
+        low, high = todo.pop()
+        if match[low:high].sum() * 100 < LEAST * PERCENT:
+            continue
+        found = _matching(a[low:high], b, match[low:high]) or _longest_run(a[low:high], b)
+        if found:
+            s, e, fs, fe, likeness = found
+            out.append((low + s, low + e, fs, fe, likeness))
+            todo += [(low, low + s), (low + e, high)]
+    return sorted(out)
 
 
 _FOUND_DDL = "doc_id long, start long, end long, first_doc_id long, first_start long, first_end long, similarity double"
@@ -315,8 +327,12 @@ def _verified_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         out = []
         columns = [batch.column(x).to_pylist() for x in ("id", "low", "passage", "first_id", "first_low", "first_passage")]
+        hashed: dict[bytes, np.ndarray] = {}  # many passages share their first
         for doc, low, text, first, first_low, first_text in zip(*columns, strict=True):
-            for s, e, fs, fe, likeness in aligned(*(shingle_hashes(word_hashes(t)) for t in (text, first_text))):
+            for t in (text, first_text):
+                if t not in hashed:
+                    hashed[t] = shingle_hashes(word_hashes(t))
+            for s, e, fs, fe, likeness in aligned(hashed[text], hashed[first_text]):
                 out.append((doc, low + s, low + e + WORDS - 1, first, first_low + fs, first_low + fe + WORDS - 1, likeness))
         columns = zip(*out, strict=True) if out else [()] * 7
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names)

@@ -33,33 +33,20 @@ from pyspark.sql import functions as F
 from sluice.llm import blocks
 from sluice.llm.blocks import BUCKET_SCHEMA, answered, bits, deal, later_copies, lay_out, split, tied, to_batches
 from sluice.llm.common import Scratch
+from sluice.llm.hashing import power_tables
 
 LENGTH = 100
 PERIOD = 57
 #: A perfect difference set mod 57 (fixed values): every non-zero difference occurs once.
 COVER = (1, 6, 7, 9, 19, 38, 42, 49)
 SAMPLE = LENGTH - PERIOD + 1
-_FACTOR = 0x9E3779B97F4A7C15
-_powers: dict[str, np.ndarray] = {}
-
-
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Random value of each byte; powers of the factor and of its inverse mod 2^64, n + 1 at least."""
-    if len(_powers.get("up", ())) <= n:
-        size = max(n + 1, 1 << 17)
-        _powers["byte"] = np.random.default_rng(57).integers(1, 2**63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-        for name, factor in (("up", _FACTOR), ("down", pow(_FACTOR, -1, 2**64))):
-            _powers[name] = np.concatenate([[np.uint64(1)], np.cumprod(np.full(size, factor, np.uint64))])
-    return _powers["byte"], _powers["up"], _powers["down"]
-
-
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(32))
 
 
 def prefix_sums(raw: bytes) -> np.ndarray:
-    value, _, down = _tables(len(raw))
+    value, _, down = power_tables(len(raw))
     code = np.frombuffer(raw, np.uint8)
     out = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(value[code] * down[: len(raw)], out=out[1:])
@@ -68,7 +55,7 @@ def prefix_sums(raw: bytes) -> np.ndarray:
 
 def strings_at(sums: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     """Fingerprints of the strings of ``length`` bytes that start at ``at``."""
-    _, up, _ = _tables(len(sums))
+    _, up, _ = power_tables(len(sums))
     return _mix((sums[at + length] - sums[at]) * up[at])
 
 
