@@ -134,7 +134,7 @@ def _keys_of(raws: list[bytes], skipped: set[int]) -> tuple[np.ndarray, np.ndarr
         same = (own[order[1:]] == own[order[:-1]]) & (h[c[order[1:]]] == h[c[order[:-1]]])
         kept = np.sort(order[np.concatenate([[True], ~same])]) if len(order) else order
         a, c, b, own = a[kept], c[kept], b[kept], own[kept]
-        keys.append(h[c])
+        keys.append(mix(h[c]))  # least values are small: spread them over the buckets
         rows.append(np.stack([np.array(texts)[own], a - begin[own], c - begin[own], b - begin[own]], axis=1).astype(np.int32))
     return np.concatenate(keys), np.concatenate(rows)
 
