@@ -8,11 +8,11 @@ that span at least ``LEAST`` shingles are kept, and found without the tree: such
 a node is the minimum of some run of ``LEAST`` shingles, and its nearest smaller
 neighbours are such nodes too.
 
-Windows of all texts that share a signature (hash function and value) are joined
-with the earliest document among them and with the one before in order. Where windows of ``ENOUGH`` functions agree
-on a pair of documents and overlap, the two passages are brought together, cut
-to where they match, and verified: at least ``LEAST`` shingles (50 words) each
-and a Jaccard similarity of ``PERCENT`` or more.
+A text's windows of a signature (hash function and value) are joined with those
+of the earliest document that holds it and of the one before in order. Where ``ENOUGH`` windows agree on a pair of documents and overlap, the
+two passages are brought together, cut to where they match, and verified: at
+least ``LEAST`` shingles (50 words) each and a Jaccard similarity of ``PERCENT``
+or more.
 """
 
 from __future__ import annotations
@@ -21,13 +21,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm import blocks
 from sluice.llm.blocks import BUCKET_SCHEMA, LAST, answered, bits, deal, later_copies, lay_out, split, tied, to_batches
 from sluice.llm.common import Scratch
-from sluice.llm.hashing import mix, word_hashes
+from sluice.llm.hashing import mix, power_tables, word_hashes
 
 WORDS = 5
 LEAST = 46
@@ -36,7 +36,7 @@ FUNCTIONS = 8
 ENOUGH = 3
 #: Passages are fetched in whole steps of so many words, so that many requests for one passage are one.
 STEP = 64
-#: Windows of one signature put in one order; more go into several.
+#: Holders of one signature put in one order, or joined in one task; more are dealt out.
 HOLDERS = 10_000
 
 
@@ -109,8 +109,29 @@ def compact_windows(h: np.ndarray, least: int = LEAST) -> list[tuple[int, int, i
     return [(a - 1, c - 1, b - 1) for a, c, b in zip(*(x.tolist() for x in nodes), strict=True)]
 
 
+def _run_of(group: np.ndarray, c: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the places ``c``, ascending in each group, to keep, and which of them start a run.
+
+    Places of a group less than ``least`` apart are a run; of it the first stays
+    and then one per ``least``.
+    """
+    starts = np.ones(len(c), bool)
+    starts[1:] = (group[1:] != group[:-1]) | (c[1:] - c[:-1] >= least)
+    first = np.flatnonzero(starts)
+    run = np.cumsum(starts) - 1
+    step = (c - c[first][run]) // least if len(c) else c
+    kept = starts.copy()
+    kept[1:] |= step[1:] != step[:-1]
+    return kept, starts
+
+
 def _keys_of(raws: list[bytes], skipped: set[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of a block's texts, and (text, a, c, b) of each: the widest window of every signature of a text."""
+    """Keys of a block's texts, and (text, a, c, b, leads) of each window.
+
+    Text that repeats itself within ``LEAST`` shingles has a window of the same
+    signature per repeat. Where all that a passage of ``LEAST`` shingles around
+    it can hold is equal too, one per ``LEAST`` shingles stays; the first of them leads.
+    """
     texts, parts = [], []
     for i, raw in enumerate(raws):
         hashes = shingle_hashes(word_hashes(raw)) if i not in skipped and len(raw) >= 2 * (LEAST + WORDS) - 3 else ()
@@ -118,24 +139,31 @@ def _keys_of(raws: list[bytes], skipped: set[int]) -> tuple[np.ndarray, np.ndarr
             texts.append(i)
             parts.append(hashes)
     if not parts:
-        return np.zeros(0, np.uint64), np.zeros((0, 4), np.int32)
+        return np.zeros(0, np.uint64), np.zeros((0, 5), np.int32)
     begin = np.cumsum([1] + [len(x) + 1 for x in parts])  # a 0 before each text and after the last
     every = np.zeros(begin[-1], np.uint64)
     for at, x in zip(begin, parts, strict=False):
         every[at : at + len(x)] = x
     gaps = np.concatenate([[0], begin[1:] - 1])
+    _, up, down = power_tables(len(every))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(every) * down[: len(every)])])
     keys, rows = [], []
     for f in range(FUNCTIONS):
         h = function(every, f)
         h[gaps] = 0
         a, c, b = tree_nodes(h)
         own = np.searchsorted(begin, c, side="right") - 1
-        order = np.lexsort((a - b, h[c], own))
-        same = (own[order[1:]] == own[order[:-1]]) & (h[c[order[1:]]] == h[c[order[:-1]]])
-        kept = np.sort(order[np.concatenate([[True], ~same])]) if len(order) else order
-        a, c, b, own = a[kept], c[kept], b[kept], own[kept]
+        left, right = np.maximum(a, c - LEAST + 1), np.minimum(b, c + LEAST - 1)
+        around = mix((sums[right + 1] - sums[left]) * up[left]) + mix((c - left).astype(np.uint64) << np.uint64(32) | (right - c).astype(np.uint64))
+        order = np.lexsort((c, around, h[c], own))
+        group = np.cumsum(np.concatenate([[0], np.any([x[order[1:]] != x[order[:-1]] for x in (around, h[c], own)], axis=0)])) if len(order) else order
+        stays, starts = _run_of(group, c[order], LEAST)
+        leads = np.zeros(len(c), bool)
+        leads[order] = starts
+        kept = np.sort(order[stays])
+        a, c, b, own, leads = a[kept], c[kept], b[kept], own[kept], leads[kept]
         keys.append(mix(h[c]))  # least values are small: spread them over the buckets
-        rows.append(np.stack([np.array(texts)[own], a - begin[own], c - begin[own], b - begin[own]], axis=1).astype(np.int32))
+        rows.append(np.stack([np.array(texts)[own], a - begin[own], c - begin[own], b - begin[own], leads], axis=1).astype(np.int32))
     return np.concatenate(keys), np.concatenate(rows)
 
 
@@ -149,24 +177,40 @@ def _key_rows(buckets: int):
     return run
 
 
-_WINDOW_DDL = "key long, id long, block long, i int, a int, c int, b int"
+_PLACES = "array<struct<a: int, c: int, b: int>>"
+_WINDOW_DDL = f"key long, id long, block long, i int, places {_PLACES}, leads {_PLACES}"
+
+
+def _place_lists(rows: np.ndarray, owner: np.ndarray, owners: int) -> pa.ListArray:
+    """(a, c, b) of ``rows`` by their owner, which ascends."""
+    places = pa.StructArray.from_arrays([pa.array(x, pa.int32()) for x in rows[:, 1:4].T], ["a", "c", "b"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(owners + 1)), pa.int32()), places)
 
 
 def _window_rows(buckets: int):
-    """Windows whose signature another text has too."""
+    """A row per text and signature that another text has too: all its windows, and those that lead."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.split()[0] for x in _WINDOW_DDL.split(", ")]
-        types = [pa.int64()] * 3 + [pa.int32()] * 4
+        names = [x.split()[0] for x in _WINDOW_DDL.split(", places")[0].split(", ")] + ["places", "leads"]
         for batch in batches:
             for row in batch.to_pylist():
                 keys, rows = _keys_of(split(row["payload"], row["sizes"]), set(row["copies"] or ()))
-                sent, place, count = np.unique(keys, return_inverse=True, return_counts=True)
-                shared = (bits(row["windows"], sent, buckets) | (count > 1))[place] if len(keys) else np.zeros(0, bool)
+                if not len(keys):
+                    continue
+                order = np.lexsort((rows[:, 2], rows[:, 0], keys))
+                keys, rows = keys[order], rows[order]
+                new_key = np.concatenate([[True], keys[1:] != keys[:-1]])
+                starts = new_key | np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]])
+                sent, place = keys[new_key], np.cumsum(new_key) - 1
+                holders = np.bincount(place[starts])
+                shared = (bits(row["windows"], sent, buckets) | (holders > 1))[place]
+                keys, rows, starts = keys[shared], rows[shared], starts[shared]
+                owner, first = np.cumsum(starts) - 1, np.flatnonzero(starts)
                 ids = np.array([LAST if d is None else d for d in row["doc_ids"]], np.int64)
-                keys, rows = keys[shared].view(np.int64), rows[shared]
-                columns = [keys, ids[rows[:, 0]], np.full(len(keys), row["block"], np.int64), *rows.T]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names)
+                text, lead = rows[first, 0], rows[:, 4] > 0
+                columns = [pa.array(keys[first].view(np.int64)), pa.array(ids[text]), pa.array(np.full(len(first), row["block"], np.int64)), pa.array(text, pa.int32())]
+                columns += [_place_lists(rows, owner, len(first)), _place_lists(rows[lead], owner[lead], len(first))]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
@@ -174,10 +218,11 @@ def _window_rows(buckets: int):
 _PAIR_DDL = "id long, block long, i int, s int, e int, first_id long, first_block long, first_i int, first_s int, first_e int"
 
 
-def agreeing(rows: list[tuple[int, int, int, int, int, int]]) -> Iterator[tuple[int, int, int, int]]:
+def agreeing(rows: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
     """Stretches of two texts on whose alignment ``ENOUGH`` signatures agree.
 
-    ``rows``: (a, c, b) of one text and of the other. Windows whose signatures
+    ``rows``: (a, c, b) of one text and of the other, and whether the window lies beside a
+    passage found before, whose own windows are not given: it is enough by itself. Windows whose signatures
     lie on about the same diagonal (insertions shift it) and overlap belong together.
     """
     rows = sorted(rows, key=lambda r: (r[1] - r[4], r[1]))
@@ -194,7 +239,7 @@ def agreeing(rows: list[tuple[int, int, int, int, int, int]]) -> Iterator[tuple[
             if r is not None and (not run or r[1] - run[-1][1] <= 2 * LEAST):
                 run.append(r)
                 continue
-            if len(run) >= ENOUGH:
+            if len(run) >= ENOUGH or any(x[6] for x in run):
                 pad = 2 * LEAST
                 yield (
                     max(min(x[0] for x in run), run[0][1] - pad),
@@ -217,13 +262,22 @@ def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pair, held, out = None, [], []
 
     def settle() -> None:
-        if len(held) >= ENOUGH:
-            for s, e, fs, fe in agreeing(held):
-                out.append((*pair[:3], s, e, *pair[3:], fs, fe))
+        for st, e, fs, fe in agreeing(held):
+            out.append((*pair[:3], st, e, *pair[3:], fs, fe))
 
     for batch in batches:
+        of_pair = [batch.column(x).to_numpy() for x in ("id", "block", "i", "first_id", "first_block", "first_i")]
+        starts = np.ones(batch.num_rows, bool)
+        starts[1:] = np.any([x[1:] != x[:-1] for x in of_pair], axis=0)
+        number = np.cumsum(starts) - 1
+        if not len(number):
+            continue
+        # most pairs agree on too little; the outer ones may go on in the batches beside
+        enough = (np.bincount(number) >= ENOUGH) | (np.bincount(number, batch.column("beside").to_numpy(zero_copy_only=False)) > 0)
+        enough[[0, -1]] = True
+        batch = batch.take(pa.array(np.flatnonzero(enough[number])))
         columns = [batch.column(x).to_pylist() for x in ("id", "block", "i", "first_id", "first_block", "first_i")]
-        places = [batch.column(x).to_pylist() for x in ("a", "c", "b", "fa", "fc", "fb")]
+        places = [batch.column(x).to_pylist() for x in ("a", "c", "b", "fa", "fc", "fb", "beside")]
         for key, row in zip(zip(*columns, strict=True), zip(*places, strict=True), strict=True):
             if key != pair:
                 settle()
@@ -318,26 +372,75 @@ def aligned(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, int, floa
     return sorted(out)
 
 
-_FOUND_DDL = "doc_id long, start long, end long, first_doc_id long, first_start long, first_end long, similarity double"
+_FOUND_DDL = "block long, i int, doc_id long, start long, end long, first_doc_id long, first_start long, first_end long, similarity double"
 
 
 def _verified_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in _FOUND_DDL.split(", ")]
-    types = [pa.int64()] * 6 + [pa.float64()]
+    types = [pa.int64(), pa.int32()] + [pa.int64()] * 6 + [pa.float64()]
     for batch in batches:
         out = []
-        columns = [batch.column(x).to_pylist() for x in ("id", "low", "passage", "first_id", "first_low", "first_passage")]
+        columns = [batch.column(x).to_pylist() for x in ("block", "i", "id", "low", "passage", "first_id", "first_low", "first_passage")]
         hashed: dict[bytes, np.ndarray] = {}  # many passages share their first
-        for doc, low, text, first, first_low, first_text in zip(*columns, strict=True):
+        for block, i, doc, low, text, first, first_low, first_text in zip(*columns, strict=True):
             for t in (text, first_text):
                 if t not in hashed:
                     hashed[t] = shingle_hashes(word_hashes(t))
             for s, e, fs, fe, likeness in aligned(hashed[text], hashed[first_text]):
-                out.append((doc, low + s, low + e + WORDS - 1, first, first_low + fs, first_low + fe + WORDS - 1, likeness))
-        columns = zip(*out, strict=True) if out else [()] * 7
+                out.append((block, i, doc, low + s, low + e + WORDS - 1, first, first_low + fs, first_low + fe + WORDS - 1, likeness))
+        columns = zip(*out, strict=True) if out else [()] * 9
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names)
 
 
+_TEXT = ["id", "block", "i"]
+
+
+def _evidence(joined: DataFrame) -> DataFrame:
+    """A row per two windows of one signature, from the ``places`` of a text and those that lead in ``first``."""
+    own = joined.select(*_TEXT, "beside", F.explode("places").alias("own"), "first")
+    both = own.select(*_TEXT, "beside", "own", "first", F.explode("first.leads").alias("other"))
+    return both.select(
+        *_TEXT, *[F.col(f"first.{x}").alias(f"first_{x}") for x in _TEXT], *[F.col(f"own.{x}") for x in "acb"], *[F.col(f"other.{x}").alias(f"f{x}") for x in "acb"], "beside"
+    )
+
+
+def _first_round(windows: DataFrame, held: DataFrame, scratch: Scratch) -> DataFrame:
+    """Passages found by the earliest holder of each signature and the one before in order."""
+    place = F.struct(*_TEXT, "leads")
+    first = windows.groupBy(F.col("key").alias("of")).agg(F.min_by(place, F.struct(*_TEXT)).alias("first"), F.count("*").alias("holders")).where("holders > 1")
+    # a hot signature is dealt over several orders
+    share = F.pmod(F.xxhash64("block", "i"), F.ceil(F.col("holders") / HOLDERS))
+    joined = windows.join(first, windows.key == F.col("of")).withColumn("share", share)
+    before = F.lag(place).over(Window.partitionBy("key", "share").orderBy(*_TEXT))
+    joined = joined.withColumn("before", before).withColumn("first", F.explode(F.array_distinct(F.array_compact(F.array("first", "before")))))
+    joined = joined.where(F.struct(*_TEXT) != F.struct("first.id", "first.block", "first.i"))
+    return _verified(_evidence(joined.withColumn("beside", F.lit(False))), held, scratch, "first")
+
+
+def _verified(evidence: DataFrame, held: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The passages that the evidence points to and that match."""
+    pair = [*_TEXT, *[f"first_{x}" for x in _TEXT]]
+    pairs = evidence.repartition(*pair).sortWithinPartitions(*pair, "c").mapInArrow(_pair_rows, _PAIR_DDL)
+
+    def steps(s: str, e: str) -> tuple:
+        return (F.floor(F.col(s) / STEP) * STEP).cast("int"), (F.ceil((F.col(e) + WORDS) / STEP) * STEP).cast("int")
+
+    low, high = steps("s", "e")
+    first_low, first_high = steps("first_s", "first_e")
+    pairs = pairs.select(*_TEXT, low.alias("low"), high.alias("high"), "first_id", "first_block", "first_i", first_low.alias("first_low"), first_high.alias("first_high"))
+    pairs = scratch.store(pairs.distinct(), f"pairs_{name}")
+    wanted = pairs.select("block", "i", "low", "high").unionByName(
+        pairs.select(F.col("first_block").alias("block"), F.col("first_i").alias("i"), F.col("first_low").alias("low"), F.col("first_high").alias("high"))
+    )
+    wanted = wanted.distinct().groupBy("block").agg(F.collect_list(F.struct("i", "low", "high")).alias("wanted"))
+    texts = scratch.store(held.join(wanted, "block").mapInArrow(_passage_rows, _TEXT_DDL), f"texts_{name}")
+    own = pairs.join(texts, ["block", "i", "low", "high"]).select(*_TEXT, "low", "passage", "first_id", *[F.col(f"first_{x}") for x in ("block", "i", "low", "high")])
+    others = texts.select(*[F.col(x).alias(f"first_{x}") for x in ("block", "i", "low", "high", "passage")])
+    both = own.join(others, ["first_block", "first_i", "first_low", "first_high"])
+    out = both.select(*_TEXT, "low", "passage", "first_id", "first_low", "first_passage").mapInArrow(_verified_rows, _FOUND_DDL)
+    return scratch.store(out.distinct(), f"found_{name}")
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """One row per passage found in an earlier document too.
 
@@ -345,6 +448,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     first_end and similarity (1.0 for whole copies of a text of 50 words or
     more, which are matched by digest). Earlier means a smaller ``doc_id``; null
     ids come last and are reported as null. Null and short texts give no rows.
+    A passage that several earlier documents hold, or one more than once, can give several rows.
     Candidates are found by min-hash, so a passage near the threshold can be missed;
     what is returned is verified.
     """
@@ -359,39 +463,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     shared = answered(known.mapInArrow(_key_rows(buckets), BUCKET_SCHEMA), tied, scratch, "windows")
     windows = scratch.store(known.join(shared, "block").mapInArrow(_window_rows(buckets), _WINDOW_DDL), "tied")
 
-    place = F.struct("id", "block", "i", "a", "c", "b")
-    first = windows.groupBy(F.col("key").alias("of")).agg(
-        F.min(place).alias("first"), F.max(F.struct("id", "block", "i")).alias("last"), F.count("*").alias("holders")
-    )
-    first = first.where(F.struct("first.id", "first.block", "first.i") != F.col("last")).drop("last")
-    # besides the first holder, the one before in order; a hot signature is dealt over several such orders
-    share = F.pmod(F.xxhash64("block", "i"), F.ceil(F.col("holders") / HOLDERS))
-    joined = windows.join(first, windows.key == F.col("of")).withColumn("share", share)
-    before = F.lag(place).over(Window.partitionBy("key", "share").orderBy("id", "block", "i"))
-    joined = joined.withColumn("before", before).withColumn("first", F.explode(F.array_distinct(F.array_compact(F.array("first", "before")))))
-    joined = joined.where(F.struct("id", "block", "i") != F.struct("first.id", "first.block", "first.i"))
-    pair = ["id", "block", "i", "first_id", "first_block", "first_i"]
-    evidence = joined.select(
-        "id", "block", "i", "a", "c", "b", *[F.col(f"first.{x}").alias(f"first_{x}") for x in ("id", "block", "i")], *[F.col(f"first.{x}").alias(f"f{x}") for x in "acb"]
-    )
-    pairs = evidence.repartition(*pair).sortWithinPartitions(*pair, "c").mapInArrow(_pair_rows, _PAIR_DDL)
-
-    def steps(s: str, e: str) -> tuple:
-        return (F.floor(F.col(s) / STEP) * STEP).cast("int"), (F.ceil((F.col(e) + WORDS) / STEP) * STEP).cast("int")
-
-    low, high = steps("s", "e")
-    first_low, first_high = steps("first_s", "first_e")
-    pairs = pairs.select("id", "block", "i", low.alias("low"), high.alias("high"), "first_id", "first_block", "first_i", first_low.alias("first_low"), first_high.alias("first_high"))
-    pairs = scratch.store(pairs.distinct(), "pairs")
-    wanted = pairs.select("block", "i", "low", "high").unionByName(
-        pairs.select(F.col("first_block").alias("block"), F.col("first_i").alias("i"), F.col("first_low").alias("low"), F.col("first_high").alias("high"))
-    )
-    wanted = wanted.distinct().groupBy("block").agg(F.collect_list(F.struct("i", "low", "high")).alias("wanted"))
-    texts = scratch.store(held.join(wanted, "block").mapInArrow(_passage_rows, _TEXT_DDL), "texts")
-    own = pairs.join(texts, ["block", "i", "low", "high"]).select("id", "low", "passage", "first_id", *[F.col(f"first_{x}") for x in ("block", "i", "low", "high")])
-    others = texts.select(*[F.col(x).alias(f"first_{x}") for x in ("block", "i", "low", "high", "passage")])
-    both = own.join(others, ["first_block", "first_i", "first_low", "first_high"])
-    found = both.select("id", "low", "passage", "first_id", "first_low", "first_passage").mapInArrow(_verified_rows, _FOUND_DDL)
+    found = _first_round(windows, held, scratch)
+    found = found.drop("block", "i")
 
     counted = held.select("block", "sizes", "payload").join(copies.groupBy("block").agg(F.collect_list("i").alias("copies")), "block")
     words = counted.mapInArrow(_word_counts, "block long, i int, words long")

@@ -85,3 +85,38 @@ def test_copies_nulls_and_empty(docs):
     got = passages.repeated_passages(docs(rows)).collect()
     assert {(r.doc_id, r.first_doc_id, r.start, r.end) for r in got} == {(3, 1, 0, 70), (None, 1, 0, 70)}
     assert passages.repeated_passages(docs([])).collect() == []
+
+
+def words_reported(rows, doc):
+    return {w for r in rows if r.doc_id == doc for w in range(r.start, r.end)}
+
+
+@pytest.mark.parametrize("times, gap", [(2, 40), (6, 40), (6, 0), (2, 300)])
+def test_passages_held_several_times(docs, times, gap):
+    own = iter(range(10**9))
+    passage = [f"p{i}" for i in range(55)]
+
+    def text():
+        words = []
+        for _ in range(times):
+            words += [f"u{next(own)}" for _ in range(gap)] + passage
+        return " ".join(words + ["end" + str(next(own))])
+
+    rows = [(doc, text()) for doc in range(3)]
+    got = passages.repeated_passages(docs(rows)).collect()
+    seen = set()
+    for doc, t in rows:
+        words = t.split()
+        runs = [tuple(words[k : k + 50]) for k in range(len(words) - 49)]
+        want = {w for k, run in enumerate(runs) if run in seen for w in range(k, k + 50)}
+        seen |= set(runs)
+        assert words_reported(got, doc) == want
+
+
+@pytest.mark.parametrize("period", [1, 7, 20])
+def test_text_that_repeats_itself(docs, period):
+    line = [f"r{i}" for i in range(period)] * (900 // period)
+    rows = [(doc, " ".join([f"a{doc}"] * 3 + line + [f"z{doc}"])) for doc in range(3)]
+    got = passages.repeated_passages(docs(rows)).collect()
+    for doc in (1, 2):
+        assert words_reported(got, doc) == set(range(3, 3 + len(line)))
