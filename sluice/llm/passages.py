@@ -8,11 +8,13 @@ that span at least ``LEAST`` shingles are kept, and found without the tree: such
 a node is the minimum of some run of ``LEAST`` shingles, and its nearest smaller
 neighbours are such nodes too.
 
-A text's windows of a signature (hash function and value) are joined with those
-of the earliest document that holds it and of the one before in order. Where ``ENOUGH`` windows agree on a pair of documents and overlap, the
+A text's windows of a signature (hash function and value) are joined, in a first
+round, with those of the earliest document that holds it and of the one before
+in order. Where ``ENOUGH`` windows agree on a pair of documents and overlap, the
 two passages are brought together, cut to where they match, and verified: at
 least ``LEAST`` shingles (50 words) each and a Jaccard similarity of ``PERCENT``
-or more.
+or more. A second round joins every window whose signature lies in no passage
+found so far with all earlier documents that hold the signature.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ LEAST = 46
 PERCENT = 80
 FUNCTIONS = 8
 ENOUGH = 3
+#: Signatures of one passage lie this far apart at most.
+REACH = 2 * LEAST
 #: Passages are fetched in whole steps of so many words, so that many requests for one passage are one.
 STEP = 64
 #: Holders of one signature put in one order, or joined in one task; more are dealt out.
@@ -187,6 +191,17 @@ def _place_lists(rows: np.ndarray, owner: np.ndarray, owners: int) -> pa.ListArr
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(owners + 1)), pa.int32()), places)
 
 
+def _among_enough(text: np.ndarray, c: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Windows that ``ENOUGH`` signatures of their text, each ``REACH`` or less from the next, lie together with."""
+    order = np.lexsort((c, text))
+    new = np.ones(len(c), bool)
+    new[1:] = (text[order[1:]] != text[order[:-1]]) | (np.diff(c[order]) > REACH)
+    cluster = np.empty(len(c), np.int64)
+    cluster[order] = np.cumsum(new) - 1
+    each = np.unique(np.stack([cluster, key]), axis=1)[0]
+    return np.bincount(each, minlength=new.sum())[cluster] >= ENOUGH
+
+
 def _window_rows(buckets: int):
     """A row per text and signature that another text has too: all its windows, and those that lead."""
 
@@ -204,7 +219,10 @@ def _window_rows(buckets: int):
                 sent, place = keys[new_key], np.cumsum(new_key) - 1
                 holders = np.bincount(place[starts])
                 shared = (bits(row["windows"], sent, buckets) | (holders > 1))[place]
-                keys, rows, starts = keys[shared], rows[shared], starts[shared]
+                shared[shared] = _among_enough(rows[shared, 0], rows[shared, 2], place[shared])
+                keys, rows = keys[shared], rows[shared]
+                starts = np.ones(len(keys), bool)
+                starts[1:] = (keys[1:] != keys[:-1]) | (rows[1:, 0] != rows[:-1, 0])
                 owner, first = np.cumsum(starts) - 1, np.flatnonzero(starts)
                 ids = np.array([LAST if d is None else d for d in row["doc_ids"]], np.int64)
                 text, lead = rows[first, 0], rows[:, 4] > 0
@@ -218,36 +236,44 @@ def _window_rows(buckets: int):
 _PAIR_DDL = "id long, block long, i int, s int, e int, first_id long, first_block long, first_i int, first_s int, first_e int"
 
 
-def agreeing(rows: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
+def agreeing(rows: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
     """Stretches of two texts on whose alignment ``ENOUGH`` signatures agree.
 
-    ``rows``: (a, c, b) of one text and of the other, and whether the window lies beside a
-    passage found before, whose own windows are not given: it is enough by itself. Windows whose signatures
-    lie on about the same diagonal (insertions shift it) and overlap belong together.
+    ``rows``: (a, c, b) of one text and of the other, the signature's number, and whether the window
+    lies beside a passage found before, whose own windows are not given: it is enough by itself. Windows
+    whose signatures lie on about the same diagonal (insertions shift it) and overlap belong together.
     """
-    rows = sorted(rows, key=lambda r: (r[1] - r[4], r[1]))
-    clusters: list[list[tuple]] = []
-    for r in rows:
-        if clusters and r[1] - r[4] - (clusters[-1][-1][1] - clusters[-1][-1][4]) <= LEAST // 4:
-            clusters[-1].append(r)
-        else:
-            clusters.append([r])
-    for cluster in clusters:
-        cluster.sort(key=lambda r: r[1])
-        run: list[tuple] = []
-        for r in [*cluster, None]:
-            if r is not None and (not run or r[1] - run[-1][1] <= 2 * LEAST):
-                run.append(r)
-                continue
-            if len(run) >= ENOUGH or any(x[6] for x in run):
-                pad = 2 * LEAST
-                yield (
-                    max(min(x[0] for x in run), run[0][1] - pad),
-                    min(max(x[2] for x in run), run[-1][1] + pad),
-                    max(min(x[3] for x in run), min(x[4] for x in run) - pad),
-                    min(max(x[5] for x in run), max(x[4] for x in run) + pad),
-                )
-            run = [r] if r is not None else []
+    lie = rows[:, 1] - rows[:, 4]
+    order = np.argsort(lie, kind="stable")
+    cluster = np.empty(len(rows), np.int64)
+    cluster[order] = np.cumsum(np.diff(lie[order], prepend=lie[order[:1]]) > LEAST // 4)
+    order = np.lexsort((rows[:, 1], cluster))
+    rows, cluster = rows[order], cluster[order]
+    starts = np.ones(len(rows), bool)
+    starts[1:] = (cluster[1:] != cluster[:-1]) | (np.diff(rows[:, 1]) > REACH)
+    first = np.flatnonzero(starts)
+    run = np.cumsum(starts) - 1
+    signatures = np.bincount(np.unique(np.stack([run, rows[:, 6]]), axis=1)[0])
+    low, high = np.minimum.reduceat(rows, first), np.maximum.reduceat(rows, first)
+    for i in np.flatnonzero((signatures >= ENOUGH) | (high[:, 7] > 0)).tolist():
+        x, y = low[i].tolist(), high[i].tolist()
+        yield max(x[0], x[1] - REACH), min(y[2], y[1] + REACH), max(x[3], x[4] - REACH), min(y[5], y[4] + REACH)
+
+
+def _combined(own: np.ndarray, other: np.ndarray, beside: bool, number: int) -> np.ndarray:
+    """Every window of one with every window of the other."""
+    out = np.empty((len(own) * len(other), 8), np.int64)
+    out[:, :3] = np.repeat(own, len(other), axis=0)
+    out[:, 3:6] = np.tile(other, (len(own), 1))
+    out[:, 6], out[:, 7] = number, beside
+    return out
+
+
+def _listed(column: pa.ListArray) -> list[np.ndarray]:
+    """(a, c, b) of every window, row by row."""
+    values = np.stack([column.values.field(x).to_numpy() for x in "acb"], axis=1)
+    at = column.offsets.to_numpy()
+    return [values[lo:hi] for lo, hi in zip(at[:-1], at[1:], strict=True)]
 
 
 def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,8 +288,9 @@ def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pair, held, out = None, [], []
 
     def settle() -> None:
-        for st, e, fs, fe in agreeing(held):
-            out.append((*pair[:3], st, e, *pair[3:], fs, fe))
+        if held:
+            for st, e, fs, fe in agreeing(np.concatenate(held)):
+                out.append((*pair[:3], st, e, *pair[3:], fs, fe))
 
     for batch in batches:
         of_pair = [batch.column(x).to_numpy() for x in ("id", "block", "i", "first_id", "first_block", "first_i")]
@@ -277,12 +304,12 @@ def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enough[[0, -1]] = True
         batch = batch.take(pa.array(np.flatnonzero(enough[number])))
         columns = [batch.column(x).to_pylist() for x in ("id", "block", "i", "first_id", "first_block", "first_i")]
-        places = [batch.column(x).to_pylist() for x in ("a", "c", "b", "fa", "fc", "fb", "beside")]
-        for key, row in zip(zip(*columns, strict=True), zip(*places, strict=True), strict=True):
+        windows = zip(_listed(batch.column("places")), _listed(batch.column("leads")), batch.column("beside").to_pylist(), batch.column("key").to_pylist(), strict=True)
+        for key, (own, other, beside, signature) in zip(zip(*columns, strict=True), windows, strict=True):
             if key != pair:
                 settle()
                 pair, held = key, []
-            held.append(row)
+            held.append(_combined(own, other, beside, signature))
         yield batch_of(out)
         out.clear()
     settle()
@@ -396,12 +423,8 @@ _TEXT = ["id", "block", "i"]
 
 
 def _evidence(joined: DataFrame) -> DataFrame:
-    """A row per two windows of one signature, from the ``places`` of a text and those that lead in ``first``."""
-    own = joined.select(*_TEXT, "beside", F.explode("places").alias("own"), "first")
-    both = own.select(*_TEXT, "beside", "own", "first", F.explode("first.leads").alias("other"))
-    return both.select(
-        *_TEXT, *[F.col(f"first.{x}").alias(f"first_{x}") for x in _TEXT], *[F.col(f"own.{x}") for x in "acb"], *[F.col(f"other.{x}").alias(f"f{x}") for x in "acb"], "beside"
-    )
+    """A row per two texts and signature: the ``places`` of the one, and those that lead in the other."""
+    return joined.select(*_TEXT, *[F.col(f"first.{x}").alias(f"first_{x}") for x in _TEXT], "key", "beside", "places", F.col("first.leads").alias("leads"))
 
 
 def _first_round(windows: DataFrame, held: DataFrame, scratch: Scratch) -> DataFrame:
@@ -417,10 +440,38 @@ def _first_round(windows: DataFrame, held: DataFrame, scratch: Scratch) -> DataF
     return _verified(_evidence(joined.withColumn("beside", F.lit(False))), held, scratch, "first")
 
 
+def _not_found(windows: DataFrame, found: DataFrame) -> DataFrame:
+    """``windows`` whose signature lies in no passage found of their text.
+
+    ``beside`` are those so near to one that some of the windows that would agree with them can lie in it.
+    """
+    shingles = F.struct("start", (F.col("end") - WORDS + 1).alias("end"))
+    spans = found.groupBy("block", "i").agg(F.collect_set(shingles).alias("spans"))
+    spanned = windows.join(spans, ["block", "i"], "left").withColumn("spans", F.coalesce("spans", F.expr("array()").cast("array<struct<start: long, end: long>>")))
+
+    def touches(p: Column, reach: int) -> Column:
+        return F.exists("spans", lambda x: (p["c"] + reach >= x["start"]) & (p["c"] - reach < x["end"]))
+
+    open_ = F.filter("places", lambda p: ~touches(p, 0))
+    split_ = spanned.withColumn("open", open_).select("key", *_TEXT, F.explode(F.array(F.lit(False), F.lit(True))).alias("beside"), "open", "spans")
+    near = split_.withColumn("places", F.filter("open", lambda p: touches(p, LEAST) == F.col("beside")))
+    return near.where(F.size("places") > 0).select("key", *_TEXT, "beside", "places")
+
+
+def _all_earlier(rest: DataFrame, windows: DataFrame) -> DataFrame:
+    """Evidence of the windows of ``rest`` and all earlier texts that hold their signature, hot ones dealt out."""
+    shares = windows.groupBy("key").agg(F.ceil(F.count("*") / HOLDERS).alias("shares")).where("shares > 1")
+    dealt = windows.join(shares, "key", "left").withColumn("shares", F.coalesce("shares", F.lit(1)))
+    others = dealt.select("key", F.pmod(F.xxhash64("block", "i"), "shares").alias("share"), F.struct(*_TEXT, "leads").alias("first"))
+    own = rest.join(shares, "key", "left").withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("shares", F.lit(1)) - 1)))
+    joined = own.join(others, ["key", "share"]).where(F.struct("first.id", "first.block", "first.i") < F.struct(*_TEXT))
+    return _evidence(joined.select(*_TEXT, "key", "places", "first", "beside"))
+
+
 def _verified(evidence: DataFrame, held: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """The passages that the evidence points to and that match."""
     pair = [*_TEXT, *[f"first_{x}" for x in _TEXT]]
-    pairs = evidence.repartition(*pair).sortWithinPartitions(*pair, "c").mapInArrow(_pair_rows, _PAIR_DDL)
+    pairs = evidence.repartition(*pair).sortWithinPartitions(*pair).mapInArrow(_pair_rows, _PAIR_DDL)
 
     def steps(s: str, e: str) -> tuple:
         return (F.floor(F.col(s) / STEP) * STEP).cast("int"), (F.ceil((F.col(e) + WORDS) / STEP) * STEP).cast("int")
@@ -464,6 +515,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     windows = scratch.store(known.join(shared, "block").mapInArrow(_window_rows(buckets), _WINDOW_DDL), "tied")
 
     found = _first_round(windows, held, scratch)
+    rest = scratch.store(_not_found(windows, found), "rest")
+    if not rest.isEmpty():
+        found = found.unionByName(_verified(_all_earlier(rest, windows), held, scratch, "second"))
     found = found.drop("block", "i")
 
     counted = held.select("block", "sizes", "payload").join(copies.groupBy("block").agg(F.collect_list("i").alias("copies")), "block")

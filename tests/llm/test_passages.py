@@ -91,6 +91,27 @@ def words_reported(rows, doc):
     return {w for r in rows if r.doc_id == doc for w in range(r.start, r.end)}
 
 
+def test_a_copy_among_many_variants(docs):
+    draw = random.Random(3)
+    base = [f"b{i}" for i in range(52)]
+    rows = []
+    for doc in range(300):
+        words = list(base)
+        for at in draw.sample(range(52), 3):
+            words[at] = f"u{doc}x{at}"
+        rows.append((doc, f"own{doc} " + " ".join(words) + f" end{doc}"))
+    for copy, of in ((300, 100), (301, 200), (302, 37)):
+        rows.append((copy, f"own{copy} " + " ".join(rows[of][1].split()[1:-1]) + f" end{copy}"))
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(1, 49)} for _, t in rows]
+    links = {(d, f) for d in range(len(rows)) for f in range(d) if 10 * len(sets[d] & sets[f]) >= 8 * len(sets[d] | sets[f])}
+    assert {(300, 100), (301, 200), (302, 37)} <= links
+    got = passages.repeated_passages(docs(rows)).collect()
+    assert {d for d, _ in links} <= {r.doc_id for r in got}
+    assert {(300, 100), (301, 200), (302, 37)} <= {(r.doc_id, r.first_doc_id) for r in got}
+    for d, f in ((300, 100), (301, 200), (302, 37)):
+        assert words_reported(got, d) == set(range(1, 53))
+
+
 @pytest.mark.parametrize("times, gap", [(2, 40), (6, 40), (6, 0), (2, 300)])
 def test_passages_held_several_times(docs, times, gap):
     own = iter(range(10**9))
