@@ -247,6 +247,17 @@ def with_language(docs: DataFrame, model: Model) -> DataFrame:
     return judged.withColumns({"_language": F.col("_judged.language"), "_score": F.col("_judged.score")}).drop("_judged")
 
 
+def with_letters(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text has a letter, by the rule that ``predict`` uses."""
+
+    @F.pandas_udf("boolean")
+    def lettered(texts: pd.Series) -> pd.Series:
+        return pd.Series([isinstance(t, str) and any(map(str.isalpha, t)) for t in texts], dtype=bool)
+
+    bound_batches(docs.sparkSession, 4 << 20)
+    return docs.where(lettered(F.col("text").cast("string")))
+
+
 def identify_languages(docs: DataFrame) -> DataFrame:
     """Fit on the training side of ``docs`` and predict all of them."""
     return identify(docs, fit(docs))

@@ -105,6 +105,14 @@ def test_stages_return_the_columns_of_documents(docs, spark, name, stage):
     assert stage(spark, docs([]), "").collect() == []
 
 
+def test_without_any_language_texts_with_letters_stay(spark):
+    rows = [(1, "some text", None), (2, None, None), (3, "12 ..", None), (None, "é", None), (4, "", None), (1, "some text", None)]
+    source = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = pipeline.known_language(spark, source, "")
+    assert got.columns == source.columns
+    assert sorted((r.doc_id or 0, r.text) for r in got.collect()) == [(0, "é"), (1, "some text"), (1, "some text")]
+
+
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
     assert numbers == list(range(1, 11))
