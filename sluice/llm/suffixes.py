@@ -8,12 +8,15 @@ construction bounds memory to one bucket of suffixes at a time.
    answers to a block without moving text again.
 2. Positions in a difference cover (mod 57) are the sample: for any two
    positions there is an offset below 57 that puts both into it. Sample strings
-   of 44 bytes are dealt into buckets and sorted; those met twice are ranked as
-   ties. A suffix can only tie over 100 bytes if one of the sample strings in
-   it does, so all others are settled.
+   of 44 bytes are dealt into buckets and sorted by a 32-bit part of their
+   fingerprint; a bit tells which are met twice, no rank is kept. A suffix can
+   only tie over 100 bytes if one of the sample strings in it does, so all
+   others are settled.
 3. The remaining suffixes are dealt into buckets by their key (a fingerprint of
    their first 100 bytes), each bucket is sorted by (key, document, place), and
-   every suffix but the first of a tie is a repeat.
+   every suffix but the first of a tie is a repeat. The bytes themselves are not
+   compared: 63 bits of the fingerprint can differ (its lowest is 0 before mixing),
+   so one false tie is expected from about 4.3 * 10^9 distinct unsettled suffixes.
 
 Equal strings within a block are sent once, so a passage that many documents
 share costs an entry per block. Whole copies of a text are found beforehand by
