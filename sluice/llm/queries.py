@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, exact, fingerprints, jaccard, language, licences, packing, passages, rans, suffixes
+from sluice.llm import bpe, exact, fingerprints, jaccard, language, licences, packing, passages, rans, suffixes, whitening
 from sluice.llm.common import documents
 
 
@@ -58,6 +58,10 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir, "doc_id", "text"), vocabulary("word_bpe_49k.json"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_licence_scan": op2_licence_scan,
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_token_blocks": op9_token_blocks,
     "op10_pack": op10_pack,
+    "op12_whitening": op12_whitening,
 }
 
 SQL: dict[str, str] = {
