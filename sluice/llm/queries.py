@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sluice.llm import bpe, exact, fingerprints, jaccard, language, licences, packing, passages, rans, suffixes, whitening
+from sluice.llm import bpe, exact, fingerprints, jaccard, language, licences, packing, passages, rans, scoring, suffixes, whitening
 from sluice.llm.common import documents
 
 
@@ -58,6 +59,11 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir, "doc_id", "text"), vocabulary("word_bpe_49k.json"))
 
 
+def op11_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return scoring.score_documents(docs, scoring.held_out_fifth(F.col("doc_id")))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_token_blocks": op9_token_blocks,
     "op10_pack": op10_pack,
+    "op11_lm_score": op11_lm_score,
     "op12_whitening": op12_whitening,
 }
 

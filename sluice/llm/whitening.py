@@ -114,32 +114,32 @@ def _matrix_sum(payloads: list[bytes]) -> bytes:
 def exact_sums(rows: DataFrame, size: int) -> tuple[int, tuple[int, ...]]:
     """Number of vectors and their exact sum in each dimension."""
 
-    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterable[bytes]:
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterable[tuple[int, bytes]]:
         n, sums = 0, [0] * size
         for x in _matrices(batches, size):
             n += len(x)
             sums = [a + int(b) for a, b in zip(sums, x.sum(axis=0), strict=True)]
         if n:
-            yield json.dumps([n, *sums]).encode()
+            yield 0, json.dumps([n, *sums]).encode()
 
     def combine(payloads: list[bytes]) -> bytes:
         return json.dumps([sum(c) for c in zip(*map(json.loads, payloads), strict=True)]).encode()
 
     found = gathered(partial_results(rows.select("x"), of_task), combine)
-    n, *sums = json.loads(found) if found else [0] * (size + 1)
+    n, *sums = json.loads(found[0]) if found else [0] * (size + 1)
     return n, tuple(sums)
 
 
 def spectrum_of(rows: DataFrame, size: int) -> Spectrum:
     """Spectrum of all vectors by rank-one updates, task by task and then across tasks."""
 
-    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterable[bytes]:
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterable[tuple[int, bytes]]:
         kept = Spectrum(size)
         for x in _matrices(batches, size):
             for row in x.astype(np.float64):
                 kept.add(row)
         if kept.n:
-            yield kept.to_bytes()
+            yield 0, kept.to_bytes()
 
     def combine(payloads: list[bytes]) -> bytes:
         first, *others = map(Spectrum.from_bytes, payloads)
@@ -148,7 +148,7 @@ def spectrum_of(rows: DataFrame, size: int) -> Spectrum:
         return first.to_bytes()
 
     found = gathered(partial_results(rows.select("x"), of_task), combine)
-    return Spectrum.from_bytes(found) if found else Spectrum(size)
+    return Spectrum.from_bytes(found[0]) if found else Spectrum(size)
 
 
 def fit(rows: DataFrame, size: int) -> Whitening:
@@ -158,15 +158,15 @@ def fit(rows: DataFrame, size: int) -> Whitening:
         return Whitening(0, (0,) * size, np.zeros(size), np.eye(size), 0.0)
     basis = orthonormal(spectrum_of(rows, size).vectors[:, ::-1])
 
-    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterable[bytes]:
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterable[tuple[int, bytes]]:
         products = np.zeros((size, size))
         for x in _matrices(batches, size):
             on_basis = _centred(x, n, sums) @ basis
             products += on_basis.T @ on_basis
-        yield products.tobytes()
+        yield 0, products.tobytes()
 
     found = gathered(partial_results(rows.select("x"), of_task), _matrix_sum)
-    projected = np.frombuffer(found).reshape(size, size) / n
+    projected = np.frombuffer(found[0]).reshape(size, size) / n
     values, turn = np.linalg.eigh((projected + projected.T) / 2)
     return Whitening(n, sums, values[::-1].copy(), basis @ turn[:, ::-1], float(np.trace(projected)))
 
@@ -177,15 +177,16 @@ def identity_error(rows: DataFrame, size: int, model: Whitening, most: int) -> f
     if not k:
         return 0.0
 
-    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterable[bytes]:
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterable[tuple[int, bytes]]:
         sums = np.zeros((k + 1, k))
         for x in _matrices(batches, size):
             white = model.projections(_centred(x, model.n, model.sums), most)
             sums[:k] += white.T @ white
             sums[k] += white.sum(axis=0)
-        yield sums.tobytes()
+        yield 0, sums.tobytes()
 
-    found = np.frombuffer(gathered(partial_results(rows.select("x"), of_task), _matrix_sum)).reshape(k + 1, k) / model.n
+    found = gathered(partial_results(rows.select("x"), of_task), _matrix_sum)
+    found = np.frombuffer(found[0]).reshape(k + 1, k) / model.n
     return float(np.abs(found[:k] - np.outer(found[k], found[k]) - np.eye(k)).max())
 
 
