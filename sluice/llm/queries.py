@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, exact, fingerprints, jaccard, language, licences, packing, passages, rans, scoring, suffixes, whitening
+from sluice.llm import alignment, bpe, exact, fingerprints, jaccard, language, licences, packing, passages, rans, scoring, suffixes, whitening
 from sluice.llm.common import documents
 
 
@@ -68,6 +68,11 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return alignment.align_documents(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_licence_scan": op2_licence_scan,
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pack": op10_pack,
     "op11_lm_score": op11_lm_score,
     "op12_whitening": op12_whitening,
+    "op13_alignment": op13_alignment,
 }
 
 SQL: dict[str, str] = {

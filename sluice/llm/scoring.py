@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from sluice.llm import bilinear
 from sluice.llm.bilinear import END, RARE, Parameters, Scorer
 from sluice.llm.common import Scratch, bound_batches
+from sluice.llm.frequent import commonest
 from sluice.llm.partials import gathered, partial_results
 
 #: Words whose counts every task holds, classes of the model, width of its vectors, training rounds.
@@ -48,9 +49,6 @@ TOKENS_AT_ONCE = 1 << 20
 PIECES = 16
 #: The end of a text as a word; no word is empty.
 END_WORD = b""
-#: Steps of the histogram of counts per doubling.
-STEPS = 32
-
 ENCODED = (
     "row long, doc_id long, held_out boolean, round int, n_tokens long, known long, base double, rare double, "
     "ids binary, cold array<struct<word: binary, n: long>>"
@@ -150,20 +148,11 @@ def word_counts(texts: DataFrame) -> DataFrame:
 def vocabulary(counts: DataFrame, hot_words: int = HOT_WORDS, classes: int = CLASSES) -> Vocabulary:
     """Totals of a stored table (word, n) and its commonest words.
 
-    The words come by a histogram of their counts: all words of the highest
-    steps, as many steps as hold ``hot_words`` words or fewer, and the end. So at most
-    one more reach the driver, without a sort of all words.
+    ``hot_words`` words at most, and the end, reach the driver.
     """
-    step = F.floor(F.log2("n") * STEPS).cast("int")
-    histogram = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.sum("n").alias("tokens")).collect()
-    totals = Totals(sum(r["tokens"] for r in histogram), sum(r["words"] for r in histogram))
-    least, room = 1 << 30, hot_words
-    for r in sorted(histogram, key=lambda r: -r["step"]):
-        room -= r["words"]
-        if room < 0:
-            break
-        least = r["step"]
-    hot = counts.where((step >= F.lit(least)) | (F.col("word") == F.lit(END_WORD))).toPandas()
+    is_hot, histogram = commonest(counts, hot_words)
+    totals = Totals(sum(r["total"] for r in histogram), sum(r["entries"] for r in histogram))
+    hot = counts.where(is_hot | (F.col("word") == F.lit(END_WORD))).toPandas()
     ranked = sorted(zip(map(bytes, hot["word"]), hot["n"], strict=True), key=lambda p: (-p[1], p[0]))
     words, numbers = [w for w, _ in ranked], np.array([n for _, n in ranked], np.int64)
     return Vocabulary(words, numbers, 2 + min(classes - 2, sum(w != END_WORD for w in words)), totals)
