@@ -11,8 +11,8 @@ the horizon are forecast *and* have actuals, as in the reference).
 
 * ``predict_trend``: least-squares line per series from ``regr_*`` window
   aggregates (plain SQL, checkable against another engine).
-* ``predict_seasonal``: trend with changepoints + Fourier terms of a 91.25-day
-  season, fitted per series with ``applyInPandas`` (numpy ridge); each series is one
+* ``predict_seasonal``: trend with sparse changepoints + Fourier terms of a 91.25-day
+  season, fitted per series with ``applyInPandas`` (``trend.py``); each series is one
   small group, so series fit in parallel and never meet on the driver.
 
 Series are monthly aggregates (one row per month), so a window over one series
@@ -22,6 +22,7 @@ holds at most a few hundred rows whatever the size of the order table.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Sequence
 
 import numpy as np
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DateType, DoubleType, StringType, StructField, StructType
 
 from sluice.functions import month_start
+from sluice.operators import trend
 
 # Fixed values of the reference model set-up.
 SCALE_CRORE = 1e7
@@ -42,9 +44,6 @@ MAPE_EPS = 1e-9
 CHANGEPOINT_PRIOR_SCALE = 0.05
 MAX_CHANGEPOINTS = 25
 CHANGEPOINT_RANGE = 0.8
-#: The noise of the scaled series weighs the changepoints; it is taken from the last of a few fits.
-NOISE_ROUNDS = 5
-LEAST_NOISE = 1e-4
 Z80 = 1.2815515655446004  # two-sided 80% normal quantile
 #: Fewer training months than this leave a series without a forecast, in every model.
 MIN_TRAIN_MONTHS = 3
@@ -65,8 +64,11 @@ def forecast_series(monthly: DataFrame, keys: Sequence[str] = (), scale: float =
     s = monthly.filter(F.col("year_month").isNotNull()).select(
         *keys, month_start("year_month").alias("month"), (F.col("monthly_revenue") / F.lit(scale)).alias("y")
     )
-    # one value for all series; the subquery reuses the aggregate's shuffle
-    return s.filter(F.col("month") < s.agg(F.max("month")).scalar())
+    # The maximum is taken over whole rows, so the subquery keeps the columns of the main query,
+    # and the comparison names y, so it is not pushed below the monthly aggregate: both sides
+    # then hold the same shuffle, which Spark runs once. (month, y) < (last, NULL) is month < last.
+    last = s.agg(F.max(F.struct("month", "y", *keys))).scalar().getField("month")
+    return s.filter(F.struct("month", "y") < F.struct(last.alias("month"), F.lit(None).cast("double").alias("y")))
 
 
 def holdout_split(series: DataFrame, keys: Sequence[str] = (), holdout: int = 3) -> DataFrame:
@@ -167,27 +169,12 @@ def predict_trend(
 
 # --- F4: seasonal model (applyInPandas) ----------------------------------------
 
-def _knots(t: np.ndarray) -> np.ndarray:
-    """Places (0 to 1) where the trend may change: spread over the first part of the training months."""
-    early = int(len(t) * CHANGEPOINT_RANGE)
-    count = min(MAX_CHANGEPOINTS, max(0, early - 1))
-    return t[np.linspace(0, early - 1, count + 1).round().astype(int)][1:] if count else np.zeros(0)
+def _seed(key_values: Sequence) -> int:
+    """The same for a series wherever it is fitted."""
+    return zlib.crc32(repr([None if pd.isna(v) else str(v) for v in key_values]).encode())
 
 
-def _design(days: np.ndarray, span: float, knots: np.ndarray, period: float, order: int) -> np.ndarray:
-    """Columns: level, slope, slope changes, sine and cosine pairs."""
-    t = days / span
-    angles = [2.0 * math.pi * k * days / period for k in range(1, order + 1)]
-    columns = [np.ones_like(t), t, *[np.maximum(0.0, t - c) for c in knots]]
-    return np.column_stack(columns + [f(a) for a in angles for f in (np.sin, np.cos)])
-
-
-def penalties(knots: int, order: int, prior_scale: float, noise: float) -> list[float]:
-    """Ridge weight of each column of the design; a slope change's is the noise over its prior variance."""
-    return [0.0, 0.0] + [noise / CHANGEPOINT_PRIOR_SCALE**2] * knots + [1.0 / prior_scale**2] * (2 * order)
-
-
-def _seasonal_group(keys, horizon, period, order, prior_scale, z, anchor, with_fit):
+def _seasonal_group(keys, horizon, period, order, prior_scale, changepoints, change_scale, noise, interval, anchor, with_fit):
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.assign(month=pd.to_datetime(pdf["month"])).sort_values("month")
         key_vals = {k: pdf[k].iloc[0] for k in keys}
@@ -201,27 +188,21 @@ def _seasonal_group(keys, horizon, period, order, prior_scale, z, anchor, with_f
         actual = np.array(list(pdf["y"]) + [np.nan] * len(fut), dtype=float)
         split = list(pdf["split"]) + ["future"] * len(fut)
         used = np.array([s == "train" for s in split]) & ~np.isnan(actual)
-        yhat, band, fitted = np.full(len(months), np.nan), np.nan, {}
+        yhat, fitted = np.full(len(months), np.nan), {}
+        low = high = np.full(len(months), np.nan)
         if used.sum() >= MIN_TRAIN_MONTHS:
             origin = min(m for m, u in zip(months, used) if u)
             days = np.array([(m - origin).days for m in months], dtype=float)
             span = max(float(days[used].max()), 1.0)
             scale = float(np.max(np.abs(actual[used]))) or 1.0
-            knots = _knots(days[used] / span)
-            X = _design(days, span, knots, period, order)
-            Xt = X[used]
-            y = actual[used] / scale
-            line = np.linalg.lstsq(Xt[:, :2], y, rcond=None)[0]
-            noise = max(float(np.mean((y - Xt[:, :2] @ line) ** 2)), LEAST_NOISE)
-            for _ in range(NOISE_ROUNDS):  # the noise is that of the fit before
-                A = Xt.T @ Xt + np.diag(penalties(len(knots), order, prior_scale, noise))
-                beta = np.linalg.lstsq(A, Xt.T @ y, rcond=None)[0]
-                used_noise, noise = noise, max(float(np.mean((y - Xt @ beta) ** 2)), LEAST_NOISE)
-            yhat = X @ beta * scale
-            # effective parameters of the ridge fit: trace of its hat matrix
-            parameters = float(np.trace(np.linalg.lstsq(A, Xt.T @ Xt, rcond=None)[0]))
-            sse = float(np.sum((actual[used] - yhat[used]) ** 2))
-            band = z * math.sqrt(sse / max(used.sum() - parameters, 1.0))
+            knots = trend.knots_of(days[used] / span, changepoints, CHANGEPOINT_RANGE)
+            x = trend.design(days, span, knots, period, order)
+            xt, y = x[used], actual[used] / scale
+            beta, used_noise = trend.fit(xt, y, len(knots), order, change_scale, prior_scale, noise)
+            yhat = x @ beta * scale
+            l2 = trend.weights(len(knots), order, change_scale, prior_scale, used_noise)[1]
+            sd, changes = trend.spread(xt, y, beta, l2), beta[2 : 2 + len(knots)]
+            low, high = (yhat + o * scale for o in trend.band(days / span, changes, sd, interval, _seed(key_vals.values())))
             fitted = {"origin": origin.date(), "span": span, "scale": scale, "noise": used_noise, "knots": knots.tolist(), "beta": beta.tolist()}
         limit = start + pd.DateOffset(months=horizon)
         out = pd.DataFrame(
@@ -229,8 +210,8 @@ def _seasonal_group(keys, horizon, period, order, prior_scale, z, anchor, with_f
                 "month": [m.date() for m in months],
                 "actual": pd.array(actual, dtype="float64"),
                 "yhat": yhat,
-                "lower": yhat - band,
-                "upper": yhat + band,
+                "lower": low,
+                "upper": high,
                 "split": split,
                 "in_frame": [(s == "train") or (m <= limit) for s, m in zip(split, months)],
             }
@@ -273,28 +254,38 @@ def predict_seasonal(
     period: float = SEASON_PERIOD_DAYS,
     order: int = FOURIER_ORDER,
     prior_scale: float = SEASONALITY_PRIOR_SCALE,
-    z: float = Z80,
     anchor: str = "train",
     with_fit: bool = False,
+    changepoints: int = MAX_CHANGEPOINTS,
+    change_scale: float = CHANGEPOINT_PRIOR_SCALE,
+    noise: float | None = None,
+    interval: float = INTERVAL_WIDTH,
 ) -> DataFrame:
     """additive piecewise-linear trend + quarterly Fourier season, one fit per series.
 
-    The trend may bend at up to ``MAX_CHANGEPOINTS`` months of the first 80% of
-    the training months, each bend with a ridge penalty (a Gaussian prior of
-    scale 0.05 on y scaled by its maximum, against the noise of the series). About three monthly samples per
-    91.25-day cycle make the harmonics alias, so the seasonal terms carry a
-    penalty too (prior scale ``prior_scale``). Level and slope are free.
+    The trend may bend at up to ``changepoints`` months of the first 80% of the
+    training months. Each bend has a Laplace prior of scale ``change_scale`` on y
+    scaled by its maximum, so most are exactly zero; each season term has a
+    normal prior of scale ``prior_scale`` (about three monthly samples per
+    91.25-day cycle make the harmonics alias). Level and slope are free. The
+    noise variance that weighs the priors is estimated unless ``noise`` gives it.
     Training months without a value are left out; a series with fewer than
-    ``MIN_TRAIN_MONTHS`` of them gets NULL predictions. The band uses the
-    residuals' degrees of freedom less the fit's effective parameters.
-    ``with_fit`` adds the fit itself (``FIT_FIELDS``), as ``fit_gap`` needs it.
+    ``MIN_TRAIN_MONTHS`` of them gets NULL predictions.
+
+    The band holds a share ``interval`` of simulated values: noise within the
+    training months, and after them also future bends, as frequent and as large
+    as the fitted ones, so it widens with the horizon. Draws are seeded by the
+    series' key and do not depend on partitioning. ``with_fit`` adds the fit
+    itself (``FIT_FIELDS``), as ``fit_gap`` needs it.
     """
+    if not 0.0 < interval < 1.0:
+        raise ValueError("interval must lie between 0 and 1")
     key_fields = [f for f in split.schema.fields if f.name in keys]
     key_fields = sorted(key_fields, key=lambda f: list(keys).index(f.name))
     schema = StructType(key_fields + PRED_FIELDS + (FIT_FIELDS if with_fit else []))
     data = split.select(*keys, "month", "y", "split")
     _check_anchor(anchor)
-    fn = _seasonal_group(list(keys), horizon, period, order, prior_scale, z, anchor, with_fit)
+    fn = _seasonal_group(list(keys), horizon, period, order, prior_scale, changepoints, change_scale, noise, interval, anchor, with_fit)
     if keys:
         return data.groupBy(*keys).applyInPandas(fn, schema)
     # one global series: group on a constant so it still runs as one grouped task
@@ -307,33 +298,41 @@ def fit_gap(
     period: float = SEASON_PERIOD_DAYS,
     order: int = FOURIER_ORDER,
     prior_scale: float = SEASONALITY_PRIOR_SCALE,
+    change_scale: float = CHANGEPOINT_PRIOR_SCALE,
 ) -> DataFrame:
     """How far a seasonal fit is from its definition, recomputed in SQL from its coefficients.
 
-    Per series: ``equation_gap`` is the largest error of the penalised normal
-    equations (X'(y - Xb) = Pb, y scaled), ``forecast_gap`` the largest scaled
-    difference between the forecasts and Xb. Both are 0 up to rounding for a
-    right fit and NULL without one.
+    Per series: ``equation_gap`` is the largest error of the conditions that hold
+    at the minimum and nowhere else. With the pull g = X'(y - Xb) (y scaled): for
+    level, slope and season terms g is the penalty times b; for a bend that is
+    not zero g is the L1 weight with b's sign; for one that is zero g lies within
+    the weight. ``forecast_gap`` is the largest scaled difference between the
+    forecasts and Xb. Both are 0 up to rounding for a right fit and NULL without
+    one. ``bends`` is the number of slope changes, neighbouring ones of one sign
+    counted once.
     """
     days = F.date_diff("month", "origin").cast("double")
     t = days / F.col("span")
     waves = [f(F.lit(2.0 * math.pi * k / period) * days) for k in range(1, order + 1) for f in (F.sin, F.cos)]
     bends = F.transform("knots", lambda c: F.greatest(F.lit(0.0), t - c))
-    rows = pred.withColumn("x", F.concat(F.array(F.lit(1.0), t), bends, F.array(*waves)))
+    rows = pred.withColumn("x", F.concat(F.array(F.lit(1.0), t), bends, F.array(*waves).cast("array<double>")))
+    signs = F.transform(F.slice("beta", F.lit(3), F.size("knots")), lambda v: F.signum(v))
+    starts = F.filter(F.zip_with(signs, F.concat(F.array(F.lit(0.0)), signs), lambda v, before: (v != 0) & (v != before)), lambda new: new)
+    rows = rows.withColumn("bends", F.when(F.col("beta").isNotNull(), F.size(starts)))
     dot = F.aggregate(F.zip_with("x", "beta", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
     rows = rows.withColumn("off", F.abs(dot - F.col("yhat") / F.col("scale"))).withColumn(
         "left", F.when((F.col("split") == "train") & F.col("actual").isNotNull(), F.col("actual") / F.col("scale") - dot)
     )
-    weight = F.concat(
-        F.array(F.lit(0.0), F.lit(0.0)),
-        F.array_repeat(F.col("noise") / F.lit(CHANGEPOINT_PRIOR_SCALE**2), F.size("knots")),
-        F.array_repeat(F.lit(1.0 / prior_scale**2), 2 * order),
-    )
-    terms = rows.select(*keys, "off", "left", F.posexplode_outer(F.arrays_zip("x", "beta", weight.alias("w"))).alias("j", "c"))
-    each = terms.groupBy(*keys, "j").agg(
-        F.max("off").alias("off"), F.abs(F.sum(F.col("left") * F.col("c.x")) - F.max(F.col("c.w") * F.col("c.beta"))).alias("gap")
-    )
-    return each.groupBy(*keys).agg(F.max("gap").alias("equation_gap"), F.max("off").alias("forecast_gap"))
+    bends_at = F.size("knots")
+    l2 = F.concat(F.array_repeat(F.lit(0.0), bends_at + 2), F.array_repeat(F.col("noise") / F.lit(prior_scale**2), 2 * order))
+    l1 = F.concat(F.array(F.lit(0.0), F.lit(0.0)), F.array_repeat(F.col("noise") / F.lit(change_scale), bends_at), F.array_repeat(F.lit(0.0), 2 * order))
+    terms = rows.select(*keys, "off", "left", "bends", F.posexplode_outer(F.arrays_zip("x", "beta", l1.alias("l1"), l2.alias("l2"))).alias("j", "c"))
+    b = F.max("c.beta")
+    pull = F.sum(F.col("left") * F.col("c.x")) - F.max("c.l2") * b
+    bound = F.max("c.l1")
+    gap = F.when(b == 0, F.greatest(F.abs(pull) - bound, F.lit(0.0))).otherwise(F.abs(pull - F.signum(b) * bound))
+    each = terms.groupBy(*keys, "j").agg(F.max("off").alias("off"), gap.alias("gap"), F.max("bends").alias("bends"))
+    return each.groupBy(*keys).agg(F.max("gap").alias("equation_gap"), F.max("off").alias("forecast_gap"), F.max("bends").alias("bends"))
 
 
 # --- F6 / F7 -------------------------------------------------------------------

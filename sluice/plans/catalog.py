@@ -42,6 +42,7 @@ SILVER_RULES = {
 HOLDOUT = 2
 HORIZON = 6
 REGION_SCALE = 1e5  # per-region series in Lakh
+CHANGE_NOISE = 0.002  # noise variance of the scaled series in the one-bend fit
 
 
 def _silver(spark, sf_dir):
@@ -231,6 +232,14 @@ def q_seasonal_forecast_by_region(spark, sf_dir):
     )
 
 
+def q_changepoint_fit(spark, sf_dir):
+    """Coefficients of the trend with one place for a bend and a stated noise, which have a closed form."""
+    pred = fc.predict_seasonal(_region_split(spark, sf_dir), ["region"], HORIZON, order=0, changepoints=1, noise=CHANGE_NOISE, with_fit=True)
+    fit = pred.where(F.col("beta").isNotNull()).groupBy("region").agg(F.first("knots").alias("knots"), F.first("beta").alias("beta"), F.max_by("yhat", "month").alias("last"))
+    place = {"change_at": F.get("knots", F.lit(0)), "level": F.get("beta", F.lit(0)), "slope": F.get("beta", F.lit(1)), "change": F.get("beta", F.lit(2)), "last_forecast": F.col("last")}
+    return fit.select("region", *[(F.round(c, 7) + F.lit(0.0)).alias(name) for name, c in place.items()])
+
+
 def q_forecast_runs(spark, sf_dir):
     """Run records of the seasonal model; of its errors (they depend on the solver's rounding) only whether they are there."""
     pred = fc.predict_seasonal(_region_split(spark, sf_dir), ["region"], HORIZON)
@@ -292,6 +301,7 @@ QUERIES: dict[str, Query] = {
     "trend_forecast": q_trend_forecast,
     "forecast_accuracy": q_forecast_accuracy,
     "seasonal_forecast_by_region": q_seasonal_forecast_by_region,
+    "changepoint_fit": q_changepoint_fit,
     "forecast_runs": q_forecast_runs,
     "trend_forecast_runs": q_trend_forecast_runs,
     "growth_factor": q_growth_factor,

@@ -372,6 +372,34 @@ SELECT region, strftime(month, '%Y-%m') AS month, actual AS actual_revenue, actu
 FROM pred2 JOIN {_TRAINED_R} ON region IS NOT DISTINCT FROM r WHERE in_frame"""
 )
 
+# One place for a bend: the hinge cleared of level and slope has a soft threshold
+# (noise 0.002 over the prior scale 0.05) as its coefficient; level and slope follow by least squares.
+SQL["changepoint_fit"] = (
+    REGION_CTE
+    + """,
+used AS (
+  SELECT region, month, datediff('day', min(month) OVER w, month) AS days, y / max(abs(y)) OVER w AS v, max(abs(y)) OVER w AS scale,
+    row_number() OVER (PARTITION BY region ORDER BY month) AS place, count(*) OVER w AS n
+  FROM split_r WHERE split = 'train' AND y IS NOT NULL WINDOW w AS (PARTITION BY region)),
+timed AS (SELECT *, days / max(days) OVER w AS t, max(days) OVER w AS span FROM used WINDOW w AS (PARTITION BY region)),
+placed AS (SELECT *, max(CASE WHEN place = cast(floor(n * 0.8) AS BIGINT) THEN t END) OVER (PARTITION BY region) AS c FROM timed WHERE n >= 3),
+hinged AS (SELECT *, greatest(cast(0 AS DOUBLE), t - c) AS h FROM placed),
+cleared AS (SELECT *, h - regr_intercept(h, t) OVER w - regr_slope(h, t) OVER w * t AS rest FROM hinged WINDOW w AS (PARTITION BY region)),
+pulled AS (SELECT region, sum(rest * v) AS pull, sum(rest * rest) AS size FROM cleared GROUP BY region),
+bent AS (SELECT region, sign(pull) * greatest(abs(pull) - 0.002::DOUBLE / 0.05::DOUBLE, cast(0 AS DOUBLE)) / size AS change FROM pulled),
+fit AS (
+  SELECT h.region, any_value(c) AS c, any_value(change) AS change, any_value(scale) AS scale, any_value(span) AS span,
+    min(month) AS origin, max(month) AS last_train, regr_intercept(v - change * h, t) AS level, regr_slope(v - change * h, t) AS slope
+  FROM hinged h JOIN bent b ON h.region IS NOT DISTINCT FROM b.region GROUP BY h.region),
+ends AS (SELECT region, max(month) AS last_month FROM split_r GROUP BY region),
+last AS (
+  SELECT f.*, datediff('day', origin, greatest(last_month, cast(last_train + to_months(6) AS DATE))) / span AS t
+  FROM fit f JOIN ends e ON f.region IS NOT DISTINCT FROM e.region)
+SELECT region, round(c, 7) AS change_at, round(level, 7) AS level, round(slope, 7) AS slope, round(change, 7) AS change,
+  round((level + slope * t + change * greatest(cast(0 AS DOUBLE), t - c)) * scale, 7) AS last_forecast
+FROM last"""
+)
+
 SQL["forecast_runs"] = (
     REGION_CTE
     + """

@@ -186,15 +186,97 @@ def test_seasonal_fit_satisfies_its_equations(spark):
     assert off.equation_gap > 1e-3 and off.forecast_gap > 1e-4
 
 
-def test_band_uses_the_effective_parameters(spark):
-    import random
-
-    draw = random.Random(5)
-    vals = [100.0 + draw.gauss(0, 5) for _ in range(20)]
+def test_one_bend_is_found_as_one_and_none_as_none(spark):
+    bent = [100.0 + 5 * i for i in range(30)] + [245.0 - 4 * i for i in range(1, 41)]
+    straight = [100.0 + 3 * i for i in range(70)]
+    both = _monthly(spark, bent, region="bent").unionByName(_monthly(spark, straight, region="straight"))
+    split = fc.holdout_split(fc.forecast_series(both, ["region"], 1.0), ["region"], 3)
+    pred = fc.predict_seasonal(split, ["region"], with_fit=True)
+    gaps = {r.region: r for r in fc.fit_gap(pred, ["region"]).collect()}
+    assert gaps["bent"].bends == 1 and gaps["straight"].bends == 0
+    assert max(g.equation_gap for g in gaps.values()) < 1e-9
+    fit = pred.where("region = 'bent'").first()
+    changes = list(zip(fit.knots, fit.beta[2:]))
+    assert sum(c != 0 for _, c in changes) <= 3  # neighbouring places share one change
+    where = sum(k * c for k, c in changes) / sum(c for _, c in changes) * fit.span / 30.44
+    assert abs(where - 29) < 3  # months after the first
+
+
+def test_a_bend_that_is_zero_breaks_its_condition_when_the_prior_is_wider(spark):
+    """The check sees a fit made under another prior."""
+    vals = [100.0 + 5 * i for i in range(30)] + [245.0 - 4 * i for i in range(1, 41)]
+    split = fc.holdout_split(fc.forecast_series(_monthly(spark, vals, region="A"), ["region"], 1.0), ["region"], 3)
+    pred = fc.predict_seasonal(split, ["region"], with_fit=True, change_scale=0.0005)
+    assert fc.fit_gap(pred, ["region"], change_scale=0.0005).first().equation_gap < 1e-9
+    assert fc.fit_gap(pred, ["region"]).first().equation_gap > 1e-4
+
+
+def _noisy(seed, n=60, bends=((0.4, 1.5), (0.6, -2.0)), sd=0.03):
+    import numpy as np
+
+    r = np.random.default_rng(seed)
+    t = np.arange(n) / n
+    y = 1 + 0.5 * t + sum(c * np.maximum(0, t - at) for at, c in bends) + sd * r.standard_normal(n)
+    return (100 * y).tolist()
+
+
+def test_the_band_widens_after_the_training_months(spark):
+    split = fc.holdout_split(fc.forecast_series(_monthly(spark, _noisy(1), region="A"), ["region"], 1.0), ["region"], 3)
+    rows = fc.predict_seasonal(split, ["region"], horizon=24).orderBy("month").collect()
+    widths = [(r.split, r.upper - r.lower) for r in rows]
+    train = {round(w, 9) for s, w in widths if s == "train"}
+    assert len(train) == 1  # noise alone
+    after = [w for s, w in widths if s != "train"]
+    assert after[-1] > 1.5 * max(train) and all(b > 0.97 * a for a, b in zip(after, after[1:]))
+    assert all(abs((r.upper - r.yhat) - (r.yhat - r.lower)) < 1e-6 * r.upper for r in rows)
+
+
+def test_the_band_does_not_depend_on_partitions(spark):
+    both = _monthly(spark, _noisy(2), region="A").unionByName(_monthly(spark, _noisy(3), region="B"))
+    results = []
+    for n in (1, 7):
+        split = fc.holdout_split(fc.forecast_series(both.repartition(n), ["region"], 1.0), ["region"], 3)
+        results.append(sorted(map(tuple, fc.predict_seasonal(split.repartition(n, "month"), ["region"]).collect())))
+    assert results[0] == results[1]
+    alone = fc.holdout_split(fc.forecast_series(both.where("region = 'B'"), ["region"], 1.0), ["region"], 3)
+    assert sorted(map(tuple, fc.predict_seasonal(alone, ["region"]).collect())) == [r for r in results[0] if r[0] == "B"]
+
+
+def test_the_band_covers_known_series(spark):
+    """Straight lines with noise: about 80% of the holdout lies in an 80% band, about half in a 50% one."""
+    parts = [_monthly(spark, _noisy(100 + i, 48, bends=()), region=f"s{i:02d}") for i in range(40)]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    split = fc.holdout_split(fc.forecast_series(whole.coalesce(4), ["region"], 1.0), ["region"], 6).cache()
+    for interval, low, high in ((0.8, 0.68, 0.92), (0.5, 0.36, 0.66)):
+        test = fc.predict_seasonal(split, ["region"], interval=interval).where("split = 'test'")
+        share = test.select(F.avg(F.col("actual").between(F.col("lower"), F.col("upper")).cast("double"))).first()[0]
+        assert low < share < high, (interval, share)
+
+
+def test_one_place_and_no_season_has_a_closed_form(spark):
+    """Soft threshold of the hinge, cleared of level and slope."""
+    import numpy as np
+
+    vals = _noisy(9, 50)
     split = fc.holdout_split(fc.forecast_series(_monthly(spark, vals, region="A"), ["region"], 1.0), ["region"], 2)
-    rows = fc.predict_seasonal(split, ["region"]).collect()
-    train = [r for r in rows if r.split == "train"]
-    sse = sum((r.actual - r.yhat) ** 2 for r in train)
-    half = rows[0].upper - rows[0].yhat
-    free = sse / (half / fc.Z80) ** 2  # degrees of freedom behind the band
-    assert len(train) - 14 < free < len(train) - 2.5
+    for noise in (1e-4, 10.0):
+        fit = fc.predict_seasonal(split, ["region"], order=0, changepoints=1, noise=noise, with_fit=True).orderBy("month").collect()
+        train = [r for r in fit if r.split == "train"]
+        t = np.array([(r.month - fit[0].origin).days / fit[0].span for r in train])
+        y = np.array([r.actual for r in train]) / fit[0].scale
+        h = np.maximum(0, t - fit[0].knots[0])
+        line = np.column_stack([np.ones_like(t), t])
+        rest = h - line @ np.linalg.lstsq(line, h, rcond=None)[0]
+        pull = rest @ y
+        change = np.sign(pull) * max(abs(pull) - noise / fc.CHANGEPOINT_PRIOR_SCALE, 0) / (rest @ rest)
+        level, slope = np.linalg.lstsq(line, y - change * h, rcond=None)[0]
+        np.testing.assert_allclose(fit[0].beta, [level, slope, change], atol=1e-10)
+        assert (change == 0) == (noise == 10.0)
+
+
+def test_an_interval_must_be_a_share(spark):
+    split = fc.holdout_split(fc.forecast_series(_monthly(spark, _noisy(1), region="A"), ["region"], 1.0), ["region"], 3)
+    with pytest.raises(ValueError):
+        fc.predict_seasonal(split, ["region"], interval=1.0)

@@ -43,7 +43,34 @@ def test_lineitem_is_scanned_as_often_as_needed(spark, name):
     assert sum("FileScan parquet" in line and "l_orderkey" in line for line in plan.splitlines()) == SCANS[name]
 
 
-PANDAS_GROUPS = {"seasonal_forecast_by_region", "forecast_runs"}
+def _executed(node):
+    """Names and texts of the nodes that ran, subqueries included; what is reused counts once."""
+    name = node.getClass().getSimpleName()
+    if name == "ReusedExchangeExec":
+        return
+    yield name, node.toString()
+    if name == "AdaptiveSparkPlanExec":
+        below = [node.executedPlan()]
+    elif name.endswith("QueryStageExec"):
+        below = [node.plan()]
+    else:
+        below = [x.apply(i) for x in (node.children(), node.subqueries()) for i in range(x.size())]
+    for n in below:
+        yield from _executed(n)
+
+
+FORECASTS = ["forecast_series", "holdout_split", "trend_fit", "trend_forecast", "forecast_accuracy", "trend_forecast_runs", "seasonal_forecast_by_region", "changepoint_fit", "forecast_runs"]
+
+
+@pytest.mark.parametrize("name", FORECASTS)
+def test_a_forecast_reads_lineitem_once(spark, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    df.collect()
+    ran = list(_executed(df._jdf.queryExecution().executedPlan()))
+    assert sum(n == "FileSourceScanExec" and "l_orderkey" in text for n, text in ran) == 1
+
+
+PANDAS_GROUPS = {"seasonal_forecast_by_region", "changepoint_fit", "forecast_runs"}
 
 
 @pytest.mark.parametrize("name", NAMES)
