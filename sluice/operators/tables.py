@@ -1,17 +1,29 @@
 """Tables of a lake on plain Parquet or ORC: overwrite, append, merge, CHECK rules.
 
-An overwrite goes to a new directory ``v<number>`` of its table, and the newest
-one that Spark's committer has finished is the table: nothing is read and
-overwritten in place, a crash leaves the previous version current, and a store
-never answers from memory. In catalog mode each table is also an external table
-of the session catalog, whose location follows the newest version. One writer
-per table at a time.
+A table is a directory of versions ``v<number>``, a version a directory of parts
+``p<number>.<rows>``. Every write goes to a directory of its own under ``_staged``
+and is renamed into its place once Spark's committer has finished it. So a write
+counts as a whole or not at all, nothing is read and overwritten in place, and
+the number of rows stands in the name. An overwrite starts a new version, an
+append adds a part to the newest one. The folder must be on a file system that
+renames a directory in one step (HDFS and local ones do). One writer per table
+at a time.
+
+A *bucketed* table keeps its rows in hash buckets of its key
+(``p<number>.<rows>.of<buckets>/_bucket=<n>``). A merge writes a part that holds only
+the buckets its updates fall into; of each bucket the newest part counts.
+
+In catalog mode each table is also an external table of the session catalog,
+whose location follows the newest version. When an overwrite changes the
+columns, it is dropped (the files stay) and created anew.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,6 +41,8 @@ WRITES_SCHEMA = StructType(
     ]
 )
 RULES_DDL = "rule string, condition string"
+BUCKET = "_bucket"
+_PART = re.compile(r"p(\d+)\.(\d+)(?:\.of(\d+))?")
 
 
 class SchemaMismatch(Exception):
@@ -69,7 +83,9 @@ def enforce(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
 
 # --- merge (K5/J1) -----------------------------------------------------------
 
-def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], check_unique: bool = True) -> DataFrame:
+def merge_upsert(
+    target: DataFrame, updates: DataFrame, keys: Sequence[str], check_unique: bool = True, within: Sequence[str] = ()
+) -> DataFrame:
     """MERGE by key: matched rows take the update's values, new keys are
     inserted, target-only rows are kept.
 
@@ -78,10 +94,14 @@ def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], che
     like any other value, so a rerun with the same updates changes nothing.
     Columns are aligned by name and must match. Two updates with one key fail
     the job (``check_unique=False`` keeps both). ``target`` is assumed unique on
-    ``keys``; its repeated rows are kept where no update meets them.
+    ``keys``; its repeated rows are kept where no update meets them. ``within``
+    names columns that follow from the key: rows are dealt by them, and what is
+    written by them needs no second shuffle.
     """
     tagged = updates.withColumn("_update", F.lit(1)).unionByName(target.withColumn("_update", F.lit(0)))
-    counted = tagged.withColumn("_updates", F.sum("_update").over(Window.partitionBy(*keys)))
+    if within:
+        tagged = tagged.repartition(*within)
+    counted = tagged.withColumn("_updates", F.sum("_update").over(Window.partitionBy(*within, *keys)))
     keep = (F.col("_update") == 1) | (F.col("_updates") == 0)
     if check_unique:
         msg = F.concat(F.lit("duplicate key in merge source: "), F.to_json(F.struct(*keys)))
@@ -94,8 +114,20 @@ def unique_or_fail(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return merge_upsert(df.limit(0), df, keys)
 
 
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """The hash bucket of a key (NULL is a key like any other)."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
 # --- the store (K1, K2, K3, K4) -------------------------------------------------
 
+class Part(NamedTuple):
+    number: int
+    rows: int
+    buckets: int | None
+    path: str
+
+
 class TableStore:
     """Tables of one lake; ``writes`` lists what this store has written, with row counts."""
 
@@ -108,74 +140,187 @@ class TableStore:
         self.lake = lake
         self.writes: list[tuple[str, str, int, str, int]] = []
 
+    # directories
     def _root(self, layer: str, name: str) -> str:
         return f"{self.lake.root.rstrip('/')}/{layer}/{name}"
 
-    def _versions(self, layer: str, name: str) -> list[int]:
-        """Finished versions, ascending; a listing of one table's directories."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._root(layer, name)}/v*/_SUCCESS")
-        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path) or []
-        return sorted(int(f.getPath().getParent().getName()[1:]) for f in found)
+    def _hadoop(self, path: str):
+        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return jpath, jpath.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _found(self, pattern: str) -> list[str]:
+        path, fs = self._hadoop(pattern)
+        return [f.getPath().toString() for f in fs.globStatus(path) or []]
+
+    def _delete(self, path: str) -> None:
+        jpath, fs = self._hadoop(path)
+        fs.delete(jpath, True)
+
+    def _parts(self, layer: str, name: str) -> dict[int, list[Part]]:
+        """Finished parts of each version; a listing of one table's directories."""
+        out: dict[int, list[Part]] = {}
+        for path in self._found(f"{self._root(layer, name)}/v*/p*"):
+            version, part = path.rsplit("/", 2)[-2:]
+            if found := _PART.fullmatch(part):
+                number, rows, buckets = found.groups()
+                out.setdefault(int(version[1:]), []).append(Part(int(number), int(rows), buckets and int(buckets), path))
+        return {v: sorted(out[v]) for v in sorted(out)}
+
+    def _newest(self, layer: str, name: str) -> tuple[int | None, list[Part]]:
+        parts = self._parts(layer, name)
+        return max(parts.items()) if parts else (None, [])
 
     def _path(self, layer: str, name: str, version: int) -> str:
         return f"{self._root(layer, name)}/v{version}"
 
     def exists(self, layer: str, name: str) -> bool:
-        return bool(self._versions(layer, name))
+        return bool(self._parts(layer, name))
+
+    def versions(self, layer: str, name: str) -> list[int]:
+        return list(self._parts(layer, name))
+
+    # reading
+    def _bucket_dirs(self, parts: Sequence[Part]) -> dict[int, str]:
+        """Of each bucket the directory of the newest part that holds it."""
+        newest: dict[int, str] = {}
+        for part in parts:
+            for path in self._found(f"{part.path}/{BUCKET}=*"):
+                newest[int(path.rsplit("=", 1)[1])] = path
+        return newest
+
+    def _load(self, parts: Sequence[Part], only: Sequence[int] | None = None) -> DataFrame:
+        """The rows of a version; of a bucketed one ``only`` some buckets, if given."""
+        reader = self.spark.read.format(self.lake.table_format)
+        if not parts[0].buckets:
+            return reader.load([p.path for p in parts])
+        dirs = self._bucket_dirs(parts)
+        wanted = [d for n, d in sorted(dirs.items()) if only is None or n in set(only)]
+        first = reader.load(parts[0].path)
+        if not wanted:
+            return first.drop(BUCKET).limit(0)
+        return reader.schema(first.drop(BUCKET).schema).load(wanted)
 
     def read(self, layer: str, name: str, version: int | None = None) -> DataFrame:
         """The newest (or a given) version of a table."""
-        versions = self._versions(layer, name)
-        if not versions or version not in (None, *versions):
+        parts = self._parts(layer, name)
+        if not parts or version not in (None, *parts):
             raise FileNotFoundError(f"table {layer}.{name} has no version {'' if version is None else version}")
-        return self.spark.read.format(self.lake.table_format).load(self._path(layer, name, versions[-1] if version is None else version))
-
-    def _save(self, layer: str, name: str, df: DataFrame, version: int, operation: str, mode: str, before: int = 0) -> int:
-        # The observed count sits in the write's result stage, whose accumulator
-        # updates Spark applies once per partition: retried or speculative
-        # tasks do not count twice.
+        return self._load(parts[max(parts) if version is None else version])
+
+    def count(self, layer: str, name: str) -> int:
+        """K3: rows of the newest version, from the names of its parts (of a bucketed table from its files' footers)."""
+        _, parts = self._newest(layer, name)
+        if not parts:
+            raise FileNotFoundError(f"table {layer}.{name} has no version")
+        return self._load(parts).count() if parts[0].buckets else sum(p.rows for p in parts)
+
+    # writing
+    def _stage(self, layer: str, name: str, df: DataFrame, by: Sequence[str] = ()) -> tuple[str, int]:
+        """Rows written to a directory that no reader looks into; its path and their number.
+
+        The observed count sits in the write's result stage, whose accumulator
+        updates Spark applies once per partition: retried or speculative tasks
+        do not count twice.
+        """
         rows = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-        path = self._path(layer, name, version)
-        counted = df.observe(rows, F.count(F.lit(1)).alias("n"))
-        counted.write.mode(mode).format(self.lake.table_format).save(path)
+        path = f"{self._root(layer, name)}/_staged/{uuid.uuid4().hex}"
+        writer = df.observe(rows, F.count(F.lit(1)).alias("n")).write.format(self.lake.table_format)
+        (writer.partitionBy(*by) if by else writer).save(path)
+        return path, int(rows.get["n"])
+
+    def _commit(self, layer: str, name: str, staged: str, version: int, part: str) -> None:
+        """Rename a staged directory into its place."""
+        source, fs = self._hadoop(staged)
+        target, _ = self._hadoop(f"{self._path(layer, name, version)}/{part}")
+        fs.mkdirs(target.getParent())
+        if fs.exists(target) or not fs.rename(source, target):
+            raise FileExistsError(f"{layer}.{name} has another writer: {target} could not be made")
         if self.lake.catalog_mode:
-            table = self.lake.location(layer, name)
-            if self.spark.catalog.tableExists(table):
+            self._show(layer, name, version)
+
+    def _show(self, layer: str, name: str, version: int) -> None:
+        """K2: make the catalog's table that version, columns included."""
+        table, path = self.lake.location(layer, name), self._path(layer, name, version)
+        columns = self.read(layer, name, version).schema
+        if self.spark.catalog.tableExists(table):
+            if self.spark.table(table).schema == columns:
                 self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
                 self.spark.catalog.refreshTable(table)
-            else:
-                self.spark.sql(f"CREATE TABLE {table} USING {self.lake.table_format} LOCATION '{path}'")
-        self.writes.append((layer, name, version, operation, before + int(rows.get["n"])))
-        return version
+                return
+            self.spark.sql(f"DROP TABLE {table}")
+        self.spark.catalog.createTable(table, path, self.lake.table_format, columns, recursiveFileLookup="true")
 
-    def write(self, layer: str, name: str, df: DataFrame, operation: str = "OVERWRITE", rules: Mapping[str, str] | None = None) -> int:
-        """K1/K2/K3: replace the table with ``df``; returns the new version.
+    def write(
+        self, layer: str, name: str, df: DataFrame, operation: str = "OVERWRITE", rules: Mapping[str, str] | None = None
+    ) -> int:
+        """K1/K2/K3: replace the table with ``df``, whatever its columns; returns the new version.
 
         The attached CHECK rules and ``rules`` are enforced inside the writing
         tasks: on a broken rule the job fails and the old version stays.
         """
-        versions = self._versions(layer, name)
+        version, _ = self._newest(layer, name)
         checked = enforce(df, {**self.constraints(layer, name), **(rules or {})})
-        # an unfinished directory of a crashed run is replaced
-        return self._save(layer, name, checked, versions[-1] + 1 if versions else 0, operation, "overwrite")
+        staged, rows = self._stage(layer, name, checked)
+        return self._place(layer, name, staged, 0 if version is None else version + 1, f"p0.{rows}", operation, rows)
+
+    def _place(self, layer: str, name: str, staged: str, version: int, part: str, operation: str, rows: int) -> int:
+        self._commit(layer, name, staged, version, part)
+        self.writes.append((layer, name, version, operation, rows))
+        return version
 
     def append(self, layer: str, name: str, df: DataFrame, rules: Mapping[str, str] | None = None) -> int:
-        """K7: add rows to the newest version; names and types must be those of the table."""
-        versions = self._versions(layer, name)
-        if not versions:
+        """K7: add rows to the newest version as a part of its own, all of them or none.
+
+        Names and types must be those of the table. The stored rows are not read.
+        """
+        version, parts = self._newest(layer, name)
+        if version is None:
             return self.write(layer, name, df, "APPEND", rules)
+        if parts[0].buckets:
+            raise ValueError(f"{layer}.{name} is bucketed: rows are added by merge")
         stored = self.read(layer, name)
         if sorted(stored.dtypes) != sorted(df.dtypes):
             raise SchemaMismatch(f"{layer}.{name} has {stored.dtypes}, the rows to append {df.dtypes}")
         checked = enforce(df.select(*stored.columns), {**self.constraints(layer, name), **(rules or {})})
-        return self._save(layer, name, checked, versions[-1], "APPEND", "append", stored.count())
-
-    def merge(self, layer: str, name: str, updates: DataFrame, keys: Sequence[str], check_unique: bool = True) -> int:
-        """K5: upsert ``updates`` into the table (created from them if absent)."""
-        if not self.exists(layer, name):
+        staged, rows = self._stage(layer, name, checked)
+        total = sum(p.rows for p in parts) + rows
+        return self._place(layer, name, staged, version, f"p{parts[-1].number + 1}.{rows}", "APPEND", total)
+
+    def merge(
+        self, layer: str, name: str, updates: DataFrame, keys: Sequence[str], check_unique: bool = True, buckets: int | None = None
+    ) -> int:
+        """K5: upsert ``updates`` into the table (created from them if absent).
+
+        With ``buckets`` the table is created bucketed by its key. A merge into a
+        bucketed table reads and writes only the buckets that ``updates`` fall
+        into; otherwise the whole table is written anew. A bucket should be of a
+        size that one task can sort.
+        """
+        version, parts = self._newest(layer, name)
+        if buckets or (parts and parts[0].buckets):
+            return self._merge_buckets(layer, name, updates, keys, check_unique, buckets)
+        if version is None:
             return self.write(layer, name, unique_or_fail(updates, keys) if check_unique else updates, operation="CREATE")
         return self.write(layer, name, merge_upsert(self.read(layer, name), updates, keys, check_unique), operation="MERGE")
 
+    def _merge_buckets(self, layer: str, name: str, updates: DataFrame, keys: Sequence[str], check_unique: bool, buckets: int | None) -> int:
+        if self.lake.catalog_mode:
+            raise ValueError("bucketed tables are read by path, not through the catalog")
+        version, parts = self._newest(layer, name)
+        size = parts[0].buckets if parts else buckets
+        if not size or buckets not in (None, size):
+            raise ValueError(f"{layer}.{name} has {size or 'no'} buckets, not {buckets}")
+        dealt = updates.withColumn(BUCKET, bucket_of(keys, size))
+        # a few numbers: at most one per bucket
+        met = [r[0] for r in dealt.select(BUCKET).distinct().collect()]
+        if version is not None and not met:
+            return version
+        old = self._load(parts, met) if parts else updates.limit(0)
+        merged = merge_upsert(old.withColumn(BUCKET, bucket_of(keys, size)), dealt, keys, check_unique, within=[BUCKET])
+        staged, rows = self._stage(layer, name, enforce(merged, self.constraints(layer, name)), by=[BUCKET])
+        operation, number = ("MERGE", parts[-1].number + 1) if parts else ("CREATE", 0)
+        return self._place(layer, name, staged, version or 0, f"p{number}.{rows}.of{size}", operation, rows)
+
     def create_if_absent(self, layer: str, name: str, schema: StructType) -> bool:
         """K4: create an empty table with a declared schema unless it exists; True when created."""
         if self.exists(layer, name):
@@ -183,18 +328,39 @@ class TableStore:
         self.write(layer, name, self.spark.createDataFrame([], schema), operation="CREATE")
         return True
 
+    def clean(self, layer: str, name: str, keep: int = 1) -> None:
+        """Delete all but the newest ``keep`` versions, and what crashed writes have left.
+
+        Not while another writer or a reader of an old version is at work.
+        """
+        if keep < 1:
+            raise ValueError("keep must be at least 1")
+        self._delete(f"{self._root(layer, name)}/_staged")
+        newest = self.versions(layer, name)[-keep:]
+        for path in self._found(f"{self._root(layer, name)}/v*"):
+            if int(path.rsplit("/v", 1)[1]) not in newest:
+                self._delete(path)
+
     # table constraints (K6)
+    def _rule_sets(self, layer: str, name: str) -> Iterator[int]:
+        for path in self._found(f"{self._root(layer, name)}/_rules/r*/_SUCCESS"):
+            yield int(path.rsplit("/", 2)[-2][1:])
+
     def constraints(self, layer: str, name: str) -> dict[str, str]:
-        """The CHECK rules attached to a table (a few rows beside its versions)."""
-        path = f"{self._root(layer, name)}/_rules"
-        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        if not jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(jpath):
+        """The CHECK rules attached to a table (a few rows beside its versions): the newest finished set."""
+        newest = max(self._rule_sets(layer, name), default=None)
+        if newest is None:
             return {}
-        return {r.rule: r.condition for r in self.spark.read.schema(RULES_DDL).json(path).collect()}
+        rows = self.spark.read.schema(RULES_DDL).json(f"{self._root(layer, name)}/_rules/r{newest}")
+        return {r.rule: r.condition for r in rows.collect()}
 
     def _keep_rules(self, layer: str, name: str, rules: Mapping[str, str]) -> None:
+        """A set in a new directory, so that a crash leaves the set before it."""
+        newest = max(self._rule_sets(layer, name), default=-1)
         rows = self.spark.createDataFrame(list(rules.items()), RULES_DDL)
-        rows.coalesce(1).write.mode("overwrite").json(f"{self._root(layer, name)}/_rules")
+        rows.coalesce(1).write.mode("overwrite").json(f"{self._root(layer, name)}/_rules/r{newest + 1}")
+        for old in set(self._rule_sets(layer, name)) - {newest + 1}:
+            self._delete(f"{self._root(layer, name)}/_rules/r{old}")
 
     def add_constraints(self, layer: str, name: str, rules: Mapping[str, str]) -> None:
         """Attach CHECK rules; rows already stored must satisfy all of them

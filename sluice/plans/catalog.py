@@ -13,14 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.config import fresh_lake
+from sluice.config import fresh_lake, remove_lake
 from sluice.functions import growth_factor, seasonal_factor, year_month
 from sluice.operators import aggregates as agg
 from sluice.operators import forecast as fc
 from sluice.operators import quality as qa
 from sluice.operators.cleaning import clean_orders, enforce_types
-from sluice.operators.dedup import overlap_within, rank_sources
-from sluice.operators.tables import merge_upsert, violations
+from sluice.operators.dedup import dedup_sources, overlap_within, rank_sources
+from sluice.operators.tables import TableStore, merge_upsert, violations
 from sluice.plans.layers import BRONZE_TABLES, SILVER_TABLE, run_test_layers
 from sluice.plans.silver import SILVER_KEYS, build_silver, silver_orders
 from sluice.schema import ORDER_COLUMNS, SILVER_SCHEMA, WIDE_SALES_ORDERS_SCHEMA
@@ -42,9 +42,17 @@ SILVER_RULES = {
 HOLDOUT = 2
 HORIZON = 6
 REGION_SCALE = 1e5  # per-region series in Lakh
+MERGE_BUCKETS = 32
 CHANGE_NOISE = 0.002  # noise variance of the scaled series in the one-bend fit
 
 
+def _kept(df: DataFrame, lake) -> DataFrame:
+    """The rows of stored tables, kept under the checkpoint folder (the lake behind them goes)."""
+    out = df.checkpoint()
+    remove_lake(df.sparkSession, lake)
+    return out
+
+
 def _silver(spark, sf_dir):
     return silver_orders(spark, sf_dir)
 
@@ -89,7 +97,11 @@ def q_best_worst_month(spark, sf_dir):
 
 
 def q_typed_orders(spark, sf_dir):
-    return enforce_types(_silver(spark, sf_dir), SILVER_SCHEMA).select(*SILVER_OUT)
+    """Both sources as text, as an untyped file holds them, deduplicated, cleaned and cast to the declared types."""
+    bronze = testdata.bronze_orders(spark, sf_dir).drop("ingested_at")
+    as_text = bronze.select(*[F.col(c).cast("string").alias(c) if c in ORDER_COLUMNS else F.col(c) for c in bronze.columns])
+    kept = clean_orders(dedup_sources(as_text, list(SILVER_KEYS), tiebreak=list(testdata.TIEBREAK)))
+    return enforce_types(kept, SILVER_SCHEMA).select(*SILVER_OUT)
 
 
 # --- sources, set operations, audits --------------------------------------------
@@ -144,11 +156,11 @@ def q_layer_audit(spark, sf_dir):
 
 def q_csv_round_trip(spark, sf_dir):
     lake = fresh_lake(spark, "csv")
-    read = []
+    read: list[DataFrame] = []
     for source in ("csv", "postgres"):
         write_orders_csv(testdata.bronze_source(spark, sf_dir, source).select(*ORDER_COLUMNS), f"{lake.root}/{source}")
         read.append(read_orders_csv(spark, f"{lake.root}/{source}", WIDE_SALES_ORDERS_SCHEMA, source=source).drop("ingested_at"))
-    return read[0].unionAll(read[1])
+    return _kept(read[0].unionAll(read[1]), lake)
 
 
 # --- table operations --------------------------------------------------------------
@@ -164,29 +176,42 @@ def q_constraint_violations(spark, sf_dir):
     return bad.select("order_id", F.explode("broken_rules").alias("rule"))
 
 
+def q_bucket_merge(spark, sf_dir):
+    """The merge above, into a stored table in hash buckets of its key."""
+    lake = fresh_lake(spark, "buckets")
+    store = TableStore(spark, lake)
+    for source in ("csv", "postgres"):
+        store.merge("silver", SILVER_TABLE, silver_orders(spark, sf_dir, sources=[source]).select(*SILVER_OUT), ["order_id"], buckets=MERGE_BUCKETS)
+    return _kept(store.read("silver", SILVER_TABLE), lake)
+
+
 def q_table_history(spark, sf_dir):
-    return run_test_layers(spark, sf_dir, horizon=HORIZON, holdout=HOLDOUT).writes
+    run = run_test_layers(spark, sf_dir, horizon=HORIZON, holdout=HOLDOUT, forecast_model="trend")
+    remove_lake(spark, run.store.lake)
+    return run.writes
 
 
 def q_layer_tables(spark, sf_dir):
-    """The stored silver (as one row of totals) and all rows of the stored gold tables, in one shape."""
-    store = run_test_layers(spark, sf_dir, horizon=HORIZON, holdout=HOLDOUT).store
-    silver = store.read("silver", SILVER_TABLE)
+    """All rows of the stored silver, gold and forecast tables, in one shape."""
+    store = run_test_layers(spark, sf_dir, horizon=HORIZON, holdout=HOLDOUT, forecast_model="trend").store
     none = F.lit(None)
-    out = silver.agg(F.count("*").alias("orders"), F.sum("quantity").cast("bigint").alias("units"), F.min("order_id").alias("a"), F.max("order_id").alias("z"))
-    out = out.select(F.lit(SILVER_TABLE).alias("table_name"), F.concat_ws("-", "a", "z").alias("key"), none.cast("double").alias("revenue"), "orders", "units", none.cast("double").alias("mean"))
-    for name, key, revenue, units, mean in (
-        ("revenue_by_region", "region", "total_revenue", none, "avg_order_value"),
-        ("revenue_by_product", "product_name", "total_revenue", F.col("total_units_sold"), "avg_unit_price"),
-        ("order_status_breakdown", "status", "total_revenue", none, "avg_order_value"),
-        ("monthly_sales_trend", "year_month", "monthly_revenue", none, "avg_order_value"),
-    ):
-        rows = store.read("gold", name).select(
-            F.lit(name).alias("table_name"), F.col(key).alias("key"), F.col(revenue).alias("revenue"),
-            F.col("total_orders").alias("orders"), units.cast("bigint").alias("units"), F.col(mean).alias("mean"),
+    shapes = [
+        ("silver", SILVER_TABLE, F.col("order_id").cast("string"), F.col("unit_price"), F.col("customer_id"), F.col("quantity"), none),
+        ("gold", "revenue_by_region", F.col("region"), F.col("total_revenue"), F.col("total_orders"), none, F.col("avg_order_value")),
+        ("gold", "revenue_by_product", F.col("product_name"), F.col("total_revenue"), F.col("total_orders"), F.col("total_units_sold"), F.col("avg_unit_price")),
+        ("gold", "order_status_breakdown", F.col("status"), F.col("total_revenue"), F.col("total_orders"), none, F.col("avg_order_value")),
+        ("gold", "monthly_sales_trend", F.col("year_month"), F.col("monthly_revenue"), F.col("total_orders"), none, F.col("avg_order_value")),
+        ("gold", "revenue_forecast", F.col("month"), F.col("forecast_revenue"), F.col("is_forecast").cast("int"), none, F.col("actual_revenue")),
+    ]
+    out = None
+    for layer, name, key, revenue, orders, units, mean in shapes:
+        text = [F.col(c) for c in ("customer_name", "product_sku", "product_name", "region", "status", "source", "order_date")] if layer == "silver" else []
+        rows = store.read(layer, name).select(
+            F.lit(name).alias("table_name"), key.alias("key"), revenue.cast("double").alias("revenue"), orders.cast("bigint").alias("orders"),
+            units.cast("bigint").alias("units"), mean.cast("double").alias("mean"), (F.concat_ws("|", *text) if text else none.cast("string")).alias("text"),
         )
-        out = out.unionByName(rows)
-    return out
+        out = rows if out is None else out.unionByName(rows)
+    return _kept(out, store.lake)
 
 
 # --- forecasting -----------------------------------------------------------------
@@ -292,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "layer_audit": q_layer_audit,
     "csv_round_trip": q_csv_round_trip,
     "merge_upsert": q_merge_upsert,
+    "bucket_merge": q_bucket_merge,
     "constraint_violations": q_constraint_violations,
     "table_history": q_table_history,
     "layer_tables": q_layer_tables,

@@ -203,6 +203,8 @@ SELECT {SILVER_COLS} FROM tgt
 WHERE NOT EXISTS (SELECT 1 FROM upd WHERE upd.order_id IS NOT DISTINCT FROM tgt.order_id)"""
 )
 
+SQL["bucket_merge"] = SQL["merge_upsert"]
+
 SQL["constraint_violations"] = (
     SILVER_CTE
     + """
@@ -219,14 +221,15 @@ WHERE ok IS NOT TRUE"""
 # 2 holdout months) plus the 6-month horizon.
 def _gold_rows(name: str, rollup_sql: str, key: str, revenue: str, orders: str, units: str, average: str) -> str:
     return f"""
-UNION ALL SELECT '{name}', cast({key} AS VARCHAR), {revenue}, {orders}, {units}, {average} FROM ({rollup_sql})"""
+UNION ALL SELECT '{name}', cast({key} AS VARCHAR), {revenue}, {orders}, {units}, {average}, NULL FROM ({rollup_sql})"""
 
 
-_STORED = SILVER_CTE + """
-SELECT 'sales_orders' AS table_name, min(order_id) || '-' || max(order_id) AS key, NULL::DOUBLE AS revenue,
-  count(*) AS orders, cast(sum(quantity) AS BIGINT) AS units, NULL::DOUBLE AS mean
+_STORED_SILVER = """
+SELECT 'sales_orders' AS table_name, cast(order_id AS VARCHAR) AS key, unit_price AS revenue, customer_id AS orders,
+  cast(quantity AS BIGINT) AS units, NULL::DOUBLE AS mean,
+  concat_ws('|', customer_name, product_sku, product_name, region, status, source, cast(order_date AS VARCHAR)) AS text
 FROM silver"""
-_STORED += _gold_rows("revenue_by_region", rollup("region", "region", "total_revenue", "total_orders"),
+_STORED = _STORED_SILVER + _gold_rows("revenue_by_region", rollup("region", "region", "total_revenue", "total_orders"),
                       "region", "total_revenue", "total_orders", "NULL::BIGINT", "avg_order_value")
 _STORED += _gold_rows("order_status_breakdown", rollup("status", "status", "total_revenue", "total_orders"),
                       "status", "total_revenue", "total_orders", "NULL::BIGINT", "avg_order_value")
@@ -234,7 +237,6 @@ _STORED += _gold_rows("monthly_sales_trend", rollup("strftime(order_date, '%Y-%m
                       "year_month", "monthly_revenue", "total_orders", "NULL::BIGINT", "avg_order_value")
 _STORED += _gold_rows("revenue_by_product", SQL["revenue_by_product"][len(SILVER_CTE):],
                       "product_name", "total_revenue", "total_orders", "total_units_sold", "avg_unit_price")
-SQL["layer_tables"] = _STORED
 
 SQL["table_history"] = (
     SILVER_CTE
@@ -335,6 +337,19 @@ SELECT region, strftime(month, '%Y-%m') AS month, round(yhat, 2) AS forecast_rev
 FROM pred2 WHERE in_frame"""
 )
 
+# the stored forecast is one line over all regions, in Crore
+SQL["layer_tables"] = (
+    MONTHLY_CTE + "," + _SERIES_G
+    + """,
+split_r AS (
+  SELECT NULL::VARCHAR AS region, month, y, CASE WHEN row_number() OVER (ORDER BY month DESC) <= 2 THEN 'test' ELSE 'train' END AS split
+  FROM series_g)"""
+    + _PRED_R + _STORED
+    + """
+UNION ALL SELECT 'revenue_forecast', strftime(month, '%Y-%m'), round(yhat, 2), cast(actual IS NULL AS BIGINT), NULL, actual, NULL
+FROM pred2 WHERE in_frame"""
+)
+
 SQL["forecast_accuracy"] = (
     REGION_CTE + _PRED_R
     + """

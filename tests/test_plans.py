@@ -7,7 +7,7 @@ from sluice.plans.catalog import QUERIES
 from tests.conftest import SF_SMALL
 
 # building these writes files, so they are left to their own tests
-WRITES = {"table_history", "layer_tables", "csv_round_trip"}
+WRITES = {"table_history", "layer_tables", "csv_round_trip", "bucket_merge"}
 NAMES = sorted(set(QUERIES) - WRITES)
 
 
@@ -78,3 +78,10 @@ def test_python_only_where_intended(spark, capsys, name):
     plan = _plan(spark, capsys, name)
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan  # no per-row Python UDFs
     assert ("FlatMapGroupsInPandas" in plan) == (name in PANDAS_GROUPS)
+
+
+def test_typed_orders_casts_text(spark):
+    plan = QUERIES["typed_orders"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().lower()
+    for kind in ("bigint", "int", "double", "date"):
+        assert f"as {kind})" in plan
+    assert plan.count("no bigint") and plan.count("no date")  # values that do not fit fail with the column's name

@@ -142,7 +142,7 @@ def test_append_refuses_other_columns_and_types(spark, lake):
 def test_an_unfinished_version_is_not_read(spark, lake):
     store = TableStore(spark, lake)
     store.write("silver", "t", spark.range(4))
-    spark.range(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{lake.root}/silver/t/v1")
+    spark.range(1).write.parquet(f"{lake.root}/silver/t/_staged/crashed")
     assert store.read("silver", "t").count() == 4
     assert store.write("silver", "t", spark.range(6)) == 1
     assert store.read("silver", "t").count() == 6
@@ -204,3 +204,191 @@ def test_merge_reads_each_side_once(spark, tmp_path):
     merged = merge_upsert(spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "u")), ["k"])
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 2 and "Join" not in plan
+
+
+def _catalog(spark, lake):
+    from sluice.config import LakeConfig, create_namespaces
+
+    cat = LakeConfig(root=lake.root, database_prefix="t_" + lake.root.rsplit("-", 1)[-1][:8] + "_")
+    create_namespaces(spark, cat)
+    return TableStore(spark, cat), cat
+
+
+def test_overwriting_a_catalog_table_with_other_columns(spark, lake):
+    store, cat = _catalog(spark, lake)
+    table = cat.location("gold", "g")
+    store.write("gold", "g", spark.createDataFrame([(1, "a"), (2, "b")], "x int, y string"))
+    store.write("gold", "g", spark.createDataFrame([(7, 1.5, "q")], "x int, w double, q string"))
+    assert spark.table(table).columns == ["x", "w", "q"] and [tuple(r) for r in spark.table(table).collect()] == [(7, 1.5, "q")]
+    assert spark.catalog.getTable(table).tableType == "EXTERNAL"
+    # another type of one column, then the first columns again
+    store.write("gold", "g", spark.createDataFrame([("7", 1.5, "q")], "x string, w double, q string"))
+    assert dict(spark.table(table).dtypes)["x"] == "string"
+    store.write("gold", "g", spark.createDataFrame([(3, None)], "x int, y string"))
+    store.append("gold", "g", spark.createDataFrame([(4, "d")], "x int, y string"))
+    assert sorted(map(tuple, spark.table(table).collect())) == [(3, None), (4, "d")]
+    assert store.read("gold", "g", version=0).columns == ["x", "y"] and store.read("gold", "g", version=0).count() == 2
+
+
+def test_a_failed_append_leaves_no_rows(spark, lake):
+    for store in (TableStore(spark, lake), _catalog(spark, lake)[0]):
+        name = "c" if store.lake.catalog_mode else "p"
+        store.write("gold", name, spark.range(3))
+        # the rule breaks in the last of several tasks, after others have written
+        with pytest.raises(Exception, match="small"):
+            store.append("gold", name, spark.range(0, 40, 1, 4), rules={"small": "id < 39"})
+        assert store.read("gold", name).count() == store.count("gold", name) == 3
+        store.append("gold", name, spark.range(3, 5))
+        assert store.count("gold", name) == 5 and store.writes[-1][4] == 5
+        if store.lake.catalog_mode:
+            assert spark.table(store.lake.location("gold", name)).count() == 5
+
+
+def test_a_crash_between_writing_and_placing_leaves_the_table_as_it_was(spark, lake, monkeypatch):
+    store = TableStore(spark, lake)
+    store.write("gold", "g", spark.range(3))
+
+    def crash(*_):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(TableStore, "_commit", crash)
+    for write in (store.write, store.append):
+        with pytest.raises(RuntimeError):
+            write("gold", "g", spark.range(10))
+    monkeypatch.undo()
+    assert store.read("gold", "g").count() == store.count("gold", "g") == 3 and store.versions("gold", "g") == [0]
+    store.append("gold", "g", spark.range(1))
+    store.clean("gold", "g")
+    assert store._found(f"{lake.root}/gold/g/_staged/*") == [] and store.count("gold", "g") == 4
+
+
+def test_a_crash_while_rules_are_replaced_leaves_the_old_ones(spark, lake):
+    store = TableStore(spark, lake)
+    store.write("gold", "g", spark.createDataFrame([(1,)], "id int"))
+    store.add_constraint("gold", "g", "positive", "id > 0")
+    # a set that was begun and not finished
+    spark.createDataFrame([("positive", "true")], "rule string, condition string").write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").json(f"{lake.root}/gold/g/_rules/r1")
+    assert store.constraints("gold", "g") == {"positive": "id > 0"}
+    with pytest.raises(Exception, match="positive"):
+        store.write("gold", "g", spark.createDataFrame([(-1,)], "id int"))
+    store.add_constraint("gold", "g", "small", "id < 9")
+    assert store.constraints("gold", "g") == {"positive": "id > 0", "small": "id < 9"}
+    assert len(store._found(f"{lake.root}/gold/g/_rules/*")) == 1
+
+
+def test_append_does_not_read_the_stored_rows(spark, lake, monkeypatch):
+    store = TableStore(spark, lake)
+    store.write("bronze", "t", spark.range(5))
+    jobs = []
+    stage = TableStore._stage
+    monkeypatch.setattr(TableStore, "_stage", lambda self, layer, name, df, by=(): (jobs.append(df.inputFiles()), stage(self, layer, name, df, by))[1])
+    store.append("bronze", "t", spark.range(5, 7))
+    assert jobs == [[]] and store.count("bronze", "t") == 7
+
+
+def test_old_versions_are_removed_on_request(spark, lake):
+    store = TableStore(spark, lake)
+    for n in range(4):
+        store.write("silver", "t", spark.range(n))
+    store.clean("silver", "t", keep=2)
+    assert store.versions("silver", "t") == [2, 3]
+    store.clean("silver", "t")
+    assert store.versions("silver", "t") == [3] and store.read("silver", "t").count() == 3
+    with pytest.raises(ValueError):
+        store.clean("silver", "t", keep=0)
+
+
+def test_two_writers_of_one_part_do_not_mix(spark, lake):
+    store = TableStore(spark, lake)
+    store.write("silver", "t", spark.range(3))
+    staged, rows = store._stage("silver", "t", spark.range(8))
+    with pytest.raises(FileExistsError):
+        store._commit("silver", "t", staged, 0, "p0.3")
+    assert store.count("silver", "t") == 3
+
+
+# --- bucketed tables -----------------------------------------------------------------
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_a_bucketed_merge_writes_only_the_buckets_it_meets(spark, lake):
+    from pyspark.sql import functions as F
+
+    from sluice.operators.tables import bucket_of
+
+    store = TableStore(spark, lake)
+    target = spark.range(2000).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    store.merge("silver", "t", target, ["k"], buckets=32)
+    # 1% of the keys, out of three buckets
+    updates = target.where(bucket_of(["k"], 32).isin(3, 11, 30)).limit(20).withColumn("v", F.lit("new"))
+    plain = merge_upsert(target, updates, ["k"])
+    before = set(store.read("silver", "t").inputFiles())
+    assert store.merge("silver", "t", updates, ["k"]) == 0
+    after = set(store.read("silver", "t").inputFiles())
+    assert _rows(store.read("silver", "t")) == _rows(plain)
+    met = {r[0] for r in updates.select(bucket_of(["k"], 32)).distinct().collect()}
+    assert {int(f.split("_bucket=")[1].split("/")[0]) for f in after - before} == met
+    assert {int(f.split("_bucket=")[1].split("/")[0]) for f in before - after} == met
+    part = store._newest("silver", "t")[1][-1]
+    assert part.rows < 2000 * 4 / 32 and store.count("silver", "t") == 2000
+
+
+def test_a_bucketed_merge_scans_only_those_buckets(spark, lake, monkeypatch):
+    from pyspark.sql import functions as F
+
+    store = TableStore(spark, lake)
+    store.merge("silver", "t", spark.range(500).select(F.col("id").alias("k"), F.lit(1).alias("v")), ["k"], buckets=16)
+    plans = []
+    stage = TableStore._stage
+    monkeypatch.setattr(TableStore, "_stage", lambda self, layer, name, df, by=(): (plans.append(df), stage(self, layer, name, df, by))[1])
+    store.merge("silver", "t", spark.createDataFrame([(7, 2)], "k long, v int"), ["k"])
+    files = plans[0].inputFiles()
+    assert len({f.split("_bucket=")[1].split("/")[0] for f in files}) == 1
+    text = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1  # dealt by bucket once, for the window and the write
+
+
+def test_bucketed_merges_equal_plain_ones(spark, lake):
+    import random
+
+    draw = random.Random(4)
+    store = TableStore(spark, lake)
+    schema = "k int, s string, v int"
+    whole = spark.createDataFrame([(k, f"s{k}", 0) for k in range(60)] + [(None, "null", 0)], schema)
+    store.merge("silver", "t", whole, ["k", "s"], buckets=8)
+    for round_ in range(1, 4):
+        keys = draw.sample(range(90), 15)
+        updates = spark.createDataFrame([(k, f"s{k}", round_) for k in keys] + [(None, "null", round_)], "k int, s string, v int").select("v", "s", "k")
+        whole = spark.createDataFrame(merge_upsert(whole, updates, ["k", "s"]).select("k", "s", "v").collect(), schema)
+        store.merge("silver", "t", updates, ["k", "s"])
+        assert _rows(store.read("silver", "t").select("k", "s", "v")) == _rows(whole.select("k", "s", "v"))
+    assert [w[3] for w in store.writes] == ["CREATE", "MERGE", "MERGE", "MERGE"]
+
+
+def test_bucketed_tables_refuse_what_they_cannot_hold(spark, lake):
+    store = TableStore(spark, lake)
+    one = spark.createDataFrame([(1, 1)], "k int, v int")
+    store.merge("silver", "t", one, ["k"], buckets=4)
+    with pytest.raises(ValueError):
+        store.append("silver", "t", one)
+    with pytest.raises(ValueError):
+        store.merge("silver", "t", one, ["k"], buckets=8)
+    with pytest.raises(Exception, match="duplicate key"):
+        store.merge("silver", "t", one.union(one), ["k"])
+    assert store.merge("silver", "t", one.limit(0), ["k"]) == 0 and store.count("silver", "t") == 1
+    store.write("silver", "plain", one)
+    with pytest.raises(ValueError):
+        store.merge("silver", "plain", one, ["k"], buckets=4)
+    with pytest.raises(ValueError):
+        _catalog(spark, lake)[0].merge("silver", "u", one, ["k"], buckets=4)
+
+
+def test_an_empty_bucketed_table_takes_rows(spark, lake):
+    store = TableStore(spark, lake)
+    one = spark.createDataFrame([(1, 1)], "k int, v int")
+    store.merge("silver", "t", one, ["k"], buckets=4)
+    store.merge("silver", "t", spark.createDataFrame([(2, 2)], "k int, v int"), ["k"])
+    assert _rows(store.read("silver", "t")) == [(1, 1), (2, 2)]
