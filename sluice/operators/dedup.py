@@ -74,18 +74,42 @@ def dedup_sources(
     return dedup_by_priority(df, keys, [source_priority(source, priorities, default).asc()], tiebreak)
 
 
-def rank_sources(
+def dedup_by_aggregate(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    tiebreak: Sequence[str] | None = None,
+    counts: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """W1 as one aggregate: per key the least row under ``order`` then ``tiebreak``, with ``counts`` over all its rows.
+
+    The least of a struct (order, tiebreak, other columns; NULLs first) has a
+    partial form: each task sends one row per key, so a key that holds a third
+    of all rows is no task's burden, and the rows that lose are counted in the
+    same pass. Every column must be comparable. The kept row is that of
+    ``dedup_by_priority``.
+    """
+    keyset = set(keys)
+    others = [c for c in df.columns if c not in keyset]
+    first = list(tiebreak) if tiebreak is not None else others
+    ranks = [o.alias(f"_rank{i}") for i, o in enumerate(order)]
+    ordered = F.struct(*ranks, *[F.col(c) for c in first], *[F.col(c) for c in others if c not in first])
+    least = df.groupBy(*keys).agg(F.min(ordered).alias("_least"), *[c.alias(n) for n, c in (counts or {}).items()])
+    return least.select(*[F.col(c) if c in keyset else F.col("_least")[c].alias(c) for c in df.columns], *(counts or {}))
+
+
+def dedup_counted(
     df: DataFrame,
     keys: Sequence[str] = ("order_id",),
     source: str = "source",
     priorities: Mapping[str, int] = SOURCE_PRIORITIES,
     default: int = DEFAULT_PRIORITY,
     tiebreak: Sequence[str] | None = None,
+    labels: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """All rows, with a flag ``kept`` on those that ``dedup_sources`` keeps."""
-    others = tiebreak if tiebreak is not None else [c for c in df.columns if c not in set(keys)]
-    order = [source_priority(source, priorities, default).asc(), *[F.col(c).asc_nulls_first() for c in others]]
-    return df.withColumn("kept", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) == 1)
+    """The rows that ``dedup_sources`` keeps, each with the number of its key's rows per source (``labels``: source -> column)."""
+    counts = {name: F.count_if(F.col(source) == value) for value, name in (labels or {}).items()}
+    return dedup_by_aggregate(df, keys, [source_priority(source, priorities, default)], tiebreak, counts)
 
 
 def source_overlap(a: DataFrame, b: DataFrame, key: str = "order_id") -> DataFrame:

@@ -78,19 +78,19 @@ def layer_audit(tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
 
 
 def single_scan_audit(
-    bronze: DataFrame, kept: str, bronze_tables: Mapping[str, str], silver_table: str, gold_keys: Mapping[str, Column]
+    silver: DataFrame, bronze_tables: Sequence[str], silver_table: str, gold_keys: Mapping[str, Column]
 ) -> DataFrame:
-    """Q6 over rows of bronze with a flag ``kept`` (the row is in silver): every layer's row count from one scan.
+    """Q6 from silver rows that carry their key's bronze row counts: every layer's row count from one scan.
 
-    ``bronze_tables`` maps a source to its table; ``gold_keys`` maps a gold table
-    to the expression it groups silver by (NULL is a group).
+    ``bronze_tables`` names the columns that hold the counts, one per bronze
+    table; ``gold_keys`` maps a gold table to the expression it groups silver by
+    (NULL is a group).
     """
-    counts = {("BRONZE", name): F.count_if(F.col("source") == source) for source, name in bronze_tables.items()}
-    counts[("SILVER", silver_table)] = F.count_if(kept)
-    flags = {name: F.when(F.col(kept), key) for name, key in gold_keys.items()}
-    for name, key in flags.items():
-        counts[("GOLD", name)] = F.count_distinct(key) + F.max(F.when(F.col(kept), key.isNull().cast("int")).otherwise(0))
-    wide = bronze.agg(*[c.cast("bigint").alias(f"{layer}/{name}") for (layer, name), c in counts.items()])
+    counts = {("BRONZE", name): F.sum(name) for name in bronze_tables}
+    counts[("SILVER", silver_table)] = F.count(F.lit(1))
+    for name, key in gold_keys.items():
+        counts[("GOLD", name)] = F.count_distinct(key) + F.max(key.isNull().cast("int"))
+    wide = silver.agg(*[c.cast("bigint").alias(f"{layer}/{name}") for (layer, name), c in counts.items()])
     long = wide.unpivot([], [f"`{layer}/{name}`" for layer, name in counts], "at", "row_count")
     out = long.select(F.split_part("at", F.lit("/"), F.lit(1)).alias("layer"), F.split_part("at", F.lit("/"), F.lit(2)).alias("table_name"), F.coalesce("row_count", F.lit(0)).alias("row_count"))
     return out.orderBy("layer", "table_name")

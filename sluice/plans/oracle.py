@@ -189,6 +189,15 @@ SELECT order_id, customer_id, customer_name, product_sku, product_name, quantity
 FROM bronze"""
 )
 
+_FITS = "src_part % 89 <> 0 AND src_part % 97 <> 0 AND src_part % 83 <> 0 AND src_part % 79 <> 0"
+SQL["csv_quarantine"] = (
+    "WITH" + BRONZE + f"""
+SELECT CASE WHEN {_FITS} THEN order_id END AS order_id, CASE WHEN {_FITS} THEN quantity END AS quantity,
+  CASE WHEN {_FITS} THEN unit_price END AS unit_price, CASE WHEN {_FITS} THEN order_date END AS order_date,
+  CASE WHEN NOT ({_FITS}) THEN CASE WHEN src_part % 89 = 0 THEN '?' ELSE '' END || order_id END AS rejected_key
+FROM bronze"""
+)
+
 # --- table operations --------------------------------------------------------------
 
 SQL["merge_upsert"] = (

@@ -7,7 +7,7 @@ from sluice.plans.catalog import QUERIES
 from tests.conftest import SF_SMALL
 
 # building these writes files, so they are left to their own tests
-WRITES = {"table_history", "layer_tables", "csv_round_trip", "bucket_merge"}
+WRITES = {"table_history", "layer_tables", "csv_round_trip", "csv_quarantine", "bucket_merge"}
 NAMES = sorted(set(QUERIES) - WRITES)
 
 
@@ -85,3 +85,7 @@ def test_typed_orders_casts_text(spark):
     for kind in ("bigint", "int", "double", "date"):
         assert f"as {kind})" in plan
     assert plan.count("no bigint") and plan.count("no date")  # values that do not fit fail with the column's name
+
+
+def test_layer_audit_has_no_window(spark, capsys):
+    assert "Window" not in _plan(spark, capsys, "layer_audit")

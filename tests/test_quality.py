@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import datetime as dt
 
 
@@ -29,12 +30,43 @@ def test_dedup_audit_and_overlap_from_one_frame(spark):
 
 
 def test_single_scan_audit_counts_null_groups(spark):
-    from pyspark.sql import functions as F
-
-    df = spark.createDataFrame([("csv", True, "A"), ("csv", False, "B"), ("postgres", True, None), (None, True, "A")], "source string, kept boolean, g string")
-    out = qa.single_scan_audit(df, "kept", {"csv": "c", "postgres": "p"}, "s", {"g": F.col("g")})
-    assert [tuple(r) for r in out.collect()] == [("BRONZE", "c", 2), ("BRONZE", "p", 1), ("GOLD", "g", 2), ("SILVER", "s", 3)]
-
+    from sluice.operators.dedup import dedup_counted
+
+    rows = [(1, "csv", "a"), (1, "postgres", None), (2, "csv", "a"), (3, "csv", "b"), (3, "csv", "a"), (None, "csv", "z"), (None, "csv", "y")]
+    df = spark.createDataFrame(rows, "order_id int, source string, g string")
+    kept = dedup_counted(df, labels={"csv": "c", "postgres": "p"})
+    # kept: (1, NULL), (2, a), (3, a), (NULL, y)
+    out = qa.single_scan_audit(kept, ["c", "p"], "s", {"g": F.col("g")})
+    assert [tuple(r) for r in out.collect()] == [("BRONZE", "c", 6), ("BRONZE", "p", 1), ("GOLD", "g", 3), ("SILVER", "s", 4)]
+    nothing = dedup_counted(df.limit(0), labels={"csv": "c", "postgres": "p"})
+    assert {r.row_count for r in qa.single_scan_audit(nothing, ["c", "p"], "s", {"g": F.col("g")}).collect()} == {0}
+
+
+def test_dedup_as_an_aggregate_keeps_the_rows_of_the_window(spark):
+    import random
+
+    from sluice.operators.dedup import dedup_counted, dedup_sources
+
+    draw = random.Random(2)
+    rows = [(draw.choice([None, *range(12)]), draw.choice(["csv", "postgres", "web", None]), draw.choice([None, "x", "y"]), draw.randrange(3)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "order_id int, source string, a string, b int").repartition(7)
+    counted = dedup_counted(df, labels={"csv": "n_csv", "postgres": "n_pg"})
+    window = dedup_sources(df)
+    assert sorted(map(tuple, counted.select(df.columns).collect()), key=repr) == sorted(map(tuple, window.collect()), key=repr)
+    assert counted.agg(F.sum("n_csv"), F.sum("n_pg")).first() == (sum(r[1] == "csv" for r in rows), sum(r[1] == "postgres" for r in rows))
+    tied = dedup_counted(df, tiebreak=["b"])
+    assert tied.count() == 13 and tied.columns == df.columns
+
+
+def test_a_hot_key_sends_one_row_per_task(spark):
+    from sluice.operators.dedup import dedup_counted
+
+    df = spark.range(0, 30_000, 1, 6).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("order_id"), F.lit("csv").alias("source"), F.col("id").alias("v"))
+    plan = dedup_counted(df, labels={"csv": "n"})
+    shuffled = plan.where("order_id = 7")
+    assert shuffled.first().n == 10_001 and shuffled.first().v == 0
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and text.count("partial_min") == 1
 
 def test_layer_audit_order(spark):
     out = qa.layer_audit({("SILVER", "s"): spark.range(2), ("BRONZE", "b"): spark.range(5), ("GOLD", "g"): spark.range(1)})

@@ -96,3 +96,87 @@ def test_bronze_sources_split_by_line(spark):
     pg = testdata.bronze_source(spark, SF_SMALL, "postgres")
     assert csv.count() + pg.count() == both.count()
     assert {r.source for r in csv.select("source").distinct().collect()} == {"csv"}
+
+
+BROKEN = (
+    HEADER
+    + "\n1,10,a,b,c,2,1.5,2025-10-01,r,s\n2,10,a,b,c,two,1.5,2025-10-01,r,s\nx3,10,a,b,c,2,1.5,2025-10-01,r,s\n"
+    + "4,10,a,b,c,2,1.5,2025-13-41,r,s\n5,10,a,b,c,2\n6,10,a,b,c,2,1.5,2025-10-01,r,s,more\n,,,,,,,,,\n7,,,,,,,,,\n"
+)
+
+
+def test_lines_that_do_not_fit_are_kept_apart(spark, tmp_path, lake):
+    from sluice.operators.tables import TableStore
+    from sluice.sources import land_orders_csv
+
+    store = TableStore(spark, lake)
+    landing = land_orders_csv(store, "bronze", "orders", _write(tmp_path / "a.csv", BROKEN))
+    assert landing == (3, 5)
+    accepted = store.read("bronze", "orders")
+    assert accepted.columns == [*SALES_ORDERS_SCHEMA.fieldNames(), "ingested_at", "source"]
+    assert sorted((r.order_id for r in accepted.collect()), key=str) == [1, 7, None]
+    rejected = {r.rejected_record.split(",")[0]: r for r in store.read("bronze", "orders_rejected").collect()}
+    assert sorted(rejected) == ["2", "4", "5", "6", "x3"]
+    assert rejected["2"].quantity is None and rejected["2"].unit_price == 1.5  # what could be read
+    # the next load replaces both
+    assert land_orders_csv(store, "bronze", "orders", _write(tmp_path / "b.csv", BROKEN.split("2,10")[0])) == (1, 0)
+    assert store.read("bronze", "orders_rejected").count() == 0
+    # without the record column, bad values are NULL as before
+    assert read_orders_csv(spark, str(tmp_path / "a.csv")).count() == 8
+
+
+def test_every_line_of_a_broken_file_is_in_one_of_the_tables(spark, lake):
+    from sluice.operators.tables import TableStore
+    from sluice.sources import land_orders_csv
+
+    bronze = testdata.bronze_orders(spark, SF_SMALL)
+    columns = [F.col(c).cast("string").alias(c) for c in SALES_ORDERS_SCHEMA.fieldNames()]
+    broken = bronze.select(*columns).withColumn("unit_price", F.when(F.col("product_sku") < " sku-000100", F.lit("n/a")).otherwise(F.col("unit_price")))
+    write_orders_csv(broken, f"{lake.root}/files")
+    lines = spark.read.text(f"{lake.root}/files").where("value NOT LIKE 'order_id,%'").count()
+    landing = land_orders_csv(TableStore(spark, lake), "bronze", "orders", f"{lake.root}/files", WIDE_SALES_ORDERS_SCHEMA)
+    assert landing.rejected == broken.where("unit_price = 'n/a'").count() > 0
+    assert landing.accepted + landing.rejected == lines == bronze.count()
+
+
+def test_a_file_is_loaded_once(spark, tmp_path, lake):
+    import os
+
+    from sluice.operators.tables import TableStore
+    from sluice.sources import append_new_files
+
+    store = TableStore(spark, lake)
+    inbox = tmp_path / "in box"
+    inbox.mkdir()
+    row = "{},10,a,b,c,2,1.5,2025-10-01,r,s\n"
+    _write(inbox / "a.csv", HEADER + "\n" + row.format(1) + row.format(2))
+    _write(inbox / "b.csv", HEADER + "\n" + row.format(3))
+
+    def load():
+        return append_new_files(store, "bronze", "orders", str(inbox))
+
+    def ids():
+        return sorted(r.order_id for r in store.read("bronze", "orders").collect())
+
+    assert load() == 2 and ids() == [1, 2, 3]
+    assert load() == 0 and ids() == [1, 2, 3] and len(store.writes) == 1
+    _write(inbox / "c.csv", HEADER + "\n" + row.format(4) + row.format(4))
+    assert load() == 1 and ids() == [1, 2, 3, 4, 4]
+    # the parts of the table: one per load that found something
+    assert [p.rows for p in store._newest("bronze", "orders")[1]] == [3, 2]
+    # a file written anew is a new file
+    _write(inbox / "b.csv", HEADER + "\n" + row.format(5))
+    os.utime(inbox / "b.csv", (2_000_000_000, 2_000_000_000))
+    assert load() == 1 and ids() == [1, 2, 3, 4, 4, 5]
+    assert store.read("bronze", "orders").select("source_file").distinct().count() == 3
+
+
+def test_catalog_table_by_name(spark, lake):
+    from sluice.config import LakeConfig, create_namespaces
+    from sluice.operators.tables import TableStore
+    from sluice.sources import read_catalog_table
+
+    cat = LakeConfig(root=lake.root, database_prefix="s4_" + lake.root.rsplit("-", 1)[-1][:8] + "_")
+    create_namespaces(spark, cat)
+    TableStore(spark, cat).write("silver", "t", spark.range(4))
+    assert read_catalog_table(spark, cat.location("silver", "t")).count() == 4
