@@ -20,6 +20,22 @@ def bronze_audit(df: DataFrame, by: str = "source") -> DataFrame:
     )
 
 
+def bronze_measures() -> dict[str, Column]:
+    """Q1 as measures of a write. (DISTINCT is not allowed there; regions are few, so their set is small.)"""
+    return {
+        "row_count": F.count(F.lit(1)),
+        "earliest_order": F.min("order_date"),
+        "latest_order": F.max("order_date"),
+        "null_order_ids": F.count_if(F.col("order_id").isNull()),
+        "unique_regions": F.size(F.collect_set("region")).cast("bigint"),
+    }
+
+
+def null_measures(columns: Sequence[str]) -> dict[str, Column]:
+    """Q3 as measures of a write."""
+    return {c: F.count_if(F.col(c).isNull()) for c in columns}
+
+
 def source_summary(spark: SparkSession, orders: DataFrame, tables: Mapping[str, str], by: str = "source") -> DataFrame:
     """Q2: rows, date range and distinct regions per source table, as SQL text over one scan.
 

@@ -109,6 +109,16 @@ def merge_upsert(
     return counted.filter(keep).drop("_update", "_updates")
 
 
+def merge_changes(target: DataFrame, updates: DataFrame, keys: Sequence[str], name: str = "change") -> DataFrame:
+    """What ``merge_upsert`` would change: the updates with 1, the target rows they replace with -1 in a column ``name``.
+
+    Sums of the merged table follow from those of the target and of these rows.
+    """
+    tagged = updates.withColumn(name, F.lit(1)).unionByName(target.withColumn(name, F.lit(-1)))
+    met = F.max(name).over(Window.partitionBy(*keys))
+    return tagged.withColumn("_met", met).filter("_met = 1").drop("_met")
+
+
 def unique_or_fail(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same rows, but the job that consumes them fails on a duplicate key (NULL keys count as one)."""
     return merge_upsert(df.limit(0), df, keys)
@@ -139,6 +149,8 @@ class TableStore:
         self.spark = spark
         self.lake = lake
         self.writes: list[tuple[str, str, int, str, int]] = []
+        #: what was measured on the last write of a table
+        self.measured: dict[tuple[str, str], dict] = {}
 
     # directories
     def _root(self, layer: str, name: str) -> str:
@@ -214,18 +226,47 @@ class TableStore:
             raise FileNotFoundError(f"table {layer}.{name} has no version")
         return self._load(parts).count() if parts[0].buckets else sum(p.rows for p in parts)
 
+    def footer_ranges(self, layer: str, name: str, columns: Sequence[str] = ()) -> DataFrame:
+        """row_count, and min_<column> and max_<column>, of the newest version from its files' footers.
+
+        Spark's file readers of the second version push such aggregates (without
+        filters; numbers, dates and booleans) into the footers, so no column is
+        read. They are switched on for this one plan.
+        """
+        _, parts = self._newest(layer, name)
+        if not parts:
+            raise FileNotFoundError(f"table {layer}.{name} has no version")
+        wanted = [F.count(F.lit(1)).alias("row_count")]
+        wanted += [f(c).alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))]
+        settings = {"spark.sql.sources.useV1SourceList": "", f"spark.sql.{self.lake.table_format}.aggregatePushdown": "true"}
+        before = {k: self.spark.conf.get(k, None) for k in settings}
+        try:
+            for k, v in settings.items():
+                self.spark.conf.set(k, v)
+            found = self._load(parts).agg(*wanted)
+            found._jdf.queryExecution().executedPlan()  # planned now, under these settings
+            return found
+        finally:
+            for k, v in before.items():
+                self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
+
     # writing
-    def _stage(self, layer: str, name: str, df: DataFrame, by: Sequence[str] = ()) -> tuple[str, int]:
+    def _stage(
+        self, layer: str, name: str, df: DataFrame, by: Sequence[str] = (), measures: Mapping[str, Column] | None = None
+    ) -> tuple[str, int]:
         """Rows written to a directory that no reader looks into; its path and their number.
 
-        The observed count sits in the write's result stage, whose accumulator
+        ``measures`` are aggregates over the rows, taken while they are written. The observed count sits in the write's result stage, whose accumulator
         updates Spark applies once per partition: retried or speculative tasks
         do not count twice.
         """
         rows = Observation(f"rows_{uuid.uuid4().hex[:8]}")
         path = f"{self._root(layer, name)}/_staged/{uuid.uuid4().hex}"
-        writer = df.observe(rows, F.count(F.lit(1)).alias("n")).write.format(self.lake.table_format)
+        seen = [F.count(F.lit(1)).alias("n"), *[c.alias(f"m_{m}") for m, c in (measures or {}).items()]]
+        writer = df.observe(rows, *seen).write.format(self.lake.table_format)
         (writer.partitionBy(*by) if by else writer).save(path)
+        if measures:
+            self.measured[layer, name] = {m: rows.get[f"m_{m}"] for m in measures}
         return path, int(rows.get["n"])
 
     def _commit(self, layer: str, name: str, staged: str, version: int, part: str) -> None:
@@ -251,16 +292,24 @@ class TableStore:
         self.spark.catalog.createTable(table, path, self.lake.table_format, columns, recursiveFileLookup="true")
 
     def write(
-        self, layer: str, name: str, df: DataFrame, operation: str = "OVERWRITE", rules: Mapping[str, str] | None = None
+        self,
+        layer: str,
+        name: str,
+        df: DataFrame,
+        operation: str = "OVERWRITE",
+        rules: Mapping[str, str] | None = None,
+        measures: Mapping[str, Column] | None = None,
     ) -> int:
         """K1/K2/K3: replace the table with ``df``, whatever its columns; returns the new version.
 
         The attached CHECK rules and ``rules`` are enforced inside the writing
         tasks: on a broken rule the job fails and the old version stays.
+        ``measures`` (name -> aggregate, none of them DISTINCT) are taken over the
+        rows in the same job and kept in ``measured``.
         """
         version, _ = self._newest(layer, name)
         checked = enforce(df, {**self.constraints(layer, name), **(rules or {})})
-        staged, rows = self._stage(layer, name, checked)
+        staged, rows = self._stage(layer, name, checked, measures=measures)
         return self._place(layer, name, staged, 0 if version is None else version + 1, f"p0.{rows}", operation, rows)
 
     def _place(self, layer: str, name: str, staged: str, version: int, part: str, operation: str, rows: int) -> int:
@@ -287,21 +336,31 @@ class TableStore:
         return self._place(layer, name, staged, version, f"p{parts[-1].number + 1}.{rows}", "APPEND", total)
 
     def merge(
-        self, layer: str, name: str, updates: DataFrame, keys: Sequence[str], check_unique: bool = True, buckets: int | None = None
+        self,
+        layer: str,
+        name: str,
+        updates: DataFrame,
+        keys: Sequence[str],
+        check_unique: bool = True,
+        buckets: int | None = None,
+        measures: Mapping[str, Column] | None = None,
     ) -> int:
         """K5: upsert ``updates`` into the table (created from them if absent).
 
         With ``buckets`` the table is created bucketed by its key. A merge into a
         bucketed table reads and writes only the buckets that ``updates`` fall
-        into; otherwise the whole table is written anew. A bucket should be of a
-        size that one task can sort.
+        into; otherwise the whole table is written anew, and ``measures`` are taken
+        over all its rows. A bucket should be of a size that one task can sort.
         """
         version, parts = self._newest(layer, name)
         if buckets or (parts and parts[0].buckets):
+            if measures:
+                raise ValueError("a bucketed merge sees some of the rows only: it takes no measures")
             return self._merge_buckets(layer, name, updates, keys, check_unique, buckets)
         if version is None:
-            return self.write(layer, name, unique_or_fail(updates, keys) if check_unique else updates, operation="CREATE")
-        return self.write(layer, name, merge_upsert(self.read(layer, name), updates, keys, check_unique), operation="MERGE")
+            return self.write(layer, name, unique_or_fail(updates, keys) if check_unique else updates, operation="CREATE", measures=measures)
+        merged = merge_upsert(self.read(layer, name), updates, keys, check_unique)
+        return self.write(layer, name, merged, operation="MERGE", measures=measures)
 
     def _merge_buckets(self, layer: str, name: str, updates: DataFrame, keys: Sequence[str], check_unique: bool, buckets: int | None) -> int:
         if self.lake.catalog_mode:

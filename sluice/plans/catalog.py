@@ -20,8 +20,9 @@ from sluice.operators import forecast as fc
 from sluice.operators import quality as qa
 from sluice.operators.cleaning import clean_orders, enforce_types
 from sluice.operators.dedup import dedup_counted, dedup_sources, overlap_within
-from sluice.operators.tables import TableStore, merge_upsert, violations
-from sluice.plans.layers import BRONZE_TABLES, SILVER_TABLE, run_test_layers
+from sluice.operators.tables import TableStore, merge_changes, merge_upsert, violations
+from sluice.plans.gold import gold_sums, gold_tables_of, with_changes
+from sluice.plans.layers import BRONZE_TABLES, NULL_CHECK_COLUMNS, SILVER_TABLE, run_test_layers
 from sluice.plans.silver import SILVER_KEYS, build_silver, silver_orders
 from sluice.schema import ORDER_COLUMNS, SILVER_SCHEMA, WIDE_SALES_ORDERS_SCHEMA
 from sluice.sources import testdata
@@ -30,8 +31,6 @@ from sluice.sources.files import land_orders_csv, read_orders_csv, write_orders_
 Query = Callable[[SparkSession, str], DataFrame]
 
 SILVER_OUT = ORDER_COLUMNS + ("source",)
-# Columns of the reference's silver NULL check.
-NULL_CHECK_COLUMNS = ("order_id", "customer_name", "product_name", "region", "status", "unit_price")
 # Row rules checked on silver (the two gold rules are enforced in run_layers).
 SILVER_RULES = {
     "customer_name_present": "customer_name IS NOT NULL",
@@ -201,6 +200,40 @@ def q_bucket_merge(spark, sf_dir):
     return _kept(store.read("silver", SILVER_TABLE), lake)
 
 
+def q_gold_kept_up(spark, sf_dir):
+    """Gold of the merged silver, from the sums of the first source's silver and of what the merge changes."""
+    target = silver_orders(spark, sf_dir, sources=["csv"])
+    updates = silver_orders(spark, sf_dir, sources=["postgres"])
+    changes = gold_sums(merge_changes(target, updates, ["order_id"]), change="change")
+    return _gold_rows(gold_tables_of(with_changes(gold_sums(target), changes)))
+
+
+def _gold_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """The gold tables in one shape."""
+    out = None
+    for name, df in tables.items():
+        revenue = "monthly_revenue" if name == "monthly_sales_trend" else "total_revenue"
+        units, mean = ("total_units_sold", "avg_unit_price") if name == "revenue_by_product" else (None, "avg_order_value")
+        rows = df.select(
+            F.lit(name).alias("table_name"), F.col(df.columns[0]).alias("key"), F.col(revenue).alias("revenue"), F.col("total_orders").alias("orders"),
+            (F.col(units) if units else F.lit(None)).cast("bigint").alias("units"), F.col(mean).alias("mean"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_stored_ranges(spark, sf_dir):
+    """Row counts and date ranges of the stored bronze tables, from their files' footers."""
+    lake = fresh_lake(spark, "ranges")
+    store = TableStore(spark, lake)
+    out = None
+    for name, source in zip(BRONZE_TABLES, ("csv", "postgres"), strict=True):
+        store.write("bronze", name, testdata.bronze_source(spark, sf_dir, source))
+        row = store.footer_ranges("bronze", name, ["order_date", "quantity"]).withColumn("table_name", F.lit(name))
+        out = row if out is None else out.unionByName(row)
+    return _kept(out, lake)
+
+
 def q_table_history(spark, sf_dir):
     run = run_test_layers(spark, sf_dir, horizon=HORIZON, holdout=HOLDOUT, forecast_model="trend")
     remove_lake(spark, run.store.lake)
@@ -335,6 +368,8 @@ QUERIES: dict[str, Query] = {
     "csv_quarantine": q_csv_quarantine,
     "merge_upsert": q_merge_upsert,
     "bucket_merge": q_bucket_merge,
+    "gold_kept_up": q_gold_kept_up,
+    "stored_ranges": q_stored_ranges,
     "constraint_violations": q_constraint_violations,
     "table_history": q_table_history,
     "layer_tables": q_layer_tables,

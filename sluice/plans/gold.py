@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.config import shared_dir
-from sluice.functions import as_money, as_price, money_mean, order_value, to_double, year_month
+from sluice.functions import as_money, as_price, money_mean, order_value, to_double
 from sluice.operators import aggregates as agg
 
 # Gold table names.
@@ -23,53 +23,90 @@ def gold_tables(silver: DataFrame, clock: Column | None = None) -> dict[str, Dat
     }
 
 
-def gold_tables_single_pass(silver: DataFrame, clock: Column | None = None) -> dict[str, DataFrame]:
-    """The same four tables from ONE scan of ``silver``.
+# --- sums that can be kept up to date -------------------------------------------------
+
+#: Dimension of each gold table, with the expression that groups silver by it.
+DIMENSIONS = {"region": "region", "product_name": "product_name", "status": "status", "year_month": "date_format(order_date, 'yyyy-MM')"}
+_SUMS = ("revenue", "orders", "units", "price_sum", "price_n", "rows")
 
-    A grouping-sets aggregate computes the region, product, status and month
-    rollups together: every task pre-aggregates all four before the (tiny)
-    shuffle, and the result, one row per group, is checkpointed into the
-    shared folder so the four tables are cut from it without re-reading
-    silver. Values are identical to ``gold_tables`` (same exact-decimal sums).
+
+def gold_sums(silver: DataFrame, change: str | None = None) -> DataFrame:
+    """One row per dimension and key: exact sums and counts that all four gold tables follow from.
+
+    A grouping-sets aggregate computes the four rollups in one scan; every task
+    pre-aggregates all of them before the (tiny) shuffle. ``change`` names a
+    column of 1 (a row comes) and -1 (a row goes) by which rows are weighed:
+    sums of changes can be added to earlier ones.
     """
-    shared_dir(silver.sparkSession)  # checkpoint() writes to spark.checkpoint.dir
-    keys = ["region", "product_name", "status", "year_month"]
+    weight = F.col(change) if change else F.lit(1)
     base = silver.select(
-        "region", "product_name", "status", year_month("order_date").alias("year_month"),
-        "order_id", "quantity", "unit_price", as_money(order_value()).alias("_ov"),
+        *[F.expr(e).alias(d) for d, e in DIMENSIONS.items()],
+        weight.cast("int").alias("w"), "order_id", "quantity", as_money(order_value()).alias("value"), as_price("unit_price").alias("price"),
     )
-    rolled = (
-        base.groupingSets([[k] for k in keys], *keys)
-        .agg(
-            *[F.grouping(k).alias(f"_g_{k}") for k in keys],
-            F.sum("_ov").alias("_rev"),
-            F.count("order_id").alias("n"),
-            F.sum("quantity").cast("bigint").alias("units"),
-            F.sum(as_price("unit_price")).alias("_price_sum"),
-            F.count("unit_price").alias("_price_n"),
-        )
-        .checkpoint()
+
+    def counted(c: str) -> Column:
+        return F.sum(F.when(F.col(c).isNotNull(), F.col("w")).otherwise(0))
+
+    rolled = base.groupingSets([[d] for d in DIMENSIONS], *DIMENSIONS).agg(
+        *[F.grouping(d).alias(f"_g_{d}") for d in DIMENSIONS],
+        F.sum(F.col("value") * F.col("w")).cast("decimal(38,2)").alias("revenue"),
+        counted("order_id").alias("orders"),
+        F.sum(F.col("quantity").cast("bigint") * F.col("w")).alias("units"),
+        F.sum(F.col("price") * F.col("w")).cast("decimal(38,8)").alias("price_sum"),
+        counted("price").alias("price_n"),
+        counted("value").alias("valued"),
+        counted("quantity").alias("counted"),
+        F.sum("w").alias("rows"),
     )
-    stamp = clock if clock is not None else F.current_timestamp()
+    which, key = None, None
+    for d in DIMENSIONS:
+        own = F.col(f"_g_{d}") == 0
+        which = F.when(own, F.lit(d)) if which is None else which.when(own, F.lit(d))
+        key = F.when(own, F.col(d)) if key is None else key.when(own, F.col(d))
+    return rolled.select(which.alias("dimension"), key.alias("key"), *_SUMS, "valued", "counted")
 
-    def of(k: str) -> DataFrame:
-        return rolled.filter(F.col(f"_g_{k}") == 0)
 
-    rev = to_double(F.col("_rev"))
-    mean = money_mean(F.col("_rev"), F.col("n"))
+def with_changes(sums: DataFrame, changes: DataFrame) -> DataFrame:
+    """``gold_sums`` of a table after its rows have changed, from those before and those of the changes.
+
+    A group that has lost all its rows goes. The result is exactly that of a full rebuild.
+    """
+    columns = [*_SUMS, "valued", "counted"]
+    both = sums.unionByName(changes).groupBy("dimension", "key").agg(
+        *[F.sum(c).cast(dict(sums.dtypes)[c]).alias(c) for c in columns]
+    )
+    return both.where(F.col("rows") > 0)
+
+
+def gold_tables_of(sums: DataFrame, clock: Column | None = None) -> dict[str, DataFrame]:
+    """The four gold tables from their sums."""
+    stamp = clock if clock is not None else F.current_timestamp()
+    revenue = to_double(F.when(F.col("valued") > 0, F.col("revenue")))
+    mean = money_mean(F.when(F.col("valued") > 0, F.col("revenue")), F.col("orders"))
+    orders, units = F.col("orders").alias("total_orders"), F.when(F.col("counted") > 0, F.col("units")).alias("total_units_sold")
+    price = money_mean(F.when(F.col("price_n") > 0, F.col("price_sum")), F.col("price_n")).alias("avg_unit_price")
+    total, each = revenue.alias("total_revenue"), mean.alias("avg_order_value")
+    shapes = {
+        "revenue_by_region": ("region", [total, orders, each], F.desc("total_revenue")),
+        "revenue_by_product": ("product_name", [total, orders, units, price], F.desc("total_revenue")),
+        "order_status_breakdown": ("status", [orders, total, each], F.desc("total_orders")),
+        "monthly_sales_trend": ("year_month", [revenue.alias("monthly_revenue"), orders, each], None),
+    }
     return {
-        "revenue_by_region": of("region").select(
-            "region", rev.alias("total_revenue"), F.col("n").alias("total_orders"), mean.alias("avg_order_value")
-        ).orderBy(F.desc("total_revenue"), F.asc("region")).withColumn("gold_created_at", stamp),
-        "revenue_by_product": of("product_name").select(
-            "product_name", rev.alias("total_revenue"), F.col("n").alias("total_orders"),
-            F.col("units").alias("total_units_sold"),
-            money_mean(F.col("_price_sum"), F.col("_price_n")).alias("avg_unit_price"),
-        ).orderBy(F.desc("total_revenue"), F.asc("product_name")).withColumn("gold_created_at", stamp),
-        "order_status_breakdown": of("status").select(
-            "status", F.col("n").alias("total_orders"), rev.alias("total_revenue"), mean.alias("avg_order_value")
-        ).orderBy(F.desc("total_orders"), F.asc("status")).withColumn("gold_created_at", stamp),
-        "monthly_sales_trend": of("year_month").select(
-            "year_month", rev.alias("monthly_revenue"), F.col("n").alias("total_orders"), mean.alias("avg_order_value")
-        ).orderBy(F.asc("year_month")).withColumn("gold_created_at", stamp),
+        name: sums.filter(F.col("dimension") == d)
+        .select(F.col("key").alias(d), *columns)
+        .orderBy(*([order] if order is not None else []), F.asc(d))
+        .withColumn("gold_created_at", stamp)
+        for name, (d, columns, order) in shapes.items()
     }
+
+
+def gold_tables_single_pass(silver: DataFrame, clock: Column | None = None) -> dict[str, DataFrame]:
+    """The same four tables from ONE scan of ``silver``.
+
+    The sums, one row per group, are checkpointed into the shared folder so the
+    four tables are cut from them without re-reading silver. Values are
+    identical to ``gold_tables`` (same exact-decimal sums).
+    """
+    shared_dir(silver.sparkSession)  # checkpoint() writes to spark.checkpoint.dir
+    return gold_tables_of(gold_sums(silver).checkpoint(), clock)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from sluice.config import LakeConfig, create_namespaces, fresh_lake
 from sluice.operators import forecast as fc
+from sluice.operators import quality as qa
 from sluice.operators.tables import TableStore
 from sluice.plans.gold import gold_tables_single_pass
 from sluice.plans.silver import SILVER_KEYS, build_silver
@@ -23,6 +24,7 @@ from sluice.sources import testdata
 # Table names and the reference's CHECK rules on revenue_by_region.
 BRONZE_TABLES = ("sales_orders_csv", "sales_orders_postgres")
 SILVER_TABLE = "sales_orders"
+NULL_CHECK_COLUMNS = ("order_id", "customer_name", "product_name", "region", "status", "unit_price")
 REGION_RULES = {"revenue_positive": "total_revenue > 0", "orders_positive": "total_orders > 0"}
 
 
@@ -31,6 +33,9 @@ class LayerRun:
     store: TableStore
     audit: DataFrame
     writes: DataFrame
+    #: Q1 per bronze table and Q3 of silver, measured while they were written
+    bronze_audit: DataFrame
+    null_profile: DataFrame
 
 
 def run_layers(
@@ -53,19 +58,20 @@ def run_layers(
     overwritten under the revenue rules, which are attached before its first
     write, so gold that breaks them is never the current version. The forecast
     table is overwritten and one run record per run is appended. Returns the
-    store, the row count of every table and the list of writes.
+    store, the row count of every table, the list of writes, and the bronze audit
+    and silver's NULL profile, which are measured in the writing jobs.
     """
     lake = lake or fresh_lake(spark, "run")
     create_namespaces(spark, lake)
     store = TableStore(spark, lake)
     for name, frame in sources.items():
-        store.write("bronze", name, frame)
+        store.write("bronze", name, frame, measures=qa.bronze_measures())
 
     bronze = [store.read("bronze", name) for name in sources]
     updates = build_silver(*bronze, keys=SILVER_KEYS, tiebreak=tiebreak, drop_after=drop_after, clock=clock)
     store.create_if_absent("silver", SILVER_TABLE, SILVER_SCHEMA)
     # build_silver keeps one row per SILVER_KEYS, so the merge needs no duplicate check
-    store.merge("silver", SILVER_TABLE, updates, SILVER_KEYS, check_unique=False)
+    store.merge("silver", SILVER_TABLE, updates, SILVER_KEYS, check_unique=False, measures=qa.null_measures(NULL_CHECK_COLUMNS))
 
     silver = store.read("silver", SILVER_TABLE)
     store.add_constraints("gold", "revenue_by_region", REGION_RULES)
@@ -77,7 +83,16 @@ def run_layers(
     table, runs = fc.forecast_revenue(monthly, (), horizon, holdout, forecast_model, clock=clock)
     store.write("gold", "revenue_forecast", table)
     store.append("gold", "forecast_runs", runs)
-    return LayerRun(store, store.audit(), store.written())
+    seen = [(name, *store.measured["bronze", name].values()) for name in sources]
+    bronze_ddl = "table_name string, row_count long, earliest_order date, latest_order date, null_order_ids long, unique_regions long"
+    nulls = list(store.measured["silver", SILVER_TABLE].items())
+    return LayerRun(
+        store,
+        store.audit(),
+        store.written(),
+        spark.createDataFrame(seen, bronze_ddl),
+        spark.createDataFrame(nulls, "column_name string, null_count long"),
+    )
 
 
 def run_test_layers(spark: SparkSession, sf_dir: str, **options) -> LayerRun:

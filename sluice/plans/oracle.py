@@ -346,6 +346,29 @@ SELECT region, strftime(month, '%Y-%m') AS month, round(yhat, 2) AS forecast_rev
 FROM pred2 WHERE in_frame"""
 )
 
+_MERGED = (
+    "WITH" + BRONZE + ","
+    + " tgt_src AS (SELECT * FROM bronze WHERE source = 'csv'),"
+    + " upd_src AS (SELECT * FROM bronze WHERE source = 'postgres'),"
+    + dedup("tgt_src", "tgt") + "," + dedup("upd_src", "upd")
+    + """,
+silver AS (
+  SELECT * FROM upd UNION ALL
+  SELECT * FROM tgt WHERE NOT EXISTS (SELECT 1 FROM upd WHERE upd.order_id IS NOT DISTINCT FROM tgt.order_id))"""
+)
+SQL["gold_kept_up"] = (
+    _MERGED + "\nSELECT table_name, key, revenue, orders, units, mean FROM ("
+    + "\nSELECT NULL AS table_name, NULL AS key, NULL::DOUBLE AS revenue, NULL::BIGINT AS orders, NULL::BIGINT AS units, NULL::DOUBLE AS mean, NULL AS text"
+    + _STORED.removeprefix(_STORED_SILVER) + ") WHERE table_name IS NOT NULL"
+)
+
+SQL["stored_ranges"] = (
+    "WITH" + BRONZE + """
+SELECT 'sales_orders_' || source AS table_name, count(*) AS row_count, min(order_date) AS min_order_date, max(order_date) AS max_order_date,
+  min(quantity) AS min_quantity, max(quantity) AS max_quantity
+FROM bronze GROUP BY source"""
+)
+
 # the stored forecast is one line over all regions, in Crore
 SQL["layer_tables"] = (
     MONTHLY_CTE + "," + _SERIES_G

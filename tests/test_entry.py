@@ -23,6 +23,11 @@ def test_layer_run_end_to_end(spark):
     assert audit[("silver", "sales_orders")] == run.store.read("silver", "sales_orders").count()
     assert audit[("gold", "forecast_runs")] == 1
     assert len(audit) == 9
+    # measured while writing, equal to the queries
+    bronze = {r.table_name: tuple(r)[1:] for r in run.bronze_audit.collect()}
+    queried = {f"sales_orders_{r.source}": tuple(r)[1:] for r in QUERIES["bronze_audit"](spark, SF_SMALL).collect()}
+    assert bronze == queried
+    assert {tuple(r) for r in run.null_profile.collect()} == {tuple(r) for r in QUERIES["null_profile"](spark, SF_SMALL).collect()}
 
 
 def test_layer_run_twice_is_idempotent(spark, lake):

@@ -392,3 +392,53 @@ def test_an_empty_bucketed_table_takes_rows(spark, lake):
     store.merge("silver", "t", one, ["k"], buckets=4)
     store.merge("silver", "t", spark.createDataFrame([(2, 2)], "k int, v int"), ["k"])
     assert _rows(store.read("silver", "t")) == [(1, 1), (2, 2)]
+
+
+# --- measures and footers --------------------------------------------------------------
+
+def test_measures_of_a_write_equal_the_audits_without_further_jobs(spark, lake):
+    from pyspark.sql import functions as F
+
+    from sluice.operators import quality as qa
+
+    ddl = "order_id int, region string, order_date date, source string"
+    df = spark.createDataFrame([(1, "A", dt.date(2024, 1, 2), "csv"), (None, None, None, "csv"), (3, "B", dt.date(2023, 5, 1), "csv"), (3, "B", None, "csv")], ddl).repartition(3)
+    store = TableStore(spark, lake)
+    store.write("bronze", "o", df, measures={**qa.bronze_measures(), **qa.null_measures(["region", "order_date"])})
+    seen = store.measured["bronze", "o"]
+    audit = qa.bronze_audit(df).first().asDict()
+    assert {k: seen[k] for k in audit if k != "source"} == {k: v for k, v in audit.items() if k != "source"}
+    assert {(c, seen[c]) for c in ("region", "order_date")} == {tuple(r) for r in qa.null_profile(df, ["region", "order_date"]).collect()}
+    # of no rows
+    store.write("bronze", "o", df.where(F.lit(False)), measures=qa.bronze_measures())
+    assert store.measured["bronze", "o"] == {"row_count": 0, "earliest_order": None, "latest_order": None, "null_order_ids": 0, "unique_regions": 0}
+
+
+@pytest.mark.parametrize("kind", ["parquet", "orc"])
+def test_ranges_come_from_the_footers(spark, lake, kind):
+    from pyspark.sql import functions as F
+
+    from sluice.config import LakeConfig
+
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    store = TableStore(spark, LakeConfig(root=f"{lake.root}/{kind}", table_format=kind))
+    df = spark.range(0, 50, 1, 4).select(F.col("id"), F.expr("date'2024-01-01' + cast(id as int)").alias("d"), F.lit("text").alias("s"))
+    store.write("silver", "t", df)
+    store.append("silver", "t", df.where("id > 40"))
+    found = store.footer_ranges("silver", "t", ["id", "d"])
+    assert tuple(found.first()) == (59, 0, 49, dt.date(2024, 1, 1), dt.date(2024, 2, 19))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(id), MAX(id), MIN(d), MAX(d)]" in plan
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    with pytest.raises(FileNotFoundError):
+        store.footer_ranges("silver", "nothing")
+
+
+def test_ranges_of_a_bucketed_table_and_of_no_rows(spark, lake):
+    store = TableStore(spark, lake)
+    one = spark.range(30).withColumnRenamed("id", "k")
+    store.merge("silver", "t", one, ["k"], buckets=4)
+    store.merge("silver", "t", one.where("k < 3"), ["k"])
+    assert tuple(store.footer_ranges("silver", "t", ["k"]).first()) == (30, 0, 29)
+    store.write("silver", "none", one.limit(0))
+    assert tuple(store.footer_ranges("silver", "none", ["k"]).first()) == (0, None, None)
