@@ -16,8 +16,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterator, Sequence
-from itertools import accumulate
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 HOT_PAIRS = 1 << 20
 #: Bytes of aligned pieces that a worker keeps, pieces aligned at once, characters of text worked on at once.
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 160 << 20
 PIECES_AT_ONCE = 20_000
 CHARACTERS_AT_ONCE = 4 << 20
 #: Pairs a task counts before it hands them on.
@@ -60,44 +60,31 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
-def token_ends(spans: Sequence[tuple[int, int]], sizes: Sequence[int]) -> list[int]:
-    """Byte offset at which each token ends.
+def within(counts: np.ndarray) -> np.ndarray:
+    """Place of each item in its run, for runs of the given lengths one after the other."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
 
-    A span's end is taken where the span has a width and the next one begins no
-    earlier; any other token ends its decoded size after the one before it.
+
+def token_ends(begin: np.ndarray, end: np.ndarray, sizes: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Byte offset at which each token ends, texts laid one after the other.
+
+    ``begin`` and ``end`` are the reported spans in bytes, ``sizes`` the decoded sizes, ``last`` the
+    tokens that close a text. A span's end is taken where the span has a width
+    and the next one begins no earlier; any other token ends its decoded size
+    after the one before it.
     """
-    out, at, last = [], 0, len(spans) - 1
-    for i, ((begin, end), size) in enumerate(zip(spans, sizes, strict=True)):
-        sure = end > begin and (i == last or spans[i + 1][0] >= end)
-        at = end if sure else at + size
-        out.append(at)
-    return out
-
-
-def groups_of(a: Sequence[int], b: Sequence[int]) -> Iterator[tuple[int, int]]:
-    """Numbers of tokens of either side up to each offset where both end; ends ascend, the last are equal."""
-    i = j = 0
-    while i < len(a):
-        if a[i] == b[j]:
-            i, j = i + 1, j + 1
-            yield i, j
-        elif a[i] < b[j]:
-            i += 1
-        else:
-            j += 1
-
-
-def links_of(a: Sequence[int], b: Sequence[int]) -> Iterator[tuple[int, int]]:
-    """Places of the tokens of either side whose byte ranges overlap."""
-    i = j = 0
-    while i < len(a):
-        yield i, j
-        if a[i] == b[j]:
-            i, j = i + 1, j + 1
-        elif a[i] < b[j]:
-            i += 1
-        else:
-            j += 1
+    sure = (end > begin) & (last | (np.append(begin[1:], 0) >= end))
+    run = np.cumsum(sizes)
+    before = np.maximum.accumulate(np.where(sure, np.arange(len(run)), -1))
+    shift = np.where(sure, end - run, 0)
+    return run + np.where(before >= 0, shift[before], 0)
+
+
+def links_of(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the tokens of either side whose byte ranges overlap; both are given by their ends, the last ones equal."""
+    first = np.searchsorted(b, np.append(0, a[:-1]), side="right")
+    counts = np.searchsorted(b, a, side="left") - first + 1
+    return np.repeat(np.arange(len(a)), counts), np.repeat(first, counts) + within(counts)
 
 
 class Aligner:
@@ -114,6 +101,9 @@ class Aligner:
         tokens = [self.first.id_to_token(i) or "" for i in range(size)]
         self.first_bytes = [bytes(alphabet.get(c, 63) for c in t) for t in tokens]
         self.second_bytes = [self._piece_bytes(i) for i in range(self.second.get_piece_size())]
+        self.first_sizes, self.second_sizes = (np.array(list(map(len, t)), np.int64) for t in (self.first_bytes, self.second_bytes))
+        #: each id followed by ',', and by what closes its side of a group
+        self.written = [f"{i}{c}" for i in range(size) for c in ",|"] + [f"{i}{c}" for i in range(len(self.second_bytes)) for c in ",;"]
         if len(self.second_bytes) > 1 << SECOND_BITS:
             raise ValueError(f"the second vocabulary has more than {1 << SECOND_BITS} ids")
         self.clear()
@@ -124,48 +114,87 @@ class Aligner:
 
     def clear(self) -> None:
         self.place: dict[str, int] = {}
+        #: ids of a piece's groups as text with a closing ';', None where the bytes differ
         self.groups: list[str | None] = []
-        self.counts: list[tuple[int, int, int, int]] = []
-        self.links: list[np.ndarray] = []
+        self.counts = np.zeros((0, 4), np.int64)  # tokens of either side, groups, links
+        self.pairs = np.zeros(0, np.uint32)
+        self.starts = np.zeros(1, np.int64)
         self.bytes = 0
 
-    def align(self, ids_a, spans_a, ids_b, spans_b, raw: bytes) -> tuple[str, tuple[int, int, int, int], list[int]] | None:
-        """Group text, (tokens of either side, groups, links) and pairs of one piece; None where the bytes differ."""
-        of_a, of_b = [self.first_bytes[i] for i in ids_a], [self.second_bytes[i] for i in ids_b]
-        if b"".join(of_a) != raw or b"".join(of_b) != raw:
-            return None
-        ends_a, ends_b = token_ends(spans_a, list(map(len, of_a))), token_ends(spans_b, list(map(len, of_b)))
-        groups, i, j = [], 0, 0
-        for to_a, to_b in groups_of(ends_a, ends_b):
-            groups.append(f"{','.join(map(str, ids_a[i:to_a]))}|{','.join(map(str, ids_b[j:to_b]))}")
-            i, j = to_a, to_b
-        pairs = [ids_a[i] << SECOND_BITS | ids_b[j] for i, j in links_of(ends_a, ends_b)]
-        return ";".join(groups), (len(ids_a), len(ids_b), len(groups), len(pairs)), pairs
-
     def learn(self, pieces: list[str]) -> None:
-        """Align pieces that are not known yet."""
-        for at in range(0, len(pieces), PIECES_AT_ONCE):
-            some = pieces[at : at + PIECES_AT_ONCE]
-            of_a = self.first.encode_batch([" " + p for p in some], add_special_tokens=False)
-            of_b = self.second.encode(some, num_threads=1, return_type="proto")
-            for piece, a, b in zip(some, of_a, of_b, strict=True):
-                raw = (" " + piece).encode()
-                spans_a = a.offsets
-                if len(raw) > len(piece) + 1:  # characters to bytes
-                    at_byte = list(accumulate((len(c.encode()) for c in " " + piece), initial=0))
-                    spans_a = [(at_byte[s], at_byte[e]) for s, e in spans_a]
-                # the blank that the second tokenizer adds is byte 0
-                ids_b, spans_b = [], []
-                for p in b.pieces:
-                    ids_b.append(p.id)
-                    spans_b.append((p.begin + 1 if spans_b else 0, p.end + 1))
-                found = self.align(a.ids, spans_a, ids_b, spans_b, raw)
-                text, counts, pairs = found or (None, (0, 0, 0, 0), [])
-                self.place[piece] = len(self.groups)
-                self.groups.append(text)
-                self.counts.append(counts)
-                self.links.append(np.array(pairs, np.uint32))
-                self.bytes += 400 + 2 * len(raw) + len(text or "") + 4 * len(pairs)
+        """Align pieces that are not known yet, many at once."""
+        learnt = [self._align(pieces[at : at + PIECES_AT_ONCE]) for at in range(0, len(pieces), PIECES_AT_ONCE)]
+        if learnt:
+            counts, pairs = (np.concatenate(c) for c in zip(*learnt, strict=True))
+            self.counts, self.pairs = np.concatenate([self.counts, counts]), np.concatenate([self.pairs, pairs])
+            self.starts = np.append(0, np.cumsum(self.counts[:, 3]))
+            self.place.update(zip(pieces, range(len(self.place), len(self.place) + len(pieces)), strict=True))
+            self.bytes += 300 * len(pieces) + 4 * len(pairs) + sum(map(len, pieces))
+
+    def _same(self, tokens: list[bytes], counts: np.ndarray, raw: list[bytes]) -> np.ndarray:
+        """Whether each piece's tokens give its bytes."""
+        if b"".join(tokens) == b"".join(raw) and len(raw):
+            sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+            ends = np.append(0, np.cumsum(sizes))[np.cumsum(counts)]
+            if (ends == np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))).all():
+                return np.ones(len(raw), bool)
+        stops = np.cumsum(counts)
+        return np.array([b"".join(tokens[e - n : e]) == r for e, n, r in zip(stops.tolist(), counts.tolist(), raw, strict=True)], bool)
+
+    def _align(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(counts, pairs) of pieces; their group texts are added to ``groups``."""
+        spaced = [" " + p for p in pieces]
+        of_a = self.first.encode_batch(spaced, add_special_tokens=False)
+        ids_a, spans_a = [e.ids for e in of_a], [e.offsets for e in of_a]
+        of_b = [[(p.id, p.begin, p.end) for p in e.pieces] for e in self.second.encode(pieces, num_threads=1, return_type="proto")]
+        raw = [s.encode() for s in spaced]
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(pieces)) for x in (ids_a, of_b))
+        a = np.fromiter(chain.from_iterable(ids_a), np.int64, n_a.sum())
+        b, begin_b, end_b = np.fromiter(chain.from_iterable(chain.from_iterable(of_b)), np.int64, 3 * n_b.sum()).reshape(-1, 3).T
+        good = self._same([self.first_bytes[i] for i in a.tolist()], n_a, raw) & self._same([self.second_bytes[i] for i in b.tolist()], n_b, raw)
+        spans_a = np.fromiter(chain.from_iterable(chain.from_iterable(spans_a)), np.int64, 2 * n_a.sum()).reshape(-1, 2)
+
+        # character offsets to byte offsets, all pieces laid one after the other
+        text = np.frombuffer(b"".join(raw), np.uint8)
+        byte_at = np.append(np.flatnonzero((text & 0xC0) != 0x80), len(text))
+        chars, sizes = (np.fromiter(map(len, x), np.int64, len(pieces)) for x in (spaced, raw))
+        base_a = np.repeat(np.cumsum(chars) - chars, n_a)
+        begin_a, end_a = byte_at[spans_a[:, 0] + base_a], byte_at[spans_a[:, 1] + base_a]
+        # the blank that the second tokenizer adds is byte 0 of a piece
+        base_b = np.repeat(np.cumsum(sizes) - sizes, n_b)
+        begin_b, end_b = begin_b + base_b + (within(n_b) > 0), end_b + base_b + 1
+
+        keep_a, keep_b = np.repeat(good, n_a), np.repeat(good, n_b)
+        a, b = a[keep_a], b[keep_b]
+        piece_a, piece_b = (np.repeat(np.arange(len(pieces)), n)[k] for n, k in ((n_a, keep_a), (n_b, keep_b)))
+        # the bytes of pieces that are left out close up
+        gone = (np.cumsum(np.where(good, 0, sizes)) - np.where(good, 0, sizes))
+        ends = []
+        for begin, end, keep, piece, table, ids in ((begin_a, end_a, keep_a, piece_a, self.first_sizes, a), (begin_b, end_b, keep_b, piece_b, self.second_sizes, b)):
+            last = np.append(piece[1:] != piece[:-1], True)[: len(piece)]
+            ends.append(token_ends(begin[keep] - gone[piece], end[keep] - gone[piece], table[ids], last))
+        ends_a, ends_b = ends
+        counts, pairs = np.zeros((len(pieces), 4), np.int64), np.zeros(0, np.uint32)
+        texts: list[str | None] = [None] * len(pieces)
+        if len(a):
+            i, j = links_of(ends_a, ends_b)
+            pairs = (a[i] << SECOND_BITS | b[j]).astype(np.uint32)
+            close_a, close_b = np.isin(ends_a, ends_b), np.isin(ends_b, ends_a)
+            group_a, group_b = (np.cumsum(c) - c for c in (close_a, close_b))
+            counts[:, 0], counts[:, 1] = (np.bincount(p, minlength=len(pieces)) for p in (piece_a, piece_b))
+            counts[:, 2] = np.bincount(piece_a[close_a], minlength=len(pieces))
+            counts[:, 3] = np.bincount(piece_a[i], minlength=len(pieces))
+            # in each group the first ids, then the second ones; a separator follows each id
+            order = np.lexsort((np.repeat([0, 1], [len(a), len(b)]), np.concatenate([group_a, group_b])))
+            codes = np.concatenate([2 * a + close_a, 2 * (len(self.first_bytes) + b) + close_b])[order]
+            words = list(map(self.written.__getitem__, codes.tolist()))
+            stops = np.cumsum(counts[:, 0] + counts[:, 1]).tolist()
+            for k, (start, stop) in enumerate(zip([0, *stops], stops)):
+                if good[k]:
+                    texts[k] = "".join(words[start:stop])
+        self.groups += texts
+        self.bytes += sum(len(t) for t in texts if t)
+        return counts, pairs
 
     def documents(self, texts: list[str]) -> list[tuple[tuple[int, int, int, int], str, np.ndarray, np.ndarray]]:
         """Of each text: counts, digest of its groups, its distinct pairs ascending and how often each is linked."""
@@ -190,35 +219,41 @@ class Aligner:
         self.learn([*{p: None for pieces in texts for p in pieces if p not in self.place}])
         return [list(map(self.place.__getitem__, pieces)) for pieces in texts]
 
+    def _gathered(self, at: list[int]) -> tuple[np.ndarray, str, np.ndarray, np.ndarray] | None:
+        """(counts, group text with a closing ';', distinct pairs, times) of some pieces; None where one has no tokens."""
+        groups = [self.groups[i] for i in at]
+        if None in groups:
+            return None
+        counts, starts = self.counts[at], self.starts[at]
+        pairs = self.pairs[np.repeat(starts, counts[:, 3]) + within(counts[:, 3])]
+        return counts.sum(axis=0), "".join(groups), *np.unique(pairs, return_counts=True)
+
     def _together(self, texts: list[list[str]]) -> list:
         out = []
         for at in self._known(texts):
-            groups = [self.groups[i] for i in at]
-            if not at or None in groups:
+            found = self._gathered(at) if at else None
+            if found is None:
                 out.append(NOTHING)
-                continue
-            counts = tuple(map(sum, zip(*(self.counts[i] for i in at), strict=True)))
-            pairs, times = np.unique(np.concatenate([self.links[i] for i in at]), return_counts=True)
-            out.append((counts, hashlib.sha256(";".join(groups).encode()).hexdigest(), pairs, times))
+            else:
+                out.append((tuple(found[0].tolist()), hashlib.sha256(found[1][:-1].encode()).hexdigest(), found[2], found[3]))
         return out
 
     def _alone(self, text: str) -> tuple:
         """A long text, in runs of pieces."""
-        digest, counts, start, first = hashlib.sha256(), np.zeros(4, np.int64), 0, True
+        digest, counts, start, close = hashlib.sha256(), np.zeros(4, np.int64), 0, ""
         pairs, times = np.zeros(0, np.uint32), np.zeros(0, np.int64)
         while start < len(text):
             cut = CUT.search(text, min(start + CHARACTERS_AT_ONCE, len(text)))
             end = cut.start() if cut else len(text)
             (at,) = self._known([CUT.split(text[start:end])])
-            groups = [self.groups[i] for i in at]
-            if None in groups:
+            found = self._gathered(at)
+            if found is None:
                 return NOTHING
-            digest.update((("" if first else ";") + ";".join(groups)).encode())
-            counts += np.sum([self.counts[i] for i in at], axis=0)
-            own, n = np.unique(np.concatenate([self.links[i] for i in at]), return_counts=True)
-            pairs, where = np.unique(np.concatenate([pairs, own]), return_inverse=True)
-            times = np.bincount(where, np.concatenate([times, n]), len(pairs)).astype(np.int64)
-            start, first = (cut.end() if cut else len(text)), False
+            digest.update((close + found[1][:-1]).encode())
+            counts += found[0]
+            pairs, where = np.unique(np.concatenate([pairs, found[2]]), return_inverse=True)
+            times = np.bincount(where, np.concatenate([times, found[3]]), len(pairs)).astype(np.int64)
+            start, close = (cut.end() if cut else len(text)), ";"
         return tuple(counts.tolist()), digest.hexdigest(), pairs, times
 
 

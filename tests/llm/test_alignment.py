@@ -1,6 +1,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -104,11 +105,17 @@ def test_no_piece_of_the_second_vocabulary_crosses_a_cut(libraries):
 
 
 def test_spans_are_cuts_and_bytes_refine_them():
-    # a character of 4 bytes shared by two tokens; a token without width
-    assert alignment.token_ends([(0, 1), (1, 5), (1, 5), (5, 6)], [1, 3, 1, 1]) == [1, 4, 5, 6]
-    assert alignment.token_ends([(0, 2), (2, 2), (2, 2), (2, 5)], [2, 1, 1, 1]) == [2, 3, 4, 5]
-    assert list(alignment.groups_of([1, 3, 6], [2, 3, 4, 6])) == [(2, 2), (3, 4)]
-    assert list(alignment.links_of([1, 3, 6], [2, 3, 4, 6])) == [(0, 0), (1, 0), (1, 1), (2, 2), (2, 3)]
+    def ends(spans, sizes, last=()):
+        begin, end = np.array(spans).T
+        return alignment.token_ends(begin, end, np.array(sizes), np.isin(np.arange(len(sizes)), [*last, len(sizes) - 1])).tolist()
+
+    # a character of 4 bytes shared by two tokens; tokens without width
+    assert ends([(0, 1), (1, 5), (1, 5), (5, 6)], [1, 3, 1, 1]) == [1, 4, 5, 6]
+    assert ends([(0, 2), (2, 2), (2, 2), (2, 5)], [2, 1, 1, 1]) == [2, 3, 4, 5]
+    # two texts, one after the other; the second begins with a token without width
+    assert ends([(0, 3), (3, 3), (3, 5)], [3, 1, 1], last=[0]) == [3, 4, 5]
+    i, j = alignment.links_of(np.array([1, 3, 6]), np.array([2, 3, 4, 6]))
+    assert list(zip(i, j)) == [(0, 0), (1, 0), (1, 1), (2, 2), (2, 3)]
 
 
 def run(frame, **options):
