@@ -468,6 +468,7 @@ FROM silver, (SELECT min(order_date) AS s, max(order_date) AS e FROM silver)"""
 
 SQL["growth_factor"] = SILVER_CTE + _DATED
 
+# The twelve month weights, January first.
 SQL["seasonal_factor"] = (
     SILVER_CTE
     + """

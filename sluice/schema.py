@@ -14,25 +14,13 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-# Business columns of one sales order, in file order.
-ORDER_COLUMNS = (
-    "order_id",
-    "customer_id",
-    "customer_name",
-    "product_sku",
-    "product_name",
-    "quantity",
-    "unit_price",
-    "order_date",
-    "region",
-    "status",
-)
 PROVENANCE_COLUMNS = ("ingested_at", "source")
 
 
 def sales_orders_schema(id_type: DataType | None = None) -> StructType:
     """Raw order schema. ``id_type`` widens the id columns (LongType for keys past 2^31)."""
     ids = id_type or IntegerType()
+    # Names and types of the order columns, in file order.
     return StructType(
         [
             StructField("order_id", ids, True),
@@ -62,5 +50,6 @@ def silver_schema(id_type: DataType | None = None) -> StructType:
 
 
 SALES_ORDERS_SCHEMA = sales_orders_schema()
+ORDER_COLUMNS = tuple(SALES_ORDERS_SCHEMA.fieldNames())
 SILVER_SCHEMA = silver_schema(LongType())
 WIDE_SALES_ORDERS_SCHEMA = sales_orders_schema(LongType())
