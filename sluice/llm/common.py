@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,10 +26,38 @@ def bound_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
+_held: dict[object, object] = {}
+
+
+def held_by_worker(key: object, make: Callable[[], object]):
+    """A large object that a Python worker builds once: a vocabulary with its cache, a model's tables.
+
+    A worker serves many operators one after the other, so only the latest such
+    object stays.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def release_held() -> None:
+    """Free what an earlier operator has left in this worker."""
+    _held.clear()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A helper column's name that the frame does not use (names differ by more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while f"_{name}".lower() in taken:
+        name += "_"
+    return f"_{name}"
+
+
 class Scratch:
     """Tables written under the folder named by ``spark.checkpoint.dir``.
 
@@ -41,6 +70,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/sluice-llm/{label}-{uuid.uuid4().hex[:12]}"
+        self.tables: list[str] = []  # tables of the session catalog that lie in this folder
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -57,7 +87,22 @@ class Scratch:
         for name in names:
             self._delete(self.path(name))
 
+    def _drop_tables(self) -> None:
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.tables.clear()
+
+    def keep_only(self, *names: str) -> None:
+        """Remove all tables but some that a returned frame reads."""
+        self._drop_tables()
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for found in fs.listStatus(path) if fs.exists(path) else []:
+            if found.getPath().getName() not in names:
+                fs.delete(found.getPath(), True)
+
     def clear(self) -> None:
+        self._drop_tables()
         self._delete(self.root)
 
 
