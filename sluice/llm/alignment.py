@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import WHITE_SPACE, Scratch, bound_batches
+from sluice.llm.common import WHITE_SPACE, Scratch, bound_batches, held_by_worker
 from sluice.llm.frequent import commonest
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -50,9 +50,6 @@ LOOKED_UP = (
     "n_best long, count_sum long, cold array<struct<pair: long, times: long>>"
 )
 
-_held: dict[object, object] = {}
-
-
 def byte_alphabet() -> dict[str, int]:
     """Byte of each character of a byte-level vocabulary: printable Latin-1 stands for itself, others follow from U+0100 on."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -101,13 +98,19 @@ class Aligner:
         tokens = [self.first.id_to_token(i) or "" for i in range(size)]
         self.first_bytes = [bytes(alphabet.get(c, 63) for c in t) for t in tokens]
         self.second_bytes = [self._piece_bytes(i) for i in range(self.second.get_piece_size())]
-        self.first_sizes, self.second_sizes = (np.array(list(map(len, t)), np.int64) for t in (self.first_bytes, self.second_bytes))
+        self.first_table, self.second_table = map(self._table, (self.first_bytes, self.second_bytes))
         #: each id followed by ',', and by what closes its side of a group
         self.written = [f"{i}{c}" for i in range(size) for c in ",|"] + [f"{i}{c}" for i in range(len(self.second_bytes)) for c in ",;"]
         if len(self.second_bytes) > 1 << SECOND_BITS:
             raise ValueError(f"the second vocabulary has more than {1 << SECOND_BITS} ids")
         self.clear()
 
+    @staticmethod
+    def _table(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All tokens' bytes one after the other, where each begins and its length."""
+        lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(lengths) - lengths, lengths
+
     def _piece_bytes(self, i: int) -> bytes:
         piece = self.second.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.second.is_byte(i) else piece.replace(BLANK_MARK, " ").encode()
@@ -131,38 +134,47 @@ class Aligner:
             self.place.update(zip(pieces, range(len(self.place), len(self.place) + len(pieces)), strict=True))
             self.bytes += 300 * len(pieces) + 4 * len(pairs) + sum(map(len, pieces))
 
-    def _same(self, tokens: list[bytes], counts: np.ndarray, raw: list[bytes]) -> np.ndarray:
-        """Whether each piece's tokens give its bytes."""
-        if b"".join(tokens) == b"".join(raw) and len(raw):
-            sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
-            ends = np.append(0, np.cumsum(sizes))[np.cumsum(counts)]
-            if (ends == np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))).all():
-                return np.ones(len(raw), bool)
-        stops = np.cumsum(counts)
-        return np.array([b"".join(tokens[e - n : e]) == r for e, n, r in zip(stops.tolist(), counts.tolist(), raw, strict=True)], bool)
+    @staticmethod
+    def _same(ids: np.ndarray, counts: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray], text: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether the tokens of each piece give its bytes; the pieces' bytes and sizes lie one after the other."""
+        raw, starts, lengths = table
+        length = lengths[ids]
+        total = np.diff(np.append(0, np.cumsum(length))[np.append(0, np.cumsum(counts))])
+        own = raw[np.repeat(starts[ids], length) + within(length)]
+        same = total == sizes
+        if same.all():
+            wrong = np.flatnonzero(own != text)
+        else:  # compare what has the right size
+            wrong = np.zeros(0, np.int64)
+            kept = own[np.repeat(same, total)] != text[np.repeat(same, sizes)]
+            wrong = np.flatnonzero(np.repeat(same, sizes))[kept]
+        same[np.searchsorted(np.cumsum(sizes), wrong, side="right")] = False
+        return same
 
     def _align(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(counts, pairs) of pieces; their group texts are added to ``groups``."""
         spaced = [" " + p for p in pieces]
         of_a = self.first.encode_batch(spaced, add_special_tokens=False)
         ids_a, spans_a = [e.ids for e in of_a], [e.offsets for e in of_a]
-        of_b = [[(p.id, p.begin, p.end) for p in e.pieces] for e in self.second.encode(pieces, num_threads=1, return_type="proto")]
+        # the spans of the immutable proto, which this version of the library gives in this form
+        of_b = self.second.encode(pieces, num_threads=1, return_type="offset_mapping")
+        ids_b, spans_b = [e["ids"] for e in of_b], [e["offsets"] for e in of_b]
         raw = [s.encode() for s in spaced]
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(pieces)) for x in (ids_a, of_b))
-        a = np.fromiter(chain.from_iterable(ids_a), np.int64, n_a.sum())
-        b, begin_b, end_b = np.fromiter(chain.from_iterable(chain.from_iterable(of_b)), np.int64, 3 * n_b.sum()).reshape(-1, 3).T
-        good = self._same([self.first_bytes[i] for i in a.tolist()], n_a, raw) & self._same([self.second_bytes[i] for i in b.tolist()], n_b, raw)
-        spans_a = np.fromiter(chain.from_iterable(chain.from_iterable(spans_a)), np.int64, 2 * n_a.sum()).reshape(-1, 2)
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(pieces)) for x in (ids_a, ids_b))
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64, n.sum()) for x, n in ((ids_a, n_a), (ids_b, n_b)))
+        spans_a, spans_b = (
+            np.fromiter(chain.from_iterable(chain.from_iterable(x)), np.int64, 2 * n.sum()).reshape(-1, 2) for x, n in ((spans_a, n_a), (spans_b, n_b))
+        )
 
         # character offsets to byte offsets, all pieces laid one after the other
         text = np.frombuffer(b"".join(raw), np.uint8)
         byte_at = np.append(np.flatnonzero((text & 0xC0) != 0x80), len(text))
         chars, sizes = (np.fromiter(map(len, x), np.int64, len(pieces)) for x in (spaced, raw))
-        base_a = np.repeat(np.cumsum(chars) - chars, n_a)
+        good = self._same(a, n_a, self.first_table, text, sizes) & self._same(b, n_b, self.second_table, text, sizes)
+        base_a, base_b = (np.repeat(np.cumsum(chars) - chars, n) for n in (n_a, n_b))
         begin_a, end_a = byte_at[spans_a[:, 0] + base_a], byte_at[spans_a[:, 1] + base_a]
-        # the blank that the second tokenizer adds is byte 0 of a piece
-        base_b = np.repeat(np.cumsum(sizes) - sizes, n_b)
-        begin_b, end_b = begin_b + base_b + (within(n_b) > 0), end_b + base_b + 1
+        # the blank that the second tokenizer adds is character 0 of a piece
+        begin_b, end_b = byte_at[spans_b[:, 0] + base_b + (within(n_b) > 0)], byte_at[spans_b[:, 1] + base_b + 1]
 
         keep_a, keep_b = np.repeat(good, n_a), np.repeat(good, n_b)
         a, b = a[keep_a], b[keep_b]
@@ -170,7 +182,7 @@ class Aligner:
         # the bytes of pieces that are left out close up
         gone = (np.cumsum(np.where(good, 0, sizes)) - np.where(good, 0, sizes))
         ends = []
-        for begin, end, keep, piece, table, ids in ((begin_a, end_a, keep_a, piece_a, self.first_sizes, a), (begin_b, end_b, keep_b, piece_b, self.second_sizes, b)):
+        for begin, end, keep, piece, table, ids in ((begin_a, end_a, keep_a, piece_a, self.first_table[2], a), (begin_b, end_b, keep_b, piece_b, self.second_table[2], b)):
             last = np.append(piece[1:] != piece[:-1], True)[: len(piece)]
             ends.append(token_ends(begin[keep] - gone[piece], end[keep] - gone[piece], table[ids], last))
         ends_a, ends_b = ends
@@ -263,10 +275,7 @@ NOTHING = ((0, 0, 0, 0), "", np.zeros(0, np.uint32), np.zeros(0, np.int64))
 
 def _aligner(byte_level: str, pieces: str) -> Aligner:
     """The worker's own aligner of two vocabularies."""
-    key = (byte_level, pieces)
-    if key not in _held:
-        _held[key] = Aligner(*key)
-    return _held[key]
+    return held_by_worker(("aligner", byte_level, pieces), lambda: Aligner(byte_level, pieces))
 
 
 def aligned(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm import bilinear
 from sluice.llm.bilinear import END, RARE, Parameters, Scorer
-from sluice.llm.common import Scratch, bound_batches
+from sluice.llm.common import Scratch, bound_batches, held_by_worker
 from sluice.llm.frequent import commonest
 from sluice.llm.partials import gathered, partial_results
 
@@ -56,7 +56,6 @@ ENCODED = (
 SCORED = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, cold array<struct<word: binary, n: long>>"
 
 _next_space = re.compile(rb"[ \t-\r]").search
-_held: dict[str, object] = {}
 
 
 def words_of(raw: bytes) -> Iterator[list[bytes]]:
@@ -181,23 +180,13 @@ class Encoder:
         return b"".join(ids), known, base, rare, cold
 
 
-def _worker_holds(key: str, make):
-    """An object built once in a worker; only the latest of its kind is kept."""
-    if key not in _held:
-        kind = key.split("-")[0]
-        for old in [k for k in _held if k.split("-")[0] == kind]:
-            del _held[old]
-        _held[key] = make()
-    return _held[key]
-
-
 def encode(rows: DataFrame, words: Vocabulary) -> DataFrame:
     """Class ids and partial sums of each row (row, doc_id, held_out, round, text)."""
     shared = rows.sparkSession.sparkContext.broadcast((words, f"encoder-{uuid.uuid4().hex}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, key = shared.value
-        encoder = _worker_holds(key, lambda: Encoder(words))
+        encoder = held_by_worker(key, lambda: Encoder(words))
         for batch in batches:
             found = [encoder.encode(raw) for raw in _texts(batch)]
             n = [len(f[0]) // 2 for f in found]
@@ -269,7 +258,7 @@ def score(encoded: DataFrame, model: Parameters, words: Vocabulary) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, key = shared.value
-        scorer = _worker_holds(key, lambda: Scorer(model))
+        scorer = held_by_worker(key, lambda: Scorer(model))
         for batch in batches:
             sums, rares = [], []
             for ids, lengths in _token_batches(iter([batch])):
