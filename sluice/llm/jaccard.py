@@ -7,12 +7,17 @@ most the symmetric difference. Sets of similar size (a size band) whose Jaccard
 similarity reaches the threshold differ in at most D shingles, so of D + 1 + E
 pieces at least E + 1 agree. Documents are joined on (band, piece, value).
 
-Documents with equal sets are one class from the start. Joined classes form
-blocks (connected components); each block's texts are brought together once, and
-every pair in it whose bit sketches (one parity bit per shingle) are near enough
-is verified on the sets themselves. A block too large for a task is cut into
-chunks and goes out as pairs of chunks. No pair leaves a task but the verified
-links that connect a task's documents (a spanning forest).
+Documents with equal sets are one class from the start. A key that several
+classes share is only a hint: most such classes share a passage and no more. So
+nothing is closed before it is verified. Candidates meet as (size, bit sketch),
+one parity bit per shingle, whose Hamming distance is a lower bound as well; the
+texts of a pair meet only when that bound lets it pass. In three rounds the
+verified links grow into components, and only keys that still hold several
+components stay open:
+
+1. each class with the nearest first holder of one of its keys,
+2. in each open key a spanning forest of what the bit sketches let pass,
+3. in each key still open, all pairs between components that they let pass.
 """
 
 from __future__ import annotations
@@ -26,14 +31,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Scratch, bound_batches
+from sluice.llm.common import Scratch, bound_batches, free_name
 from sluice.llm.components import components
 from sluice.llm.hashing import mix, word_hashes
 
-#: Chunk of a large block: documents and text bytes at most.
-CHUNK_DOCS = 2000
-CHUNK_BYTES = 24 << 20
-SKETCH_WORDS = 16
+#: Holders of one key that a task compares at once; a key with more goes out as pairs of such chunks.
+CHUNK = 4096
+#: Least bits of a sketch, and bits for each shingle by which two linked sets may differ.
+SKETCH_BITS = 1024
+BITS_PER_CHANGE = 8
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -99,13 +105,35 @@ def sketch_keys(hashes: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def bit_sketch(hashes: np.ndarray) -> np.ndarray:
+def sketch_bits(n: int, percent: int) -> int:
+    """Bits of the sketch of a set of ``n``: a power of two, so that a longer sketch folds to a shorter one."""
+    return max(SKETCH_BITS, 1 << (BITS_PER_CHANGE * most_apart(2 * n, percent) - 1).bit_length())
+
+
+def bit_sketch(hashes: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
     """Parity bits, one toggled per shingle: their Hamming distance is at most the symmetric difference."""
-    bit = mix(hashes ^ np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - (64 * SKETCH_WORDS).bit_length() + 1)
-    odd = (np.bincount(bit.astype(np.int64), minlength=64 * SKETCH_WORDS) & 1).astype(np.uint8)
+    bit = mix(hashes ^ np.uint64(0xD6E8FEB86659FD93)) & np.uint64(bits - 1)
+    odd = (np.bincount(bit.astype(np.int64), minlength=bits) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.uint64)
 
 
+def folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """The same sketch (or rows of sketches) with fewer bits."""
+    while sketch.shape[-1] > words:
+        half = sketch.shape[-1] // 2
+        sketch = sketch[..., :half] ^ sketch[..., half:]
+    return sketch
+
+
+def pass_bound(na: int, a: np.ndarray, nb: int, b: np.ndarray, percent: int) -> int | None:
+    """Distance of two sketches where sizes and sketches allow a link."""
+    if 100 * min(na, nb) < percent * max(na, nb):
+        return None
+    words = min(len(a), len(b))
+    apart = int(np.bitwise_count(folded(a, words) ^ folded(b, words)).sum())
+    return apart if apart <= most_apart(na + nb, percent) else None
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """100 * intersection >= percent * union, on sorted sets."""
     short, long = (a, b) if len(a) <= len(b) else (b, a)
@@ -114,32 +142,38 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return common * (100 + percent) >= percent * (len(a) + len(b))
 
 
-def forest(sets: list[np.ndarray], side: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
-    """Links that connect all linked sets; with two sides, only links between them are looked for."""
-    n = np.array([len(s) for s in sets])
+def candidates(n: np.ndarray, sketches: list[np.ndarray], group: np.ndarray, side: np.ndarray, percent: int, spanning: bool) -> Iterator[tuple[int, int]]:
+    """Pairs of different groups that sizes and sketches let pass.
+
+    With ``spanning`` only pairs that join groups not joined yet. With two sides,
+    only pairs between them.
+    """
     order = np.argsort(n, kind="stable")
-    sketch = np.stack([bit_sketch(sets[i]) for i in order])
-    n, side = n[order], side[order]
+    n, side, group = n[order], side[order], group[order].copy()
+    words = np.array([len(sketches[i]) for i in order])
+    # per sketch length, the members of that length or more, folded to it
+    tables = {w: np.stack([folded(sketches[i], w) if len(sketches[i]) >= w else np.zeros(w, np.uint64) for i in order]) for w in np.unique(words).tolist()}
     two = side.any() and not side.all()
-    group = np.arange(len(sets))
-    for i in range(len(sets) - 1):
-        end = np.searchsorted(n, n[i] * 100 // percent, side="right")
-        rest = np.arange(i + 1, end)
+    for i in range(len(n) - 1):
+        rest = np.arange(i + 1, np.searchsorted(n, n[i] * 100 // percent, side="right"))
         rest = rest[group[rest] != group[i]]
         if two:
             rest = rest[side[rest] != side[i]]
         if not len(rest):
             continue
-        apart = np.bitwise_count(sketch[rest] ^ sketch[i]).sum(axis=1, dtype=np.int64)
-        near = rest[apart <= (n[rest] + n[i]) * (100 - percent) // (100 + percent)]
-        for j in near.tolist():
-            if group[j] != group[i] and linked(sets[order[i]], sets[order[j]], percent):
+        table = tables[int(words[i])]
+        apart = np.bitwise_count(table[rest] ^ table[i]).sum(axis=1, dtype=np.int64)
+        near = apart <= (n[rest] + n[i]) * (100 - percent) // (100 + percent)
+        for j in rest[near][np.argsort(apart[near], kind="stable")].tolist():
+            if spanning and group[j] == group[i]:
+                continue
+            if spanning:
                 group[group == group[j]] = group[i]
-                yield int(order[i]), int(order[j])
+            yield int(order[i]), int(order[j])
 
 
 def _classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, class (digest of the set), keys."""
+    """doc_id, n_shingles, class (digest of the set), bit sketch, keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,42 +183,98 @@ def _classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
                     batch.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                    pa.array([bit_sketch(s, sketch_bits(len(s), percent)).tobytes() for s in sets], pa.binary()),
                     pa.array([sketch_keys(s, percent).view(np.int64) for s in sets], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "class", "keys"],
+                ["doc_id", "n_shingles", "class", "sketch", "keys"],
             )
 
     bound_batches(docs.sparkSession, 4 << 20)
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, class binary, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, class binary, sketch binary, keys array<long>")
+
 
+def _words(sketch: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(sketch.as_py(), np.uint64)
+
+
+def _pair_batch(*columns: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "apart"][: len(columns)])
+
+
+def _within_bound(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(a, b, apart) of the pairs (a, b) that sizes and bit sketches let pass."""
 
-def _verify(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(rows: list[tuple]) -> list[tuple[int, int]]:
-            sets = [shingles(r[2], size) for r in rows]
-            side = np.array([r[1] for r in rows], bool)
-            return [(rows[i][0], rows[j][0]) for i, j in forest(sets, side, percent)]
+        for batch in batches:
+            a, b, na, nb = (batch.column(i).to_pylist() for i in range(4))
+            apart = [pass_bound(x, _words(s), y, _words(t), percent) for x, s, y, t in zip(na, batch.column(4), nb, batch.column(5), strict=True)]
+            yield _pair_batch(*([v for v, d in zip(c, apart, strict=True) if d is not None] for c in (a, b, apart)))
+
+    one, other = (nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
+    sized = pairs.join(one.drop("sa"), "a").join(other.drop("sb"), "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+    met = sized.select("a", "b").distinct().join(one, "a").join(other, "b").select("a", "b", "na", "nb", "sa", "sb")
+    return met.mapInArrow(run, "a long, b long, apart long")
+
 
-        def batch_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
-            a, b = zip(*found, strict=True) if found else ((), ())
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose texts link."""
 
-        group, held, found = None, [], []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, kept = None, np.zeros(0, np.uint64)
         for batch in batches:
-            keys = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
-            rest = zip(*(batch.column(i).to_pylist() for i in range(3, 6)), strict=True)
-            for key, row in zip(keys, rest, strict=True):
-                if key != group:
-                    found += links(held) if len(held) > 1 else []
-                    group, held = key, []
-                held.append(row)
-            if len(found) > 10_000:
-                yield batch_of(found)
-                found = []
-        found += links(held) if len(held) > 1 else []
-        yield batch_of(found)
+            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            links = []
+            for x, s, t in zip(a, batch.column(2), batch.column(3), strict=True):
+                text = (x, s.as_py())
+                if text != last:
+                    last, kept = text, shingles(text[1], size)
+                links.append(linked(kept, shingles(t.as_py(), size), percent))
+            yield _pair_batch(*([v for v, link in zip(c, links, strict=True) if link] for c in (a, b)))
+
+    one, other = (docs.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}")) for x in "ab")
+    return pairs.select("a", "b").join(other, "b").join(one, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
+
+
+def _open_pairs(members: DataFrame, nodes: DataFrame, component: DataFrame, percent: int, spanning: bool, scratch: Scratch, name: str) -> DataFrame:
+    """Pairs (a, b) in keys whose holders are in several components, as ``candidates`` finds them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(rows: list[tuple]) -> tuple[list[int], list[int]]:
+            n, group = (np.array([r[i] for r in rows], np.int64) for i in (2, 3))
+            side = np.array([r[1] for r in rows], bool)
+            found = [(rows[i][0], rows[j][0]) for i, j in candidates(n, [r[4] for r in rows], group, side, percent, spanning)]
+            return [min(p) for p in found], [max(p) for p in found]
 
-    return run
+        at, held = None, []
+        for batch in batches:
+            where = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
+            rows = zip(*(batch.column(i).to_pylist() for i in range(3, 7)), map(_words, batch.column(7)), strict=True)
+            for place, row in zip(where, rows, strict=True):
+                if place != at:
+                    if len(held) > 1:
+                        yield _pair_batch(*pairs(held))
+                    at, held = place, []
+                held.append(row)
+        if len(held) > 1:
+            yield _pair_batch(*pairs(held))
+
+    labelled = members.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    one, other = F.xxhash64("node"), F.xxhash64(F.lit(1), "node")
+    groups = labelled.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"),
+        F.bit_xor(one).alias("x"), F.bit_xor(other).alias("y"),
+    )
+    # keys with the same holders are one
+    groups = groups.where("low < high").groupBy("n", "x", "y").agg(F.min("key").alias("key"))
+    groups = scratch.store(groups.select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), f"{name}-open")
+    held = labelled.join(groups, "key").join(nodes.drop("keys", "class"), "node")
+    own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    placed = held.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        "node", (F.col("own") > F.col("other")).alias("side"), "n_shingles", "component", "sketch",
+    )
+    dealt = placed.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
@@ -200,36 +290,29 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, scratch: Scra
     scratch = scratch or Scratch(spark, "near")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     with_keys = scratch.store(_classes(docs, size, percent), "with-keys")
-    known = scratch.store(with_keys.drop("keys"), "classes")
+    known = scratch.store(with_keys.drop("keys", "sketch"), "classes")
 
     real = with_keys.where("n_shingles > 0 AND doc_id IS NOT NULL")
     first = real.groupBy("class").agg(F.min("doc_id").alias("node"))
     first = scratch.store(first, "first")
-    keys = real.join(first, (real["class"] == first["class"]) & (real.doc_id == first.node), "left_semi").select(
-        F.col("doc_id").alias("node"), "keys"
-    )
-    keys = scratch.store(keys, "keys").select("node", F.explode("keys").alias("key"))
+    nodes = real.join(first, (real["class"] == first["class"]) & (real.doc_id == first.node), "left_semi").withColumnRenamed("doc_id", "node")
+    nodes = scratch.store(nodes.select("node", "n_shingles", "sketch", "keys"), "nodes")
     scratch.drop("with-keys")
-    centres = keys.groupBy(F.col("key").alias("shared")).agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
-    stars = keys.join(centres.select("shared", "a"), keys.key == F.col("shared")).where("node <> a").select("a", F.col("node").alias("b"))
-    blocks = scratch.store(components(stars, scratch, "blocks"), "blocks")
-    scratch.drop("keys")
-
-    sizes = blocks.join(docs.select("doc_id", F.octet_length("text").alias("bytes")), blocks.node == F.col("doc_id")).groupBy("component")
-    sizes = sizes.agg(F.greatest(F.ceil(F.count("*") / CHUNK_DOCS), F.ceil(F.sum("bytes") / CHUNK_BYTES)).cast("int").alias("chunks"))
-    members = blocks.join(sizes, "component").select("component", "node", "chunks")
-    own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    placed = docs.join(members, docs.doc_id == members.node).select("component", "node", "text", "chunks", own.alias("own"))
-    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-        "component",
-        F.least("own", "other").alias("i"),
-        F.greatest("own", "other").alias("j"),
-        "node",
-        (F.col("own") > F.col("other")).alias("side"),
-        "text",
-    )
-    spread = pairs.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "node")
-    links = scratch.store(spread.mapInArrow(_verify(size, percent), "a long, b long"), "links")
+    keys = nodes.select("node", F.explode("keys").alias("key"))
+    shared = scratch.store(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared")
+    members = scratch.store(keys.join(shared, "key").distinct(), "members")
+
+    hubs = scratch.store(members.groupBy("key").agg(F.min("node").alias("a")), "hubs")
+    stars = members.join(hubs, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    near = _within_bound(stars, nodes, percent).groupBy("b").agg(F.min_by("a", F.struct("apart", "a")).alias("a"))
+    tried = scratch.store(near.select("a", "b"), "tried-1")
+    links = scratch.store(_verified(tried, docs, size, percent), "links-1")
+    for round_, spanning in ((2, True), (3, False)):
+        component = scratch.store(components(links, scratch, f"joined-{round_}"), f"component-{round_}")
+        pairs = _open_pairs(members, nodes, component, percent, spanning, scratch, f"round-{round_}").join(tried, ["a", "b"], "left_anti")
+        pairs = scratch.store(pairs, f"pairs-{round_}")
+        links = links.unionByName(scratch.store(_verified(pairs, docs, size, percent), f"links-{round_}"))
+        tried = tried.unionByName(pairs)
 
     joined = components(links, scratch, "links")
     classes = first.join(joined, "node", "left").select("class", F.coalesce("component", "node").alias("component_id"))
@@ -242,8 +325,9 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, scratch: Scra
 def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
     """Rows of ``docs`` that stay: of each group the one with the least ``doc_id``, all others whole; all columns."""
     groups = near_groups(docs, size, percent, scratch)
-    dropped = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs.doc_id.cast("long") == F.col("_dropped"), "left_anti")
+    name = free_name(docs, "dropped")
+    dropped = groups.where("component_id <> doc_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(dropped, docs.doc_id.cast("long") == F.col(name), "left_anti")
 
 
 def sql(size: int, percent: int) -> str:

@@ -63,8 +63,8 @@ def test_against_all_pairs(docs, size, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain_components(rows, size, percent)
 
 
-def test_large_blocks_go_in_chunks(docs, monkeypatch):
-    monkeypatch.setattr(jaccard, "CHUNK_DOCS", 7)
+def test_hot_keys_go_in_chunks(docs, monkeypatch):
+    monkeypatch.setattr(jaccard, "CHUNK", 7)
     draw = random.Random(1)
     base = [f"w{draw.randrange(500)}" for _ in range(120)]
     rows = []
@@ -87,6 +87,10 @@ def test_linked_sets_share_a_key_and_bits_bound_the_difference():
         b = np.unique(np.concatenate([a[drop:], draw.integers(0, 2**63, add).astype(np.uint64)]))
         apart = len(np.setxor1d(a, b))
         assert np.bitwise_count(jaccard.bit_sketch(a) ^ jaccard.bit_sketch(b)).sum() <= apart
+        wide = jaccard.bit_sketch(a, 8192)
+        assert (jaccard.folded(wide, len(jaccard.bit_sketch(a))) == jaccard.bit_sketch(a)).all()
+        bound = jaccard.pass_bound(len(a), wide, max(len(b), 1), jaccard.bit_sketch(b), percent)
+        assert bound is not None or not len(b) or not jaccard.linked(a, b, percent)
         if len(b) and apart and jaccard.linked(a, b, percent):
             assert len(np.intersect1d(jaccard.sketch_keys(a, percent), jaccard.sketch_keys(b, percent)))
 
@@ -109,3 +113,52 @@ def test_components_of_paths_and_stars(spark):
     want = {i: min(ids[:121]) for i in ids[:121]} | {i: min(ids[200:300]) for i in ids[200:300]}
     assert {r.node: r.component for r in got} == want
     assert len(got) == len(want)
+
+
+def test_candidates_lose_no_link_and_a_spanning_forest_joins_the_same_groups():
+    draw = np.random.default_rng(6)
+    for percent in (80, 90):
+        base = draw.integers(0, 2**63, 200).astype(np.uint64)
+        sets = []
+        for _ in range(60):
+            own = base[draw.random(200) < draw.choice([0.9, 0.97, 0.99])]
+            sets.append(np.unique(np.concatenate([own, draw.integers(0, 2**63, int(draw.integers(0, 12))).astype(np.uint64)])))
+        sets += [np.unique(draw.integers(0, 2**63, 150).astype(np.uint64)) for _ in range(10)]
+        n = np.array([len(s) for s in sets])
+        sketches = [jaccard.bit_sketch(s, 1024 if len(s) < 190 else 2048) for s in sets]
+        group, side = np.arange(len(sets)), np.zeros(len(sets), bool)
+        found = {tuple(sorted(p)) for p in jaccard.candidates(n, sketches, group, side, percent, False)}
+        links = {(i, j) for j in range(len(sets)) for i in range(j) if jaccard.linked(sets[i], sets[j], percent)}
+        assert links and links <= found
+        forest = list(jaccard.candidates(n, sketches, group, side, percent, True))
+        assert {tuple(sorted(p)) for p in forest} <= found and len(forest) < len(sets)
+        assert not [p for p in jaccard.candidates(n, sketches, np.zeros(len(sets), int), side, percent, False)]
+        sides = np.arange(len(sets)) % 2 == 0
+        across = {tuple(sorted(p)) for p in jaccard.candidates(n, sketches, group, sides, percent, False)}
+        assert across == {(i, j) for i, j in found if sides[i] != sides[j]}
+
+
+def test_texts_that_share_passages_meet_only_when_they_are_near(docs, spark):
+    """Unrelated texts chained by shared passages: hardly any text goes to verification beyond those of real groups."""
+    draw = random.Random(3)
+    words = [f"w{i}" for i in range(3000)]
+    passages = [draw.choices(words, k=60) for _ in range(40)]
+    rows = []
+    for i in range(600):
+        body = draw.choices(words, k=60) + draw.choice(passages) + draw.choice(passages)
+        rows.append((i, " ".join(body)))
+    for i in range(60):
+        rows.append((1000 + i, rows[i][1] + f" end{i}"))
+    scratch = Scratch(spark, "shared-passages")
+    got = jaccard.near_groups(docs(rows), 5, 80, scratch).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain_components(rows, 5, 80)
+    tried = sum(spark.read.parquet(scratch.path(name)).count() for name in ("tried-1", "pairs-2", "pairs-3"))
+    assert 60 <= tried <= 120
+
+
+def test_helper_columns_leave_the_callers_alone(docs):
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (3, "x y z")]
+    frame = docs(rows).withColumnRenamed("source", "_dropped").withColumnRenamed("lang", "node")
+    kept = jaccard.keep_one_of_each(frame, 3, 90)
+    assert kept.columns == frame.columns
+    assert sorted((r.doc_id, r._dropped, r.node) for r in kept.collect()) == [(1, "s", "en"), (3, "s", "en")]
