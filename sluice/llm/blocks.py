@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Scratch, bound_batches, partitions
+from sluice.llm.common import Scratch, bound_batches, partitions, release_held
 
 BLOCK_BYTES = 8 << 20
 #: Entries sorted together in one task.
@@ -39,6 +39,7 @@ def split(payload: bytes, sizes: list[int]) -> list[bytes]:
 
 
 def _laid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release_held()
     base = TaskContext.get().partitionId() << 32
     held: list[tuple[int | None, bytes]] = []
     size = 0
@@ -159,6 +160,7 @@ def lay_out(docs: DataFrame, scratch: Scratch) -> DataFrame:
     table = f"blocks_{scratch.root.rpartition('-')[2]}"
     writer = source.mapInArrow(_laid, BLOCK_SCHEMA).write.bucketBy(partitions(spark), "block")
     writer.option("compression", "uncompressed").option("path", scratch.path("blocks")).saveAsTable(table)
+    scratch.tables.append(table)
     return spark.table(table)
 
 
@@ -169,7 +171,7 @@ def answered(rows: DataFrame, sort_bucket: Callable[[list[dict]], np.ndarray], s
     return scratch.store(bits_.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias(name)), name)
 
 
-def later_copies(blocks: DataFrame, least: int) -> DataFrame:
+def later_copies(blocks: DataFrame, least: int, scratch: Scratch) -> DataFrame:
     """(block, i, doc_id, first) of every text of ``least`` bytes or more that an earlier one equals.
 
     ``first`` is the struct (id, block, i) of the earliest, by doc_id.
@@ -179,4 +181,6 @@ def later_copies(blocks: DataFrame, least: int) -> DataFrame:
     )
     each = each.where(F.col("size") >= least)
     first = each.groupBy("digest", "size").agg(F.min(F.struct("id", "block", "i")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    # stored, so that the join shuffles two plain tables and Spark can split a hot text
+    first = scratch.store(first, "first-copies")
     return each.join(first, ["digest", "size"]).where(F.struct("id", "block", "i") != F.col("first")).select("block", "i", "id", "size", "first")

@@ -3,8 +3,9 @@
 Large star and small star in turn: every node is linked to the least node it
 can see, until each component is a star around its least node. Nothing is
 collected; each round is written to the shared folder, which cuts the lineage.
-A hub's edges are only aggregated (partially, before the shuffle) or joined
-(split by Spark's skew handling).
+A hub's edges are only aggregated (partially, before the shuffle) or joined. What
+they are joined with is stored first: both sides of the join are then plain
+shuffles, which Spark's skew handling splits.
 """
 
 from __future__ import annotations
@@ -31,13 +32,14 @@ def components(edges: DataFrame, scratch: Scratch, label: str) -> DataFrame:
         round_ += 1
         both = known.unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy(F.col("a").alias("hub")).agg(F.min("b").alias("m"))
-        least = least.select("hub", F.least("hub", "m").alias("m"))
-        large = both.join(least, both.a == least.hub).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        to = large.groupBy(F.col("a").alias("hub")).agg(F.min("b").alias("m"))
+        least = scratch.store(least.select("hub", F.least("hub", "m").alias("m")), f"{label}-least")
+        large = both.join(least, both.a == least.hub).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = scratch.store(large.distinct(), f"{label}-large")
+        to = scratch.store(large.groupBy(F.col("a").alias("hub")).agg(F.min("b").alias("m")), f"{label}-to")
         small = large.join(to, large.a == to.hub).select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
         known = scratch.store(small.where("a <> b").distinct(), f"{label}-{round_}")
         new = _state(known)
-        scratch.drop(f"{label}-{round_ - 1}")
+        scratch.drop(f"{label}-{round_ - 1}", f"{label}-least", f"{label}-large", f"{label}-to")
         if new == state:
             break
         state = new

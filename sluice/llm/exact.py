@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Scratch, lower_ascii
+from sluice.llm.common import Scratch, free_name, lower_ascii
 
 BLOCK_BYTES = 4096
 
@@ -80,9 +80,11 @@ def exact_groups(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     rows that repeat id and text one stays. Null text is empty. An empty table
     gives no rows.
     """
-    known = identities(docs, scratch or Scratch(docs.sparkSession, "exact"))
+    scratch = scratch or Scratch(docs.sparkSession, "exact")
+    known = identities(docs, scratch)
+    # stored, so that the join below shuffles two plain tables and Spark can split a hot group
     groups = known.groupBy("level", "name").agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
-    rows = known.join(groups, ["level", "name"])
+    rows = known.join(scratch.store(groups, "groups"), ["level", "name"])
     copy = F.posexplode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy", "_")
     return rows.select("doc_id", "keep_id", "group_size", "sha", copy).select(
         "doc_id",
@@ -94,11 +96,20 @@ def exact_groups(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns."""
-    kept = exact_groups(docs, scratch).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
-    marked = docs.withColumn("_own_sha", F.sha2(normalised(F.col("text")).cast("binary"), 256))
-    same = (F.col("_own_sha") == F.col("_kept_sha")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id"))
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_own_sha"]).select(*docs.columns)
+    """The rows of ``docs`` that stay, all columns.
+
+    Of rows that repeat id and text one stays, whichever; if they differ in other
+    columns, those of one of them. Of ``scratch`` only ids and digests of the
+    kept rows are kept.
+    """
+    scratch = scratch or Scratch(docs.sparkSession, "exact")
+    own, kept_id, kept_sha = (free_name(docs, n) for n in ("own_sha", "kept_id", "kept_sha"))
+    kept = exact_groups(docs, scratch).where("kept").select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_sha))
+    kept = scratch.store(kept, "kept")
+    scratch.keep_only("kept")
+    marked = docs.withColumn(own, F.sha2(normalised(F.col("text")).cast("binary"), 256))
+    same = (F.col(own) == F.col(kept_sha)) & F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id))
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).select(*docs.columns)
 
 
 SQL = """

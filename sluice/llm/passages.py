@@ -508,7 +508,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     total = laid.agg(F.sum("raw_bytes")).first()[0] or 0
     buckets = 1 + total // 15 // blocks.BUCKET_ENTRIES  # about a window per 15 bytes over all functions
     held = laid.select("block", "doc_ids", "sizes", "payload")
-    copies = scratch.store(later_copies(laid, 2 * LEAST), "copies")
+    copies = scratch.store(later_copies(laid, 2 * LEAST, scratch), "copies")
     skipped = copies.groupBy("block").agg(F.collect_list("i").alias("copies"))
     known = held.join(skipped, "block", "left")
     shared = answered(known.mapInArrow(_key_rows(buckets), BUCKET_SCHEMA), tied, scratch, "windows")

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm import blocks
 from sluice.llm.blocks import BUCKET_SCHEMA, answered, bits, deal, later_copies, lay_out, split, tied, to_batches
-from sluice.llm.common import Scratch
+from sluice.llm.common import Scratch, free_name
 from sluice.llm.hashing import power_tables
 
 LENGTH = 100
@@ -212,7 +212,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, scratch: Scratch |
 
     held = laid.select("block", "doc_ids", "sizes", "payload")
     samples = answered(held.mapInArrow(_sample_rows(sample_buckets), BUCKET_SCHEMA), tied, scratch, "samples")
-    copies = scratch.store(later_copies(laid, LENGTH).groupBy("block").agg(F.collect_list("i").alias("copies")), "copies")
+    copies = scratch.store(later_copies(laid, LENGTH, scratch).groupBy("block").agg(F.collect_list("i").alias("copies")), "copies")
     known = held.join(copies, "block", "left").join(samples, "block", "left")
     suffixes = answered(known.mapInArrow(_suffix_rows(sample_buckets, buckets), BUCKET_SCHEMA), _later_suffixes, scratch, "suffixes")
     known = known.join(suffixes, "block", "left")
@@ -224,12 +224,19 @@ def cut_repeats(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """``docs`` with repeated passages cut from the texts, all columns, one row each; a text cut to nothing goes.
 
     An integer ``n_chars`` column follows the text. Of rows that repeat id and
-    text one stays as it is cut first.
+    text one stays as it is cut first. Of ``scratch`` only the changed texts are kept.
     """
+    scratch = scratch or Scratch(docs.sparkSession, "suffixes")
+    names = {n: free_name(docs, n) for n in ("id", "sha", "kept", "own")}
     cut = remove_repeats(docs, with_text=True, scratch=scratch).where("n_removed > 0")
-    cut = cut.groupBy(F.col("doc_id").alias("_id"), F.col("source_sha256").alias("_sha")).agg(F.max_by("kept", F.octet_length("kept")).alias("_kept"))
-    own = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
-    joined = docs.withColumn("_own", own).join(cut, (F.col("_own") == F.col("_sha")) & docs.doc_id.cast("long").eqNullSafe(F.col("_id")), "left")
-    text = F.coalesce("_kept", "text")
+    cut = cut.groupBy(F.col("doc_id").alias(names["id"]), F.col("source_sha256").alias(names["sha"])).agg(
+        F.max_by("kept", F.octet_length("kept")).alias(names["kept"])
+    )
+    cut = scratch.store(cut, "cut")
+    scratch.keep_only("cut")
+    id_, sha, kept, own = (F.col(n) for n in names.values())
+    marked = docs.withColumn(names["own"], F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+    joined = marked.join(cut, (own == sha) & F.col("doc_id").cast("long").eqNullSafe(id_), "left")
+    text = F.coalesce(kept, F.col("text"))
     changed = {"text": text} | ({"n_chars": F.length(text).cast(dict(docs.dtypes)["n_chars"])} if "n_chars" in docs.columns else {})
-    return joined.where(F.col("_kept").isNull() | (F.col("_kept") != "")).withColumns(changed).select(*docs.columns)
+    return joined.where(kept.isNull() | (kept != "")).withColumns(changed).select(*docs.columns)
