@@ -233,8 +233,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return source.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
 
 
-def with_language(docs: DataFrame, model: Model) -> DataFrame:
-    """All rows and columns of ``docs`` with ``_language`` and ``_score`` of their texts."""
+def with_language(docs: DataFrame, model: Model, name: str) -> DataFrame:
+    """All rows and columns of ``docs`` with a struct ``name`` of ``language`` and ``score`` of their texts."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<language string, score double>")
@@ -243,8 +243,7 @@ def with_language(docs: DataFrame, model: Model) -> DataFrame:
         return pd.DataFrame({"language": names, "score": score})
 
     bound_batches(docs.sparkSession, 4 << 20)
-    judged = docs.withColumn("_judged", judge(F.col("text").cast("string")))
-    return judged.withColumns({"_language": F.col("_judged.language"), "_score": F.col("_judged.score")}).drop("_judged")
+    return docs.withColumn(name, judge(F.col("text").cast("string")))
 
 
 def with_letters(docs: DataFrame) -> DataFrame:

@@ -105,6 +105,29 @@ def test_stages_return_the_columns_of_documents(docs, spark, name, stage):
     assert stage(spark, docs([]), "").collect() == []
 
 
+CLASHES = ["_own_sha", "_kept_id", "_kept_sha", "_language", "_score", "_judged", "_own", "_id", "_sha", "_kept", "_dropped", "node", "kept", "component_id"]
+
+
+@pytest.mark.parametrize("name, stage", pipeline.STAGES[:-1])
+def test_columns_with_helper_names_keep_their_values(docs, spark, name, stage):
+    from pyspark.sql import functions as F
+
+    source = docs([(1, "some text that is long enough to be kept here"), (2, "Other words"), (2, "Other words"), (3, "some text that is long enough to be kept here!")])
+    source = source.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in CLASHES})
+    got = stage(spark, source, "")
+    assert got.columns == source.columns and got.count() >= 2
+    for row in got.collect():
+        assert [row[c] for c in CLASHES] == [f"{c}{row.doc_id}" for c in CLASHES]
+
+
+def test_stages_may_be_put_together_without_writing(docs, spark):
+    source = docs([(i, f"text number {i} of a few that differ in a word or so") for i in range(20)] + [(30, "Text number 3 of a few that differ in a word or so")])
+    out = source
+    for _, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, out, "")
+    assert {r.doc_id for r in out.collect()} == {*range(20), 30} - {3}
+
+
 def test_without_any_language_texts_with_letters_stay(spark):
     rows = [(1, "some text", None), (2, None, None), (3, "12 ..", None), (None, "é", None), (4, "", None), (1, "some text", None)]
     source = spark.createDataFrame(rows, "doc_id long, text string, lang string")
@@ -115,7 +138,7 @@ def test_without_any_language_texts_with_letters_stay(spark):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
     assert [n for n, _ in pipeline.STAGES] == ["language", "exact_dedup", "near_dedup", "suffix_dedup", "packing"]
     assert language.UNKNOWN == "und" and hashlib
