@@ -16,8 +16,10 @@ verified links grow into components, and only keys that still hold several
 components stay open:
 
 1. each class with the nearest first holder of one of its keys,
-2. in each open key a spanning forest of what the bit sketches let pass,
-3. in each key still open, all pairs between components that they let pass.
+2. the first holders that are left, and in each open key of three holders or
+   more a spanning forest of what the bit sketches let pass,
+3. in the keys that gave such a forest and are still open, all pairs between
+   components that the bit sketches let pass.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Scratch, bound_batches, free_name
+from sluice.llm.common import Scratch, bound_batches, free_name, release_held
 from sluice.llm.components import components
 from sluice.llm.hashing import mix, word_hashes
 
@@ -176,6 +178,7 @@ def _classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, class (digest of the set), bit sketch, keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_held()
         for batch in batches:
             sets = [shingles(t.as_py(), size) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
@@ -235,15 +238,18 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     return pairs.select("a", "b").join(other, "b").join(one, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
 
 
-def _open_pairs(members: DataFrame, nodes: DataFrame, component: DataFrame, percent: int, spanning: bool, scratch: Scratch, name: str) -> DataFrame:
-    """Pairs (a, b) in keys whose holders are in several components, as ``candidates`` finds them."""
+def _open_pairs(
+    members: DataFrame, nodes: DataFrame, component: DataFrame, percent: int, spanning: bool, scratch: Scratch, name: str
+) -> DataFrame:
+    """(key, a, b): pairs in keys of three holders or more in several components, as ``candidates`` finds them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(rows: list[tuple]) -> tuple[list[int], list[int]]:
+        def pairs(key: int, rows: list[tuple]) -> pa.RecordBatch:
             n, group = (np.array([r[i] for r in rows], np.int64) for i in (2, 3))
             side = np.array([r[1] for r in rows], bool)
             found = [(rows[i][0], rows[j][0]) for i, j in candidates(n, [r[4] for r in rows], group, side, percent, spanning)]
-            return [min(p) for p in found], [max(p) for p in found]
+            columns = [key] * len(found), [min(p) for p in found], [max(p) for p in found]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["key", "a", "b"])
 
         at, held = None, []
         for batch in batches:
@@ -252,11 +258,11 @@ def _open_pairs(members: DataFrame, nodes: DataFrame, component: DataFrame, perc
             for place, row in zip(where, rows, strict=True):
                 if place != at:
                     if len(held) > 1:
-                        yield _pair_batch(*pairs(held))
+                        yield pairs(at[0], held)
                     at, held = place, []
                 held.append(row)
         if len(held) > 1:
-            yield _pair_batch(*pairs(held))
+            yield pairs(at[0], held)
 
     labelled = members.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     one, other = F.xxhash64("node"), F.xxhash64(F.lit(1), "node")
@@ -265,7 +271,7 @@ def _open_pairs(members: DataFrame, nodes: DataFrame, component: DataFrame, perc
         F.bit_xor(one).alias("x"), F.bit_xor(other).alias("y"),
     )
     # keys with the same holders are one
-    groups = groups.where("low < high").groupBy("n", "x", "y").agg(F.min("key").alias("key"))
+    groups = groups.where("low < high AND n > 2").groupBy("n", "x", "y").agg(F.min("key").alias("key"))
     groups = scratch.store(groups.select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), f"{name}-open")
     held = labelled.join(groups, "key").join(nodes.drop("keys", "class"), "node")
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
@@ -274,7 +280,26 @@ def _open_pairs(members: DataFrame, nodes: DataFrame, component: DataFrame, perc
         "node", (F.col("own") > F.col("other")).alias("side"), "n_shingles", "component", "sketch",
     )
     dealt = placed.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "key long, a long, b long")
+
+
+def _apart(pairs: DataFrame, component: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    one, other = (component.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
+    both = pairs.join(one, "a", "left").join(other, "b", "left")
+    return both.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+
+
+def _grown(component: DataFrame, links: DataFrame, scratch: Scratch, round_: int) -> DataFrame:
+    """(node, component) after further links: only the components that these join are worked on."""
+    one, other = (component.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
+    between = links.join(one, "a", "left").join(other, "b", "left")
+    between = between.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    joined = scratch.store(components(between, scratch, f"joined-{round_}"), f"moved-{round_}")
+    moved = joined.select(F.col("node").alias("old"), F.col("component").alias("new"))
+    known = component.join(moved, F.col("component") == F.col("old"), "left")
+    new = joined.join(component.select("node"), "node", "left_anti")
+    return scratch.store(known.select("node", F.coalesce("new", "component").alias("component")).unionByName(new), f"component-{round_}")
 
 
 def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
@@ -304,18 +329,22 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, scratch: Scra
 
     hubs = scratch.store(members.groupBy("key").agg(F.min("node").alias("a")), "hubs")
     stars = members.join(hubs, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    near = _within_bound(stars, nodes, percent).groupBy("b").agg(F.min_by("a", F.struct("apart", "a")).alias("a"))
-    tried = scratch.store(near.select("a", "b"), "tried-1")
+    near = scratch.store(_within_bound(stars, nodes, percent), "near")
+    tried = scratch.store(near.groupBy("b").agg(F.min_by("a", F.struct("apart", "a")).alias("a")).select("a", "b"), "tried-1")
     links = scratch.store(_verified(tried, docs, size, percent), "links-1")
+    component = scratch.store(components(links, scratch, "joined-1"), "component-1")
     for round_, spanning in ((2, True), (3, False)):
-        component = scratch.store(components(links, scratch, f"joined-{round_}"), f"component-{round_}")
-        pairs = _open_pairs(members, nodes, component, percent, spanning, scratch, f"round-{round_}").join(tried, ["a", "b"], "left_anti")
-        pairs = scratch.store(pairs, f"pairs-{round_}")
-        links = links.unionByName(scratch.store(_verified(pairs, docs, size, percent), f"links-{round_}"))
+        found = scratch.store(_open_pairs(members, nodes, component, percent, spanning, scratch, f"round-{round_}"), f"found-{round_}")
+        members = members.join(found.select("key").distinct(), "key", "left_semi")  # no other key can give a pair
+        pairs = found.select("a", "b")
+        if round_ == 2:
+            pairs = pairs.unionByName(_apart(near.select("a", "b"), component))
+        pairs = scratch.store(pairs.distinct().join(tried, ["a", "b"], "left_anti"), f"pairs-{round_}")
+        links = scratch.store(_verified(pairs, docs, size, percent), f"links-{round_}")
+        component = _grown(component, links, scratch, round_)
         tried = tried.unionByName(pairs)
 
-    joined = components(links, scratch, "links")
-    classes = first.join(joined, "node", "left").select("class", F.coalesce("component", "node").alias("component_id"))
+    classes = first.join(component, "node", "left").select("class", F.coalesce("component", "node").alias("component_id"))
     # rows that repeat a doc_id have one node, and one component, between them
     whole = known.join(classes, "class", "left")
     alone = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
@@ -323,10 +352,15 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80, scratch: Scra
 
 
 def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
-    """Rows of ``docs`` that stay: of each group the one with the least ``doc_id``, all others whole; all columns."""
-    groups = near_groups(docs, size, percent, scratch)
+    """Rows of ``docs`` that stay: of each group the one with the least ``doc_id``, all others whole; all columns.
+
+    Of ``scratch`` only the ids of the dropped rows are kept.
+    """
+    scratch = scratch or Scratch(docs.sparkSession, "near")
     name = free_name(docs, "dropped")
-    dropped = groups.where("component_id <> doc_id").select(F.col("doc_id").alias(name)).distinct()
+    groups = near_groups(docs, size, percent, scratch)
+    dropped = scratch.store(groups.where("component_id <> doc_id").select(F.col("doc_id").alias(name)).distinct(), "dropped")
+    scratch.keep_only("dropped")
     return docs.join(dropped, docs.doc_id.cast("long") == F.col(name), "left_anti")
 
 
