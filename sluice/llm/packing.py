@@ -100,8 +100,9 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, window: int = WI
         encoder = chunk_encoder(vocabulary, WORD_CHUNK)
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = memoryview(encoder.encode(text.as_py() or "") + end)
+            texts = (text.as_py() or "" for text in batch.column(1))
+            for doc_id, encoded in zip(batch.column(0).to_pylist(), encoder.encode_all(texts), strict=True):
+                ids = memoryview(encoded + end)
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     piece = ids[4 * start : 4 * (start + window)]

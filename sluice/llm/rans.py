@@ -190,7 +190,8 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
         encoder = chunk_encoder(vocabulary, BYTE_LEVEL_CHUNK)
         width = 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 else 4
         for batch in batches:
-            ids = [np.frombuffer(encoder.encode(t.as_py() or "") + end, "<u4").astype(f"<u{width}").tobytes() for t in batch.column(1)]
+            texts = (t.as_py() or "" for t in batch.column(1))
+            ids = [np.frombuffer(e + end, "<u4").astype(f"<u{width}").tobytes() for e in encoder.encode_all(texts)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(ids, pa.binary()), pa.array([width] * len(ids), pa.int32())], ["doc_id", "ids", "width"]
             )

@@ -2,8 +2,10 @@
 
 Both vocabularies split a text at white space, and between a plain word and the
 punctuation after it, before any merge, so the ids of a text are the ids of its
-chunks in order. Each worker keeps the ids of chunks it
-has met (cleared beyond ``CACHE_CHUNKS``), so the library sees each new chunk once.
+chunks in order. A marker that the vocabulary adds (such as ``<|endoftext|>``) parts
+a text before anything else, so it is a chunk of its own. Each worker keeps the ids
+of chunks it has met, up to a bound of bytes, and hands the new chunks of many texts to
+the library at once.
 """
 
 from __future__ import annotations
@@ -11,12 +13,17 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterable, Iterator
 
-from sluice.llm.common import WHITE_SPACE
+from sluice.llm.common import WHITE_SPACE, held_by_worker
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHE_CHUNKS = 1_500_000
+#: Bytes of chunks and ids that a worker keeps; characters of texts encoded together.
+CACHE_BYTES = 192 << 20
+CHARACTERS_AT_ONCE = 4 << 20
+#: What a kept chunk takes besides its characters and ids.
+OVERHEAD = 180
 
 #: Letters and digits of every Unicode version in use that lower-case to one letter; a run of them ends before these marks.
 _PLAIN = "0-9A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u012f\\u0131-\\u024f\\u0400-\\u0481"
@@ -27,36 +34,55 @@ BYTE_LEVEL_CHUNK = f" ?[{_PLAIN}]+{_END}| ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?!
 #: White space is dropped.
 WORD_CHUNK = f"[{_PLAIN}]+{_END}|[^{WHITE_SPACE}]+"
 
-_loaded: dict[tuple[str, str], ChunkEncoder] = {}
-
-
 class ChunkEncoder:
     def __init__(self, path: str, chunk_pattern: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added):
+            raise ValueError("markers that take in what is around them are not supported")
+        self.markers = [t.content for t in added]
+        self.part = re.compile("(" + "|".join(map(re.escape, sorted(self.markers, key=len, reverse=True))) + ")").split
         self.find = re.compile(chunk_pattern).findall
         self.known: dict[str, bytes] = {}
+        self.bytes = 0
+
+    def chunks(self, text: str) -> list[str]:
+        if not any(m in text for m in self.markers):
+            return self.find(text)
+        parts = self.part(text)  # markers at the odd places
+        return [c for i, part in enumerate(parts) for c in ((part,) if i % 2 else self.find(part))]
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers (every machine Spark runs on here is little-endian)."""
-        chunks = self.find(text)
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Ids of each text."""
+        held: list[list[str]] = []
+        waiting = 0
+        for text in texts:
+            held.append(self.chunks(text))
+            waiting += len(text)
+            if waiting > CHARACTERS_AT_ONCE:
+                yield from self._joined(held)
+                held, waiting = [], 0
+        yield from self._joined(held)
+
+    def _joined(self, texts: list[list[str]]) -> Iterator[bytes]:
         known = self.known
-        try:
-            return b"".join([known[c] for c in chunks])
-        except KeyError:
-            if len(known) > CACHE_CHUNKS:
-                known.clear()
-            new = list({c for c in chunks if c not in known})
-            for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[c] = array("I", e.ids).tobytes()
-            return b"".join([known[c] for c in chunks])
+        if self.bytes > CACHE_BYTES:
+            known.clear()
+            self.bytes = 0
+        new = list({c: None for chunks in texts for c in chunks if c not in known})
+        for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False) if new else (), strict=True):
+            known[c] = array("I", e.ids).tobytes()
+            self.bytes += OVERHEAD + len(c) + len(known[c])
+        for chunks in texts:
+            yield b"".join(map(known.__getitem__, chunks))
 
 
 def chunk_encoder(path: str, chunk_pattern: str) -> ChunkEncoder:
     """The worker's own encoder for a vocabulary file."""
-    key = (path, chunk_pattern)
-    if key not in _loaded:
-        _loaded[key] = ChunkEncoder(path, chunk_pattern)
-    return _loaded[key]
+    return held_by_worker(("chunks", path, chunk_pattern), lambda: ChunkEncoder(path, chunk_pattern))

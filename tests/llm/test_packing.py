@@ -15,7 +15,6 @@ def library_ids(text):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(VOCABULARY)
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids + [2]
 
 

@@ -7,15 +7,13 @@ from sluice.llm import tokens
 from sluice.llm.queries import vocabulary
 
 KINDS = [("byte_bpe_50k.json", tokens.BYTE_LEVEL_CHUNK), ("word_bpe_49k.json", tokens.WORD_CHUNK)]
-ALPHABET = st.sampled_from(list("abAB12é'.,;:!?\"()- \n\t_|<>") + ["'s", "'re", "don't", "́", "\x1c", " ", "漢", "🙂", "  ", "Σ", "İ"])
+ALPHABET = st.sampled_from(list("abAB12é'.,;:!?\"()- \n\t_|<>") + ["'s", "'re", "don't", "́", "\x1c", " ", "漢", "🙂", "  ", "Σ", "İ", "<|endoftext|>", "<|startoftext|>", "<|endoftext|", "<|ENDOFTEXT|>"])
 
 
 def library(name):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(vocabulary(name))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(vocabulary(name))
 
 
 @pytest.mark.parametrize("name, pattern", KINDS)
@@ -39,7 +37,16 @@ def test_every_code_point(name, pattern):
 
 
 def test_a_full_cache_starts_anew(monkeypatch):
-    monkeypatch.setattr(tokens, "CACHE_CHUNKS", 3)
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 600)
     own, whole = tokens.ChunkEncoder(vocabulary(KINDS[0][0]), KINDS[0][1]), library(KINDS[0][0])
     for text in ("a b c d e f", "a b x y", "z", "a b c d e f"):
         assert np.frombuffer(own.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("name, pattern", KINDS)
+def test_many_texts_at_once(name, pattern, monkeypatch):
+    monkeypatch.setattr(tokens, "CHARACTERS_AT_ONCE", 50)
+    own, whole = tokens.ChunkEncoder(vocabulary(name), pattern), library(name)
+    texts = ["", "one  <|endoftext|>  two", "x" * 200, "<|startoftext|><|endoftext|>", " ", "a b c " * 30, "one two"]
+    for text, ids in zip(texts, own.encode_all(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
