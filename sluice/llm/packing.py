@@ -94,16 +94,15 @@ def token_pieces(docs: DataFrame, vocabulary: str, end_id: int, window: int = WI
     Null text is empty (one piece holding ``end_id``); repeated rows are
     documents of their own; a null ``doc_id`` stays null.
     """
-    end = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = chunk_encoder(vocabulary, WORD_CHUNK)
         for batch in batches:
             rows: list[tuple] = []
-            texts = (text.as_py() or "" for text in batch.column(1))
-            for doc_id, encoded in zip(batch.column(0).to_pylist(), encoder.encode_all(texts), strict=True):
-                ids = memoryview(encoded + end)
-                total = len(ids) // 4
+            every, at = encoder.encode_column(batch.column(1), end_id)
+            every, at = memoryview(every.tobytes()), at.tolist()
+            for doc_id, begin, end in zip(batch.column(0).to_pylist(), at[:-1], at[1:], strict=True):
+                ids, total = every[4 * begin : 4 * end], end - begin
                 for start in range(0, total, window):
                     piece = ids[4 * start : 4 * (start + window)]
                     rows.append((doc_id, start, len(piece) // 4, zlib.crc32(piece), total))

@@ -184,17 +184,14 @@ def crc32_combine(a: int, b: int, length: int) -> int:
 
 def tokenise(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     """doc_id, ids (little-endian, two bytes each where the vocabulary allows), width (bytes an id)."""
-    end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = chunk_encoder(vocabulary, BYTE_LEVEL_CHUNK)
         width = 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 else 4
         for batch in batches:
-            texts = (t.as_py() or "" for t in batch.column(1))
-            ids = [np.frombuffer(e + end, "<u4").astype(f"<u{width}").tobytes() for e in encoder.encode_all(texts)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.binary()), pa.array([width] * len(ids), pa.int32())], ["doc_id", "ids", "width"]
-            )
+            ids, at = encoder.encode_column(batch.column(1), end_id, f"<u{width}")
+            held = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer((at * width).astype("<i4")), pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), held, pa.array([width] * batch.num_rows, pa.int32())], ["doc_id", "ids", "width"])
 
     bound_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -274,7 +271,7 @@ def write_ids(docs: DataFrame, scratch: Scratch, vocabulary: str, end_id: int =
             yield flush()
 
     ordered = tokenised.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("ids"))
-    ordered.mapInArrow(blocks, BLOCK_SCHEMA).write.option("compression", "uncompressed").parquet(scratch.path("blocks"))
+    scratch.store(ordered.mapInArrow(blocks, BLOCK_SCHEMA), "blocks", "uncompressed")
     scratch.drop("ids")
 
 

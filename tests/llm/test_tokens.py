@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -50,3 +51,40 @@ def test_many_texts_at_once(name, pattern, monkeypatch):
     texts = ["", "one  <|endoftext|>  two", "x" * 200, "<|startoftext|><|endoftext|>", " ", "a b c " * 30, "one two"]
     for text, ids in zip(texts, own.encode_all(texts), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+ODD = ["  a", "a  ", "a \n b", "a\n b", " a", "a <|endoftext|>  b", "a  <|endoftext|>", "　 　a", "a  b", "é  é", "é è", " ", "", None]
+
+
+@pytest.mark.parametrize("name, pattern", KINDS)
+def test_a_column_gives_the_ids_of_each_whole_text(name, pattern):
+    own, whole = tokens.ChunkEncoder(vocabulary(name), pattern), library(name)
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.lists(st.one_of(st.none(), st.sampled_from(ODD), st.lists(ALPHABET, max_size=25).map("".join)), max_size=6))
+    def run(texts):
+        ids, at = own.encode_column(pa.array([*ODD, *texts], pa.string()).slice(len(ODD) - 2), 7)
+        for text, begin, end in zip([*ODD[-2:], *texts], at[:-1], at[1:], strict=True):
+            assert ids[begin:end].tolist() == [*whole.encode(text or "", add_special_tokens=False).ids, 7]
+
+    run()
+    ids, at = own.encode_column(pa.array(ODD), 7)
+    assert [ids[b:e].tolist() for b, e in zip(at[:-1], at[1:], strict=True)] == [[*whole.encode(t or "", add_special_tokens=False).ids, 7] for t in ODD]
+
+
+@pytest.mark.parametrize("name, pattern", KINDS)
+def test_every_letter_that_the_model_takes_directly(name, pattern):
+    own, whole = tokens.ChunkEncoder(vocabulary(name), pattern), library(name)
+    assert own.direct
+    words = [w for c in range(0x3100) for w in (f"a{chr(c)}b", f"{own.blank}{chr(c)}") if tokens._WORD(w)]
+    for word, e in zip(words, whole.encode_batch(words, add_special_tokens=False), strict=True):
+        assert own._word(word) == e.ids, ascii(word)
+
+
+@pytest.mark.parametrize("name, pattern", KINDS)
+def test_a_piece_of_a_column_is_searched_for_chunks_once(name, pattern):
+    own, searched = tokens.ChunkEncoder(vocabulary(name), pattern), []
+    find = own.find
+    own.find = lambda text: searched.append(text) or find(text)
+    own.encode_column(pa.array(["one two, three " * 50] * 20), 0)
+    assert sum(map(len, searched)) < 20 * len("one two, three ")
