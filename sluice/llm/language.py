@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import bound_batches
+from sluice.llm.common import bound_batches, release_held, trim
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -141,6 +141,7 @@ def fit(docs: DataFrame) -> Model:
     bound_batches(spark, 4 << 20)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_held()
         names: dict[str, int] = {}
         totals = np.zeros((0, BUCKETS), np.int64)
         texts = np.zeros(0, np.int64)
@@ -157,6 +158,7 @@ def fit(docs: DataFrame) -> Model:
                 [pa.array([name] * (len(seen) + 1), pa.string()), pa.array(np.append(seen, -1), pa.int32()), pa.array(np.append(totals[i][seen], texts[i]), pa.int64())],
                 ["lang", "bucket", "n"],
             )
+        trim()
 
     counted = _labelled(docs).mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(counted["lang"].unique())
@@ -186,6 +188,7 @@ def _reliability(docs: DataFrame, model: Model, rows: int) -> np.ndarray:
     drawn = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < threshold)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_held()
         own = shared.value
         place = {x: i for i, x in enumerate(own.languages)}
         right, seen = np.zeros(own.code.shape), np.zeros(len(place))
@@ -218,12 +221,14 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_held()
         for batch in batches:
             names, score, ambiguous = shared.value.predict(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(ambiguous, pa.bool_())],
                 ["doc_id", "held_out", "lang_pred", "score", "ambiguous"],
             )
+        trim()
 
     source = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -239,7 +244,9 @@ def with_language(docs: DataFrame, model: Model, name: str) -> DataFrame:
 
     @F.pandas_udf("struct<language string, score double>")
     def judge(texts: pd.Series) -> pd.DataFrame:
+        release_held()
         names, score, _ = shared.value.predict([t if isinstance(t, str) else None for t in texts])
+        trim()
         return pd.DataFrame({"language": names, "score": score})
 
     bound_batches(docs.sparkSession, 4 << 20)
@@ -251,6 +258,7 @@ def with_letters(docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def lettered(texts: pd.Series) -> pd.Series:
+        release_held()
         return pd.Series([isinstance(t, str) and any(map(str.isalpha, t)) for t in texts], dtype=bool)
 
     bound_batches(docs.sparkSession, 4 << 20)
