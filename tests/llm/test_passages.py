@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from sluice.llm import blocks, passages
+from sluice.llm.common import Scratch
 
 
 def plain_windows(h, least):
@@ -141,3 +142,15 @@ def test_text_that_repeats_itself(docs, period):
     got = passages.repeated_passages(docs(rows)).collect()
     for doc in (1, 2):
         assert words_reported(got, doc) == set(range(3, 3 + len(line)))
+
+
+def test_tables_go_once_nothing_reads_them(docs, monkeypatch):
+    words = [f"w{i}" for i in range(200)]
+    monkeypatch.setattr(passages, "Scratch", lambda spark, label: kept.append(Scratch(spark, label)) or kept[0])
+    kept = []
+    found = passages.repeated_passages(docs([(1, " ".join(words)), (2, "x " + " ".join(words[:120]))]))
+    path = docs([]).sparkSession._jvm.org.apache.hadoop.fs.Path(kept[0].root)
+    left = {f.getPath().getName() for f in path.getFileSystem(docs([]).sparkSession._jsc.hadoopConfiguration()).listStatus(path)}
+    assert not left & {"windows", "first-copies", "tied", "rest", "pairs_first", "texts_first", "pairs_second", "texts_second"}
+    assert [(r.doc_id, r.first_doc_id) for r in found.collect()] == [(2, 1)]
+    kept[0].clear()
