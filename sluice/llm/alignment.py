@@ -2,7 +2,8 @@
 
 Texts are cut where neither tokenizer can join: before a single blank between
 characters that are no white space. A worker aligns each distinct piece once and
-keeps the result up to a bound of bytes. In a piece, the spans that the
+keeps the result up to a bound of bytes; past it, pieces that no later text held
+go first. In a piece, the spans that the
 libraries report are coarse cuts. Where several tokens share a character, or a
 token has no width of its own (byte fallback), the decoded bytes place the cut.
 
@@ -13,11 +14,13 @@ rest are joined with the stored table of all pairs.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
+from contextlib import contextmanager
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 HOT_PAIRS = 1 << 20
 #: Bytes of aligned pieces that a worker keeps, pieces aligned at once, characters of text worked on at once.
-CACHE_BYTES = 160 << 20
+CACHE_BYTES = 220 << 20
 PIECES_AT_ONCE = 20_000
 CHARACTERS_AT_ONCE = 4 << 20
 #: Pairs a task counts before it hands them on.
@@ -57,6 +60,18 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """The libraries' results are many small objects without cycles: the collector would walk them, and all kept pieces, over and over."""
+    was_on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was_on:
+            gc.enable()
+
+
 def within(counts: np.ndarray) -> np.ndarray:
     """Place of each item in its run, for runs of the given lengths one after the other."""
     return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -122,8 +137,24 @@ class Aligner:
         self.counts = np.zeros((0, 4), np.int64)  # tokens of either side, groups, links
         self.pairs = np.zeros(0, np.uint32)
         self.starts = np.zeros(1, np.int64)
+        self.met = np.zeros(0, bool)  # whether a later call held the piece too
         self.bytes = 0
 
+    def make_room(self) -> None:
+        """Keep the pieces met again since the last time, where they take half the bound at most."""
+        kept = np.flatnonzero(self.met)
+        bytes_ = round(self.bytes * len(kept) / max(len(self.met), 1))
+        if not len(kept) or bytes_ > CACHE_BYTES // 2:
+            self.clear()
+            return
+        self.place = {p: i for i, p in enumerate(compress(self.place, self.met.tolist()))}
+        self.groups = [self.groups[i] for i in kept.tolist()]
+        of_kept = np.repeat(self.met, self.counts[:, 3])
+        self.counts, self.pairs = self.counts[kept], self.pairs[of_kept]
+        self.starts = np.append(0, np.cumsum(self.counts[:, 3]))
+        self.met = np.zeros(len(kept), bool)
+        self.bytes = bytes_
+
     def learn(self, pieces: list[str]) -> None:
         """Align pieces that are not known yet, many at once."""
         learnt = [self._align(pieces[at : at + PIECES_AT_ONCE]) for at in range(0, len(pieces), PIECES_AT_ONCE)]
@@ -132,6 +163,7 @@ class Aligner:
             self.counts, self.pairs = np.concatenate([self.counts, counts]), np.concatenate([self.pairs, pairs])
             self.starts = np.append(0, np.cumsum(self.counts[:, 3]))
             self.place.update(zip(pieces, range(len(self.place), len(self.place) + len(pieces)), strict=True))
+            self.met = np.append(self.met, np.zeros(len(pieces), bool))
             self.bytes += 300 * len(pieces) + 4 * len(pairs) + sum(map(len, pieces))
 
     @staticmethod
@@ -225,15 +257,19 @@ class Aligner:
                 held, waiting = [], 0
         return out + self._together(held)
 
-    def _known(self, texts: list[list[str]]) -> list[list[int]]:
+    def _known(self, texts: list[list[str]]) -> list[np.ndarray]:
         if self.bytes > CACHE_BYTES:
-            self.clear()
-        self.learn([*{p: None for pieces in texts for p in pieces if p not in self.place}])
-        return [list(map(self.place.__getitem__, pieces)) for pieces in texts]
-
-    def _gathered(self, at: list[int]) -> tuple[np.ndarray, str, np.ndarray, np.ndarray] | None:
+            self.make_room()
+        before = len(self.place)
+        every = list(chain.from_iterable(texts))
+        self.learn([*(dict.fromkeys(every).keys() - self.place.keys())])
+        at = np.fromiter(map(self.place.__getitem__, every), np.int64, len(every))
+        self.met[at[at < before]] = True
+        return np.split(at, np.cumsum([len(pieces) for pieces in texts])[:-1])
+
+    def _gathered(self, at: np.ndarray) -> tuple[np.ndarray, str, np.ndarray, np.ndarray] | None:
         """(counts, group text with a closing ';', distinct pairs, times) of some pieces; None where one has no tokens."""
-        groups = [self.groups[i] for i in at]
+        groups = list(map(self.groups.__getitem__, at.tolist()))
         if None in groups:
             return None
         counts, starts = self.counts[at], self.starts[at]
@@ -242,8 +278,8 @@ class Aligner:
 
     def _together(self, texts: list[list[str]]) -> list:
         out = []
-        for at in self._known(texts):
-            found = self._gathered(at) if at else None
+        for at in self._known(texts) if texts else ():
+            found = self._gathered(at) if len(at) else None
             if found is None:
                 out.append(NOTHING)
             else:
@@ -284,7 +320,8 @@ def aligned(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(byte_level, pieces)
         for batch in batches:
-            found = aligner.documents([t.as_py() or "" for t in batch.column("text")])
+            with no_collection():
+                found = aligner.documents([t or "" for t in batch.column("text").to_pylist()])
             numbers = [pa.array([f[0][i] for f in found], pa.int64()) for i in range(4)]
             steps = [np.diff(f[2], prepend=np.uint32(0)).tobytes() for f in found]
             columns = [batch.column("row"), batch.column("doc_id"), *numbers, pa.array([f[1] for f in found], pa.string())]

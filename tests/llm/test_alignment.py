@@ -142,6 +142,21 @@ def test_long_texts_are_aligned_in_runs(monkeypatch, libraries):
         assert {(int(p) >> 15, int(p) & 32767): int(t) for p, t in zip(pairs, times)} == links
 
 
+def test_pieces_met_again_stay_when_the_cache_is_full(monkeypatch, libraries):
+    monkeypatch.setattr(alignment, "CACHE_BYTES", 20_000)
+    own, learnt = alignment.Aligner(*map(vocabulary, FILES)), []
+    learn = own.learn
+    monkeypatch.setattr(own, "learn", lambda pieces: learnt.extend(pieces) or learn(pieces))
+    texts = [f"often met é漢 once{i} " + " ".join(f"rare{i}x{k}" for k in range(20)) for i in range(12)]
+    for text in texts:  # one call each, so the cache is full again and again
+        ((counts, digest, pairs, times),) = own.documents([text])
+        numbers, want, links = plain(libraries, text)
+        assert (tuple(counts), digest) == (numbers, want)
+        assert {(int(p) >> 15, int(p) & 32767): int(t) for p, t in zip(pairs, times)} == links
+    assert len(own.place) < len(set(learnt))  # the rare ones went
+    assert [learnt.count(p) for p in ("often", "met", "é漢")] == [1, 1, 1]
+
+
 def test_an_empty_table_gives_no_rows(docs):
     assert run(docs([])).collect() == []
 
