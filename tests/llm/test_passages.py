@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sluice.llm import blocks, passages
@@ -154,3 +155,51 @@ def test_tables_go_once_nothing_reads_them(docs, monkeypatch):
     assert not left & {"windows", "first-copies", "tied", "rest", "pairs_first", "texts_first", "pairs_second", "texts_second"}
     assert [(r.doc_id, r.first_doc_id) for r in found.collect()] == [(2, 1)]
     kept[0].clear()
+
+
+def plain_stretches(rows):
+    """Runs of one pair of texts, one after the other."""
+    clusters, out = [], []
+    for row in sorted(rows, key=lambda r: r[1] - r[4]):
+        lie = row[1] - row[4]
+        if not clusters or lie - clusters[-1][0] > passages.LEAST // 4:
+            clusters.append([lie, []])
+        clusters[-1][0] = lie
+        clusters[-1][1].append(row)
+    for _, members in clusters:
+        runs = []
+        for row in sorted(members, key=lambda r: r[1]):
+            if not runs or row[1] - runs[-1][-1][1] > passages.REACH:
+                runs.append([])
+            runs[-1].append(row)
+        for run in runs:
+            if len({r[6] for r in run}) >= passages.ENOUGH or any(r[7] for r in run):
+                a, c, b, fa, fc, fb = list(zip(*run))[:6]
+                reach = passages.REACH
+                out.append((max(min(a), min(c) - reach), min(max(b), max(c) + reach), max(min(fa), min(fc) - reach), min(max(fb), max(fc) + reach)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("size, combined", [(1, 500_000), (7, 3), (1000, 500_000)])
+def test_pairs_of_texts_together_equal_one_at_a_time(monkeypatch, size, combined):
+    monkeypatch.setattr(passages, "COMBINED", combined)
+    draw = random.Random(size)
+    places = lambda: [{"a": c - draw.randrange(60), "c": c, "b": c + draw.randrange(60)} for c in (draw.randrange(400) for _ in range(draw.choice([1, 1, 2, 4])))]
+    rows, want = [], {}
+    for k in range(60):
+        combos = []
+        for signature in range(draw.choice([1, 2, 5, 9])):
+            row = {"block": k // 7, "i": k, "first_block": 0, "first_i": k % 3, "beside": draw.random() < 0.03, "places": places(), "leads": places()}
+            rows.append(row)
+            combos += [(p["a"], p["c"], p["b"], q["a"], q["c"], q["b"], signature, row["beside"]) for p in row["places"] for q in row["leads"]]
+        want[k] = plain_stretches(combos)
+    kind = pa.list_(pa.struct([("a", pa.int32()), ("c", pa.int32()), ("b", pa.int32())]))
+    schema = pa.schema([("block", pa.int64()), ("i", pa.int32()), ("first_block", pa.int64()), ("first_i", pa.int32()), ("beside", pa.bool_()), ("places", kind), ("leads", kind)])
+    batches = pa.Table.from_pylist(rows, schema=schema).combine_chunks().to_batches(max_chunksize=size)
+    got = {k: [] for k in want}
+    for batch in passages._pair_rows(iter(batches)):
+        for r in batch.to_pylist():
+            assert (r["block"], r["first_block"], r["first_i"]) == (r["i"] // 7, 0, r["i"] % 3)
+            got[r["i"]].append((r["s"], r["e"], r["first_s"], r["first_e"]))
+    assert {k: sorted(v) for k, v in got.items()} == want
+    assert sum(map(len, got.values())) > 20
