@@ -203,3 +203,39 @@ def test_pairs_of_texts_together_equal_one_at_a_time(monkeypatch, size, combined
             got[r["i"]].append((r["s"], r["e"], r["first_s"], r["first_e"]))
     assert {k: sorted(v) for k, v in got.items()} == want
     assert sum(map(len, got.values())) > 20
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_likely_stretches_against_all(seed):
+    draw = np.random.default_rng(seed)
+    n = int(draw.choice([0, 1, 45, 46, 47, 150]))
+    held = draw.random(n) < draw.choice([0.5, 0.85, 0.95, 1])
+    covered = np.zeros(n, bool)
+    for s in range(n):
+        for e in range(s + passages.LEAST, n + 1):
+            covered[s:e] |= 9 * held[s:e].sum() >= 8 * (e - s)
+    got = np.zeros(n, bool)
+    for s, e in passages.likely_stretches(held):
+        assert e - s >= passages.LEAST
+        got[s:e] = True
+    assert (got == covered).all()
+
+
+def test_a_line_that_many_texts_hold_is_no_evidence(docs, monkeypatch):
+    """Only texts that can hold a passage of each other are fetched, not all pairs of those with the line."""
+    line = " ".join(f"h{i}" for i in range(30))
+    rows = [(doc, line + " " + " ".join(f"u{doc}x{i}" for i in range(80))) for doc in range(80)]
+    middle = rows[40][1].split()
+    rows.append((80, line + " " + " ".join(f"v{i}" for i in range(120)) + " " + " ".join(middle[40:100])))
+    fetched, store = {}, Scratch.store
+
+    def counted(self, df, name, codec="zstd"):
+        out = store(self, df, name, codec)
+        fetched[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Scratch, "store", counted)
+    got = passages.repeated_passages(docs(rows)).collect()
+    assert {(r.doc_id, r.first_doc_id) for r in got} == {(80, 40)}
+    assert words_reported(got, 80) == set(range(150, 210))
+    assert fetched["pairs_first"] + fetched.get("pairs_second", 0) < 400
