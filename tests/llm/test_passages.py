@@ -157,6 +157,46 @@ def test_tables_go_once_nothing_reads_them(docs, monkeypatch):
     kept[0].clear()
 
 
+def test_texts_take_turns_with_their_evidence(docs, monkeypatch):
+    """What the second round writes at once is bounded; all turns together give what one gives."""
+    draw = random.Random(5)
+    rows = []
+    for doc in range(90):
+        words = [f"b{i}" for i in range(52)]
+        for at in draw.sample(range(52), 3):
+            words[at] = f"u{doc}x{at}"
+        rows.append((doc, f"own{doc} " + " ".join(words) + f" end{doc}"))
+    rows += [(100 + doc, f"own{100 + doc} " + " ".join(rows[doc][1].split()[1:-1]) + f" end{100 + doc}") for doc in range(5, 90, 7)]
+    pairs, bound = passages._pairs, passages._evidence_bytes
+    evidence, bytes_, kept = {}, [], []
+
+    def counted(rows_, scratch, name, *args):
+        evidence[name] = rows_.count()
+        return pairs(rows_, scratch, name, *args)
+
+    monkeypatch.setattr(passages, "_pairs", counted)
+    monkeypatch.setattr(passages, "_evidence_bytes", lambda *args: bytes_.append(bound(*args)) or bytes_[-1])
+    monkeypatch.setattr(passages, "Scratch", lambda spark, label: kept.append(Scratch(spark, label)) or kept[-1])
+    found = sorted(passages.repeated_passages(docs(rows)).collect(), key=str)
+    once = dict(evidence)
+    assert found and set(once) == {"first", "second"}
+    assert 0 < once["second"] * passages.EVIDENCE_BYTES <= bytes_[0]
+
+    evidence.clear()
+    monkeypatch.setattr(passages, "TURN_BYTES", 0)
+    monkeypatch.setattr(passages, "TURN_LEAST", bytes_[0] // 4 + 1)
+    assert sorted(passages.repeated_passages(docs(rows)).collect(), key=str) == found
+    assert set(evidence) == {"first", "second", "second_1", "second_2", "second_3"}
+    turns = [n for name, n in evidence.items() if name != "first"]
+    assert sum(turns) == once["second"]
+    assert max(turns) <= 0.5 * once["second"]
+    path = docs([]).sparkSession._jvm.org.apache.hadoop.fs.Path(kept[1].root)
+    left = {f.getPath().getName() for f in path.getFileSystem(docs([]).sparkSession._jsc.hadoopConfiguration()).listStatus(path)}
+    assert left <= {"blocks", "copies", "answers", "found_first", "found_second", "found_second_1", "found_second_2", "found_second_3"}
+    for scratch in kept:
+        scratch.clear()
+
+
 def plain_stretches(rows):
     """Runs of one pair of texts, one after the other."""
     clusters, out = [], []
